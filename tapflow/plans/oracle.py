@@ -335,3 +335,62 @@ SELECT bus_id, service_date,
   CAST(sum(CASE WHEN direction = 'backward' THEN 1 ELSE 0 END) AS BIGINT) AS backward_legs,
   CAST(count(*) AS BIGINT) AS total_legs
 FROM dlegs GROUP BY bus_id, service_date"""
+
+# --- sinks (round trips equal their inputs) ---------------------------------
+
+ORACLE_SQL["json_roundtrip"] = ORACLE_SQL["good_taps"]
+ORACLE_SQL["sink_raw_roundtrip"] = ORACLE_SQL["good_taps"]
+ORACLE_SQL["sink_trips_roundtrip"] = ORACLE_SQL["trips"]
+ORACLE_SQL["sink_dlq_roundtrip"] = ORACLE_SQL["dead_letter"]
+
+# --- scalar functions --------------------------------------------------------
+
+ORACLE_SQL["scalar_strings"] = _with() + f"""
+SELECT event_id, transaction_id, length(transaction_id) AS tx_len,
+  substring(transaction_id, 25, 12) AS tx_tail, lpad(card_id, 6, '0') AS card_padded,
+  {_PAT_BUS} AS bus_ok, printf('%s@%s', card_id, bus_id) AS card_at_bus,
+  upper(substring(bus_id, 1, 3)) AS vehicle_kind
+FROM taps"""
+
+# Asia/Jakarta has been UTC+7 without daylight saving since 1964, so the
+# local view is a fixed shift for every date in the data.
+ORACLE_SQL["scalar_times"] = _with(_GOOD, _TRIPS) + """
+SELECT trip_id, epoch_us(tap_in_time) // 1000 AS tap_in_ms,
+  tap_in_time + INTERVAL 7 HOUR AS tap_in_local,
+  strftime(tap_in_time + INTERVAL 7 HOUR, '%H:%M') AS tap_in_hhmm,
+  CAST(tap_in_time + INTERVAL 7 HOUR AS DATE) AS service_date_local,
+  (epoch_us(tap_out_time) - epoch_us(tap_in_time)) // 60000000 AS duration_min
+FROM trips"""
+
+# --- streams, run as one micro-batch over the events file -------------------
+
+ORACLE_SQL["tap_dedup_stream"] = ORACLE_SQL["good_taps"]
+ORACLE_SQL["trips_stream"] = ORACLE_SQL["trips"]
+ORACLE_SQL["trips_max_open_stream"] = ORACLE_SQL["trips_max_open"]
+ORACLE_SQL["bus_aboard_stream"] = ORACLE_SQL["bus_aboard"]
+ORACLE_SQL["crowd_flags_stream"] = _with(_GOOD, _STOPS, f"""fin AS (
+  SELECT bus_id, CAST(greatest(0, sum(CASE WHEN event_type = 'tap_in' THEN 1 ELSE -1 END)) AS INTEGER) AS pending_count,
+    arg_max(transaction_id, (event_time, transaction_id)) AS transaction_id
+  FROM good GROUP BY bus_id
+),
+flag AS (
+  SELECT f.bus_id, f.pending_count, g.transaction_id, g.event_time, g.latitude, g.longitude
+  FROM fin f JOIN good g USING (transaction_id) WHERE f.pending_count > {CROWD_THRESHOLD}
+)""", _segment_cte("flag")) + f"""
+SELECT f.bus_id, f.event_time AS flagged_at, f.pending_count, s.segment,
+  {_message('f.event_time', 'f.bus_id', 's.segment', 'f.pending_count')} AS message
+FROM flag f JOIN seg s USING (transaction_id)"""
+
+# A pending tap_in with no later event expires when the final watermark
+# (latest event time in ms minus the 5 minute delay) passes its deadline.
+ORACLE_SQL["expired_taps_stream"] = _with(_GOOD, f"""nx AS (
+  SELECT *, lead(event_time) OVER (PARTITION BY card_id ORDER BY event_time, transaction_id) AS next_time
+  FROM good
+),
+wm AS (SELECT max(epoch_us(event_time)) // 1000 - 300000 AS wm_ms FROM good)""") + f"""
+SELECT card_id, transaction_id AS tap_in_tx_id, bus_id, event_time AS tap_in_time,
+  latitude AS tap_in_lat, longitude AS tap_in_lon
+FROM nx, wm
+WHERE event_type = 'tap_in'
+  AND ((next_time IS NOT NULL AND epoch_us(next_time) - epoch_us(event_time) > {PAIRING_TIMEOUT_SECONDS * 1_000_000})
+    OR (next_time IS NULL AND (epoch_us(event_time) + {PAIRING_TIMEOUT_SECONDS * 1_000_000}) // 1000 < wm_ms))"""

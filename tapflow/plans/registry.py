@@ -32,18 +32,9 @@ def all_queries() -> dict[str, Plan]:
 
 
 def _extra_queries() -> dict[str, Plan]:
-    out: dict[str, Plan] = {}
-    try:
-        from tapflow.plans.io import IO_QUERIES
-        out.update(IO_QUERIES)
-    except ImportError:
-        pass
-    try:
-        from tapflow.plans.stream import STREAM_QUERIES
-        out.update(STREAM_QUERIES)
-    except ImportError:
-        pass
-    return out
+    from tapflow.plans.io import IO_QUERIES
+    from tapflow.plans.stream import STREAM_QUERIES
+    return {**IO_QUERIES, **STREAM_QUERIES}
 
 
 def all_oracle_sql() -> dict[str, str]:
