@@ -76,7 +76,7 @@ def crowd_flags(good: DataFrame, threshold: int = CROWD_THRESHOLD,
     tap's event time, so replays give the same rows."""
     o = occupancy(good, keep_position=True, bucket_seconds=bucket_seconds)
     f = o.where(F.col("pending") > threshold)
-    seg = segment(F.col("latitude"), F.col("longitude"))
+    seg = segment("latitude", "longitude")
     return f.select(
         "bus_id", "transaction_id", F.col("event_time").alias("flagged_at"),
         F.col("pending").alias("pending_count"), seg.alias("segment"),
@@ -109,7 +109,7 @@ def crowd_flags_windowed(good: DataFrame, window: str = DEFAULT_FLAG_WINDOW,
         ntz_from_epoch_micros((F.col("_w") + 1) * F.lit(secs * 1_000_000)).alias("window_end"),
         F.col("_last.event_time").alias("flagged_at"),
         clamp(F.col("_aboard")).alias("pending_count"),
-        segment(F.col("_last.latitude"), F.col("_last.longitude")).alias("segment"),
+        segment("_last.latitude", "_last.longitude").alias("segment"),
     )
     return out.withColumn("message", crowd_message(F.col("flagged_at"), F.col("bus_id"),
                                                    F.col("segment"), F.col("pending_count"),

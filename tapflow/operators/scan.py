@@ -41,16 +41,16 @@ def _unique(cols: Sequence[str]) -> list[str]:
     return seen
 
 
+def _carry_cols(keys: Sequence[str]) -> list[Column]:
+    """Key and slice columns of the carry table under private names."""
+    return [F.col(k).alias(f"_ck{i}") for i, k in enumerate(keys)] + [F.col(_BKT).alias("_ckb")]
+
+
 def _join_carry(d: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Attach the per-(key, slice) carry-in; null-safe on the keys."""
-    ren = carry
-    for i, k in enumerate(keys):
-        ren = ren.withColumnRenamed(k, f"_ck{i}")
-    ren = ren.withColumnRenamed(_BKT, "_ckb")
-    cond = [d[k].eqNullSafe(ren[f"_ck{i}"]) for i, k in enumerate(keys)]
-    cond.append(d[_BKT] == ren["_ckb"])
-    j = d.join(ren, cond, "inner")
-    return j.drop(*[f"_ck{i}" for i in range(len(keys))], "_ckb")
+    cond = [d[k].eqNullSafe(carry[f"_ck{i}"]) for i, k in enumerate(keys)]
+    cond.append(d[_BKT] == carry["_ckb"])
+    return d.join(carry, cond, "inner")
 
 
 def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -60,13 +60,11 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     and including the current row, in ``order``.  ``order`` must start with
     ``time_col`` and be total within a key."""
     keys, order = list(keys), list(order)
+    base_cols = [c for c in df.columns if c not in sums]
     if not bucket_seconds:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
             Window.unboundedPreceding, Window.currentRow)
-        out = df
-        for name, e in sums.items():
-            out = out.withColumn(name, F.sum(e).over(w))
-        return out
+        return df.select(*base_cols, *[F.sum(e).over(w).alias(n) for n, e in sums.items()])
 
     d = df.withColumn(_BKT, time_bucket(df, time_col, bucket_seconds))
     names = list(sums)
@@ -74,15 +72,14 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         *[F.sum(sums[n]).alias(f"_tot{i}") for i, n in enumerate(names)])
     before = Window.partitionBy(*keys).orderBy(_BKT).rowsBetween(
         Window.unboundedPreceding, -1)
-    carry = totals.select(*keys, _BKT, *[
+    carry = totals.select(*_carry_cols(keys), *[
         F.coalesce(F.sum(f"_tot{i}").over(before), F.lit(0)).alias(f"_carry{i}")
         for i in range(len(names))])
     j = _join_carry(d, carry, keys)
     w = Window.partitionBy(*keys, _BKT).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    for i, n in enumerate(names):
-        j = j.withColumn(n, F.sum(sums[n]).over(w) + F.col(f"_carry{i}"))
-    return j.drop(_BKT, *[f"_carry{i}" for i in range(len(names))])
+    return j.select(*[d[c] for c in base_cols], *[
+        (F.sum(sums[n]).over(w) + F.col(f"_carry{i}")).alias(n) for i, n in enumerate(names)])
 
 
 def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -96,17 +93,18 @@ def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     row = F.struct(*[F.col(c) for c in fields])
     prev = direction == "previous"
     shift = F.lag if prev else F.lead
+    base_cols = [c for c in df.columns if c != name]
 
     if not bucket_seconds:
         w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(name, shift(row).over(w))
+        return df.select(*base_cols, shift(row).over(w).alias(name))
 
     d = df.withColumn(_BKT, time_bucket(df, time_col, bucket_seconds))
     edge_fn = F.max if prev else F.min
     edges = d.groupBy(*keys, _BKT).agg(edge_fn(row).alias("_edge"))
     by_slice = Window.partitionBy(*keys).orderBy(_BKT)
-    carry = edges.select(*keys, _BKT, shift("_edge").over(by_slice).alias("_carry"))
+    carry = edges.select(*_carry_cols(keys), shift("_edge").over(by_slice).alias("_carry"))
     j = _join_carry(d, carry, keys)
     w = Window.partitionBy(*keys, _BKT).orderBy(*order)
-    j = j.withColumn(name, F.coalesce(shift(row).over(w), F.col("_carry")))
-    return j.drop(_BKT, "_carry")
+    return j.select(*[d[c] for c in base_cols],
+                    F.coalesce(shift(row).over(w), F.col("_carry")).alias(name))

@@ -25,75 +25,86 @@ from tapflow.config import (
 from tapflow.schemas import DLQ_COLUMNS, TAP_FIELDS
 
 
+# Each check is one SQL expression string, so building a plan costs one call
+# to the JVM per check rather than one per column operation.
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+TX_ID_OK = f"transaction_id RLIKE {_sql_str(TRANSACTION_ID_PATTERN)}"
+CARD_ID_OK = f"card_id RLIKE {_sql_str(CARD_ID_PATTERN)}"
+BUS_ID_OK = f"bus_id RLIKE {_sql_str(BUS_ID_PATTERN)}"
+PATTERNS_OK = f"({TX_ID_OK} AND {CARD_ID_OK} AND {BUS_ID_OK})"
+EVENT_TYPE_OK = "event_type IN (" + ", ".join(_sql_str(t) for t in EVENT_TYPES) + ")"
+LATITUDE_OK = "(latitude IS NOT NULL AND latitude BETWEEN -90 AND 90)"
+LONGITUDE_OK = "(longitude IS NOT NULL AND longitude BETWEEN -180 AND 180)"
+REQUIRED_NOT_NULL = ("(transaction_id IS NOT NULL AND card_id IS NOT NULL AND bus_id IS NOT NULL"
+                     " AND event_type IS NOT NULL AND event_time IS NOT NULL"
+                     " AND latitude IS NOT NULL AND longitude IS NOT NULL)")
+RANGES_OK = f"({LATITUDE_OK} AND {LONGITUDE_OK} AND event_time IS NOT NULL)"
+GOOD = (f"coalesce({REQUIRED_NOT_NULL} AND {EVENT_TYPE_OK} AND {LATITUDE_OK}"
+        f" AND {LONGITUDE_OK} AND {PATTERNS_OK}, false)")
+
+
+def _reason_sql(has_parsed: bool) -> str:
+    checks = [
+        ("transaction_id IS NULL", "missing_transaction_id"),
+        ("card_id IS NULL", "missing_card_id"),
+        ("bus_id IS NULL", "missing_bus_id"),
+        (f"NOT coalesce({EVENT_TYPE_OK}, false)", "invalid_event_type"),
+        ("event_time IS NULL", "missing_timestamp"),
+        (f"NOT {LATITUDE_OK}", "invalid_latitude"),
+        (f"NOT {LONGITUDE_OK}", "invalid_longitude"),
+        (f"NOT {TX_ID_OK}", "malformed_transaction_id"),
+        (f"NOT {CARD_ID_OK}", "malformed_card_id"),
+        (f"NOT {BUS_ID_OK}", "malformed_bus_id"),
+    ]
+    if has_parsed:
+        checks.insert(0, ("NOT parsed", UNKNOWN_REASON))
+    whens = " ".join(f"WHEN {c} THEN {_sql_str(r)}" for c, r in checks)
+    return f"CASE {whens} ELSE CAST(NULL AS STRING) END"
+
+
 def tx_id_ok() -> Column:
-    return F.col("transaction_id").rlike(TRANSACTION_ID_PATTERN)
+    return F.expr(TX_ID_OK)
 
 
 def card_id_ok() -> Column:
-    return F.col("card_id").rlike(CARD_ID_PATTERN)
+    return F.expr(CARD_ID_OK)
 
 
 def bus_id_ok() -> Column:
-    return F.col("bus_id").rlike(BUS_ID_PATTERN)
+    return F.expr(BUS_ID_OK)
 
 
 def patterns_ok() -> Column:
     """The three identifier patterns (null fails)."""
-    return tx_id_ok() & card_id_ok() & bus_id_ok()
+    return F.expr(PATTERNS_OK)
 
 
 def event_type_ok() -> Column:
     """Accepted event types."""
-    return F.col("event_type").isin(*EVENT_TYPES)
-
-
-def latitude_ok() -> Column:
-    return F.col("latitude").isNotNull() & F.col("latitude").between(-90, 90)
-
-
-def longitude_ok() -> Column:
-    return F.col("longitude").isNotNull() & F.col("longitude").between(-180, 180)
-
-
-def required_not_null() -> Column:
-    return F.col("transaction_id").isNotNull() & F.col("card_id").isNotNull() & \
-        F.col("bus_id").isNotNull() & F.col("event_type").isNotNull() & \
-        F.col("event_time").isNotNull() & F.col("latitude").isNotNull() & \
-        F.col("longitude").isNotNull()
+    return F.expr(EVENT_TYPE_OK)
 
 
 def ranges_ok() -> Column:
     """Coordinates in range (NaN fails), time present."""
-    return latitude_ok() & longitude_ok() & F.col("event_time").isNotNull()
+    return F.expr(RANGES_OK)
 
 
 def good_condition() -> Column:
     """A tap is good when every check passes."""
-    return F.coalesce(required_not_null() & event_type_ok() & latitude_ok() &
-                      longitude_ok() & patterns_ok(), F.lit(False))
+    return F.expr(GOOD)
 
 
 def reject_reason(has_parsed: bool = False) -> Column:
     """P5: first failing check, in fixed order; null for good rows."""
-    r = F.when(F.lit(False), F.lit(None))
-    if has_parsed:
-        r = F.when(~F.col("parsed"), F.lit(UNKNOWN_REASON))
-    r = (r.when(F.col("transaction_id").isNull(), F.lit("missing_transaction_id"))
-          .when(F.col("card_id").isNull(), F.lit("missing_card_id"))
-          .when(F.col("bus_id").isNull(), F.lit("missing_bus_id"))
-          .when(~F.coalesce(event_type_ok(), F.lit(False)), F.lit("invalid_event_type"))
-          .when(F.col("event_time").isNull(), F.lit("missing_timestamp"))
-          .when(~latitude_ok(), F.lit("invalid_latitude"))
-          .when(~longitude_ok(), F.lit("invalid_longitude"))
-          .when(~tx_id_ok(), F.lit("malformed_transaction_id"))
-          .when(~card_id_ok(), F.lit("malformed_card_id"))
-          .when(~bus_id_ok(), F.lit("malformed_bus_id")))
-    return r.otherwise(F.lit(None).cast("string"))
+    return F.expr(_reason_sql(has_parsed))
 
 
 def strict_prefilter(df: DataFrame) -> DataFrame:
     """Reference-compatible pre-filter: pattern or type failures vanish."""
-    return df.where(patterns_ok() & event_type_ok())
+    return df.where(f"{PATTERNS_OK} AND {EVENT_TYPE_OK}")
 
 
 def with_reject_reason(df: DataFrame, strict_reference: bool = False) -> DataFrame:
@@ -107,12 +118,12 @@ def valid_taps(df: DataFrame, strict_reference: bool = False) -> DataFrame:
     """Rows passing every check (not yet de-duplicated)."""
     if strict_reference:
         df = strict_prefilter(df)
-    return df.where(good_condition())
+    return df.where(GOOD)
 
 
 def dead_letter(df: DataFrame, strict_reference: bool = False) -> DataFrame:
     """Rejected envelope rows with their reason (DLQ layout)."""
-    bad = with_reject_reason(df, strict_reference).where(~good_condition())
+    bad = with_reject_reason(df, strict_reference).where(f"NOT {GOOD}")
     return bad.select(*DLQ_COLUMNS)
 
 

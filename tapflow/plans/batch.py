@@ -131,7 +131,7 @@ def q_occupancy_idle_reset(spark, sf_dir):
 
 def q_nearest_segment(spark, sf_dir):
     g = good_taps(spark, sf_dir)
-    return g.select("transaction_id", geo.segment(F.col("latitude"), F.col("longitude"))
+    return g.select("transaction_id", geo.segment("latitude", "longitude")
                     .alias("segment"))
 
 

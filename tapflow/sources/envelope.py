@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tapflow.functions.times import ntz_from_epoch_millis
 from tapflow.schemas import TAP_AVRO_SCHEMA, TAP_FIELDS, TAP_RECORD_SCHEMA
@@ -48,9 +49,15 @@ def project_envelope(raw: DataFrame) -> DataFrame:
     )
 
 
+CORRUPT_FIELD = "_corrupt_record"
+_JSON_SCHEMA = StructType(TAP_RECORD_SCHEMA.fields + [StructField(CORRUPT_FIELD, StringType())])
+
+
 def decode_json(value: Column) -> Column:
-    """Payload decoder for JSON text; malformed text yields a null struct."""
-    return F.from_json(value.cast("string"), TAP_RECORD_SCHEMA, {"mode": "PERMISSIVE"})
+    """Payload decoder for JSON text; malformed text keeps the raw text in
+    ``_corrupt_record`` (PERMISSIVE mode) instead of failing the query."""
+    return F.from_json(value.cast("string"), _JSON_SCHEMA,
+                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_FIELD})
 
 
 def decode_avro(value: Column, avro_schema: str = TAP_AVRO_SCHEMA,
@@ -80,11 +87,14 @@ def decode_taps(envelope: DataFrame, decoder=decode_json,
     """
     ms = F.col("data.timestamp")
     event_time = ntz_from_epoch_millis(ms) if ntz_event_time else F.timestamp_millis(ms)
-    return (envelope
-            .withColumn("data", decoder(F.col("value")))
+    decoded = envelope.withColumn("data", decoder(F.col("value")))
+    parsed = F.col("data").isNotNull()
+    if CORRUPT_FIELD in decoded.schema["data"].dataType.fieldNames():
+        parsed = parsed & F.col(f"data.{CORRUPT_FIELD}").isNull()
+    return (decoded
             .select("value_raw", "kafka_topic", "kafka_partition", "kafka_offset",
                     "kafka_timestamp",
-                    F.col("data").isNotNull().alias("parsed"),
+                    parsed.alias("parsed"),
                     *[F.col(f"data.{c}").alias(c) for c in TAP_FIELDS if c != "event_time"],
                     event_time.alias("event_time"))
             .select("value_raw", "kafka_topic", "kafka_partition", "kafka_offset",

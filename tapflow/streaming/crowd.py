@@ -39,7 +39,7 @@ def crowd_flags_from_counts(counts: DataFrame, threshold: int = CROWD_THRESHOLD)
     f = counts.where(F.col("pending_count") > threshold)
     return f.select(
         "bus_id", F.col("last_event_time").alias("flagged_at"), "pending_count",
-        segment(F.col("last_lat"), F.col("last_lon")).alias("segment"),
+        segment("last_lat", "last_lon").alias("segment"),
     ).withColumn("message", crowd_message(F.col("flagged_at"), F.col("bus_id"),
                                           F.col("segment"), F.col("pending_count"),
                                           threshold))
