@@ -116,3 +116,27 @@ def test_stream_counts_end_at_batch_counts(spark, workdir):
     got = sorted((r.bus_id, r.r.pending_count) for r in last.collect())
     want = sorted((r.bus_id, r.pending_count) for r in bus_aboard(good_taps(spark, SF_SMALL)).collect())
     assert got == want
+
+
+def test_late_rows_dropped(spark, workdir):
+    """A row older than the watermark (latest event time - 5 min) is dropped;
+    an on-time one is kept.  Spark filters late rows of batch N with the
+    watermark batch N-1 started with (SURVEY M8), so lateness applies from
+    the second batch after the clock moved."""
+    src = os.path.join(workdir, "src")
+    out, ck = os.path.join(workdir, "out"), os.path.join(workdir, "ck")
+    schema = ("event_id long, transaction_id string, card_id string, bus_id string, "
+              "event_type string, event_time timestamp, latitude double, longitude double")
+    t = dt.datetime(2024, 1, 1, 10)
+    m = dt.timedelta(minutes=1)
+    batches = [
+        [(1, "0" * 35 + "1", "C1", "BUS-01", "tap_in", t, -6.2, 106.8)],
+        [(4, "0" * 35 + "4", "C4", "BUS-01", "tap_in", t + m, -6.2, 106.8)],
+        [(2, "0" * 35 + "2", "C2", "BUS-01", "tap_in", t - 60 * m, -6.2, 106.8),    # late
+         (3, "0" * 35 + "3", "C3", "BUS-01", "tap_in", t - 2 * m, -6.2, 106.8)],    # on time
+    ]
+    for b in batches:
+        spark.createDataFrame(b, schema).coalesce(1).write.mode("append").parquet(src)
+    drain(start_file_sink(_good_stream(spark, src), out, ck))
+    got = sorted(r.transaction_id[-1] for r in spark.read.parquet(out).collect())
+    assert got == ["1", "3", "4"]
