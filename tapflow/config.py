@@ -80,8 +80,11 @@ TOPIC_PARTITIONS = 7
 # Engine knobs
 # ---------------------------------------------------------------------------
 
-# Width of the time slice used to split a hot key (card or bus) across tasks
-# in ordered per-key scans.  See operators/scan.py.
+# Ordered per-key scans (operators/scan.py): a key with at least
+# DEFAULT_HOT_KEY_ROWS rows is split into time slices of
+# DEFAULT_SCAN_BUCKET_SECONDS; hot keys are found on a 1-in-N row-hash sample.
 DEFAULT_SCAN_BUCKET_SECONDS = 60 * 60
+DEFAULT_HOT_KEY_ROWS = 2_000_000
+DEFAULT_HOT_KEY_SAMPLE_EVERY = 1000
 # Tumbling window for the per-interval crowd flags.
 DEFAULT_FLAG_WINDOW = "1 hour"

@@ -2,22 +2,30 @@
 
 A plain ``Window.partitionBy(key).orderBy(t)`` sends every row of a key to a
 single task.  Per card that is usually harmless, but one vehicle (or a test
-card) can carry a third of all taps.  The scans here split each key into
-``(key, time slice)`` groups and stitch the slices together exactly:
-
-1. a small summary per ``(key, slice)``: the slice's total for running sums,
-   its last (or first) row for neighbour lookups;
+card) can carry a third of all taps.  The scans here split only the *hot*
+keys into ``(key, time slice)`` groups and stitch the slices together
+exactly:
+
+0. hot keys are found on a deterministic sample (rows whose hash of the
+   order columns falls in 1 of ``sample_every`` buckets); a key is hot when
+   its sampled count implies at least ``hot_key_rows`` rows.  At most
+   N / ``hot_key_rows`` keys can qualify, which bounds the broadcast list.
+   The sample only decides the partitioning: every row is processed and the
+   results are the same whichever keys are hot;
+1. a small summary per hot ``(key, slice)``: the slice total for running
+   sums, its last (or first) row for neighbour lookups;
 2. a window over the summaries per key (one row per slice, so tiny) gives
    each slice its carry-in: the sum of all earlier slices, the last row of
    the previous non-empty slice;
-3. the main window runs per ``(key, slice)`` and adds the carry-in.
-
-The join in step 3 is on ``(key, slice)``, the same keys as the main
-window, so the big side is shuffled once and the window reuses that
-partitioning; AQE broadcasts the summary side when its measured size is
-small and keeps a sort-merge join otherwise.  Results are identical to the
-single-window form (running sums are associative; the previous row of the
-first row of a slice is the last row of the previous slice).
+3. the main window runs per ``(key, slice)`` (slice is null for keys that
+   are not hot, i.e. one group per key) and adds the carry-in.
+
+The big side is shuffled once, on ``(key, slice)``; the carry join uses the
+same keys, so the window reuses that partitioning, and AQE broadcasts the
+summary side when its measured size is small (sort-merge join otherwise).
+Results are identical to the single-window form (running sums are
+associative; the row before the first row of a slice is the last row of the
+previous slice).
 """
 
 from __future__ import annotations
@@ -27,7 +35,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapflow.config import DEFAULT_SCAN_BUCKET_SECONDS
+from tapflow.config import (
+    DEFAULT_HOT_KEY_ROWS, DEFAULT_HOT_KEY_SAMPLE_EVERY, DEFAULT_SCAN_BUCKET_SECONDS,
+)
 from tapflow.functions.times import time_bucket
 
 _BKT = "_scan_bucket"
@@ -41,21 +51,46 @@ def _unique(cols: Sequence[str]) -> list[str]:
     return seen
 
 
+def _hot_slices(df: DataFrame, keys: list[str], order: list[str], time_col: str,
+                bucket_seconds: int, hot_key_rows: int, sample_every: int) -> DataFrame:
+    """``df`` plus ``_scan_bucket``: the time slice for rows of hot keys,
+    null for the rest."""
+    bucket = time_bucket(df, time_col, bucket_seconds)
+    if not hot_key_rows:          # slice every key
+        return df.withColumn(_BKT, bucket)
+    every = max(1, int(sample_every))
+    need = max(1, hot_key_rows // every)
+    sample = df if every == 1 else df.where(
+        F.pmod(F.xxhash64(*[F.col(c) for c in keys + order]), F.lit(every)) == 0)
+    hot = (sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                 .where(F.col("_n") >= need)
+                 .select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)],
+                         F.lit(True).alias("_hot")))
+    # at most N / hot_key_rows keys qualify: a bounded list, safe to broadcast
+    cond = [df[k].eqNullSafe(hot[f"_hk{i}"]) for i, k in enumerate(keys)]
+    j = df.join(F.broadcast(hot), cond, "left")
+    return j.select(*[df[c] for c in df.columns],
+                    F.when(F.col("_hot"), bucket).alias(_BKT))
+
+
 def _carry_cols(keys: Sequence[str]) -> list[Column]:
     """Key and slice columns of the carry table under private names."""
     return [F.col(k).alias(f"_ck{i}") for i, k in enumerate(keys)] + [F.col(_BKT).alias("_ckb")]
 
 
 def _join_carry(d: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach the per-(key, slice) carry-in; null-safe on the keys."""
+    """Attach the per-(key, slice) carry-in; null-safe on the keys.  Rows of
+    keys that are not hot find no carry row (left join)."""
     cond = [d[k].eqNullSafe(carry[f"_ck{i}"]) for i, k in enumerate(keys)]
     cond.append(d[_BKT] == carry["_ckb"])
-    return d.join(carry, cond, "inner")
+    return d.join(carry, cond, "left")
 
 
 def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 sums: dict[str, Column], time_col: str = "event_time",
-                bucket_seconds: int | None = DEFAULT_SCAN_BUCKET_SECONDS) -> DataFrame:
+                bucket_seconds: int | None = DEFAULT_SCAN_BUCKET_SECONDS,
+                hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
+                sample_every: int = DEFAULT_HOT_KEY_SAMPLE_EVERY) -> DataFrame:
     """Add running sums ``name = sum(expr)`` over rows of the same key up to
     and including the current row, in ``order``.  ``order`` must start with
     ``time_col`` and be total within a key."""
@@ -66,9 +101,9 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             Window.unboundedPreceding, Window.currentRow)
         return df.select(*base_cols, *[F.sum(e).over(w).alias(n) for n, e in sums.items()])
 
-    d = df.withColumn(_BKT, time_bucket(df, time_col, bucket_seconds))
+    d = _hot_slices(df, keys, order, time_col, bucket_seconds, hot_key_rows, sample_every)
     names = list(sums)
-    totals = d.groupBy(*keys, _BKT).agg(
+    totals = d.where(F.col(_BKT).isNotNull()).groupBy(*keys, _BKT).agg(
         *[F.sum(sums[n]).alias(f"_tot{i}") for i, n in enumerate(names)])
     before = Window.partitionBy(*keys).orderBy(_BKT).rowsBetween(
         Window.unboundedPreceding, -1)
@@ -79,13 +114,16 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     w = Window.partitionBy(*keys, _BKT).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     return j.select(*[d[c] for c in base_cols], *[
-        (F.sum(sums[n]).over(w) + F.col(f"_carry{i}")).alias(n) for i, n in enumerate(names)])
+        (F.sum(sums[n]).over(w) + F.coalesce(F.col(f"_carry{i}"), F.lit(0))).alias(n)
+        for i, n in enumerate(names)])
 
 
 def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   cols: Sequence[str], name: str, direction: str = "previous",
                   time_col: str = "event_time",
-                  bucket_seconds: int | None = DEFAULT_SCAN_BUCKET_SECONDS) -> DataFrame:
+                  bucket_seconds: int | None = DEFAULT_SCAN_BUCKET_SECONDS,
+                  hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
+                  sample_every: int = DEFAULT_HOT_KEY_SAMPLE_EVERY) -> DataFrame:
     """Add ``name``: a struct of ``order + cols`` taken from the previous
     (or next) row of the same key in ``order``; null at the key's edge."""
     keys, order = list(keys), list(order)
@@ -99,9 +137,10 @@ def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.select(*base_cols, shift(row).over(w).alias(name))
 
-    d = df.withColumn(_BKT, time_bucket(df, time_col, bucket_seconds))
+    d = _hot_slices(df, keys, order, time_col, bucket_seconds, hot_key_rows, sample_every)
     edge_fn = F.max if prev else F.min
-    edges = d.groupBy(*keys, _BKT).agg(edge_fn(row).alias("_edge"))
+    edges = d.where(F.col(_BKT).isNotNull()).groupBy(*keys, _BKT).agg(
+        edge_fn(row).alias("_edge"))
     by_slice = Window.partitionBy(*keys).orderBy(_BKT)
     carry = edges.select(*_carry_cols(keys), shift("_edge").over(by_slice).alias("_carry"))
     j = _join_carry(d, carry, keys)

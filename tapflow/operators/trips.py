@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapflow.config import (
-    DEFAULT_SCAN_BUCKET_SECONDS, MAX_TRIP_MINUTES, MIN_TRANSFER_MINUTES,
+    DEFAULT_HOT_KEY_ROWS, DEFAULT_SCAN_BUCKET_SECONDS, MAX_TRIP_MINUTES, MIN_TRANSFER_MINUTES,
     PAIRING_TIMEOUT_SECONDS,
 )
 from tapflow.functions.times import epoch_micros
@@ -34,20 +34,23 @@ def trip_id(card: Column, tx_in: Column, tx_out: Column) -> Column:
 
 
 def with_previous_tap(good: DataFrame,
-                      bucket_seconds: int | None = DEFAULT_SCAN_BUCKET_SECONDS) -> DataFrame:
+                      bucket_seconds: int | None = DEFAULT_SCAN_BUCKET_SECONDS,
+                      hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
     return with_neighbor(good, ["card_id"], ORDER, _CARRIED, "prev",
-                         direction="previous", bucket_seconds=bucket_seconds)
+                         direction="previous", bucket_seconds=bucket_seconds,
+                         hot_key_rows=hot_key_rows)
 
 
 def trips(good: DataFrame, max_open_seconds: int | None = None,
           include_tap_out_bus: bool = False,
-          bucket_seconds: int | None = DEFAULT_SCAN_BUCKET_SECONDS) -> DataFrame:
+          bucket_seconds: int | None = DEFAULT_SCAN_BUCKET_SECONDS,
+          hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
     """One row per paired (tap_in, tap_out).
 
     ``max_open_seconds`` (D9): a tap_in waits at most that long; a later
     tap_out does not pair.
     """
-    p = with_previous_tap(good, bucket_seconds)
+    p = with_previous_tap(good, bucket_seconds, hot_key_rows)
     cond = (F.col("event_type") == "tap_out") & (F.col("prev.event_type") == "tap_in")
     if max_open_seconds is not None:
         gap_us = epoch_micros(p, "event_time") - epoch_micros(p, "prev.event_time")

@@ -45,11 +45,11 @@ def _random_rows(seed, n=400):
 
 
 @pytest.mark.parametrize("seed", [7, 8, 9])
-@pytest.mark.parametrize("bucket", [None, 600, 3600])
-def test_trips_equal_state_machine(spark, seed, bucket):
+@pytest.mark.parametrize("bucket,hot", [(None, None), (600, None), (3600, 40), (600, 40)])
+def test_trips_equal_state_machine(spark, seed, bucket, hot):
     rows = _random_rows(seed)
     want, pending = state_machine(rows)
-    got = tr.trips(_taps(spark, rows), bucket_seconds=bucket)
+    got = tr.trips(_taps(spark, rows), bucket_seconds=bucket, hot_key_rows=hot)
     assert sorted((r.card_id, r.tap_in_tx_id, r.tap_out_tx_id) for r in got.collect()) == want
     opened = tr.open_taps(_taps(spark, rows))
     assert sorted((r.card_id, r.tap_in_tx_id) for r in opened.collect()) == \

@@ -29,24 +29,33 @@ def frame(spark, request):
     return df
 
 
+# (hot_key_rows, sample_every): slice every key / only hot keys found on all
+# rows / only hot keys found on a 1-in-3 hash sample / no key hot (defaults)
+HOT_MODES = [(None, 1), (50, 1), (50, 3), (2_000_000, 1000)]
+
+
+@pytest.mark.parametrize("hot", HOT_MODES)
 @pytest.mark.parametrize("bucket", [60, 600, 3600])
-def test_prefix_sums_equal_plain_window(frame, bucket):
+def test_prefix_sums_equal_plain_window(frame, bucket, hot):
     w = Window.partitionBy("k").orderBy("event_time", "id").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     want = frame.withColumn("s", F.sum("d").over(w)).select("id", "s")
     got = prefix_sums(frame, ["k"], ["event_time", "id"], {"s": F.col("d")},
-                      bucket_seconds=bucket).select("id", "s")
+                      bucket_seconds=bucket, hot_key_rows=hot[0],
+                      sample_every=hot[1]).select("id", "s")
     assert sorted(got.collect()) == sorted(want.collect())
 
 
+@pytest.mark.parametrize("hot", HOT_MODES)
 @pytest.mark.parametrize("direction", ["previous", "next"])
 @pytest.mark.parametrize("bucket", [60, 900])
-def test_neighbor_equals_lag_lead(frame, bucket, direction):
+def test_neighbor_equals_lag_lead(frame, bucket, direction, hot):
     w = Window.partitionBy("k").orderBy("event_time", "id")
     fn = F.lag if direction == "previous" else F.lead
     want = frame.select("id", fn("id").over(w).alias("n"), fn("x").over(w).alias("nx"))
     got = with_neighbor(frame, ["k"], ["event_time", "id"], ["x"], "nb",
-                        direction=direction, bucket_seconds=bucket)
+                        direction=direction, bucket_seconds=bucket,
+                        hot_key_rows=hot[0], sample_every=hot[1])
     got = got.select("id", F.col("nb.id").alias("n"), F.col("nb.x").alias("nx"))
     assert sorted(got.collect()) == sorted(want.collect())
 
@@ -55,8 +64,20 @@ def test_null_keys_are_scanned_together(spark):
     df = spark.createDataFrame(
         [(None, dt.datetime(2024, 1, 1, 0, 0, s), f"i{s}", 1, 0.0) for s in range(5)],
         "k string, event_time timestamp_ntz, id string, d int, x double")
-    got = prefix_sums(df, ["k"], ["event_time", "id"], {"s": F.col("d")}, bucket_seconds=2)
-    assert sorted(r.s for r in got.collect()) == [1, 2, 3, 4, 5]
+    for hot in HOT_MODES:
+        got = prefix_sums(df, ["k"], ["event_time", "id"], {"s": F.col("d")}, bucket_seconds=2,
+                          hot_key_rows=hot[0] and 2, sample_every=hot[1])
+        assert sorted(r.s for r in got.collect()) == [1, 2, 3, 4, 5]
+
+
+def test_only_hot_key_is_sliced(frame):
+    """The hot key is split into slices; the others stay one group each."""
+    from tapflow.operators.scan import _hot_slices
+    d = _hot_slices(frame, ["k"], ["event_time", "id"], "event_time", 600, 100, 1)
+    per_key = {r.k: r.n for r in d.groupBy("k").agg(
+        F.count_distinct("_scan_bucket").alias("n")).collect()}
+    assert per_key["HOT"] > 1
+    assert all(n == 0 for k, n in per_key.items() if k != "HOT")
 
 
 def test_plan_splits_hot_key_by_slice(frame):
