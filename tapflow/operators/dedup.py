@@ -1,9 +1,8 @@
 """De-duplication of redelivered taps by transaction id.
 
-Batch: ``dropDuplicates`` -> a hash aggregate whose partial (map-side) step
-collapses copies inside each input partition before the shuffle, so even a
-transaction delivered millions of times ships at most one row per input
-partition.
+Batch: an aggregate per key whose partial (map-side) step collapses copies
+inside each input partition before the shuffle, so even a transaction
+delivered millions of times ships at most one row per input partition.
 
 Stream: ``dropDuplicatesWithinWatermark`` keeps a seen key only until the
 watermark passes its event time (plus the delay), so state stays bounded;
@@ -13,12 +12,24 @@ watermark passes its event time (plus the delay), so state stays bounded;
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tapflow.config import WATERMARK_DELAY
 
 
 def dedup_taps(df: DataFrame, key: str = "transaction_id") -> DataFrame:
-    return df.dropDuplicates([key])
+    """One row per ``key``; among copies that differ, the smallest row wins.
+
+    ``min(struct(...))`` instead of ``dropDuplicates`` (which keeps whichever
+    copy comes first): the choice does not depend on row order, so a stage
+    recomputed after an executor loss yields the same rows.
+    """
+    others = [c for c in df.columns if c != key]
+    if not others:
+        return df.dropDuplicates([key])
+    kept = df.groupBy(key).agg(F.min(F.struct(*others)).alias("_row"))
+    return kept.select(*[F.col(key) if c == key else F.col(f"_row.{c}").alias(c)
+                         for c in df.columns])
 
 
 def dedup_taps_stream(df: DataFrame, key: str = "transaction_id",

@@ -50,7 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (local runs and tests) a scratch folder is created and set.
+    and the master is local (tests) a scratch folder is created and set; on
+    a cluster an unset folder is an error, never a machine-local path.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="tapflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
