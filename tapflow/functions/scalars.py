@@ -45,3 +45,20 @@ def time_functions(trips: DataFrame) -> DataFrame:
         F.timestamp_diff("MINUTE", F.col("tap_in_time"), F.col("tap_out_time"))
         .alias("duration_min"),
     )
+
+
+# Full microsecond precision for timestamps in JSON text.
+JSON_TIME_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
+def json_record_roundtrip(taps: DataFrame) -> DataFrame:
+    """Each tap as a JSON object (``to_json(struct)``) and parsed back
+    (``from_json`` with the record's schema)."""
+    cols = [c for c in taps.columns]
+    text = F.to_json(F.struct(*cols), JSON_TIME_OPTIONS)
+    schema = taps.select(*cols).schema
+    parsed = F.from_json(text, schema, JSON_TIME_OPTIONS)
+    return taps.select(parsed.alias("r")).select(*[F.col(f"r.{c}").alias(c) for c in cols])

@@ -62,6 +62,10 @@ def q_scalar_times(spark, sf_dir):
     return scalars.time_functions(tr.trips(good_taps(spark, sf_dir)))
 
 
+def q_scalar_json(spark, sf_dir):
+    return scalars.json_record_roundtrip(good_taps(spark, sf_dir))
+
+
 IO_QUERIES = {
     "json_roundtrip": q_json_roundtrip,
     "sink_raw_roundtrip": q_sink_raw_roundtrip,
@@ -69,4 +73,5 @@ IO_QUERIES = {
     "sink_dlq_roundtrip": q_sink_dlq_roundtrip,
     "scalar_strings": q_scalar_strings,
     "scalar_times": q_scalar_times,
+    "scalar_json": q_scalar_json,
 }

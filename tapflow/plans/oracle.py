@@ -342,6 +342,7 @@ ORACLE_SQL["json_roundtrip"] = ORACLE_SQL["good_taps"]
 ORACLE_SQL["sink_raw_roundtrip"] = ORACLE_SQL["good_taps"]
 ORACLE_SQL["sink_trips_roundtrip"] = ORACLE_SQL["trips"]
 ORACLE_SQL["sink_dlq_roundtrip"] = ORACLE_SQL["dead_letter"]
+ORACLE_SQL["scalar_json"] = ORACLE_SQL["good_taps"]
 
 # --- scalar functions --------------------------------------------------------
 

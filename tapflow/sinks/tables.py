@@ -1,25 +1,29 @@
 """Sinks for raw taps, trips, crowd flags and dead letters (K1-K9).
 
 Batch writers take a DataFrame; ``*_batch_writer`` return ``foreachBatch``
-callbacks.  Callbacks write each micro-batch once (no ``isEmpty`` / ``count``
-re-runs of the plan) and write it under ``batch_id=<n>`` with overwrite, so a
-retried batch replaces its own output instead of appending a second copy.
+callbacks.  Callbacks write each micro-batch once and count its rows with an
+observed metric of that same write (no ``isEmpty`` / ``count`` re-runs of the
+plan), under ``batch_id=<n>`` with overwrite, so a retried batch replaces its
+own output instead of appending a second copy.
 Output files are left to the plan's partitioning (no ``repartition(1)``:
 a large micro-batch would then be written by one task).
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tapflow.config import TOPIC_NAME
+from tapflow.functions.scalars import JSON_TIME_OPTIONS   # microsecond timestamp text
 from tapflow.functions.times import epoch_millis
 from tapflow.schemas import DLQ_COLUMNS, TAP_FIELDS, TRIP_COLUMNS
 
 BatchFn = Callable[[DataFrame, int], None]
+log = logging.getLogger("tapflow.sinks")
 
 RAW_COLUMNS = TAP_FIELDS
 FLAG_COLUMNS = ["bus_id", "flagged_at", "pending_count", "segment", "message"]
@@ -52,25 +56,40 @@ def write_dead_letters(df: DataFrame, base: str, batch_id: int) -> None:
        .parquet(f"{base.rstrip('/')}/raw_bad/batch_id={batch_id}"))
 
 
-def parquet_batch_writer(base: str, columns: list[str] | None = None) -> BatchFn:
+def observed_write(batch: DataFrame, write: Callable[[DataFrame], None],
+                   name: str, batch_id: int, counts: dict | None = None) -> int:
+    """K6: run ``write`` once and report how many rows it wrote.
+
+    The count is an ``Observation`` collected by the write itself, so the
+    batch plan is not run a second time for ``count()`` / ``isEmpty()``.
+    """
+    obs = Observation(f"{name}_{batch_id}")
+    write(batch.observe(obs, F.count(F.lit(1)).alias("rows")))
+    n = int(obs.get.get("rows", 0))
+    log.info("batch %s: %d %s rows", batch_id, n, name)
+    if counts is not None:
+        counts[batch_id] = n
+    return n
+
+
+def parquet_batch_writer(base: str, columns: list[str] | None = None,
+                         counts: dict | None = None) -> BatchFn:
     """foreachBatch callback: one idempotent directory per micro-batch."""
     def write(batch: DataFrame, batch_id: int) -> None:
         out = batch.select(*columns) if columns else batch
-        out.write.mode("overwrite").parquet(f"{base.rstrip('/')}/batch_id={batch_id}")
+        observed_write(out, lambda d: d.write.mode("overwrite").parquet(
+            f"{base.rstrip('/')}/batch_id={batch_id}"), base.rstrip("/").split("/")[-1],
+            batch_id, counts)
     return write
 
 
-def dlq_batch_writer(base: str) -> BatchFn:
+def dlq_batch_writer(base: str, counts: dict | None = None) -> BatchFn:
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_dead_letters(batch, base, batch_id)
+        observed_write(batch, lambda d: write_dead_letters(d, base, batch_id), "dead_letter",
+                       batch_id, counts)
     return write
 
 
-# Full microsecond precision (Spark's default JSON timestamp text stops at ms).
-JSON_TIME_OPTIONS = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-}
 
 
 def export_json(df: DataFrame, path: str) -> None:

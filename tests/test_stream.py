@@ -140,3 +140,23 @@ def test_late_rows_dropped(spark, workdir):
     drain(start_file_sink(_good_stream(spark, src), out, ck))
     got = sorted(r.transaction_id[-1] for r in spark.read.parquet(out).collect())
     assert got == ["1", "3", "4"]
+
+
+def test_batch_writer_reports_rows_once(spark, workdir):
+    counts = {}
+    df = spark.range(7).withColumnRenamed("id", "x")
+    parquet_batch_writer(os.path.join(workdir, "o"), counts=counts)(df, 3)
+    assert counts == {3: 7}
+    assert spark.read.parquet(os.path.join(workdir, "o")).count() == 7
+
+
+def test_pairing_function_empty_batch():
+    """A group called with no rows and no state yields an empty frame."""
+    from tapflow.streaming.pairing import make_pairing_function
+
+    class NoState:
+        exists = False
+        hasTimedOut = False
+
+    out = list(make_pairing_function(None)(("C1",), iter([]), NoState()))
+    assert len(out) == 1 and out[0].empty
