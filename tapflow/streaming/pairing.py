@@ -10,6 +10,14 @@ With ``max_open_seconds`` a tap_in waits at most that long in event time:
 an event-time timeout at ``tap_in + max_open`` emits it as ``expired`` once
 the watermark passes, and a tap_out arriving later than that does not pair.
 
+With ``ordered=True`` rows are held in state until the watermark has passed
+them and only then paired, in event-time order, so a tap that arrives in a
+later micro-batch than a newer tap of the same card (but within the
+watermark delay) still pairs exactly as in the batch form.  The rows held
+per card are bounded by the watermark delay times that card's tap rate.
+A row is final once its time is below the watermark the current batch
+evicts with: rows of later batches older than that are dropped as late.
+
 Spark does not allow a sort before a stateful operator on a stream, so the
 rows of one card in one micro-batch are ordered here; their number is
 bounded by the source's per-trigger limit (maxOffsetsPerTrigger /
@@ -21,6 +29,7 @@ restarts via the checkpoint.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +40,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from tapflow.schemas import PAIRING_OUTPUT_SCHEMA, PAIRING_STATE_SCHEMA
 
 _OUT_COLS = [f.name for f in PAIRING_OUTPUT_SCHEMA.fields]
+_I64_MAX = np.iinfo("int64").max
 
 
 def _trip_ids(card: str, tx_in: np.ndarray, tx_out: np.ndarray) -> list[str]:
@@ -46,118 +56,167 @@ def _empty() -> pd.DataFrame:
     return pd.DataFrame({c: pd.Series([], dtype="object") for c in _OUT_COLS})
 
 
-def _expired_frame(card: str, pend: tuple) -> pd.DataFrame:
-    tx, bus, ts_us, lat, lon = pend
-    return pd.DataFrame([{
-        "record_type": "expired", "trip_id": None, "card_id": card, "bus_id": bus,
-        "tap_in_tx_id": tx, "tap_out_tx_id": None,
-        "tap_in_time": pd.Timestamp(int(ts_us), unit="us"), "tap_out_time": pd.NaT,
-        "tap_in_lat": lat, "tap_in_lon": lon, "tap_out_lat": np.nan, "tap_out_lon": np.nan,
-    }], columns=_OUT_COLS)
-
-
-def make_pairing_function(max_open_seconds: int | None = None):
+class _Rows:
+    """Columns of a card's taps as numpy arrays."""
+
+    def __init__(self, tx, typ, bus, ts, lat, lon):
+        self.tx, self.typ, self.bus = tx, typ, bus
+        self.ts, self.lat, self.lon = ts, lat, lon
+
+    @classmethod
+    def from_frame(cls, rows: pd.DataFrame) -> "_Rows":
+        return cls(rows["transaction_id"].to_numpy(dtype=object),
+                   rows["event_type"].to_numpy(dtype=object),
+                   rows["bus_id"].to_numpy(dtype=object),
+                   _to_us(rows["event_time"]),
+                   rows["latitude"].to_numpy(dtype="float64"),
+                   rows["longitude"].to_numpy(dtype="float64"))
+
+    @classmethod
+    def from_json(cls, text: str | None) -> "_Rows":
+        items = json.loads(text) if text else []
+        cols = list(zip(*items)) if items else [[]] * 6
+        return cls(np.array(cols[0], dtype=object), np.array(cols[1], dtype=object),
+                   np.array(cols[2], dtype=object), np.array(cols[3], dtype="int64"),
+                   np.array(cols[4], dtype="float64"), np.array(cols[5], dtype="float64"))
+
+    def to_json(self) -> str | None:
+        if not len(self):
+            return None
+        return json.dumps([[str(a), str(b), str(c), int(d), float(e), float(f)] for a, b, c, d, e, f
+                           in zip(self.tx, self.typ, self.bus, self.ts, self.lat, self.lon)])
+
+    def __len__(self) -> int:
+        return len(self.ts)
+
+    def take(self, idx) -> "_Rows":
+        return _Rows(self.tx[idx], self.typ[idx], self.bus[idx], self.ts[idx],
+                     self.lat[idx], self.lon[idx])
+
+    @staticmethod
+    def concat(parts: list["_Rows"]) -> "_Rows":
+        return _Rows(*[np.concatenate([getattr(p, f) for p in parts])
+                       for f in ("tx", "typ", "bus", "ts", "lat", "lon")])
+
+    def ordered(self) -> "_Rows":
+        return self.take(np.lexsort((self.tx.astype(str), self.ts)))
+
+
+def _trip_frame(card: str, r: _Rows, i0: np.ndarray, i1: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({
+        "record_type": "trip",
+        "trip_id": _trip_ids(card, r.tx[i0], r.tx[i1]),
+        "card_id": card, "bus_id": r.bus[i0],
+        "tap_in_tx_id": r.tx[i0], "tap_out_tx_id": r.tx[i1],
+        "tap_in_time": pd.to_datetime(r.ts[i0], unit="us"),
+        "tap_out_time": pd.to_datetime(r.ts[i1], unit="us"),
+        "tap_in_lat": r.lat[i0], "tap_in_lon": r.lon[i0],
+        "tap_out_lat": r.lat[i1], "tap_out_lon": r.lon[i1],
+    }, columns=_OUT_COLS)
+
+
+def _expired_frame(card: str, r: _Rows, idx: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({
+        "record_type": "expired", "trip_id": None, "card_id": card,
+        "bus_id": r.bus[idx], "tap_in_tx_id": r.tx[idx], "tap_out_tx_id": None,
+        "tap_in_time": pd.to_datetime(r.ts[idx], unit="us"), "tap_out_time": pd.NaT,
+        "tap_in_lat": r.lat[idx], "tap_in_lon": r.lon[idx],
+        "tap_out_lat": np.nan, "tap_out_lon": np.nan,
+    }, columns=_OUT_COLS)
+
+
+def _pending_rows(pend) -> _Rows:
+    tx, bus, ts_us, lat, lon = pend[:5]
+    return _Rows(np.array([tx], dtype=object), np.array(["tap_in"], dtype=object),
+                 np.array([bus], dtype=object), np.array([int(ts_us)], dtype="int64"),
+                 np.array([lat], dtype="float64"), np.array([lon], dtype="float64"))
+
+
+def make_pairing_function(max_open_seconds: int | None = None, ordered: bool = False):
     max_open_us = None if max_open_seconds is None else int(max_open_seconds) * 1_000_000
 
     def pair(key: tuple, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         card = key[0]
-        if state.hasTimedOut:
-            pend = state.get if state.exists else None
-            state.remove()
-            if pend is not None and pend[0] is not None:
-                yield _expired_frame(card, pend)
-            return
-
+        saved = state.get if state.exists else None
+        pend = saved if saved is not None and saved[0] is not None else None
+        held = _Rows.from_json(saved[5] if saved is not None and len(saved) > 5 else None)
         frames = [c for c in chunks if len(c)]
-        rows = pd.concat(frames, ignore_index=True) if frames else None
-        pend = state.get if state.exists else None
-        if rows is None or rows.empty:
-            yield _empty()
-            return
-
-        rows = rows.sort_values(["event_time", "transaction_id"], kind="mergesort")
-        tx = rows["transaction_id"].to_numpy(dtype=object)
-        typ = rows["event_type"].to_numpy(dtype=object)
-        bus = rows["bus_id"].to_numpy(dtype=object)
-        ts = _to_us(rows["event_time"])
-        lat = rows["latitude"].to_numpy(dtype="float64")
-        lon = rows["longitude"].to_numpy(dtype="float64")
-        if pend is not None and pend[0] is not None:
-            # the pending tap_in goes in front of this batch's rows
-            tx = np.concatenate([[pend[0]], tx])
-            typ = np.concatenate([["tap_in"], typ])
-            bus = np.concatenate([[pend[1]], bus])
-            ts = np.concatenate([[int(pend[2])], ts])
-            lat = np.concatenate([[pend[3]], lat])
-            lon = np.concatenate([[pend[4]], lon])
-
-        prev_in = np.zeros(len(typ), dtype=bool)
-        prev_in[1:] = typ[:-1] == "tap_in"
-        gap = np.zeros(len(ts), dtype="int64")
-        gap[1:] = ts[1:] - ts[:-1]
-        is_out = typ == "tap_out"
-        within = np.ones(len(ts), dtype=bool) if max_open_us is None else gap <= max_open_us
-        pair_at = np.nonzero(is_out & prev_in & within)[0]
+        parts = [held] + ([_Rows.from_frame(pd.concat(frames, ignore_index=True))]
+                          if frames else [])
+        rows = _Rows.concat(parts)
+        timed = ordered or max_open_us is not None
+        wm_ms = state.getCurrentWatermarkMs() if timed else None
+
+        if ordered:
+            final_mask = rows.ts < wm_ms * 1000
+            ready, held = rows.take(np.nonzero(final_mask)[0]), rows.take(np.nonzero(~final_mask)[0])
+        else:
+            ready, held = rows, rows.take(np.array([], dtype=int))
+        ready = ready.ordered()
+        if pend is not None:                      # the pending tap_in goes first
+            ready = _Rows.concat([_pending_rows(pend), ready])
+
         out = []
-        if len(pair_at):
-            i0 = pair_at - 1
-            out.append(pd.DataFrame({
-                "record_type": "trip",
-                "trip_id": _trip_ids(card, tx[i0], tx[pair_at]),
-                "card_id": card,
-                "bus_id": bus[i0],
-                "tap_in_tx_id": tx[i0],
-                "tap_out_tx_id": tx[pair_at],
-                "tap_in_time": pd.to_datetime(ts[i0], unit="us"),
-                "tap_out_time": pd.to_datetime(ts[pair_at], unit="us"),
-                "tap_in_lat": lat[i0], "tap_in_lon": lon[i0],
-                "tap_out_lat": lat[pair_at], "tap_out_lon": lon[pair_at],
-            }, columns=_OUT_COLS))
-        if max_open_us is not None:
-            # tap_ins whose next row comes later than the allowance expire
-            nxt_gap = np.full(len(ts), np.iinfo("int64").max, dtype="int64")
-            nxt_gap[:-1] = gap[1:]
-            exp_at = np.nonzero((typ == "tap_in") & (nxt_gap > max_open_us))[0]
-            exp_at = exp_at[exp_at < len(ts) - 1]
-            if len(exp_at):
-                out.append(pd.DataFrame({
-                    "record_type": "expired", "trip_id": None, "card_id": card,
-                    "bus_id": bus[exp_at], "tap_in_tx_id": tx[exp_at], "tap_out_tx_id": None,
-                    "tap_in_time": pd.to_datetime(ts[exp_at], unit="us"),
-                    "tap_out_time": pd.NaT, "tap_in_lat": lat[exp_at], "tap_in_lon": lon[exp_at],
-                    "tap_out_lat": np.nan, "tap_out_lon": np.nan,
-                }, columns=_OUT_COLS))
-
-        last = len(typ) - 1
-        if typ[last] == "tap_in":
-            new_pend = (str(tx[last]), str(bus[last]), int(ts[last]),
-                        float(lat[last]), float(lon[last]))
+        n = len(ready)
+        if n:
+            typ, ts = ready.typ, ready.ts
+            gap = np.zeros(n, dtype="int64")
+            gap[1:] = ts[1:] - ts[:-1]
+            prev_in = np.zeros(n, dtype=bool)
+            prev_in[1:] = typ[:-1] == "tap_in"
+            within = np.ones(n, dtype=bool) if max_open_us is None else gap <= max_open_us
+            at = np.nonzero((typ == "tap_out") & prev_in & within)[0]
+            if len(at):
+                out.append(_trip_frame(card, ready, at - 1, at))
             if max_open_us is not None:
-                deadline_ms = (new_pend[2] + max_open_us) // 1000
-                if deadline_ms <= state.getCurrentWatermarkMs():
-                    state.remove()
-                    out.append(_expired_frame(card, new_pend))
-                else:
-                    state.update(new_pend)
-                    state.setTimeoutTimestamp(deadline_ms)
+                # tap_ins whose next row comes later than the allowance expire
+                nxt = np.full(n, _I64_MAX, dtype="int64")
+                nxt[:-1] = gap[1:]
+                exp = np.nonzero((typ == "tap_in") & (nxt > max_open_us))[0]
+                exp = exp[exp < n - 1]
+                if len(exp):
+                    out.append(_expired_frame(card, ready, exp))
+            last = n - 1
+            pend = ((str(ready.tx[last]), str(ready.bus[last]), int(ts[last]),
+                     float(ready.lat[last]), float(ready.lon[last]))
+                    if typ[last] == "tap_in" else None)
+
+        deadlines = []
+        if pend is not None and max_open_us is not None:
+            deadline_us = pend[2] + max_open_us
+            if deadline_us // 1000 < wm_ms:
+                out.append(_expired_frame(card, _pending_rows(pend), np.array([0])))
+                pend = None
             else:
-                state.update(new_pend)
-        elif state.exists:
-            state.remove()
+                deadlines.append(deadline_us // 1000)
+        if len(held):
+            deadlines.append(int(held.ts.min()) // 1000)
+
+        if pend is None and not len(held):
+            if state.exists:
+                state.remove()
+        else:
+            p = pend or (None, None, None, None, None)
+            state.update((*p, held.to_json()))
+            if deadlines:
+                # fires once the watermark passes the earliest deadline
+                state.setTimeoutTimestamp(max(min(deadlines), wm_ms))
 
         yield pd.concat(out, ignore_index=True) if out else _empty()
 
     return pair
 
 
-def pair_taps_stream(good: DataFrame, max_open_seconds: int | None = None) -> DataFrame:
+def pair_taps_stream(good: DataFrame, max_open_seconds: int | None = None,
+                     ordered: bool = False) -> DataFrame:
     """Trips (and, with ``max_open_seconds``, expired tap_ins) from a stream
     of good taps that already carries a watermark on ``event_time``."""
+    timed = max_open_seconds is not None or ordered
     return good.groupBy("card_id").applyInPandasWithState(
-        make_pairing_function(max_open_seconds),
+        make_pairing_function(max_open_seconds, ordered),
         outputStructType=PAIRING_OUTPUT_SCHEMA,
         stateStructType=PAIRING_STATE_SCHEMA,
         outputMode="append",
-        timeoutConf=(GroupStateTimeout.EventTimeTimeout if max_open_seconds is not None
+        timeoutConf=(GroupStateTimeout.EventTimeTimeout if timed
                      else GroupStateTimeout.NoTimeout),
     )

@@ -160,3 +160,38 @@ def test_pairing_function_empty_batch():
 
     out = list(make_pairing_function(None)(("C1",), iter([]), NoState()))
     assert len(out) == 1 and out[0].empty
+
+
+def test_ordered_mode_pairs_out_of_order_arrivals(spark, workdir):
+    """A tap_out that arrives one batch after a newer tap_in of the same card
+    (but within the watermark delay) pairs as in the batch form only when
+    rows are held until the watermark passes them."""
+    schema = ("event_id long, transaction_id string, card_id string, bus_id string, "
+              "event_type string, event_time timestamp, latitude double, longitude double")
+    t = dt.datetime(2024, 1, 1, 8)
+    m = dt.timedelta(minutes=1)
+    tx = lambda i: "0" * 35 + str(i)
+    batches = [
+        [(1, tx(1), "C1", "BUS-01", "tap_in", t, -6.2, 106.8),
+         (3, tx(3), "C1", "BUS-01", "tap_in", t + 3 * m, -6.2, 106.8)],
+        [(2, tx(2), "C1", "BUS-01", "tap_out", t + 2 * m, -6.2, 106.8)],      # arrives late
+        [(4, tx(4), "C1", "BUS-01", "tap_out", t + 4 * m, -6.2, 106.8)],
+        [(9, tx(9), "C9", "BUS-01", "tap_in", t + 60 * m, -6.2, 106.8)],     # moves the clock
+        [(8, tx(8), "C8", "BUS-01", "tap_in", t + 120 * m, -6.2, 106.8)],
+    ]
+    rows = [r for b in batches for r in b]
+    want_df = spark.createDataFrame(rows, schema).withColumn(
+        "event_time", F.col("event_time").cast("timestamp_ntz"))
+    want = _trip_keys(tr.trips(select_tap_fields(want_df)).collect())
+    assert [(w[1][-1], w[2][-1]) for w in want] == [("1", "2"), ("3", "4")]
+
+    results = {}
+    for ordered in (False, True):
+        src = os.path.join(workdir, f"src{ordered}")
+        out, ck = os.path.join(workdir, f"out{ordered}"), os.path.join(workdir, f"ck{ordered}")
+        for b in batches:
+            spark.createDataFrame(b, schema).coalesce(1).write.mode("append").parquet(src)
+        drain(start_file_sink(pair_taps_stream(_good_stream(spark, src), ordered=ordered), out, ck))
+        results[ordered] = _trip_keys(spark.read.parquet(out).where("record_type = 'trip'").collect())
+    assert results[True] == want
+    assert results[False] != want          # arrival order pairs (3, 2) instead
