@@ -395,3 +395,8 @@ FROM nx, wm
 WHERE event_type = 'tap_in'
   AND ((next_time IS NOT NULL AND epoch_us(next_time) - epoch_us(event_time) > {PAIRING_TIMEOUT_SECONDS * 1_000_000})
     OR (next_time IS NULL AND (epoch_us(event_time) + {PAIRING_TIMEOUT_SECONDS * 1_000_000}) // 1000 < wm_ms))"""
+
+# Ordered pairing finalises rows strictly below the final watermark.
+ORACLE_SQL["trips_ordered_stream"] = _with(_GOOD, _TRIPS) + """
+SELECT * FROM trips
+WHERE epoch_us(tap_out_time) < ((SELECT max(epoch_us(event_time)) FROM good) // 1000 - 300000) * 1000"""

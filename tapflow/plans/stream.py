@@ -44,8 +44,9 @@ def q_tap_dedup_stream(spark, sf_dir):
     return _ntz(_run_append(spark, good_taps_stream(spark, sf_dir), "dedup"), ["event_time"])
 
 
-def _pairing_output(spark, sf_dir, max_open):
-    s = pair_taps_stream(good_taps_stream(spark, sf_dir), max_open_seconds=max_open)
+def _pairing_output(spark, sf_dir, max_open, ordered=False):
+    s = pair_taps_stream(good_taps_stream(spark, sf_dir), max_open_seconds=max_open,
+                         ordered=ordered)
     return _ntz(_run_append(spark, s, "pairing"), ["tap_in_time", "tap_out_time"])
 
 
@@ -54,6 +55,14 @@ def q_trips_stream(spark, sf_dir):
         F.col("record_type") == "trip").select(*TRIP_COLUMNS)
 
 
+def q_trips_ordered_stream(spark, sf_dir):
+    """Pairing in event-time order whatever the arrival order: rows are
+    paired once the watermark has passed them (the last few minutes of
+    the input stay held in state)."""
+    return _pairing_output(spark, sf_dir, None, ordered=True).where(
+        F.col("record_type") == "trip").select(*TRIP_COLUMNS)
+
+
 def q_trips_max_open_stream(spark, sf_dir):
     return _pairing_output(spark, sf_dir, PAIRING_TIMEOUT_SECONDS).where(
         F.col("record_type") == "trip").select(*TRIP_COLUMNS)
@@ -93,6 +102,7 @@ def q_crowd_flags_stream(spark, sf_dir):
 STREAM_QUERIES = {
     "tap_dedup_stream": q_tap_dedup_stream,
     "trips_stream": q_trips_stream,
+    "trips_ordered_stream": q_trips_ordered_stream,
     "trips_max_open_stream": q_trips_max_open_stream,
     "expired_taps_stream": q_expired_taps_stream,
     "bus_aboard_stream": q_bus_aboard_stream,

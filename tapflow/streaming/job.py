@@ -40,6 +40,7 @@ class JobConfig:
     max_open_seconds: int | None = PAIRING_TIMEOUT_SECONDS
     strict_reference: bool = False
     dedup_unbounded: bool = False
+    ordered_pairing: bool = False     # hold rows until the watermark (see pairing.py)
     triggers: dict = field(default_factory=lambda: {
         "raw": {"processingTime": "10 seconds"},
         "trips": {"processingTime": "15 seconds"},
@@ -60,7 +61,8 @@ def build_outputs(taps: DataFrame, cfg: JobConfig) -> dict[str, DataFrame]:
         unbounded=cfg.dedup_unbounded))
     out = {
         "raw": good,
-        "trips": pair_taps_stream(good, max_open_seconds=cfg.max_open_seconds),
+        "trips": pair_taps_stream(good, max_open_seconds=cfg.max_open_seconds,
+                                  ordered=cfg.ordered_pairing),
         "flags": crowd_flags_from_counts(crowd_counts_stream(good)),
     }
     if "value_raw" in taps.columns:
@@ -107,6 +109,8 @@ def main(argv=None):
     ap.add_argument("--output-base", required=True)
     ap.add_argument("--max-offsets-per-trigger", type=int, default=1000)
     ap.add_argument("--strict-reference", action="store_true")
+    ap.add_argument("--ordered-pairing", action="store_true",
+                    help="pair taps in event-time order (rows wait for the watermark)")
     a = ap.parse_args(argv)
 
     spark = build_session()
@@ -114,7 +118,7 @@ def main(argv=None):
     taps = envelope_taps(raw, decode_avro if a.payload == "avro" else decode_json,
                          ntz_event_time=False)
     cfg = JobConfig(checkpoint_base=a.checkpoint_base, output_base=a.output_base,
-                    strict_reference=a.strict_reference)
+                    strict_reference=a.strict_reference, ordered_pairing=a.ordered_pairing)
     queries = start_job(taps, cfg)
     await_any_and_stop(spark, list(queries.values()))
 
