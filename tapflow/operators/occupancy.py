@@ -15,14 +15,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapflow.config import (
-    CROWD_IDLE_SECONDS, CROWD_MESSAGE_FORMAT, CROWD_THRESHOLD,
-    DEFAULT_FLAG_WINDOW, DEFAULT_SCAN_BUCKET_SECONDS,
+    CROWD_IDLE_SECONDS, CROWD_MESSAGE_FORMAT, CROWD_THRESHOLD, DEFAULT_FLAG_WINDOW,
 )
 from tapflow.functions.times import (
     epoch_micros, format_seconds, ntz_from_epoch_micros, time_bucket,
 )
 from tapflow.operators.geo import segment
-from tapflow.operators.scan import prefix_sums, with_neighbor
+from tapflow.operators.scan import DEFAULT, prefix_sums, with_neighbor
 
 ORDER = ["event_time", "transaction_id"]
 
@@ -59,7 +58,7 @@ def bus_aboard(good: DataFrame) -> DataFrame:
 
 
 def occupancy(good: DataFrame, keep_position: bool = False,
-              bucket_seconds: int | None = DEFAULT_SCAN_BUCKET_SECONDS) -> DataFrame:
+              bucket_seconds: int | None | str = DEFAULT) -> DataFrame:
     """D3: passengers aboard after each tap of a vehicle."""
     s = prefix_sums(good, ["bus_id"], ORDER, {"_aboard": delta()},
                     bucket_seconds=bucket_seconds)
@@ -70,7 +69,7 @@ def occupancy(good: DataFrame, keep_position: bool = False,
 
 
 def crowd_flags(good: DataFrame, threshold: int = CROWD_THRESHOLD,
-                bucket_seconds: int | None = DEFAULT_SCAN_BUCKET_SECONDS) -> DataFrame:
+                bucket_seconds: int | None | str = DEFAULT) -> DataFrame:
     """A flag for every tap after which more than ``threshold`` are
     aboard, with the nearest segment and a message.  ``flagged_at`` is the
     tap's event time, so replays give the same rows."""
@@ -117,7 +116,7 @@ def crowd_flags_windowed(good: DataFrame, window: str = DEFAULT_FLAG_WINDOW,
 
 
 def occupancy_idle_reset(good: DataFrame, idle_seconds: int = CROWD_IDLE_SECONDS,
-                         bucket_seconds: int | None = DEFAULT_SCAN_BUCKET_SECONDS) -> DataFrame:
+                         bucket_seconds: int | None | str = DEFAULT) -> DataFrame:
     """Aboard count that restarts from zero when a vehicle has had no
     tap for more than ``idle_seconds``.
 

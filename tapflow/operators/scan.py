@@ -35,12 +35,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapflow.config import (
-    DEFAULT_HOT_KEY_ROWS, DEFAULT_HOT_KEY_SAMPLE_EVERY, DEFAULT_SCAN_BUCKET_SECONDS,
-)
+from tapflow import config
 from tapflow.functions.times import time_bucket
 
 _BKT = "_scan_bucket"
+DEFAULT = "default"   # resolve from tapflow.config at call time
+
+
+def _resolve(bucket_seconds, hot_key_rows, sample_every):
+    return (config.DEFAULT_SCAN_BUCKET_SECONDS if bucket_seconds == DEFAULT else bucket_seconds,
+            config.DEFAULT_HOT_KEY_ROWS if hot_key_rows == DEFAULT else hot_key_rows,
+            config.DEFAULT_HOT_KEY_SAMPLE_EVERY if sample_every == DEFAULT else sample_every)
 
 
 def _unique(cols: Sequence[str]) -> list[str]:
@@ -88,13 +93,15 @@ def _join_carry(d: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFram
 
 def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 sums: dict[str, Column], time_col: str = "event_time",
-                bucket_seconds: int | None = DEFAULT_SCAN_BUCKET_SECONDS,
-                hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
-                sample_every: int = DEFAULT_HOT_KEY_SAMPLE_EVERY) -> DataFrame:
+                bucket_seconds: int | None | str = DEFAULT,
+                hot_key_rows: int | None | str = DEFAULT,
+                sample_every: int | str = DEFAULT) -> DataFrame:
     """Add running sums ``name = sum(expr)`` over rows of the same key up to
     and including the current row, in ``order``.  ``order`` must start with
     ``time_col`` and be total within a key."""
     keys, order = list(keys), list(order)
+    bucket_seconds, hot_key_rows, sample_every = _resolve(bucket_seconds, hot_key_rows,
+                                                          sample_every)
     base_cols = [c for c in df.columns if c not in sums]
     if not bucket_seconds:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
@@ -121,12 +128,14 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   cols: Sequence[str], name: str, direction: str = "previous",
                   time_col: str = "event_time",
-                  bucket_seconds: int | None = DEFAULT_SCAN_BUCKET_SECONDS,
-                  hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
-                  sample_every: int = DEFAULT_HOT_KEY_SAMPLE_EVERY) -> DataFrame:
+                  bucket_seconds: int | None | str = DEFAULT,
+                  hot_key_rows: int | None | str = DEFAULT,
+                  sample_every: int | str = DEFAULT) -> DataFrame:
     """Add ``name``: a struct of ``order + cols`` taken from the previous
     (or next) row of the same key in ``order``; null at the key's edge."""
     keys, order = list(keys), list(order)
+    bucket_seconds, hot_key_rows, sample_every = _resolve(bucket_seconds, hot_key_rows,
+                                                          sample_every)
     fields = _unique(order + list(cols))
     row = F.struct(*[F.col(c) for c in fields])
     prev = direction == "previous"

@@ -17,12 +17,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapflow.config import (
-    DEFAULT_HOT_KEY_ROWS, DEFAULT_SCAN_BUCKET_SECONDS, MAX_TRIP_MINUTES, MIN_TRANSFER_MINUTES,
-    PAIRING_TIMEOUT_SECONDS,
-)
+from tapflow.config import MAX_TRIP_MINUTES, MIN_TRANSFER_MINUTES, PAIRING_TIMEOUT_SECONDS
 from tapflow.functions.times import epoch_micros
-from tapflow.operators.scan import with_neighbor
+from tapflow.operators.scan import DEFAULT, with_neighbor
 from tapflow.schemas import TRIP_COLUMNS
 
 ORDER = ["event_time", "transaction_id"]
@@ -34,8 +31,8 @@ def trip_id(card: Column, tx_in: Column, tx_out: Column) -> Column:
 
 
 def with_previous_tap(good: DataFrame,
-                      bucket_seconds: int | None = DEFAULT_SCAN_BUCKET_SECONDS,
-                      hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
+                      bucket_seconds: int | None | str = DEFAULT,
+                      hot_key_rows: int | None | str = DEFAULT) -> DataFrame:
     return with_neighbor(good, ["card_id"], ORDER, _CARRIED, "prev",
                          direction="previous", bucket_seconds=bucket_seconds,
                          hot_key_rows=hot_key_rows)
@@ -43,8 +40,8 @@ def with_previous_tap(good: DataFrame,
 
 def trips(good: DataFrame, max_open_seconds: int | None = None,
           include_tap_out_bus: bool = False,
-          bucket_seconds: int | None = DEFAULT_SCAN_BUCKET_SECONDS,
-          hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
+          bucket_seconds: int | None | str = DEFAULT,
+          hot_key_rows: int | None | str = DEFAULT) -> DataFrame:
     """One row per paired (tap_in, tap_out).
 
     ``max_open_seconds`` (D9): a tap_in waits at most that long; a later
@@ -76,7 +73,7 @@ def trips(good: DataFrame, max_open_seconds: int | None = None,
 
 
 def trips_max_open(good: DataFrame, max_open_seconds: int = PAIRING_TIMEOUT_SECONDS,
-                   bucket_seconds: int | None = DEFAULT_SCAN_BUCKET_SECONDS) -> DataFrame:
+                   bucket_seconds: int | None | str = DEFAULT) -> DataFrame:
     return trips(good, max_open_seconds=max_open_seconds, bucket_seconds=bucket_seconds)
 
 
@@ -97,7 +94,7 @@ def open_taps(good: DataFrame) -> DataFrame:
 
 
 def expired_taps(good: DataFrame, max_open_seconds: int = PAIRING_TIMEOUT_SECONDS,
-                 bucket_seconds: int | None = DEFAULT_SCAN_BUCKET_SECONDS) -> DataFrame:
+                 bucket_seconds: int | None | str = DEFAULT) -> DataFrame:
     """tap_ins that neither pair nor get replaced within the maximum
     open time: the card's next event is absent or comes later than that."""
     n = with_neighbor(good, ["card_id"], ORDER, [], "next", direction="next",
@@ -119,7 +116,7 @@ def expired_taps(good: DataFrame, max_open_seconds: int = PAIRING_TIMEOUT_SECOND
 def trip_rule_violations(trips_df: DataFrame,
                          max_trip_minutes: int = MAX_TRIP_MINUTES,
                          min_transfer_minutes: int = MIN_TRANSFER_MINUTES,
-                         bucket_seconds: int | None = DEFAULT_SCAN_BUCKET_SECONDS) -> DataFrame:
+                         bucket_seconds: int | None | str = DEFAULT) -> DataFrame:
     """Rider rules checked on trips, one row per (trip, broken rule):
 
     * ``tap_out_not_after_tap_in``: tap_out_time <= tap_in_time
