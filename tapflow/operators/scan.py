@@ -6,7 +6,7 @@ card) can carry a third of all taps.  The scans here split only the *hot*
 keys into ``(key, time slice)`` groups and stitch the slices together
 exactly:
 
-0. hot keys are found on a deterministic sample (rows whose hash of the
+0. hot keys (never a key with a null part) are found on a deterministic sample (rows whose hash of the
    order columns falls in 1 of ``sample_every`` buckets); a key is hot when
    its sampled count implies at least ``hot_key_rows`` rows.  At most
    N / ``hot_key_rows`` keys can qualify, which bounds the broadcast list.
@@ -61,18 +61,22 @@ def _hot_slices(df: DataFrame, keys: list[str], order: list[str], time_col: str,
     """``df`` plus ``_scan_bucket``: the time slice for rows of hot keys,
     null for the rest."""
     bucket = time_bucket(df, time_col, bucket_seconds)
-    if not hot_key_rows:          # slice every key
-        return df.withColumn(_BKT, bucket)
+    if not hot_key_rows:          # slice every key (keys with a null part excepted)
+        not_null = F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+        return df.withColumn(_BKT, F.when(not_null, bucket))
     every = max(1, int(sample_every))
     need = max(1, hot_key_rows // every)
     sample = df if every == 1 else df.where(
         F.pmod(F.xxhash64(*[F.col(c) for c in keys + order]), F.lit(every)) == 0)
+    # keys with a null part are never sliced (one group, no carry needed), so
+    # every join below is a plain equi-join on the window's own keys
+    sample = sample.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
     hot = (sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
                  .where(F.col("_n") >= need)
                  .select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)],
                          F.lit(True).alias("_hot")))
     # at most N / hot_key_rows keys qualify: a bounded list, safe to broadcast
-    cond = [df[k].eqNullSafe(hot[f"_hk{i}"]) for i, k in enumerate(keys)]
+    cond = [df[k] == hot[f"_hk{i}"] for i, k in enumerate(keys)]
     j = df.join(F.broadcast(hot), cond, "left")
     return j.select(*[df[c] for c in df.columns],
                     F.when(F.col("_hot"), bucket).alias(_BKT))
@@ -84,9 +88,10 @@ def _carry_cols(keys: Sequence[str]) -> list[Column]:
 
 
 def _join_carry(d: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach the per-(key, slice) carry-in; null-safe on the keys.  Rows of
-    keys that are not hot find no carry row (left join)."""
-    cond = [d[k].eqNullSafe(carry[f"_ck{i}"]) for i, k in enumerate(keys)]
+    """Attach the per-(key, slice) carry-in.  A plain equi-join on exactly
+    the window's partition keys, so one exchange serves join and window.
+    Rows of keys that are not hot (slice null) find no carry row."""
+    cond = [d[k] == carry[f"_ck{i}"] for i, k in enumerate(keys)]
     cond.append(d[_BKT] == carry["_ckb"])
     return d.join(carry, cond, "left")
 

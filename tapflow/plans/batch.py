@@ -24,7 +24,7 @@ TAP_ORDER = ["event_time", "transaction_id"]
 
 def good_taps(spark: SparkSession, sf_dir: str, strict_reference: bool = False) -> DataFrame:
     """P4 + W2: validated, de-duplicated taps (seven columns)."""
-    return select_tap_fields(dedup_taps(valid_taps(taps(spark, sf_dir), strict_reference)))
+    return dedup_taps(select_tap_fields(valid_taps(taps(spark, sf_dir), strict_reference)))
 
 
 def decoded_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
