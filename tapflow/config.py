@@ -86,5 +86,8 @@ TOPIC_PARTITIONS = 7
 DEFAULT_SCAN_BUCKET_SECONDS = 60 * 60
 DEFAULT_HOT_KEY_ROWS = 2_000_000
 DEFAULT_HOT_KEY_SAMPLE_EVERY = 1000
+# A sliced scan reads its input in three branches (rows, hot-key sample,
+# slice summaries); write the input once under spark.checkpoint.dir first.
+MATERIALIZE_SCAN_INPUT = True
 # Tumbling window for the per-interval crowd flags.
 DEFAULT_FLAG_WINDOW = "1 hour"

@@ -21,7 +21,9 @@ from tapflow.functions.times import (
     epoch_micros, format_seconds, ntz_from_epoch_micros, time_bucket,
 )
 from tapflow.operators.geo import segment
+from tapflow import config
 from tapflow.operators.scan import DEFAULT, prefix_sums, with_neighbor
+from tapflow.session import materialize
 
 ORDER = ["event_time", "transaction_id"]
 
@@ -130,6 +132,8 @@ def occupancy_idle_reset(good: DataFrame, idle_seconds: int = CROWD_IDLE_SECONDS
                                    (gap_us > F.lit(idle_seconds * 1_000_000))).cast("int"))
     s = prefix_sums(starts, ["bus_id"], ORDER, {"_P": delta(), "session_no": F.col("_new")},
                     bucket_seconds=bucket_seconds)
+    if bucket_seconds and config.MATERIALIZE_SCAN_INPUT:
+        s = materialize(s, "idle-reset")     # read twice below (rows, session bases)
     base = s.where(F.col("_new") == 1).select(
         F.col("bus_id").alias("_b"), F.col("session_no").alias("_s"),
         (F.col("_P") - delta()).alias("_base"))

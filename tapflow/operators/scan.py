@@ -56,6 +56,16 @@ def _unique(cols: Sequence[str]) -> list[str]:
     return seen
 
 
+def _shared_input(df: DataFrame) -> DataFrame:
+    """The scan reads its input three times (rows, hot-key sample, slice
+    summaries); write it once so the work above its last shuffle (a sort
+    aggregate, an earlier scan's window) is not redone per branch."""
+    if not config.MATERIALIZE_SCAN_INPUT or df.isStreaming:
+        return df
+    from tapflow.session import materialize
+    return materialize(df, "scan-input")
+
+
 def _hot_slices(df: DataFrame, keys: list[str], order: list[str], time_col: str,
                 bucket_seconds: int, hot_key_rows: int, sample_every: int) -> DataFrame:
     """``df`` plus ``_scan_bucket``: the time slice for rows of hot keys,
@@ -113,6 +123,7 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             Window.unboundedPreceding, Window.currentRow)
         return df.select(*base_cols, *[F.sum(e).over(w).alias(n) for n, e in sums.items()])
 
+    df = _shared_input(df)
     d = _hot_slices(df, keys, order, time_col, bucket_seconds, hot_key_rows, sample_every)
     names = list(sums)
     totals = d.where(F.col(_BKT).isNotNull()).groupBy(*keys, _BKT).agg(
@@ -151,6 +162,7 @@ def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.select(*base_cols, shift(row).over(w).alias(name))
 
+    df = _shared_input(df)
     d = _hot_slices(df, keys, order, time_col, bucket_seconds, hot_key_rows, sample_every)
     edge_fn = F.max if prev else F.min
     edges = d.where(F.col(_BKT).isNotNull()).groupBy(*keys, _BKT).agg(

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings this engine relies on.  AQE re-plans joins at runtime (a join side
 # is broadcast only when its measured size is under the threshold; otherwise
@@ -80,3 +80,13 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back: lineage is cut there, and a result consumed by several branches of
+    one plan is computed once instead of once per branch."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
