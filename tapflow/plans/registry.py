@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapflow.session import ensure_checkpoint_dir
+from tapflow.session import ensure_checkpoint_dir, ship_package
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ def _prepared(fn: Plan) -> Plan:
         # Results are naive-UTC timestamps; keep any string rendering in UTC.
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         ensure_checkpoint_dir(spark)
+        ship_package(spark)
         return fn(spark, sf_dir)
     run.__name__ = getattr(fn, "__name__", "plan")
     run.__doc__ = fn.__doc__

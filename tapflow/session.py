@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +44,7 @@ def build_session(master: str | None = None, app_name: str = "tapflow",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -53,16 +55,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     and the master is local (tests) a scratch folder is created and set; on
     a cluster an unset folder is an error, never a machine-local path.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:            # Spark Connect: no SparkContext on the client
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not str(master).startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="tapflow-ckpt-")
+    if sc is None:
+        spark.conf.set("spark.checkpoint.dir", configured)
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -90,3 +99,35 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tapflow`` importable in executor Python workers, as
+    ``--py-files`` would: the package is zipped once per application and
+    added with ``addPyFile`` (``addArtifacts`` under Spark Connect)."""
+    try:
+        sc = spark.sparkContext
+    except Exception:
+        sc = None
+    key = sc.applicationId if sc is not None else id(spark)
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="tapflow-pkg-"), "tapflow.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg_dir):
+            if "__pycache__" in dirpath:
+                continue
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    if sc is not None:
+        sc.addPyFile(zpath)
+    else:
+        spark.addArtifacts(zpath, pyfile=True)
+    _SHIPPED.add(key)
