@@ -102,27 +102,43 @@ class _Rows:
         return self.take(np.lexsort((self.tx.astype(str), self.ts)))
 
 
-def _trip_frame(card: str, r: _Rows, i0: np.ndarray, i1: np.ndarray) -> pd.DataFrame:
-    return pd.DataFrame({
-        "record_type": "trip",
-        "trip_id": _trip_ids(card, r.tx[i0], r.tx[i1]),
-        "card_id": card, "bus_id": r.bus[i0],
+def _trip_cols(card: str, r: _Rows, i0: np.ndarray, i1: np.ndarray) -> dict:
+    n = len(i0)
+    return {
+        "record_type": np.full(n, "trip", dtype=object),
+        "trip_id": np.array(_trip_ids(card, r.tx[i0], r.tx[i1]), dtype=object),
+        "card_id": np.full(n, card, dtype=object), "bus_id": r.bus[i0],
         "tap_in_tx_id": r.tx[i0], "tap_out_tx_id": r.tx[i1],
-        "tap_in_time": pd.to_datetime(r.ts[i0], unit="us"),
-        "tap_out_time": pd.to_datetime(r.ts[i1], unit="us"),
+        "tap_in_time": r.ts[i0], "tap_out_time": r.ts[i1],
         "tap_in_lat": r.lat[i0], "tap_in_lon": r.lon[i0],
         "tap_out_lat": r.lat[i1], "tap_out_lon": r.lon[i1],
-    }, columns=_OUT_COLS)
+    }
+
+
+def _expired_cols(card: str, r: _Rows, idx: np.ndarray) -> dict:
+    n = len(idx)
+    none = np.full(n, None, dtype=object)
+    nan = np.full(n, np.nan)
+    return {
+        "record_type": np.full(n, "expired", dtype=object), "trip_id": none,
+        "card_id": np.full(n, card, dtype=object), "bus_id": r.bus[idx],
+        "tap_in_tx_id": r.tx[idx], "tap_out_tx_id": none,
+        "tap_in_time": r.ts[idx], "tap_out_time": np.full(n, np.iinfo("int64").min),
+        "tap_in_lat": r.lat[idx], "tap_in_lon": r.lon[idx],
+        "tap_out_lat": nan, "tap_out_lon": nan,
+    }
 
 
-def _expired_frame(card: str, r: _Rows, idx: np.ndarray) -> pd.DataFrame:
-    return pd.DataFrame({
-        "record_type": "expired", "trip_id": None, "card_id": card,
-        "bus_id": r.bus[idx], "tap_in_tx_id": r.tx[idx], "tap_out_tx_id": None,
-        "tap_in_time": pd.to_datetime(r.ts[idx], unit="us"), "tap_out_time": pd.NaT,
-        "tap_in_lat": r.lat[idx], "tap_in_lon": r.lon[idx],
-        "tap_out_lat": np.nan, "tap_out_lon": np.nan,
-    }, columns=_OUT_COLS)
+def _frame(parts: list[dict]) -> pd.DataFrame:
+    """One output frame from column pieces (times as epoch us, min = null)."""
+    if not parts:
+        return _empty()
+    cols = {c: np.concatenate([p[c] for p in parts]) for c in _OUT_COLS}
+    for c in ("tap_in_time", "tap_out_time"):
+        us = cols[c]
+        cols[c] = pd.to_datetime(np.where(us == np.iinfo("int64").min, 0, us), unit="us")
+        cols[c] = cols[c].where(us != np.iinfo("int64").min)
+    return pd.DataFrame(cols, columns=_OUT_COLS)
 
 
 def _pending_rows(pend) -> _Rows:
@@ -167,7 +183,7 @@ def make_pairing_function(max_open_seconds: int | None = None, ordered: bool = F
             within = np.ones(n, dtype=bool) if max_open_us is None else gap <= max_open_us
             at = np.nonzero((typ == "tap_out") & prev_in & within)[0]
             if len(at):
-                out.append(_trip_frame(card, ready, at - 1, at))
+                out.append(_trip_cols(card, ready, at - 1, at))
             if max_open_us is not None:
                 # tap_ins whose next row comes later than the allowance expire
                 nxt = np.full(n, _I64_MAX, dtype="int64")
@@ -175,7 +191,7 @@ def make_pairing_function(max_open_seconds: int | None = None, ordered: bool = F
                 exp = np.nonzero((typ == "tap_in") & (nxt > max_open_us))[0]
                 exp = exp[exp < n - 1]
                 if len(exp):
-                    out.append(_expired_frame(card, ready, exp))
+                    out.append(_expired_cols(card, ready, exp))
             last = n - 1
             pend = ((str(ready.tx[last]), str(ready.bus[last]), int(ts[last]),
                      float(ready.lat[last]), float(ready.lon[last]))
@@ -185,7 +201,7 @@ def make_pairing_function(max_open_seconds: int | None = None, ordered: bool = F
         if pend is not None and max_open_us is not None:
             deadline_us = pend[2] + max_open_us
             if deadline_us // 1000 < wm_ms:
-                out.append(_expired_frame(card, _pending_rows(pend), np.array([0])))
+                out.append(_expired_cols(card, _pending_rows(pend), np.array([0])))
                 pend = None
             else:
                 deadlines.append(deadline_us // 1000)
@@ -202,7 +218,7 @@ def make_pairing_function(max_open_seconds: int | None = None, ordered: bool = F
                 # fires once the watermark passes the earliest deadline
                 state.setTimeoutTimestamp(max(min(deadlines), wm_ms))
 
-        yield pd.concat(out, ignore_index=True) if out else _empty()
+        yield _frame(out)
 
     return pair
 
