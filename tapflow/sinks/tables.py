@@ -135,22 +135,24 @@ def tap_record(df: DataFrame):
         epoch_millis(df, "event_time").alias("timestamp"), "latitude", "longitude")
 
 
-def publish_taps(df: DataFrame, bootstrap_servers: str, topic: str = TOPIC_NAME,
-                 encoding: str = "json") -> None:
-    """K7 / K8: publish taps keyed by bus_id (same bus, same partition).
-
-    ``encoding='avro'`` needs spark-avro; the Kafka writer needs
-    spark-sql-kafka.  The producer partitions by key, so no shuffle is
-    needed before the write.
-    """
+def publish_frame(df: DataFrame, encoding: str = "json") -> DataFrame:
+    """K7 / K8: the (key, value) rows a message-bus writer sends: key =
+    bus_id (same bus, same partition), value = the wire record as JSON or
+    (with spark-avro) Avro.  The producer partitions by key, so no shuffle
+    is needed before the write."""
     rec = tap_record(df)
     if encoding == "avro":
         from pyspark.sql.avro.functions import to_avro
         value = to_avro(rec)
     else:
         value = F.to_json(rec)
-    (df.select(F.col("bus_id").alias("key"), value.alias("value"))
-       .write.format("kafka")
+    return df.select(F.col("bus_id").alias("key"), value.alias("value"))
+
+
+def publish_taps(df: DataFrame, bootstrap_servers: str, topic: str = TOPIC_NAME,
+                 encoding: str = "json") -> None:
+    """Publish taps to a topic (needs the spark-sql-kafka package)."""
+    (publish_frame(df, encoding).write.format("kafka")
        .option("kafka.bootstrap.servers", bootstrap_servers)
        .option("kafka.acks", "all")
        .option("kafka.compression.type", "snappy")

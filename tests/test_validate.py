@@ -68,3 +68,23 @@ def test_envelope_decode_and_unparseable_payload(spark):
     dl = dead_letter(d).collect()
     assert [(r.error_reason, r.kafka_offset, r.value_raw) for r in dl] == [
         ("unknown_parse_error", 2, "not json at all")]
+
+
+def test_publish_frame_decodes_back(spark):
+    """The published (key, value) rows decode to the same taps (times at ms)."""
+    from tapflow.sinks.tables import publish_frame
+    from tapflow.sources.envelope import decode_taps
+
+    taps = spark.createDataFrame([c[0] for c in CASES[:1]] + [
+        (GOOD_TX[:-1] + "2", "C002", "BUS-07", "tap_out", T.replace(microsecond=123456), -6.21, 106.81)],
+        SCHEMA)
+    pub = publish_frame(taps)
+    env = pub.select("value", F.col("value").cast("string").alias("value_raw"),
+                     F.lit("t").alias("kafka_topic"), F.lit(0).alias("kafka_partition"),
+                     F.lit(0).cast("long").alias("kafka_offset"),
+                     F.lit(None).cast("timestamp").alias("kafka_timestamp"))
+    back = decode_taps(env).select("parsed", "transaction_id", "bus_id", "event_time").collect()
+    assert [tuple(r) for r in back] == [
+        (True, GOOD_TX, "BUS-01", T),
+        (True, GOOD_TX[:-1] + "2", "BUS-07", T.replace(microsecond=123000))]
+    assert [r.key for r in pub.collect()] == ["BUS-01", "BUS-07"]
