@@ -347,7 +347,7 @@ ORACLE_SQL["scalar_json"] = ORACLE_SQL["good_taps"]
 # --- scalar functions --------------------------------------------------------
 
 ORACLE_SQL["scalar_strings"] = _with() + f"""
-SELECT event_id, transaction_id, length(transaction_id) AS tx_len,
+SELECT event_id, transaction_id, CAST(length(transaction_id) AS INTEGER) AS tx_len,
   substring(transaction_id, 25, 12) AS tx_tail, lpad(card_id, 6, '0') AS card_padded,
   {_PAT_BUS} AS bus_ok, printf('%s@%s', card_id, bus_id) AS card_at_bus,
   upper(substring(bus_id, 1, 3)) AS vehicle_kind
