@@ -64,15 +64,31 @@ def duck_rows(con, sql):
     return cols, cur.fetchall()
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+                 "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN",
+                 "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def type_diffs(df, con, sql):
+    st = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    rel = con.sql(sql)
+    dt = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    return [(c, st[c], dt.get(c)) for c in st if SPARK_TO_DUCK.get(st[c], st[c]) != dt.get(c)]
+
+
 def compare(spark, con, name, plan, sql, sf_dir):
     t0 = time.time()
-    sc, sr = spark_rows(plan(spark, sf_dir))
+    df = plan(spark, sf_dir)
+    sc, sr = spark_rows(df)
     t1 = time.time()
     dc, dr = duck_rows(con, sql)
     scn, srows = canon_rows(sc, sr)
     dcn, drows = canon_rows(dc, dr)
-    ok = scn == dcn and srows == drows
+    types = type_diffs(df, con, sql)
+    ok = scn == dcn and srows == drows and not types
     detail = ""
+    if types:
+        detail = f"types differ: {types}"
     if scn != dcn:
         detail = f"columns differ: spark={scn} duck={dcn}"
     elif len(srows) != len(drows):
