@@ -87,15 +87,15 @@ def compare(spark, con, name, plan, sql, sf_dir):
     types = type_diffs(df, con, sql)
     ok = scn == dcn and srows == drows and not types
     detail = ""
-    if types:
-        detail = f"types differ: {types}"
     if scn != dcn:
         detail = f"columns differ: spark={scn} duck={dcn}"
     elif len(srows) != len(drows):
         detail = f"rows spark={len(srows)} duck={len(drows)}"
-    elif not ok:
+    elif srows != drows:
         ss, ds = set(srows), set(drows)
         detail = f"spark-only e.g. {list(ss - ds)[:2]} duck-only e.g. {list(ds - ss)[:2]}"
+    elif types:
+        detail = f"types differ: {types}"
     return ok, len(srows), t1 - t0, detail
 
 
