@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapflow.config import BUS_ID_PATTERN
-from tapflow.functions.times import epoch_millis
+from tapflow.functions.times import epoch_micros, epoch_millis
 
 LOCAL_ZONE = "Asia/Jakarta"
 
@@ -42,8 +42,8 @@ def time_functions(trips: DataFrame) -> DataFrame:
         local_in.alias("tap_in_local"),
         F.date_format(local_in, "HH:mm").alias("tap_in_hhmm"),
         F.to_date(local_in).alias("service_date_local"),
-        F.timestamp_diff("MINUTE", F.col("tap_in_time"), F.col("tap_out_time"))
-        .alias("duration_min"),
+        ((epoch_micros(trips, "tap_out_time") - epoch_micros(trips, "tap_in_time"))
+         / F.lit(60_000_000)).cast("long").alias("duration_min"),
     )
 
 

@@ -20,9 +20,16 @@ def is_ntz(df: DataFrame, col_name: str) -> bool:
 
 
 def epoch_micros_of(c: Column, dtype) -> Column:
-    """Microseconds since 1970-01-01 UTC of ``c`` whose type is ``dtype``."""
+    """Microseconds since 1970-01-01 UTC of ``c`` whose type is ``dtype``.
+
+    For ``TIMESTAMP_NTZ`` the wall-clock fields are read as UTC explicitly
+    (``timestamp_diff`` on NTZ goes through the session zone, which is wrong
+    and not monotonic across daylight-saving changes outside UTC).
+    """
     if isinstance(dtype, TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), c)
+        return F.unix_micros(F.make_timestamp_ltz(
+            F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+            F.date_part(F.lit("SECOND"), c), F.lit("UTC")))
     return F.unix_micros(c)
 
 

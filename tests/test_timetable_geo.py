@@ -59,3 +59,20 @@ def test_segment_matches_direct_computation(spark):
 def test_segment_null_position(spark):
     df = spark.createDataFrame([(None, 106.8)], "lat double, lon double")
     assert df.select(geo.segment("lat", "lon").alias("s")).first().s is None
+
+
+def test_epoch_is_zone_free_across_dst(spark):
+    """Naive-UTC epochs do not depend on the session zone (DST gap rows)."""
+    import calendar
+    from tapflow.functions.times import epoch_micros
+    rows = [dt.datetime(2024, 3, 10, 1, 59, 59, 999999), dt.datetime(2024, 3, 10, 2, 30, 0, 123456),
+            dt.datetime(2024, 3, 10, 3, 15), dt.datetime(1969, 12, 31, 23, 59, 59, 500000)]
+    df = spark.createDataFrame([(r,) for r in rows], "t timestamp_ntz")
+    want = [calendar.timegm(r.timetuple()) * 1_000_000 + r.microsecond for r in rows]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert [r[0] for r in df.select(epoch_micros(df, "t")).collect()] == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
