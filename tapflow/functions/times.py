@@ -19,14 +19,20 @@ def is_ntz(df: DataFrame, col_name: str) -> bool:
     return isinstance(df.schema[col_name].dataType, TimestampNTZType)
 
 
-def epoch_micros_of(c: Column, dtype) -> Column:
+_UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "UCT", "Etc/UCT"}
+
+
+def epoch_micros_of(c: Column, dtype, session_zone: str | None = "UTC") -> Column:
     """Microseconds since 1970-01-01 UTC of ``c`` whose type is ``dtype``.
 
-    For ``TIMESTAMP_NTZ`` the wall-clock fields are read as UTC explicitly
-    (``timestamp_diff`` on NTZ goes through the session zone, which is wrong
-    and not monotonic across daylight-saving changes outside UTC).
+    ``timestamp_diff`` on ``TIMESTAMP_NTZ`` goes through the session zone:
+    exact when that zone is UTC (the cheap path), but wrong and not monotonic
+    across daylight-saving changes elsewhere, so then the wall-clock fields
+    are read as UTC explicitly.
     """
     if isinstance(dtype, TimestampNTZType):
+        if session_zone in _UTC_NAMES:
+            return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), c)
         return F.unix_micros(F.make_timestamp_ltz(
             F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
             F.date_part(F.lit("SECOND"), c), F.lit("UTC")))
@@ -44,7 +50,8 @@ def field_type(df: DataFrame, path: str):
 
 def epoch_micros(df: DataFrame, col_name: str) -> Column:
     """Microseconds since 1970-01-01 UTC of a (possibly nested) timestamp column."""
-    return epoch_micros_of(F.col(col_name), field_type(df, col_name))
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone", None)
+    return epoch_micros_of(F.col(col_name), field_type(df, col_name), zone)
 
 
 def epoch_millis(df: DataFrame, col_name: str) -> Column:
