@@ -6,17 +6,18 @@ shared checkpoint directory and read the result back.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType, StringType, StructField, StructType, TimestampNTZType,
 )
 
 from tapflow.functions import scalars
 from tapflow.operators import trips as tr
-from tapflow.plans.batch import decoded_envelope, good_taps
 from tapflow.operators.validate import dead_letter
+from tapflow.plans.batch import decoded_envelope, good_taps
 from tapflow.session import scratch_path
-from tapflow.sinks.tables import JSON_TIME_OPTIONS, export_json, write_dead_letters, write_raw, write_trips
+from tapflow.sinks.tables import (
+    JSON_TIME_OPTIONS, export_json, write_dead_letters, write_raw, write_trips,
+)
 from tapflow.sources.fixtures import taps
 
 GOOD_JSON_SCHEMA = StructType([
