@@ -41,3 +41,25 @@ def test_job_outputs(spark, workdir):
         "invalid_event_type", "missing_timestamp"}
     flags = spark.read.parquet(f"{out}/crowd_flags")
     assert set(flags.columns) >= {"bus_id", "flagged_at", "pending_count", "segment", "message"}
+
+
+def test_job_strict_and_ordered(spark, workdir):
+    src = os.path.join(workdir, "envelopes")
+    env = tap_envelope_source(spark, SF_SMALL).withColumn(
+        "timestamp", F.col("timestamp").cast("timestamp"))
+    env.coalesce(1).write.parquet(src)
+    taps = envelope_taps(spark.readStream.schema(ENVELOPE_SCHEMA).parquet(src),
+                         ntz_event_time=False)
+    cfg = JobConfig(checkpoint_base=os.path.join(workdir, "ck"),
+                    output_base=os.path.join(workdir, "out"), max_open_seconds=None,
+                    strict_reference=True, ordered_pairing=True)
+    for q in start_job(taps, cfg, trigger_override={"availableNow": True}).values():
+        drain(q)
+    out = os.path.join(workdir, "out")
+    reasons = {r.error_reason for r in spark.read.parquet(f"{out}/dlq/raw_bad")
+               .select("error_reason").distinct().collect()}
+    assert reasons and reasons <= {"missing_timestamp", "invalid_latitude", "invalid_longitude"}
+    key = ["card_id", "tap_in_tx_id", "tap_out_tx_id"]
+    got = {tuple(r) for r in spark.read.parquet(f"{out}/trips").select(*key).collect()}
+    want = {tuple(r) for r in tr.trips(good_taps(spark, SF_SMALL)).select(*key).collect()}
+    assert got and got <= want
