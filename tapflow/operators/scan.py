@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapflow import config
-from tapflow.functions.times import time_bucket
+from tapflow.functions.times import epoch_micros
 
 _BKT = "_scan_bucket"
 DEFAULT = "default"   # resolve from tapflow.config at call time
@@ -69,10 +69,17 @@ def _shared_input(df: DataFrame) -> DataFrame:
 def _hot_slices(df: DataFrame, keys: list[str], order: list[str], time_col: str,
                 bucket_seconds: int, hot_key_rows: int, sample_every: int) -> DataFrame:
     """``df`` plus ``_scan_bucket``: the time slice for rows of hot keys,
-    null for the rest."""
-    bucket = time_bucket(df, time_col, bucket_seconds)
+    null for the rest.
+
+    Each hot key gets its own slice width: its sampled row count and time
+    span give about ``hot_key_rows / 4`` rows per slice (at most
+    ``bucket_seconds`` wide, at least 1 ms), so a key whose rows crowd into
+    a short time is cut finer.  Any width gives the same results.
+    """
+    epoch = epoch_micros(df, time_col)
     if not hot_key_rows:          # slice every key (keys with a null part excepted)
         not_null = F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+        bucket = F.floor(epoch / F.lit(bucket_seconds * 1_000_000)).cast("long")
         return df.withColumn(_BKT, F.when(not_null, bucket))
     every = max(1, int(sample_every))
     need = max(1, hot_key_rows // every)
@@ -81,15 +88,22 @@ def _hot_slices(df: DataFrame, keys: list[str], order: list[str], time_col: str,
     # keys with a null part are never sliced (one group, no carry needed), so
     # every join below is a plain equi-join on the window's own keys
     sample = sample.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
-    hot = (sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    per_slice = max(1, hot_key_rows // 4)
+    span = F.col("_hi") - F.col("_lo") + F.lit(1)
+    width = F.least(F.lit(bucket_seconds * 1_000_000),
+                    F.greatest(F.lit(1000), F.ceil(span * F.lit(per_slice) /
+                                                   (F.col("_n") * F.lit(every))))).cast("long")
+    hot = (sample.select(*keys, epoch.alias("_us"))
+                 .groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                     F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
                  .where(F.col("_n") >= need)
                  .select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)],
-                         F.lit(True).alias("_hot")))
+                         width.alias("_width")))
     # at most N / hot_key_rows keys qualify: a bounded list, safe to broadcast
     cond = [df[k] == hot[f"_hk{i}"] for i, k in enumerate(keys)]
     j = df.join(F.broadcast(hot), cond, "left")
     return j.select(*[df[c] for c in df.columns],
-                    F.when(F.col("_hot"), bucket).alias(_BKT))
+                    F.floor(epoch / F.col("_width")).cast("long").alias(_BKT))
 
 
 def _carry_cols(keys: Sequence[str]) -> list[Column]:
