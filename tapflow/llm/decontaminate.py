@@ -133,10 +133,8 @@ def _scan(block, min_matched: int, identity: float):
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", min_matched: int = MIN_MATCHED,
-                  identity: float = IDENTITY, block_entries: int = BLOCK_ENTRIES,
-                  keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per row of ``docs``: id, the columns ``keep``, and ``matches``
-    (item_id, doc_start, item_start, length, equal; positions in words)."""
+                  identity: float = IDENTITY, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
+    """One row per row of ``docs``: id and ``matches`` (item_id, doc_start, item_start, length, equal; positions in words)."""
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).alias("item"), F.coalesce(F.col(item_text_col), F.lit("")).alias("t"))
     # a word gives an entry per seed; words are at least two characters apart
@@ -144,18 +142,16 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     blocks = max(1, math.ceil(entries * len(SEEDS) / block_entries))
     item_type = benchmark.schema[item_col].dataType.simpleString()
     found = f"array<struct<item_id:{item_type},doc_start:int,item_start:int,length:int,equal:int>>"
-    cols = [id_col, *(c for c in keep if c != id_col)]
-    out = docs.select(*[F.col(f"`{c}`") for c in cols], F.col(text_col).alias("_text"),
-                      F.lit(None).cast(found).alias("_found"))
+    out = docs.select(F.col(id_col), F.col(text_col).alias("_text"), F.lit(None).cast(found).alias("_found"))
     schema = out.schema
     for k in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item", "t"), F.lit(blocks)) == k).orderBy("item", "t").collect()
         out = out.mapInArrow(_scan(spark.sparkContext.broadcast(Block([tuple(r) for r in part])),
                                    min_matched, identity), schema)
-    return out.select(*[F.col(f"`{c}`") for c in cols], F.col("_found").alias("matches"))
+    return out.select(id_col, F.col("_found").alias("matches"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that no item contaminates, with their columns."""
-    found = find_overlaps(docs, benchmark, keep=tuple(docs.columns), **options)
-    return found.where(F.size("matches") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
+    return find_overlaps(rows, benchmark, id_col="_row", **options).where(F.size("matches") == 0).select("_row.*")

@@ -14,7 +14,7 @@ and 12-bit digit of the hash, the digit in which the running sum crosses is
 kept, and only the rows of that digit are summed for the next one.
 
 Defined results: null text has size 0; null source is a source of its own,
-last in order; a document of size 0 is never counted; documents equal in id
+last in order; a document of size 0 is never counted; documents equal in key
 and size are taken alike; reruns agree; an empty table gives no rows.
 """
 
@@ -162,16 +162,19 @@ def _fill(rows: DataFrame, state: dict[int, tuple[int, float]], rounds: int = 4)
 
 def mix_sources(rows: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
                 most: int = MAX_REPEATS, seed: int = SEED) -> DataFrame:
-    """``rows``: id, size, sources (array of names).  Adds ``taken``, words
-    the mix takes of the document, ``copies``, and the first source's
+    """``rows``: id, size, sources (array of names), and ``key`` where the
+    seeded choice should go by another value than the id.  Adds ``taken``,
+    words the mix takes of the document, ``copies``, and the first source's
     ``source_size`` and ``target``."""
     spark = rows.sparkSession
-    rows = rows.select("id", "size", F.array_sort(F.array_distinct("sources")).alias("sources"))
+    key = F.col("key" if "key" in rows.columns else "id")
+    rows = rows.select("id", "size", F.array_sort(F.array_distinct("sources")).alias("sources"),
+                       F.shiftrightunsigned(F.xxhash64(F.lit(seed), key, "size"), 64 - DIGIT_BITS * DIGITS).alias("u"))
     patterns = rows.groupBy("sources").agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
     if len(patterns) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
-    key = lambda r: [(s is None, [ord(c) for c in s or ""]) for s in r["sources"]]
-    patterns = sorted(patterns, key=key)
+    by_code_point = lambda r: [(s is None, [ord(c) for c in s or ""]) for s in r["sources"]]
+    patterns = sorted(patterns, key=by_code_point)
     sizes: dict = {}
     for r in patterns:
         for s in r["sources"]:
@@ -193,8 +196,7 @@ def mix_sources(rows: DataFrame, weights: Sequence[float] = WEIGHTS, share: floa
     names = spark.createDataFrame(
         info, "pattern int, names array<string>, base int, source_size long, target double")
     # a row per pattern, at most MAX_PATTERNS; null names compare as equal
-    keyed = (rows.join(F.broadcast(names), F.col("sources").eqNullSafe(F.col("names")))
-             .withColumn("u", F.shiftrightunsigned(F.xxhash64(F.lit(seed), "id", "size"), 64 - DIGIT_BITS * DIGITS)))
+    keyed = rows.join(F.broadcast(names), F.col("sources").eqNullSafe(F.col("names")))
     keyed = written(keyed.drop("sources", "names"), "mix-rows")
     narrow = keyed.select("pattern", "size", "u")
     cuts = _cuts(narrow, wanted)
