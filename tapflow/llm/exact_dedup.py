@@ -14,7 +14,7 @@ are shuffled by their SHA-256 and grouped.  False positives only cost a
 little shuffle: the grouping compares whole SHA-256 values.
 
 The filter takes about 12 bits a document and is broadcast, so its size is
-checked: beyond ``MAX_FILTER_BYTES`` the hashes are split into ranges that
+checked: beyond ``max_filter_bytes`` the hashes are split into ranges that
 are filtered one after another, each with a filter below the bound.
 
 Defined results: null text counts as empty, so all null and empty texts form
@@ -34,13 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapflow.llm.common import mix64, written
-
-PROBES = 3
-BITS_PER_ROW = 12
-SEGMENT_BITS = 1 << 20
-MAX_FILTER_BYTES = 256 << 20
-_STEPS = np.arange(1, PROBES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+from tapflow.llm import bloom
+from tapflow.llm.common import written
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,106 +51,41 @@ def _hashes(column: pa.Array) -> np.ndarray:
     return np.array([int.from_bytes(v[:8], "little") for v in column.to_pylist()], np.uint64)
 
 
-def _positions(h: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
-    """Segment of each hash and its probe positions inside the segment."""
-    seg = (mix64(h) % np.uint64(segments)).astype(np.int64)
-    probes = np.empty((PROBES, len(h)), np.uint32)
-    for k in range(PROBES):
-        probes[k] = mix64(h + _STEPS[k]) % np.uint64(SEGMENT_BITS)
-    return seg, probes
-
-
-def _probe_rows(segments: int, ranges: int, r: int):
-    """Pass 1, map side: per task and segment, the positions as bytes."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        rows = 0
-
-        def flush() -> pa.RecordBatch | None:
-            h = np.concatenate(held) if held else np.empty(0, np.uint64)
-            if not len(h):
-                return None
-            values, counts = np.unique(h, return_counts=True)
-            h = np.concatenate([values, values[counts > 1]])       # at most twice
-            seg, probes = _positions(h, segments)
-            order = np.argsort(seg, kind="stable")
-            seg, probes = seg[order], probes[:, order]
-            ids, starts = np.unique(seg, return_index=True)
-            parts = [p.T.tobytes() for p in np.split(probes, starts[1:], axis=1)]
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(parts, pa.binary())],
-                                              ["seg", "pos"])
-
-        for b in batches:
-            h = _hashes(b.column("sha"))
-            if ranges > 1:
-                h = h[(h >> np.uint64(40)) % np.uint64(ranges) == r]
-            held.append(h)
-            rows += len(h)
-            if rows >= 1 << 20:
-                if (out := flush()) is not None:
-                    yield out
-                held, rows = [], 0
-        if (out := flush()) is not None:
-            yield out
-    return run
-
-
-def _merge_segment(group: pa.Table) -> pa.Table:
-    """Pass 1, reduce side: the positions hit at least twice, as a bitmap."""
-    once, twice = np.zeros(SEGMENT_BITS, bool), np.zeros(SEGMENT_BITS, bool)
-    for part in group.column("pos").to_pylist():
-        p, c = np.unique(np.frombuffer(part, np.uint32), return_counts=True)
-        twice[p] |= once[p] | (c > 1)
-        once[p] = True
-    return pa.table({"seg": pa.array([group.column("seg")[0].as_py()], pa.int64()),
-                     "bits": pa.array([np.packbits(twice).tobytes()], pa.binary())})
+def _in_range(b: pa.RecordBatch, ranges: int, r: int) -> tuple[pa.RecordBatch, np.ndarray]:
+    """The rows of hash range ``r`` and their hashes."""
+    h = _hashes(b.column("sha"))
+    if ranges == 1:
+        return b, h
+    mine = (h >> np.uint64(40)) % np.uint64(ranges) == r
+    return b.filter(pa.array(mine)), h[mine]
 
 
 def _tested(bits, segments: int, ranges: int, r: int):
     """Pass 2: adds ``repeated`` to the rows of hash range ``r``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = bits.value
         for b in batches:
-            h = _hashes(b.column("sha"))
-            if ranges > 1:
-                mine = (h >> np.uint64(40)) % np.uint64(ranges) == r
-                b, h = b.filter(pa.array(mine)), h[mine]
-            seg, probes = _positions(h, segments)
-            hit = np.ones(len(h), bool)
-            for s in np.unique(seg):
-                at = np.flatnonzero(seg == s)
-                packed = table.get(int(s))
-                if packed is None:
-                    hit[at] = False
-                    continue
-                packed = np.frombuffer(packed, np.uint8)
-                for k in range(PROBES):
-                    p = probes[k, at]
-                    hit[at] &= (packed[p >> 3] >> (7 - (p & 7)).astype(np.uint8) & 1).astype(bool)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(hit)], [*b.schema.names, "repeated"])
+            b, h = _in_range(b, ranges, r)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bloom.may_hold(h, bits.value, segments))],
+                                             [*b.schema.names, "repeated"])
     return run
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
+                max_filter_bytes: int = bloom.MAX_FILTER_BYTES) -> DataFrame:
     """One row per row of ``docs``: id, keep_id, group_size, kept,
     text_sha256."""
-    spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = written(
         docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("uid"),
                     F.col(text_col).cast("binary").alias("text"))
             .mapInArrow(_digests, f"id {id_type}, uid long, sha binary"), "dedup-rows")
 
-    bits_needed = max(1, rows.count()) * BITS_PER_ROW
-    ranges = max(1, math.ceil(bits_needed / 8 / max_filter_bytes))
-    segments = max(1, math.ceil(bits_needed / ranges / SEGMENT_BITS))
+    n = rows.count()
+    ranges = max(1, math.ceil(n * bloom.BITS_PER_ROW / 8 / max_filter_bytes))
+    segments = bloom.segments_for(math.ceil(n / ranges))
     tested = None
     for r in range(ranges):
-        filled = (rows.select("sha").mapInArrow(_probe_rows(segments, ranges, r), "seg long, pos binary")
-                      .groupBy("seg").applyInArrow(_merge_segment, "seg long, bits binary"))
-        bits = spark.sparkContext.broadcast(
-            {x["seg"]: bytes(x["bits"]) for x in filled.toLocalIterator()})
+        bits = bloom.build(rows.select("sha"), lambda b, r=r: _in_range(b, ranges, r)[1], segments, times=2)
         part = rows.mapInArrow(_tested(bits, segments, ranges, r),
                                f"id {id_type}, uid long, sha binary, repeated boolean")
         part = written(part, "dedup-tested")

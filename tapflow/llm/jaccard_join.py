@@ -41,6 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tapflow.llm import bloom
 from tapflow.llm.common import WordHashes, drop_written, mix64, shingle_hashes, signed, words, written
 
 WIDTH = 5
@@ -283,6 +284,10 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.select("uid", "label")
 
 
+def _uids(b: pa.RecordBatch) -> np.ndarray:
+    return b.column("uid").to_numpy().view(np.uint64)
+
+
 def jaccard_links(rows: DataFrame, reps: DataFrame) -> DataFrame:
     """Links among the representatives.  ``rows``: uid, bands, sig,
     shingles; ``reps``: uid, weight.  Gives uid, links, texts, root."""
@@ -308,8 +313,17 @@ def jaccard_links(rows: DataFrame, reps: DataFrame) -> DataFrame:
     packs = max(1, math.ceil(meets.where("blocks = 1").count() / PACK_ROWS))
     pack = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("bucket"), F.lit(packs))).otherwise(
         F.xxhash64("bucket", "left", "right"))
-    full = (meets.withColumn("pack", pack)
-            .join(rows.select("uid", "sig", "shingles"), "uid").join(reps, "uid")
+    # only rows that meet another are shuffled with their sets
+    wanted = meets.select("uid").distinct()
+    segments = bloom.segments_for(wanted.count())
+    bits = bloom.build(wanted, _uids, segments)
+
+    def may_meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(bloom.may_hold(_uids(b), bits.value, segments)))
+
+    payload = rows.select("uid", "sig", "shingles").mapInArrow(may_meet, "uid long, sig binary, shingles binary")
+    full = (meets.withColumn("pack", pack).join(payload, "uid").join(reps, "uid")
             .select("pack", "bucket", "band", "left", "right", "block", "uid", "weight", "sig", "shingles"))
     return full.groupBy("pack").applyInArrow(_compare, "uid long, links long, texts long, root long")
 
