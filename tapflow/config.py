@@ -30,21 +30,7 @@ CARD_ID_PATTERN = "^[A-Za-z0-9]+$"
 BUS_ID_PATTERN = "^BUS-[0-9]+$"
 EVENT_TYPES = ("tap_in", "tap_out")
 
-# Reject reasons, in the order they are tested.  The last three are this
-# engine's names for the pattern checks, tested after the others.
-REJECT_REASONS = [
-    "missing_transaction_id",
-    "missing_card_id",
-    "missing_bus_id",
-    "invalid_event_type",
-    "missing_timestamp",
-    "invalid_timestamp_parse",
-    "invalid_latitude",
-    "invalid_longitude",
-    "malformed_transaction_id",
-    "malformed_card_id",
-    "malformed_bus_id",
-]
+# Reject reason of a payload that cannot be decoded.
 UNKNOWN_REASON = "unknown_parse_error"
 
 # Crowding: a vehicle is crowded when strictly more than this many are aboard.
@@ -58,14 +44,7 @@ WATERMARK_DELAY = "5 minutes"
 PAIRING_TIMEOUT_SECONDS = 2 * 60 * 60
 CROWD_IDLE_SECONDS = 60 * 60
 
-# Timetable: service window, minutes between stops, turnaround at each end,
-# and departure spacing between consecutive bus numbers (BUS-01 leaves at the
-# window start, BUS-02 15 minutes later, ...).
-SERVICE_START_HOUR = 6
-SERVICE_END_HOUR = 12
-MINUTES_PER_SEGMENT = 5
-TURNAROUND_MINUTES = 5
-DEPARTURE_SPACING_MINUTES = 15
+# First visits of a vehicle and day shown by the head report.
 TIMETABLE_HEAD_STOPS = 21
 
 # Rider rules checked on trips.
@@ -81,13 +60,10 @@ TOPIC_PARTITIONS = 7
 # ---------------------------------------------------------------------------
 
 # Ordered per-key scans (operators/scan.py): a key with at least
-# DEFAULT_HOT_KEY_ROWS rows is split into time slices of
-# DEFAULT_SCAN_BUCKET_SECONDS; hot keys are found on a 1-in-N row-hash sample.
+# DEFAULT_HOT_KEY_ROWS rows is split into time slices at
+# its sampled quantiles, found on a 1-in-N row-hash sample.
 DEFAULT_SCAN_BUCKET_SECONDS = 60 * 60
 DEFAULT_HOT_KEY_ROWS = 2_000_000
 DEFAULT_HOT_KEY_SAMPLE_EVERY = 1000
-# A sliced scan reads its input in three branches (rows, hot-key sample,
-# slice summaries); write the input once under spark.checkpoint.dir first.
-MATERIALIZE_SCAN_INPUT = True
 # Tumbling window for the per-interval crowd flags.
 DEFAULT_FLAG_WINDOW = "1 hour"

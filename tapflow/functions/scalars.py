@@ -27,7 +27,7 @@ def string_functions(taps: DataFrame) -> DataFrame:
         "event_id", "transaction_id",
         F.length("transaction_id").alias("tx_len"),
         F.substring("transaction_id", 25, 12).alias("tx_tail"),
-        F.lpad("card_id", 6, "0").alias("card_padded"),
+        F.lpad("card_id", F.greatest(F.lit(6), F.length("card_id")), F.lit("0")).alias("card_padded"),
         F.col("bus_id").rlike(BUS_ID_PATTERN).alias("bus_ok"),
         F.format_string("%s@%s", F.col("card_id"), F.col("bus_id")).alias("card_at_bus"),
         F.upper(F.substring("bus_id", 1, 3)).alias("vehicle_kind"),

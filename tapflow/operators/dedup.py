@@ -7,6 +7,9 @@ delivered millions of times ships at most one row per input partition.
 Stream: ``dropDuplicatesWithinWatermark`` keeps a seen key only until the
 watermark passes its event time (plus the delay), so state stays bounded;
 ``unbounded=True`` keeps every key for ever (the reproduced behaviour).
+Of copies that differ the stream keeps the one that arrives first, as it
+cannot wait for an earlier-stamped one; batch keeps the earliest stamp.  The
+two agree wherever copies arrive in the order of their times.
 """
 
 from __future__ import annotations
@@ -17,19 +20,25 @@ from pyspark.sql import functions as F
 from tapflow.config import WATERMARK_DELAY
 
 
-def dedup_taps(df: DataFrame, key: str = "transaction_id") -> DataFrame:
-    """One row per ``key``; among copies that differ, the smallest row wins.
+def dedup_taps(df: DataFrame, key: str = "transaction_id", columns: list[str] | None = None) -> DataFrame:
+    """One row per ``key``: the earliest copy by ``event_time``, ties by a
+    hash of the whole row.
 
-    ``min(struct(...))`` instead of ``dropDuplicates`` (which keeps whichever
-    copy comes first): the choice does not depend on row order, so a stage
+    The winner is chosen on that narrow order, and only ``columns`` (default:
+    all) travel with it.  ``dropDuplicates`` would keep whichever copy comes
+    first; here the choice does not depend on row order, so a stage
     recomputed after an executor loss yields the same rows.
     """
     others = [c for c in df.columns if c != key]
     if not others:
         return df.dropDuplicates([key])
-    kept = df.groupBy(key).agg(F.min(F.struct(*others)).alias("_row"))
-    return kept.select(*[F.col(key) if c == key else F.col(f"_row.{c}").alias(c)
-                         for c in df.columns])
+    first = [F.col("event_time").alias("_t")] if "event_time" in others else []
+    wanted = [c for c in others if columns is None or c in columns]
+    row = F.struct(*first, F.xxhash64(*others).alias("_h"), *[c for c in wanted if c != "event_time"])
+    kept = df.groupBy(key).agg(F.min(row).alias("_row"))
+    source = {c: F.col("_row._t" if c == "event_time" else f"_row.{c}") for c in wanted}
+    return kept.select(*[F.col(key) if c == key else source[c].alias(c)
+                         for c in df.columns if c == key or c in wanted])
 
 
 def dedup_taps_stream(df: DataFrame, key: str = "transaction_id",

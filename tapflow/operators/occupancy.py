@@ -20,10 +20,8 @@ from tapflow.config import (
 from tapflow.functions.times import (
     epoch_micros, format_seconds, ntz_from_epoch_micros, time_bucket,
 )
-from tapflow import config
 from tapflow.operators.geo import segment
 from tapflow.operators.scan import DEFAULT, prefix_sums, with_neighbor
-from tapflow.session import materialize
 
 ORDER = ["event_time", "transaction_id"]
 
@@ -123,7 +121,8 @@ def occupancy_idle_reset(good: DataFrame, idle_seconds: int = CROWD_IDLE_SECONDS
     tap for more than ``idle_seconds``.
 
     session start = first tap or gap > idle; with P the vehicle's running
-    count, aboard = P - P(just before the session's first tap).
+    count, aboard = P - P(just before the session's first tap).  That base is
+    the latest one in order, a running maximum of (order, base).
     """
     p = with_neighbor(good, ["bus_id"], ORDER, [], "_prev", direction="previous",
                       bucket_seconds=bucket_seconds)
@@ -132,12 +131,8 @@ def occupancy_idle_reset(good: DataFrame, idle_seconds: int = CROWD_IDLE_SECONDS
                                    (gap_us > F.lit(idle_seconds * 1_000_000))).cast("int"))
     s = prefix_sums(starts, ["bus_id"], ORDER, {"_P": delta(), "session_no": F.col("_new")},
                     bucket_seconds=bucket_seconds)
-    if bucket_seconds and config.MATERIALIZE_SCAN_INPUT:
-        s = materialize(s, "idle-reset")     # read twice below (rows, session bases)
-    base = s.where(F.col("_new") == 1).select(
-        F.col("bus_id").alias("_b"), F.col("session_no").alias("_s"),
-        (F.col("_P") - delta()).alias("_base"))
-    j = s.join(base, (s["bus_id"] == base["_b"]) & (s["session_no"] == base["_s"]), "inner")
-    return j.select("transaction_id", "bus_id", "event_time",
+    base = F.when(F.col("_new") == 1, F.struct(*ORDER, (F.col("_P") - delta()).alias("base")))
+    s = prefix_sums(s, ["bus_id"], ORDER, {}, {"_start": base}, bucket_seconds=bucket_seconds)
+    return s.select("transaction_id", "bus_id", "event_time",
                     F.col("session_no").cast("long").alias("session_no"),
-                    clamp(F.col("_P") - F.col("_base")).alias("pending"))
+                    clamp(F.col("_P") - F.col("_start.base")).alias("pending"))

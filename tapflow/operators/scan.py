@@ -6,10 +6,14 @@ card) can carry a third of all taps.  The scans here split only the *hot*
 keys into ``(key, time slice)`` groups and stitch the slices together
 exactly:
 
-0. hot keys (never a key with a null part) are found on a deterministic sample (rows whose hash of the
-   order columns falls in 1 of ``sample_every`` buckets); a key is hot when
-   its sampled count implies at least ``hot_key_rows`` rows.  At most
-   N / ``hot_key_rows`` keys can qualify, which bounds the broadcast list.
+0. hot keys (never a key with a null part) are found by a small job on the
+   narrow (key, time) projection of a deterministic sample (rows whose hash
+   of the order columns falls in 1 of ``sample_every`` buckets); a key is hot
+   when its sampled count implies at least ``hot_key_rows`` rows, so at most
+   N / ``hot_key_rows`` keys qualify.  Without a hot key the scan is the plain
+   window.  A hot key's slices are cut at quantiles of its sampled times, so
+   they hold about ``hot_key_rows / 4`` rows each however the times are
+   spread; its rows without a time are a slice of their own, before the rest.
    The sample only decides the partitioning: every row is processed and the
    results are the same whichever keys are hot;
 1. a small summary per hot ``(key, slice)``: the slice total for running
@@ -56,54 +60,57 @@ def _unique(cols: Sequence[str]) -> list[str]:
     return seen
 
 
-def _shared_input(df: DataFrame) -> DataFrame:
-    """The scan reads its input three times (rows, hot-key sample, slice
-    summaries); write it once so the work above its last shuffle (a sort
-    aggregate, an earlier scan's window) is not redone per branch."""
-    if not config.MATERIALIZE_SCAN_INPUT or df.isStreaming:
-        return df
-    from tapflow.session import materialize
-    return materialize(df, "scan-input")
+MAX_SLICES = 1000             # slices of one key, at most
+_NO_TIME = -(1 << 62)         # the slice of rows without a time
+
+
+def _sliced_everywhere(df: DataFrame, keys: list[str], time_col: str, bucket_seconds: int) -> DataFrame:
+    """Slices of fixed width for every key without a null part."""
+    not_null = F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+    bucket = F.floor(epoch_micros(df, time_col) / F.lit(bucket_seconds * 1_000_000)).cast("long")
+    return df.withColumn(_BKT, F.when(not_null, F.coalesce(bucket, F.lit(_NO_TIME))))
 
 
 def _hot_slices(df: DataFrame, keys: list[str], order: list[str], time_col: str,
-                bucket_seconds: int, hot_key_rows: int, sample_every: int) -> DataFrame:
+                bucket_seconds: int, hot_key_rows: int | None, sample_every: int) -> DataFrame | None:
     """``df`` plus ``_scan_bucket``: the time slice for rows of hot keys,
-    null for the rest.
-
-    Each hot key gets its own slice width: its sampled row count and time
-    span give about ``hot_key_rows / 4`` rows per slice (at most
-    ``bucket_seconds`` wide, at least 1 ms), so a key whose rows crowd into
-    a short time is cut finer.  Any width gives the same results.
-    """
-    epoch = epoch_micros(df, time_col)
-    if not hot_key_rows:          # slice every key (keys with a null part excepted)
-        not_null = F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
-        bucket = F.floor(epoch / F.lit(bucket_seconds * 1_000_000)).cast("long")
-        return df.withColumn(_BKT, F.when(not_null, bucket))
+    null for the rest.  None when no key is hot."""
+    if not hot_key_rows:
+        return _sliced_everywhere(df, keys, time_col, bucket_seconds)
     every = max(1, int(sample_every))
-    need = max(1, hot_key_rows // every)
+    epoch = epoch_micros(df, time_col)
     sample = df if every == 1 else df.where(
         F.pmod(F.xxhash64(*[F.col(c) for c in keys + order]), F.lit(every)) == 0)
     # keys with a null part are never sliced (one group, no carry needed), so
     # every join below is a plain equi-join on the window's own keys
-    sample = sample.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
-    per_slice = max(1, hot_key_rows // 4)
-    span = F.col("_hi") - F.col("_lo") + F.lit(1)
-    width = F.least(F.lit(bucket_seconds * 1_000_000),
-                    F.greatest(F.lit(1000), F.ceil(span * F.lit(per_slice) /
-                                                   (F.col("_n") * F.lit(every))))).cast("long")
-    hot = (sample.select(*keys, epoch.alias("_us"))
-                 .groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                     F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
-                 .where(F.col("_n") >= need)
-                 .select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)],
-                         width.alias("_width")))
-    # at most N / hot_key_rows keys qualify: a bounded list, safe to broadcast
-    cond = [df[k] == hot[f"_hk{i}"] for i, k in enumerate(keys)]
-    j = df.join(F.broadcast(hot), cond, "left")
-    return j.select(*[df[c] for c in df.columns],
-                    F.floor(epoch / F.col("_width")).cast("long").alias(_BKT))
+    sample = sample.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))).select(
+        *keys, epoch.alias("_us"))
+    counts = (sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+              .where(F.col("_n") >= max(1, hot_key_rows // every)).collect())
+    if not counts:
+        return None
+    hk = [f"_hk{i}" for i in range(len(keys))]
+    types = [df.schema[k].dataType.simpleString() for k in keys]
+    spark = df.sparkSession
+    hot = spark.createDataFrame([tuple(r[k] for k in keys) for r in counts],
+                                ", ".join(f"{h} {t}" for h, t in zip(hk, types)))
+    fractions = [i / MAX_SLICES for i in range(1, MAX_SLICES)]
+    times = (sample.join(hot, [F.col(k) == hot[h] for k, h in zip(keys, hk)]).groupBy(*keys)
+             .agg(F.percentile_approx("_us", fractions, 10 * MAX_SLICES).alias("_q")).collect())
+    quantiles = {tuple(r[k] for k in keys): r["_q"] or [] for r in times}
+    cuts = []
+    for r in counts:
+        key = tuple(r[k] for k in keys)
+        slices = min(MAX_SLICES, max(1, -(-4 * r["_n"] * every // hot_key_rows)))
+        q = quantiles.get(key, [])
+        picked = [q[i * len(q) // slices] for i in range(1, slices)] if q else []
+        cuts.append((*key, sorted(set(picked))))
+    slices = spark.createDataFrame(cuts, ", ".join(f"{h} {t}" for h, t in zip(hk, types)) + ", _cuts array<bigint>")
+    j = df.join(slices, [df[k] == slices[h] for k, h in zip(keys, hk)], "left")
+    us = epoch_micros(df, time_col)
+    at = F.when(us.isNull(), F.lit(_NO_TIME)).otherwise(
+        F.size(F.filter("_cuts", lambda x: x <= us)).cast("long"))
+    return j.select(*[df[c] for c in df.columns], F.when(F.col("_cuts").isNotNull(), at).alias(_BKT))
 
 
 def _carry_cols(keys: Sequence[str]) -> list[Column]:
@@ -121,38 +128,42 @@ def _join_carry(d: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFram
 
 
 def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                sums: dict[str, Column], time_col: str = "event_time",
+                sums: dict[str, Column], maxes: dict[str, Column] | None = None,
+                time_col: str = "event_time",
                 bucket_seconds: int | None | str = DEFAULT,
                 hot_key_rows: int | None | str = DEFAULT,
                 sample_every: int | str = DEFAULT) -> DataFrame:
-    """Add running sums ``name = sum(expr)`` over rows of the same key up to
-    and including the current row, in ``order``.  ``order`` must start with
-    ``time_col`` and be total within a key."""
+    """Add running sums ``name = sum(expr)``, and running maxima, over rows of
+    the same key up to and including the current row, in ``order``.
+    ``order`` must start with ``time_col`` and be total within a key."""
     keys, order = list(keys), list(order)
     bucket_seconds, hot_key_rows, sample_every = _resolve(bucket_seconds, hot_key_rows,
                                                           sample_every)
-    base_cols = [c for c in df.columns if c not in sums]
-    if not bucket_seconds:
+    maxes = maxes or {}
+    aggs = {n: (F.sum, e) for n, e in sums.items()} | {n: (F.max, e) for n, e in maxes.items()}
+    base_cols = [c for c in df.columns if c not in aggs]
+    d = _hot_slices(df, keys, order, time_col, bucket_seconds, hot_key_rows, sample_every) if bucket_seconds else None
+    if d is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
             Window.unboundedPreceding, Window.currentRow)
-        return df.select(*base_cols, *[F.sum(e).over(w).alias(n) for n, e in sums.items()])
+        return df.select(*base_cols, *[fn(e).over(w).alias(n) for n, (fn, e) in aggs.items()])
 
-    df = _shared_input(df)
-    d = _hot_slices(df, keys, order, time_col, bucket_seconds, hot_key_rows, sample_every)
-    names = list(sums)
     totals = d.where(F.col(_BKT).isNotNull()).groupBy(*keys, _BKT).agg(
-        *[F.sum(sums[n]).alias(f"_tot{i}") for i, n in enumerate(names)])
+        *[fn(e).alias(f"_tot{i}") for i, (fn, e) in enumerate(aggs.values())])
     before = Window.partitionBy(*keys).orderBy(_BKT).rowsBetween(
         Window.unboundedPreceding, -1)
     carry = totals.select(*_carry_cols(keys), *[
-        F.coalesce(F.sum(f"_tot{i}").over(before), F.lit(0)).alias(f"_carry{i}")
-        for i in range(len(names))])
+        fn(f"_tot{i}").over(before).alias(f"_carry{i}") for i, (fn, _) in enumerate(aggs.values())])
     j = _join_carry(d, carry, keys)
     w = Window.partitionBy(*keys, _BKT).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
+
+    def joined(i, fn, e):
+        here, earlier = fn(e).over(w), F.col(f"_carry{i}")
+        return F.greatest(here, earlier) if fn is F.max else here + F.coalesce(earlier, F.lit(0))
+
     return j.select(*[d[c] for c in base_cols], *[
-        (F.sum(sums[n]).over(w) + F.coalesce(F.col(f"_carry{i}"), F.lit(0))).alias(n)
-        for i, n in enumerate(names)])
+        joined(i, fn, e).alias(n) for i, (n, (fn, e)) in enumerate(aggs.items())])
 
 
 def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -172,12 +183,11 @@ def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     shift = F.lag if prev else F.lead
     base_cols = [c for c in df.columns if c != name]
 
-    if not bucket_seconds:
+    d = _hot_slices(df, keys, order, time_col, bucket_seconds, hot_key_rows, sample_every) if bucket_seconds else None
+    if d is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.select(*base_cols, shift(row).over(w).alias(name))
 
-    df = _shared_input(df)
-    d = _hot_slices(df, keys, order, time_col, bucket_seconds, hot_key_rows, sample_every)
     edge_fn = F.max if prev else F.min
     edges = d.where(F.col(_BKT).isNotNull()).groupBy(*keys, _BKT).agg(
         edge_fn(row).alias("_edge"))

@@ -1,101 +1,89 @@
-"""Timetables of the vehicles seen in the taps, expanded into stop arrivals.
-
-For every (bus, service day) present in the tap table, the bus leaves the
-first stop ``(n - 1) * DEPARTURE_SPACING_MINUTES`` after the service start
-(n = bus number), calls at each stop ``MINUTES_PER_SEGMENT`` apart, turns
-around for ``TURNAROUND_MINUTES`` at each end and alternates direction until
-the service window closes.  Arrivals are generated with ``sequence`` +
-``explode`` per (bus, day): no join, and each bus-day's rows are bounded by
-the service window, so the per-leg windows below never see a large group.
+"""Stop visits of the vehicles, taken from their taps, and one-way legs.
+
+Every tap is at its nearest stop.  A vehicle's taps of one day, in time
+order, are cut into visits wherever the stop changes; a visit's arrival is
+its first tap, and its direction follows the stop list: forward when the stop
+index grows, backward when it falls (the first visit takes the direction of
+the move that follows).  A leg is a run of visits in one direction.
+
+All ordered steps are the hot-key-safe scans of ``scan.py``, per vehicle and
+day; any valid vehicle id takes part.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapflow.config import (
-    DEPARTURE_SPACING_MINUTES, MINUTES_PER_SEGMENT, SERVICE_END_HOUR,
-    SERVICE_START_HOUR, STOPS, TIMETABLE_HEAD_STOPS, TURNAROUND_MINUTES,
-)
+from tapflow.config import STOPS, TIMETABLE_HEAD_STOPS
 from tapflow.functions.times import as_ntz
+from tapflow.operators.geo import nearest_stops_sql
+from tapflow.operators.scan import prefix_sums, with_neighbor
 
-N_STOPS = len(STOPS)
-LEG_MINUTES = N_STOPS * MINUTES_PER_SEGMENT + TURNAROUND_MINUTES
+KEYS = ["bus_id", "service_date"]
+ORDER = ["event_time", "transaction_id"]
 
 
-def service_days(good: DataFrame) -> DataFrame:
-    """Distinct (bus_id, service_date) of the taps, with the bus number."""
-    d = good.select("bus_id", F.to_date(as_ntz(good, "event_time")).alias("service_date"))
-    return (d.distinct()
-             .withColumn("bus_no", F.regexp_extract("bus_id", "([0-9]+)$", 1).cast("int"))
-             .where(F.col("bus_no").isNotNull()))
+def _direction(after, before):
+    return F.when(after > before, F.lit("forward")).when(after < before, F.lit("backward"))
 
 
 def timetable(good: DataFrame) -> DataFrame:
-    """Stop arrivals per (bus, day): seq_no is the dense arrival rank."""
-    days = service_days(good)
-    start = F.lit(SERVICE_START_HOUR * 60) + (F.col("bus_no") - 1) * DEPARTURE_SPACING_MINUTES
-    end = F.lit(SERVICE_END_HOUR * 60)
-    d = days.withColumn("_start", start).where(F.col("_start") < end)
-    n_legs = F.floor((end - F.col("_start") - 1) / LEG_MINUTES).cast("int") + 1
-    legs = d.withColumn("leg_no", F.explode(F.sequence(F.lit(0), n_legs - 1)))
-    stops = legs.withColumn("pos", F.explode(F.sequence(F.lit(0), F.lit(N_STOPS - 1))))
-    minute = F.col("_start") + F.col("leg_no") * LEG_MINUTES + F.col("pos") * MINUTES_PER_SEGMENT
-    a = stops.withColumn("_min", minute).where(F.col("_min") < end)
-    forward = F.col("leg_no") % 2 == 0
-    stop_idx = F.when(forward, F.col("pos")).otherwise(F.lit(N_STOPS - 1) - F.col("pos"))
-    stop_ids = F.array(*[F.lit(s[0]) for s in STOPS])
-    return a.select(
-        "bus_id", "service_date",
-        (F.col("leg_no") * N_STOPS + F.col("pos")).cast("int").alias("seq_no"),
-        F.col("leg_no").cast("int").alias("leg_no"),
-        F.when(forward, F.lit("forward")).otherwise(F.lit("backward")).alias("direction"),
-        stop_idx.cast("int").alias("stop_idx"),
-        F.element_at(stop_ids, stop_idx + 1).alias("stop_id"),
-        F.timestamp_add("MINUTE", F.col("_min"),
-                       F.col("service_date").cast("timestamp_ntz")).alias("arrival"),
-    )
+    """Stop visits per (bus, day): bus_id, service_date, seq_no, leg_no,
+    direction, stop_idx, stop_id, arrival."""
+    taps = (good.withColumn("event_time", as_ntz(good, "event_time"))
+            .withColumn("service_date", F.to_date("event_time"))
+            .withColumn("stop_idx", F.expr(nearest_stops_sql("latitude", "longitude", 1) + "[0].idx"))
+            .select(*KEYS, *ORDER, "stop_idx"))
+    seen = with_neighbor(taps, KEYS, ORDER, ["stop_idx"], "_prev")
+    visits = seen.where(F.col("_prev").isNull() | (F.col("_prev.stop_idx") != F.col("stop_idx"))).select(
+        *KEYS, *ORDER, "stop_idx", F.col("_prev.stop_idx").alias("_from"))
+    visits = with_neighbor(visits, KEYS, ORDER, ["stop_idx"], "_next", direction="next")
+    visits = with_neighbor(visits, KEYS, ORDER, ["stop_idx", "_from"], "_before")
+    here = _direction(F.col("stop_idx"), F.col("_from"))
+    ahead = _direction(F.col("_next.stop_idx"), F.col("stop_idx"))
+    before = _direction(F.col("_before.stop_idx"), F.col("_before._from"))
+    visits = visits.select(
+        *KEYS, *ORDER, "stop_idx", F.coalesce(here, ahead, F.lit("forward")).alias("direction"),
+        # the first visit opens a leg; the second goes its way; then changes do
+        F.when(F.col("_from").isNull() | (before.isNotNull() & (before != here)), 1).otherwise(0).alias("_turn"))
+    numbered = prefix_sums(visits, KEYS, ORDER, {"_seq": F.lit(1), "_leg": F.col("_turn")})
+    ids = F.array(*[F.lit(s[0]) for s in STOPS])
+    return numbered.select(
+        *KEYS, (F.col("_seq") - 1).cast("int").alias("seq_no"), (F.col("_leg") - 1).cast("int").alias("leg_no"),
+        "direction", F.col("stop_idx").cast("int").alias("stop_idx"),
+        F.element_at(ids, F.col("stop_idx") + 1).alias("stop_id"), F.col("event_time").alias("arrival"))
 
 
 def timetable_head(tt: DataFrame, n: int = TIMETABLE_HEAD_STOPS) -> DataFrame:
-    """First ``n`` arrivals of each bus-day (seq_no is the arrival rank,
-    so this is a filter, not a per-group sort)."""
+    """First ``n`` visits of each bus-day (seq_no is the visit's rank, so
+    this is a filter, not a per-group sort)."""
     return tt.where(F.col("seq_no") < n)
 
 
 def direction_legs(tt: DataFrame, min_stops: int = 2) -> DataFrame:
-    """Split each bus-day into one-way legs at every change of direction
-    (gaps and islands); keep legs of at least ``min_stops`` stops."""
-    w = Window.partitionBy("bus_id", "service_date").orderBy("seq_no")
-    flagged = tt.withColumn("_chg", F.coalesce(
-        (F.lag("direction").over(w) != F.col("direction")).cast("int"), F.lit(1)))
-    isl = flagged.withColumn("leg", F.sum("_chg").over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    g = isl.groupBy("bus_id", "service_date", "leg").agg(
-        F.first("direction").alias("direction"),
-        F.count(F.lit(1)).alias("n_stops"),
-        F.min("arrival").alias("first_arrival"),
-        F.max("arrival").alias("last_arrival"),
-        F.min(F.struct("seq_no", "stop_id"))["stop_id"].alias("first_stop"),
-        F.max(F.struct("seq_no", "stop_id"))["stop_id"].alias("last_stop"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq_no", "stop_id"))),
-                                 lambda x: x["stop_id"]), ",").alias("stop_list"),
-    )
+    """Each run of visits in one direction, of at least ``min_stops``
+    stops.  A run cannot be longer than the stop list."""
+    stops = F.array_sort(F.collect_list(F.struct("seq_no", "stop_id")))
+    g = tt.groupBy(*KEYS, "leg_no", "direction").agg(
+        F.count(F.lit(1)).alias("n_stops"), F.min("arrival").alias("first_arrival"),
+        F.max("arrival").alias("last_arrival"), stops.alias("_stops"))
     return g.where(F.col("n_stops") >= min_stops).select(
-        "bus_id", "service_date", F.col("leg").cast("int").alias("leg"), "direction",
-        F.col("n_stops").cast("long").alias("n_stops"), "first_arrival", "last_arrival",
-        "first_stop", "last_stop", "stop_list")
+        *KEYS, (F.col("leg_no") + 1).alias("leg"), "direction", F.col("n_stops").cast("long").alias("n_stops"),
+        "first_arrival", "last_arrival",
+        F.element_at("_stops", 1)["stop_id"].alias("first_stop"),
+        F.element_at("_stops", -1)["stop_id"].alias("last_stop"),
+        F.array_join(F.transform("_stops", lambda x: x["stop_id"]), ",").alias("stop_list"))
 
 
 def leg_stops(legs: DataFrame) -> DataFrame:
     """Ordered stop list of each leg (at most one stop list long)."""
-    return legs.select("bus_id", "service_date", "leg", "direction", "stop_list")
+    return legs.select(*KEYS, "leg", "direction", "stop_list")
 
 
 def leg_direction_counts(legs: DataFrame) -> DataFrame:
     """A5: legs per bus-day by direction, with the total."""
-    return legs.groupBy("bus_id", "service_date").agg(
+    return legs.groupBy(*KEYS).agg(
         F.sum(F.when(F.col("direction") == "forward", 1).otherwise(0)).cast("long")
         .alias("forward_legs"),
         F.sum(F.when(F.col("direction") == "backward", 1).otherwise(0)).cast("long")

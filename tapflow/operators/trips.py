@@ -96,12 +96,14 @@ def open_taps(good: DataFrame) -> DataFrame:
 def expired_taps(good: DataFrame, max_open_seconds: int = PAIRING_TIMEOUT_SECONDS,
                  bucket_seconds: int | None | str = DEFAULT) -> DataFrame:
     """tap_ins that neither pair nor get replaced within the maximum
-    open time: the card's next event is absent or comes later than that."""
+    open time: the card's next event, or the end of the data where there is
+    none, comes later than that."""
     n = with_neighbor(good, ["card_id"], ORDER, [], "next", direction="next",
                       bucket_seconds=bucket_seconds)
-    gap_us = epoch_micros(n, "next.event_time") - epoch_micros(n, "event_time")
-    cond = (F.col("event_type") == "tap_in") & (
-        F.col("next").isNull() | (gap_us > F.lit(max_open_seconds * 1_000_000)))
+    end = good.agg(F.max("event_time").alias("end")).scalar()
+    n = n.withColumn("_until", F.coalesce(F.col("next.event_time"), end))
+    gap_us = epoch_micros(n, "_until") - epoch_micros(n, "event_time")
+    cond = (F.col("event_type") == "tap_in") & (gap_us > F.lit(max_open_seconds * 1_000_000))
     return n.where(cond).select(
         "card_id",
         F.col("transaction_id").alias("tap_in_tx_id"),

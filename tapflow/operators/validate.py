@@ -46,13 +46,15 @@ GOOD = (f"coalesce({REQUIRED_NOT_NULL} AND {EVENT_TYPE_OK} AND {LATITUDE_OK}"
         f" AND {LONGITUDE_OK} AND {PATTERNS_OK}, false)")
 
 
-def _reason_sql(has_parsed: bool) -> str:
+def _reason_sql(has_parsed: bool, has_time_parsed: bool = False) -> str:
     checks = [
         ("transaction_id IS NULL", "missing_transaction_id"),
         ("card_id IS NULL", "missing_card_id"),
         ("bus_id IS NULL", "missing_bus_id"),
         (f"NOT coalesce({EVENT_TYPE_OK}, false)", "invalid_event_type"),
-        ("event_time IS NULL", "missing_timestamp"),
+        *([("event_time IS NULL AND time_parsed", "missing_timestamp"),
+           ("NOT time_parsed", "invalid_timestamp_parse")] if has_time_parsed else
+          [("event_time IS NULL", "missing_timestamp")]),
         (f"NOT {LATITUDE_OK}", "invalid_latitude"),
         (f"NOT {LONGITUDE_OK}", "invalid_longitude"),
         (f"NOT {TX_ID_OK}", "malformed_transaction_id"),
@@ -97,9 +99,9 @@ def good_condition() -> Column:
     return F.expr(GOOD)
 
 
-def reject_reason(has_parsed: bool = False) -> Column:
+def reject_reason(has_parsed: bool = False, has_time_parsed: bool = False) -> Column:
     """P5: first failing check, in fixed order; null for good rows."""
-    return F.expr(_reason_sql(has_parsed))
+    return F.expr(_reason_sql(has_parsed, has_time_parsed))
 
 
 def strict_prefilter(df: DataFrame) -> DataFrame:
@@ -111,7 +113,7 @@ def with_reject_reason(df: DataFrame, strict_reference: bool = False) -> DataFra
     has_parsed = "parsed" in df.columns
     if strict_reference:
         df = strict_prefilter(df)
-    return df.withColumn("error_reason", reject_reason(has_parsed))
+    return df.withColumn("error_reason", reject_reason(has_parsed, "time_parsed" in df.columns))
 
 
 def valid_taps(df: DataFrame, strict_reference: bool = False) -> DataFrame:

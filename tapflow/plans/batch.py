@@ -22,9 +22,11 @@ from tapflow.config import TOPIC_PARTITIONS
 TAP_ORDER = ["event_time", "transaction_id"]
 
 
-def good_taps(spark: SparkSession, sf_dir: str, strict_reference: bool = False) -> DataFrame:
-    """P4 + W2: validated, de-duplicated taps (seven columns)."""
-    return dedup_taps(select_tap_fields(valid_taps(taps(spark, sf_dir), strict_reference)))
+def good_taps(spark: SparkSession, sf_dir: str, strict_reference: bool = False,
+              columns: list[str] | None = None) -> DataFrame:
+    """P4 + W2: validated, de-duplicated taps (seven columns, or the id and
+    ``columns``; the others are not shuffled)."""
+    return dedup_taps(select_tap_fields(valid_taps(taps(spark, sf_dir), strict_reference)), columns=columns)
 
 
 def decoded_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +36,7 @@ def decoded_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sources / filters -----------------------------------------------------
 
 def q_tap_envelope(spark, sf_dir):
-    return decoded_envelope(spark, sf_dir).drop("parsed")
+    return decoded_envelope(spark, sf_dir).drop("parsed", "time_parsed")
 
 
 def q_tap_pattern_filter(spark, sf_dir):
@@ -104,15 +106,15 @@ def q_trip_rule_violations(spark, sf_dir):
 # --- occupancy -------------------------------------------------------------
 
 def q_bus_tap_counts(spark, sf_dir):
-    return occ.bus_tap_counts(good_taps(spark, sf_dir))
+    return occ.bus_tap_counts(good_taps(spark, sf_dir, columns=["bus_id", "event_type"]))
 
 
 def q_bus_aboard(spark, sf_dir):
-    return occ.bus_aboard(good_taps(spark, sf_dir))
+    return occ.bus_aboard(good_taps(spark, sf_dir, columns=["bus_id", "event_type"]))
 
 
 def q_occupancy(spark, sf_dir):
-    return occ.occupancy(good_taps(spark, sf_dir))
+    return occ.occupancy(good_taps(spark, sf_dir, columns=["bus_id", "event_type", "event_time"]))
 
 
 def q_crowd_flags(spark, sf_dir):
@@ -124,13 +126,13 @@ def q_crowd_flags_windowed(spark, sf_dir):
 
 
 def q_occupancy_idle_reset(spark, sf_dir):
-    return occ.occupancy_idle_reset(good_taps(spark, sf_dir))
+    return occ.occupancy_idle_reset(good_taps(spark, sf_dir, columns=["bus_id", "event_type", "event_time"]))
 
 
 # --- geo -------------------------------------------------------------------
 
 def q_nearest_segment(spark, sf_dir):
-    g = good_taps(spark, sf_dir)
+    g = good_taps(spark, sf_dir, columns=["latitude", "longitude"])
     return g.select("transaction_id", geo.segment("latitude", "longitude")
                     .alias("segment"))
 
@@ -138,7 +140,7 @@ def q_nearest_segment(spark, sf_dir):
 # --- small reports ---------------------------------------------------------
 
 def q_tap_type_counts(spark, sf_dir):
-    return good_taps(spark, sf_dir).groupBy("event_type").agg(
+    return good_taps(spark, sf_dir, columns=["event_type"]).groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -148,36 +150,39 @@ def q_first_taps(spark, sf_dir):
     return good_taps(spark, sf_dir).orderBy(*TAP_ORDER).limit(10)
 
 
+def publish_partition(key, partitions: int = TOPIC_PARTITIONS):
+    """Partition that the producer's default partitioner (CRC-32 of the key,
+    modulo the partitions) gives a non-null key."""
+    return F.pmod(F.crc32(key.cast("binary")), F.lit(partitions)).cast("int")
+
+
 def q_bus_partition_sizes(spark, sf_dir):
-    """K8: rows per bus and the number of publish partitions each bus maps
-    to (must be one).  The partition is the same hash Spark's
-    ``repartition(n, bus_id)`` uses, computed as a column: no shuffle."""
-    g = good_taps(spark, sf_dir)
-    part = F.pmod(F.hash("bus_id"), F.lit(TOPIC_PARTITIONS))
-    return g.groupBy("bus_id").agg(F.count(F.lit(1)).alias("n_rows"),
-                                   F.count_distinct(part).alias("n_partitions"))
+    """K8: buses and rows per publish partition; a bus lies in one."""
+    buses = good_taps(spark, sf_dir, columns=["bus_id"]).groupBy("bus_id").agg(F.count(F.lit(1)).alias("n"))
+    return buses.groupBy(publish_partition(F.col("bus_id")).alias("partition")).agg(
+        F.count(F.lit(1)).alias("n_buses"), F.sum("n").alias("n_rows"))
 
 
 # --- timetable -------------------------------------------------------------
 
 def q_timetable(spark, sf_dir):
-    return tt.timetable(good_taps(spark, sf_dir))
+    return tt.timetable(good_taps(spark, sf_dir, columns=["bus_id", "event_time", "latitude", "longitude"]))
 
 
 def q_timetable_head(spark, sf_dir):
-    return tt.timetable_head(tt.timetable(good_taps(spark, sf_dir)))
+    return tt.timetable_head(tt.timetable(good_taps(spark, sf_dir, columns=["bus_id", "event_time", "latitude", "longitude"])))
 
 
 def q_direction_legs(spark, sf_dir):
-    return tt.direction_legs(tt.timetable(good_taps(spark, sf_dir)))
+    return tt.direction_legs(tt.timetable(good_taps(spark, sf_dir, columns=["bus_id", "event_time", "latitude", "longitude"])))
 
 
 def q_leg_stops(spark, sf_dir):
-    return tt.leg_stops(tt.direction_legs(tt.timetable(good_taps(spark, sf_dir))))
+    return tt.leg_stops(tt.direction_legs(tt.timetable(good_taps(spark, sf_dir, columns=["bus_id", "event_time", "latitude", "longitude"]))))
 
 
 def q_leg_direction_counts(spark, sf_dir):
-    return tt.leg_direction_counts(tt.direction_legs(tt.timetable(good_taps(spark, sf_dir))))
+    return tt.leg_direction_counts(tt.direction_legs(tt.timetable(good_taps(spark, sf_dir, columns=["bus_id", "event_time", "latitude", "longitude"]))))
 
 
 BATCH_QUERIES = {

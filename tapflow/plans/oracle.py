@@ -9,14 +9,11 @@ from __future__ import annotations
 
 from tapflow.config import (
     BUS_ID_PATTERN, CARD_ID_PATTERN, CROWD_IDLE_SECONDS, CROWD_MESSAGE_FORMAT,
-    CROWD_THRESHOLD, DEPARTURE_SPACING_MINUTES, MAX_TRIP_MINUTES,
-    MIN_TRANSFER_MINUTES, MINUTES_PER_SEGMENT, PAIRING_TIMEOUT_SECONDS,
-    SERVICE_END_HOUR, SERVICE_START_HOUR, STOPS, TIMETABLE_HEAD_STOPS,
-    TOPIC_NAME, TOPIC_PARTITIONS, TRANSACTION_ID_PATTERN, TURNAROUND_MINUTES,
+    CROWD_THRESHOLD, MAX_TRIP_MINUTES, MIN_TRANSFER_MINUTES, PAIRING_TIMEOUT_SECONDS,
+    STOPS, TIMETABLE_HEAD_STOPS, TOPIC_NAME, TOPIC_PARTITIONS, TRANSACTION_ID_PATTERN,
 )
 
 N_STOPS = len(STOPS)
-LEG_MINUTES = N_STOPS * MINUTES_PER_SEGMENT + TURNAROUND_MINUTES
 
 _STOPS_VALUES = ", ".join(
     f"({i}, '{sid}', {lat!r}e0, {lon!r}e0)" for i, (sid, lat, lon) in enumerate(STOPS))
@@ -28,9 +25,9 @@ _TAPS = f"""
 taps_base AS (
   SELECT event_id,
     CASE WHEN event_id % 107 = 0 THEN NULL
-         ELSE '00000000-0000-4000-8000-' || lpad(CAST(event_id AS VARCHAR), 12, '0') END AS transaction_id,
+         ELSE '00000000-0000-4000-8000-' || lpad(CAST(event_id AS VARCHAR), CAST(greatest(12, length(CAST(event_id AS VARCHAR))) AS INTEGER), '0') END AS transaction_id,
     CASE WHEN event_id % 109 = 0 THEN 'C-' || CAST(user_id AS VARCHAR)
-         ELSE 'C' || lpad(CAST(user_id AS VARCHAR), 3, '0') END AS card_id,
+         ELSE 'C' || lpad(CAST(user_id AS VARCHAR), CAST(greatest(3, length(CAST(user_id AS VARCHAR))) AS INTEGER), '0') END AS card_id,
     CASE WHEN event_id % 113 = 0 THEN 'TRAM-1'
          ELSE 'BUS-0' || CAST(event_id % 7 + 1 AS VARCHAR) END AS bus_id,
     CASE WHEN event_type IN ('view', 'signup') THEN 'tap_in'
@@ -45,7 +42,8 @@ taps_base AS (
 ),
 taps_n AS (
   SELECT *, 0 AS copy_no FROM taps_base
-  UNION ALL SELECT *, 1 AS copy_no FROM taps_base WHERE event_id % 10 = 0
+  UNION ALL SELECT * REPLACE (CASE WHEN event_id % 30 = 0 THEN event_time + INTERVAL 1 SECOND ELSE event_time END AS event_time),
+    1 AS copy_no FROM taps_base WHERE event_id % 10 = 0
 ),
 taps AS (SELECT event_id, {TAP_COLS} FROM taps_n)"""
 
@@ -71,8 +69,14 @@ _REASON = f"""CASE
     WHEN NOT {_PAT_BUS} THEN 'malformed_bus_id'
     ELSE NULL END"""
 
+# Of the copies of a tap the earliest stays.
+_EARLIEST = "row_number() OVER (PARTITION BY transaction_id ORDER BY event_time) AS copy"
+_REASON_ENV = _REASON.replace(
+    "WHEN event_time IS NULL THEN", "WHEN event_time IS NULL AND NOT unreadable THEN").replace(
+    "WHEN NOT " + _LAT_OK, "WHEN unreadable THEN 'invalid_timestamp_parse'\n    WHEN NOT " + _LAT_OK)
+
 _GOOD = f"""good AS (
-  SELECT DISTINCT {TAP_COLS} FROM taps WHERE {_GOOD_COND}
+  SELECT {TAP_COLS} FROM (SELECT *, {_EARLIEST} FROM taps WHERE {_GOOD_COND}) c WHERE copy = 1
 )"""
 
 _STOPS = f"stops AS (SELECT * FROM (VALUES {_STOPS_VALUES}) s(idx, stop_id, lat, lon))"
@@ -102,7 +106,8 @@ _JSON = """'{"transaction_id":' || coalesce('"' || transaction_id || '"', 'null'
     || ',"card_id":' || coalesce('"' || card_id || '"', 'null')
     || ',"bus_id":' || coalesce('"' || bus_id || '"', 'null')
     || ',"event_type":' || coalesce('"' || event_type || '"', 'null')
-    || ',"timestamp":' || coalesce(CAST(epoch_us(event_time) // 1000 AS VARCHAR), 'null')
+    || ',"timestamp":' || CASE WHEN event_id % 211 = 0 THEN '9223372036854775807'
+         ELSE coalesce(CAST(epoch_us(event_time) // 1000 AS VARCHAR), 'null') END
     || ',"latitude":' || coalesce(CAST(latitude AS VARCHAR), 'null')
     || ',"longitude":' || coalesce(CAST(longitude AS VARCHAR), 'null') || '}'"""
 
@@ -113,7 +118,8 @@ _ENVELOPE = f"""env AS (
     event_id * 2 + copy_no AS kafka_offset,
     event_time AS kafka_timestamp,
     transaction_id, card_id, bus_id, event_type,
-    CAST(date_trunc('millisecond', event_time) AS TIMESTAMP) AS event_time, latitude, longitude
+    CASE WHEN event_id % 211 <> 0 THEN CAST(date_trunc('millisecond', event_time) AS TIMESTAMP) END AS event_time,
+    event_id % 211 = 0 AS unreadable, latitude, longitude
   FROM taps_n
 )"""
 
@@ -137,45 +143,46 @@ _OCC = """occ AS (
   FROM good
 )"""
 
-_TIMETABLE = f"""days AS (
-  SELECT DISTINCT bus_id, CAST(event_time AS DATE) AS service_date,
-    CAST(regexp_extract(bus_id, '([0-9]+)$', 1) AS INTEGER) AS bus_no
-  FROM good
+_STOP_LAT = "[" + ", ".join(f"{s[1]!r}e0" for s in STOPS) + "]"
+_STOP_LON = "[" + ", ".join(f"{s[2]!r}e0" for s in STOPS) + "]"
+_TIMETABLE = f"""at_stop AS (
+  SELECT *, CAST(event_time AS DATE) AS service_date,
+    list_position(ds, list_min(ds)) - 1 AS stop_idx
+  FROM (SELECT *, list_transform(range(1, {N_STOPS + 1}), lambda k:
+          ({_STOP_LAT}[k] - latitude) * ({_STOP_LAT}[k] - latitude)
+          + ({_STOP_LON}[k] - longitude) * ({_STOP_LON}[k] - longitude)) AS ds FROM good) z
 ),
-starts AS (
-  SELECT *, {SERVICE_START_HOUR * 60} + (bus_no - 1) * {DEPARTURE_SPACING_MINUTES} AS start_min
-  FROM days
+seen AS (
+  SELECT *, lag(stop_idx) OVER (PARTITION BY bus_id, service_date ORDER BY event_time, transaction_id) AS prev_idx
+  FROM at_stop
 ),
-legs AS (
-  SELECT *, unnest(range(0, CAST(floor(({SERVICE_END_HOUR * 60} - start_min - 1) / {LEG_MINUTES}) AS BIGINT) + 1)) AS leg_no
-  FROM starts WHERE start_min < {SERVICE_END_HOUR * 60}
+visits AS (
+  SELECT *, row_number() OVER w AS n, lead(stop_idx) OVER w AS next_idx
+  FROM seen WHERE prev_idx IS NULL OR prev_idx <> stop_idx
+  WINDOW w AS (PARTITION BY bus_id, service_date ORDER BY event_time, transaction_id)
 ),
-arr AS (
-  SELECT *, unnest(range(0, {N_STOPS})) AS pos FROM legs
+directed AS (
+  SELECT *, CASE WHEN stop_idx > coalesce(prev_idx, stop_idx) OR (prev_idx IS NULL AND coalesce(next_idx, 99) > stop_idx)
+                 THEN 'forward' ELSE 'backward' END AS direction
+  FROM visits
+),
+turns AS (
+  SELECT *, coalesce(CAST(lag(direction) OVER (PARTITION BY bus_id, service_date ORDER BY n) <> direction AS INTEGER), 0) AS turn
+  FROM directed
 ),
 tt AS (
-  SELECT bus_id, service_date,
-    CAST(leg_no * {N_STOPS} + pos AS INTEGER) AS seq_no,
-    CAST(leg_no AS INTEGER) AS leg_no,
-    CASE WHEN leg_no % 2 = 0 THEN 'forward' ELSE 'backward' END AS direction,
-    CAST(CASE WHEN leg_no % 2 = 0 THEN pos ELSE {N_STOPS - 1} - pos END AS INTEGER) AS stop_idx,
-    {_STOP_IDS}[CAST(CASE WHEN leg_no % 2 = 0 THEN pos ELSE {N_STOPS - 1} - pos END AS INTEGER) + 1] AS stop_id,
-    CAST(service_date AS TIMESTAMP) + to_minutes(CAST(start_min + leg_no * {LEG_MINUTES} + pos * {MINUTES_PER_SEGMENT} AS BIGINT)) AS arrival
-  FROM arr
-  WHERE start_min + leg_no * {LEG_MINUTES} + pos * {MINUTES_PER_SEGMENT} < {SERVICE_END_HOUR * 60}
+  SELECT bus_id, service_date, CAST(n - 1 AS INTEGER) AS seq_no,
+    CAST(sum(turn) OVER (PARTITION BY bus_id, service_date ORDER BY n ROWS UNBOUNDED PRECEDING) AS INTEGER) AS leg_no,
+    direction, CAST(stop_idx AS INTEGER) AS stop_idx, {_STOP_IDS}[stop_idx + 1] AS stop_id, event_time AS arrival
+  FROM turns
 )"""
 
-_LEGS = """isl AS (
-  SELECT *, sum(chg) OVER (PARTITION BY bus_id, service_date ORDER BY seq_no ROWS UNBOUNDED PRECEDING) AS leg
-  FROM (SELECT *, coalesce(CAST(lag(direction) OVER (PARTITION BY bus_id, service_date ORDER BY seq_no) <> direction AS INTEGER), 1) AS chg
-        FROM tt) z
-),
-dlegs AS (
-  SELECT bus_id, service_date, CAST(leg AS INTEGER) AS leg, first(direction) AS direction,
+_LEGS = """dlegs AS (
+  SELECT bus_id, service_date, CAST(leg_no + 1 AS INTEGER) AS leg, direction,
     count(*) AS n_stops, min(arrival) AS first_arrival, max(arrival) AS last_arrival,
     arg_min(stop_id, seq_no) AS first_stop, arg_max(stop_id, seq_no) AS last_stop,
     string_agg(stop_id, ',' ORDER BY seq_no) AS stop_list
-  FROM isl GROUP BY bus_id, service_date, leg
+  FROM tt GROUP BY bus_id, service_date, leg_no, direction
   HAVING count(*) >= 2
 )"""
 
@@ -197,7 +204,8 @@ SELECT * FROM taps WHERE {_LAT_OK} AND {_LON_OK} AND event_time IS NOT NULL"""
 ORACLE_SQL["good_taps"] = _with(_GOOD) + "SELECT * FROM good"
 ORACLE_SQL["good_taps_strict"] = ORACLE_SQL["good_taps"]
 
-ORACLE_SQL["tap_dedup"] = _with() + "SELECT DISTINCT * FROM taps WHERE transaction_id IS NOT NULL"
+ORACLE_SQL["tap_dedup"] = _with() + f"""
+SELECT * EXCLUDE (copy) FROM (SELECT *, {_EARLIEST} FROM taps WHERE transaction_id IS NOT NULL) c WHERE copy = 1"""
 
 ORACLE_SQL["reject_reason"] = _with() + f"SELECT *, {_REASON} AS error_reason FROM taps"
 
@@ -205,11 +213,11 @@ ORACLE_SQL["reject_counts"] = _with() + f"""
 SELECT coalesce({_REASON}, 'none') AS error_reason, count(*) AS n_rows FROM taps GROUP BY 1"""
 
 ORACLE_SQL["dead_letter"] = _with(_ENVELOPE) + f"""
-SELECT value_raw, {_REASON} AS error_reason, kafka_topic, kafka_partition, kafka_offset, kafka_timestamp
+SELECT value_raw, {_REASON_ENV} AS error_reason, kafka_topic, kafka_partition, kafka_offset, kafka_timestamp
 FROM env WHERE NOT coalesce({_GOOD_COND}, false)"""
 
 ORACLE_SQL["dead_letter_strict"] = _with(_ENVELOPE) + f"""
-SELECT value_raw, {_REASON} AS error_reason, kafka_topic, kafka_partition, kafka_offset, kafka_timestamp
+SELECT value_raw, {_REASON_ENV} AS error_reason, kafka_topic, kafka_partition, kafka_offset, kafka_timestamp
 FROM env WHERE coalesce({_PAT_TX} AND {_PAT_CARD} AND {_PAT_BUS} AND {_TYPE_OK}, false)
   AND NOT coalesce({_GOOD_COND}, false)"""
 
@@ -228,10 +236,11 @@ SELECT * FROM trips WHERE epoch_us(tap_out_time) - epoch_us(tap_in_time) <= {PAI
 ORACLE_SQL["expired_taps"] = _with(_GOOD) + f"""
 SELECT card_id, transaction_id AS tap_in_tx_id, bus_id, event_time AS tap_in_time,
   latitude AS tap_in_lat, longitude AS tap_in_lon, next_time AS next_event_time
-FROM (SELECT *, lead(event_time) OVER (PARTITION BY card_id ORDER BY event_time, transaction_id) AS next_time
+FROM (SELECT *, lead(event_time) OVER (PARTITION BY card_id ORDER BY event_time, transaction_id) AS next_time,
+        max(event_time) OVER () AS end_time
       FROM good) x
 WHERE event_type = 'tap_in'
-  AND (next_time IS NULL OR epoch_us(next_time) - epoch_us(event_time) > {PAIRING_TIMEOUT_SECONDS * 1_000_000})"""
+  AND epoch_us(coalesce(next_time, end_time)) - epoch_us(event_time) > {PAIRING_TIMEOUT_SECONDS * 1_000_000}"""
 
 ORACLE_SQL["trip_rule_violations"] = _with(_GOOD, _TRIPS, """tp AS (
   SELECT *, lag(tap_out_time) OVER (PARTITION BY card_id ORDER BY tap_in_time, tap_in_tx_id) AS prev_tap_out_time
@@ -316,8 +325,24 @@ ORACLE_SQL["tap_type_counts"] = _with(_GOOD) + \
 ORACLE_SQL["first_taps"] = _with(_GOOD) + \
     "SELECT * FROM good ORDER BY event_time, transaction_id LIMIT 10"
 
-ORACLE_SQL["bus_partition_sizes"] = _with(_GOOD) + \
-    "SELECT bus_id, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_partitions FROM good GROUP BY bus_id"
+# The producer's key partitioner: crc32 of the key, as an unsigned number,
+# modulo the partitions.  Stated here bit by bit: crc32 is the remainder of a
+# division over GF(2), eight shifts per byte.
+_CRC_STEP = "CASE WHEN s & 1 = 1 THEN xor(s >> 1, 3988292384) ELSE s >> 1 END"
+
+
+def _crc_byte(state: str, byte: str) -> str:
+    s = f"xor({state}, {byte})"
+    return f"list_reduce([{s}, 0, 0, 0, 0, 0, 0, 0, 0], lambda s, x: {_CRC_STEP})"
+
+
+_CRC32 = ("xor(list_reduce(list_concat([4294967295], list_transform(string_split(bus_id, ''), lambda c: ascii(c)::BIGINT)), "
+          f"lambda a, b: {_crc_byte('a', 'b')}), 4294967295)")
+ORACLE_SQL["bus_partition_sizes"] = _with(_GOOD) + f"""
+SELECT CAST(crc % {TOPIC_PARTITIONS} AS INTEGER) AS partition, count(*) AS n_buses, CAST(sum(n) AS BIGINT) AS n_rows
+FROM (SELECT bus_id, n, CAST({_CRC32} AS BIGINT) AS crc
+      FROM (SELECT bus_id, count(*) AS n FROM good GROUP BY bus_id) b) x
+GROUP BY 1"""
 
 ORACLE_SQL["timetable"] = _with(_GOOD, _TIMETABLE) + "SELECT * FROM tt"
 
@@ -348,7 +373,7 @@ ORACLE_SQL["scalar_json"] = ORACLE_SQL["good_taps"]
 
 ORACLE_SQL["scalar_strings"] = _with() + f"""
 SELECT event_id, transaction_id, CAST(length(transaction_id) AS INTEGER) AS tx_len,
-  substring(transaction_id, 25, 12) AS tx_tail, lpad(card_id, 6, '0') AS card_padded,
+  substring(transaction_id, 25, 12) AS tx_tail, lpad(card_id, CAST(greatest(6, length(card_id)) AS INTEGER), '0') AS card_padded,
   {_PAT_BUS} AS bus_ok, printf('%s@%s', card_id, bus_id) AS card_at_bus,
   upper(substring(bus_id, 1, 3)) AS vehicle_kind
 FROM taps"""
@@ -396,7 +421,4 @@ WHERE event_type = 'tap_in'
   AND ((next_time IS NOT NULL AND epoch_us(next_time) - epoch_us(event_time) > {PAIRING_TIMEOUT_SECONDS * 1_000_000})
     OR (next_time IS NULL AND (epoch_us(event_time) + {PAIRING_TIMEOUT_SECONDS * 1_000_000}) // 1000 < wm_ms))"""
 
-# Ordered pairing finalises rows strictly below the final watermark.
-ORACLE_SQL["trips_ordered_stream"] = _with(_GOOD, _TRIPS) + """
-SELECT * FROM trips
-WHERE epoch_us(tap_out_time) < ((SELECT max(epoch_us(event_time)) FROM good) // 1000 - 300000) * 1000"""
+ORACLE_SQL["trips_ordered_stream"] = ORACLE_SQL["trips"]

@@ -15,17 +15,32 @@ from tapflow.config import PAIRING_TIMEOUT_SECONDS
 from tapflow.functions.times import as_ntz
 from tapflow.operators.dedup import dedup_taps_stream
 from tapflow.operators.validate import select_tap_fields, valid_taps
-from tapflow.schemas import TRIP_COLUMNS
+from tapflow.schemas import TAP_FIELDS, TRIP_COLUMNS
 from tapflow.session import scratch_path
 from tapflow.streaming.crowd import crowd_counts_stream, crowd_flags_from_counts
 from tapflow.streaming.pairing import pair_taps_stream
 from tapflow.streaming.run import drain, start_file_sink, start_foreach_batch
-from tapflow.streaming.sources import taps_stream
+from tapflow.streaming.sources import EVENTS_STREAM_SCHEMA, taps_stream
 from tapflow.sinks.tables import parquet_batch_writer
 
 
-def good_taps_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select_tap_fields(dedup_taps_stream(valid_taps(taps_stream(spark, sf_dir))))
+def good_taps_stream(spark: SparkSession, sf_dir: str, flush: bool = False) -> DataFrame:
+    """Good taps; with ``flush``, one more tap of a card of its own a day
+    after the last, so that the watermark passes every row of the table."""
+    good = valid_taps(taps_stream(spark, sf_dir)).select(*TAP_FIELDS)
+    if flush:
+        good = good.unionByName(_closing_tap(spark, sf_dir))
+    return select_tap_fields(dedup_taps_stream(good))
+
+
+def _closing_tap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "closing-tap")
+    end = spark.read.schema(EVENTS_STREAM_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet").agg(
+        (F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("event_time"))
+    row = end.selectExpr("'closing' AS transaction_id", "'closing' AS card_id", "'closing' AS bus_id",
+                         "'tap_out' AS event_type", "event_time", "0D AS latitude", "0D AS longitude")
+    row.where("event_time IS NOT NULL").write.parquet(path)
+    return spark.readStream.schema(row.schema).parquet(path)
 
 
 def _ntz(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -37,7 +52,7 @@ def _ntz(df: DataFrame, cols: list[str]) -> DataFrame:
 def _run_append(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
     drain(start_file_sink(stream, out, ckpt))
-    return spark.read.parquet(out)
+    return spark.read.schema(stream.schema).parquet(out)
 
 
 def q_tap_dedup_stream(spark, sf_dir):
@@ -45,7 +60,7 @@ def q_tap_dedup_stream(spark, sf_dir):
 
 
 def _pairing_output(spark, sf_dir, max_open, ordered=False):
-    s = pair_taps_stream(good_taps_stream(spark, sf_dir), max_open_seconds=max_open,
+    s = pair_taps_stream(good_taps_stream(spark, sf_dir, flush=ordered), max_open_seconds=max_open,
                          ordered=ordered)
     return _ntz(_run_append(spark, s, "pairing"), ["tap_in_time", "tap_out_time"])
 
@@ -57,8 +72,8 @@ def q_trips_stream(spark, sf_dir):
 
 def q_trips_ordered_stream(spark, sf_dir):
     """Pairing in event-time order whatever the arrival order: rows are
-    paired once the watermark has passed them (the last few minutes of
-    the input stay held in state)."""
+    paired once the watermark has passed them.  The replay is bounded, so a
+    closing tap moves the watermark past its last row."""
     return _pairing_output(spark, sf_dir, None, ordered=True).where(
         F.col("record_type") == "trip").select(*TRIP_COLUMNS)
 
@@ -77,6 +92,8 @@ def q_expired_taps_stream(spark, sf_dir):
 def _crowd_batches(spark, sf_dir) -> DataFrame:
     counts = crowd_counts_stream(good_taps_stream(spark, sf_dir))
     out, ckpt = scratch_path(spark, "crowd-out"), scratch_path(spark, "crowd-ckpt")
+    # a table from the start, though no batch may have rows
+    spark.createDataFrame([], counts.schema).write.parquet(f"{out}/batch_id=-1")
     drain(start_foreach_batch(counts, parquet_batch_writer(out), ckpt, output_mode="update"))
     return spark.read.parquet(out)   # batch_id comes back as a partition column
 

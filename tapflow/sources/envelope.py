@@ -9,29 +9,34 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType, TimestampType
 
-from tapflow.functions.times import ntz_from_epoch_millis
+from tapflow.functions.times import as_ntz, ntz_from_epoch_millis
 from tapflow.schemas import TAP_AVRO_SCHEMA, TAP_FIELDS, TAP_RECORD_SCHEMA
 
 # Header of the schema-registry wire format: magic byte + 4-byte schema id.
 WIRE_HEADER_BYTES = 5
 
+# Years 1 to 9999, what a timestamp shows.
+MIN_EPOCH_MILLIS, MAX_EPOCH_MILLIS = -62135596800000, 253402300799999
+
 
 def read_kafka(spark: SparkSession, bootstrap_servers: str, topic: str,
-               max_offsets_per_trigger: int = 1000, starting_offsets: str = "earliest",
+               max_offsets_per_trigger: int | None = None, starting_offsets: str = "earliest",
                **kafka_options) -> DataFrame:
-    """Streaming Kafka source (S1) with a per-trigger rate limit.
+    """Streaming Kafka source (S1) with an optional per-trigger limit.
 
-    The rate limit also bounds how many rows a key can bring into one
-    micro-batch of a stateful operator.
+    Unset, a trigger takes all there is.  A limit also bounds how many rows a
+    key can bring into one micro-batch of a stateful operator; size it from
+    the cluster's throughput times the trigger interval.
     """
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", bootstrap_servers)
          .option("subscribe", topic)
          .option("startingOffsets", starting_offsets)
-         .option("failOnDataLoss", "false")
-         .option("maxOffsetsPerTrigger", max_offsets_per_trigger))
+         .option("failOnDataLoss", "false"))
+    if max_offsets_per_trigger is not None:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
     for k, v in kafka_options.items():
         r = r.option(k if k.startswith("kafka.") else f"kafka.{k}", v)
     return r.load()
@@ -65,7 +70,7 @@ def decode_avro(value: Column, avro_schema: str = TAP_AVRO_SCHEMA,
     """Payload decoder for registry-framed Avro.
 
     The wire header is cut off; PERMISSIVE mode turns an undecodable payload
-    into a null struct (reason ``unknown_parse_error``) instead of failing
+    into a struct of nulls (reason ``unknown_parse_error``) instead of failing
     the query.
     """
     from pyspark.sql.avro.functions import from_avro
@@ -82,23 +87,34 @@ def decode_taps(envelope: DataFrame, decoder=decode_json,
     """S4 + S5: decode the payload, expand the record, derive event_time.
 
     Batch keeps event_time as UTC ``TIMESTAMP_NTZ``; a stream needs
-    ``ntz_event_time=False`` (``TIMESTAMP``) for watermarks.  ``parsed`` is
-    kept so that undecodable rows can be routed to the dead-letter table.
+    ``ntz_event_time=False`` (``TIMESTAMP``) for watermarks.  The record's
+    time is epoch milliseconds (JSON) or a timestamp (Avro's logical type).
+    ``parsed`` is false for an undecodable payload and ``time_parsed`` for a
+    time that no timestamp can hold, so that such rows reach the dead-letter
+    table with their reason instead of failing the query.
     """
-    ms = F.col("data.timestamp")
-    event_time = ntz_from_epoch_millis(ms) if ntz_event_time else F.timestamp_millis(ms)
     decoded = envelope.withColumn("data", decoder(F.col("value")))
-    parsed = F.col("data").isNotNull()
-    if CORRUPT_FIELD in decoded.schema["data"].dataType.fieldNames():
-        parsed = parsed & F.col(f"data.{CORRUPT_FIELD}").isNull()
+    fields = decoded.schema["data"].dataType
+    raw = F.col("data.timestamp")
+    if isinstance(fields["timestamp"].dataType, (TimestampType, TimestampNTZType)):
+        decoded = decoded.withColumn("_time", raw)
+        event_time = as_ntz(decoded, "_time") if ntz_event_time else F.col("_time").cast("timestamp")
+    else:
+        held = F.when(raw.between(MIN_EPOCH_MILLIS, MAX_EPOCH_MILLIS), raw)
+        event_time = ntz_from_epoch_millis(held) if ntz_event_time else F.timestamp_millis(held)
+    if CORRUPT_FIELD in fields.fieldNames():
+        parsed = F.col("data").isNotNull() & F.col(f"data.{CORRUPT_FIELD}").isNull()
+    else:
+        parsed = F.coalesce(*[F.col(f"data.{f.name}").cast("string") for f in fields]).isNotNull()
     return (decoded
             .select("value_raw", "kafka_topic", "kafka_partition", "kafka_offset",
                     "kafka_timestamp",
                     parsed.alias("parsed"),
+                    (raw.isNull() | event_time.isNotNull()).alias("time_parsed"),
                     *[F.col(f"data.{c}").alias(c) for c in TAP_FIELDS if c != "event_time"],
                     event_time.alias("event_time"))
             .select("value_raw", "kafka_topic", "kafka_partition", "kafka_offset",
-                    "kafka_timestamp", "parsed", *TAP_FIELDS))
+                    "kafka_timestamp", "parsed", "time_parsed", *TAP_FIELDS))
 
 
 def envelope_taps(envelope_source: DataFrame, decoder=decode_json,

@@ -2,7 +2,8 @@
 
 The projection is deterministic (see FIXTURES.md §2): each event becomes one
 tap; a few ids are made invalid on purpose so that every reject reason is
-exercised, and every tenth event is delivered twice.
+exercised, and every tenth event is delivered twice; the second copy of
+every thirtieth is stamped a second later, so copies may differ.
 """
 
 from __future__ import annotations
@@ -22,10 +23,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _TAPS_BASE_EXPRS = [
     "event_id",
     "CASE WHEN event_id % 107 = 0 THEN CAST(NULL AS STRING) "
-    "ELSE concat('00000000-0000-4000-8000-', lpad(CAST(event_id AS STRING), 12, '0')) "
+    "ELSE concat('00000000-0000-4000-8000-', lpad(CAST(event_id AS STRING), greatest(12, length(CAST(event_id AS STRING))), '0')) "
     "END AS transaction_id",
     "CASE WHEN event_id % 109 = 0 THEN concat('C-', CAST(user_id AS STRING)) "
-    "ELSE concat('C', lpad(CAST(user_id AS STRING), 3, '0')) END AS card_id",
+    "ELSE concat('C', lpad(CAST(user_id AS STRING), greatest(3, length(CAST(user_id AS STRING))), '0')) END AS card_id",
     "CASE WHEN event_id % 113 = 0 THEN 'TRAM-1' "
     "ELSE concat('BUS-0', CAST(event_id % 7 + 1 AS STRING)) END AS bus_id",
     "CASE WHEN event_type IN ('view', 'signup') THEN 'tap_in' "
@@ -44,13 +45,16 @@ def taps_base(events: DataFrame) -> DataFrame:
 
 
 def with_redeliveries(base: DataFrame) -> DataFrame:
-    """Every tenth event delivered twice (``copy_no`` 0 and 1).
+    """Every tenth event delivered twice (``copy_no`` 0 and 1); copy 1 of
+    every thirtieth carries a later time.
 
     One pass over the input (a generator, not a union of two scans), so it
     works unchanged on a stream.
     """
-    return base.selectExpr(
+    both = base.selectExpr(
         "*", "explode(CASE WHEN event_id % 10 = 0 THEN array(0, 1) ELSE array(0) END) AS copy_no")
+    return both.withColumn("event_time", F.expr(
+        "CASE WHEN copy_no = 1 AND event_id % 30 = 0 THEN event_time + INTERVAL 1 SECOND ELSE event_time END"))
 
 
 def taps(spark: SparkSession, sf_dir: str, with_copy_no: bool = False) -> DataFrame:
@@ -59,7 +63,11 @@ def taps(spark: SparkSession, sf_dir: str, with_copy_no: bool = False) -> DataFr
     return t if with_copy_no else t.drop("copy_no")
 
 
-def encode_tap_json(df: DataFrame) -> object:
+# Of every 211th tap the bus carries a time that no timestamp can hold.
+UNREADABLE_EVERY, UNREADABLE_MILLIS = 211, 9223372036854775807
+
+
+def encode_tap_json(df: DataFrame, millis=None) -> object:
     """Wire payload of a tap as JSON text; the timestamp in epoch ms.
 
     Built field by field (rather than ``to_json``) so that null fields are
@@ -79,7 +87,7 @@ def encode_tap_json(df: DataFrame) -> object:
         F.lit(',"card_id":'), s("card_id"),
         F.lit(',"bus_id":'), s("bus_id"),
         F.lit(',"event_type":'), s("event_type"),
-        F.lit(',"timestamp":'), n(epoch_millis(df, "event_time")),
+        F.lit(',"timestamp":'), n(epoch_millis(df, "event_time") if millis is None else millis),
         F.lit(',"latitude":'), n(F.col("latitude")),
         F.lit(',"longitude":'), n(F.col("longitude")),
         F.lit("}"),
@@ -94,10 +102,13 @@ def tap_envelope_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     follows the bus number (same bus, same partition); the offset is unique
     per delivery; the broker timestamp is the event time.
     """
+    from tapflow.functions.times import epoch_millis
     t = taps(spark, sf_dir, with_copy_no=True)
+    millis = F.when(F.col("event_id") % UNREADABLE_EVERY == 0, F.lit(UNREADABLE_MILLIS)).otherwise(
+        epoch_millis(t, "event_time"))
     return t.select(
         F.col("bus_id").cast("binary").alias("key"),
-        encode_tap_json(t).cast("binary").alias("value"),
+        encode_tap_json(t, millis).cast("binary").alias("value"),
         F.lit(TOPIC_NAME).alias("topic"),
         (F.col("event_id") % TOPIC_PARTITIONS).cast("int").alias("partition"),
         (F.col("event_id") * 2 + F.col("copy_no")).alias("offset"),

@@ -16,6 +16,7 @@ Run it with ``python -m tapflow.streaming.job --help``.
 from __future__ import annotations
 
 import argparse
+import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -24,7 +25,9 @@ from tapflow.config import PAIRING_TIMEOUT_SECONDS, WATERMARK_DELAY
 from tapflow.operators.dedup import dedup_taps_stream
 from tapflow.operators.validate import dead_letter, select_tap_fields, valid_taps
 from tapflow.schemas import TAP_FIELDS, TRIP_COLUMNS
-from tapflow.sinks.tables import dlq_batch_writer, parquet_batch_writer
+from tapflow.sinks.tables import (
+    dlq_batch_writer, jdbc_batch_writer, jdbc_properties, parquet_batch_writer,
+)
 from tapflow.streaming.crowd import crowd_counts_stream, crowd_flags_from_counts
 from tapflow.streaming.pairing import pair_taps_stream
 from tapflow.streaming.run import start_foreach_batch
@@ -40,7 +43,8 @@ class JobConfig:
     max_open_seconds: int | None = PAIRING_TIMEOUT_SECONDS
     strict_reference: bool = False
     dedup_unbounded: bool = False
-    ordered_pairing: bool = False     # hold rows until the watermark (see pairing.py)
+    ordered_pairing: bool = True      # pair in event-time order (see pairing.py)
+    jdbc: dict | None = None          # url, properties; raw, trips and flags go to its tables
     triggers: dict = field(default_factory=lambda: {
         "raw": {"processingTime": "10 seconds"},
         "trips": {"processingTime": "15 seconds"},
@@ -70,14 +74,30 @@ def build_outputs(taps: DataFrame, cfg: JobConfig) -> dict[str, DataFrame]:
     return out
 
 
+TABLES = {"raw": ("raw_events", TAP_FIELDS), "trips": ("trips", TRIP_COLUMNS),
+          "flags": ("crowd_flags", FLAG_COLUMNS)}
+
+
+def checkpoint_of(cfg: JobConfig, name: str) -> str:
+    return f"{cfg.checkpoint_base.rstrip('/')}/{name}"
+
+
+def _only_trips(fn):
+    """A database's trips table holds paired trips, no expired tap_ins."""
+    return lambda batch, batch_id: fn(batch.where("record_type = 'trip'"), batch_id)
+
+
 def default_sinks(cfg: JobConfig) -> dict:
     b = cfg.output_base.rstrip("/")
-    return {
-        "raw": parquet_batch_writer(f"{b}/raw_events", TAP_FIELDS),
-        "trips": parquet_batch_writer(f"{b}/trips", ["record_type"] + TRIP_COLUMNS),
-        "flags": parquet_batch_writer(f"{b}/crowd_flags", FLAG_COLUMNS),
-        "dlq": dlq_batch_writer(f"{b}/dlq"),
-    }
+    sinks = {"dlq": dlq_batch_writer(f"{b}/dlq", checkpoint=checkpoint_of(cfg, "dlq"))}
+    for name, (table, columns) in TABLES.items():
+        if cfg.jdbc:
+            fn = jdbc_batch_writer(cfg.jdbc["url"], table, columns, cfg.jdbc["properties"], cfg.jdbc.get("append"))
+            sinks[name] = _only_trips(fn) if name == "trips" else fn
+        else:
+            kept = ["record_type", *columns] if name == "trips" else columns
+            sinks[name] = parquet_batch_writer(f"{b}/{table}", kept, checkpoint=checkpoint_of(cfg, name))
+    return sinks
 
 
 OUTPUT_MODES = {"raw": "append", "trips": "append", "flags": "update", "dlq": "append"}
@@ -91,11 +111,19 @@ def start_job(taps: DataFrame, cfg: JobConfig, trigger_override: dict | None = N
     for name, df in outputs.items():
         trig = trigger_override or cfg.triggers[name]
         queries[name] = start_foreach_batch(
-            df, sinks[name], f"{cfg.checkpoint_base.rstrip('/')}/{name}",
+            df, sinks[name], checkpoint_of(cfg, name),
             output_mode=OUTPUT_MODES[name], trigger=trig, name=f"tapflow_{name}")
     return queries
 
 
+def jdbc_config(a) -> dict | None:
+    if not a.jdbc_url:
+        return None
+    password = os.environ[a.jdbc_password_env] if a.jdbc_password_env else None
+    extra = dict(o.split("=", 1) for o in a.jdbc_option)
+    return {"url": a.jdbc_url, "properties": jdbc_properties(a.jdbc_user, password, **extra)}
+
+
 def main(argv=None):
     from tapflow.session import build_session
     from tapflow.sources.envelope import decode_avro, decode_json, envelope_taps, read_kafka
@@ -107,10 +135,15 @@ def main(argv=None):
     ap.add_argument("--payload", choices=["avro", "json"], default="avro")
     ap.add_argument("--checkpoint-base", required=True)
     ap.add_argument("--output-base", required=True)
-    ap.add_argument("--max-offsets-per-trigger", type=int, default=1000)
+    ap.add_argument("--max-offsets-per-trigger", type=int,
+                    help="rows per micro-batch; size it from the cluster (default: all there is)")
     ap.add_argument("--strict-reference", action="store_true")
-    ap.add_argument("--ordered-pairing", action="store_true",
-                    help="pair taps in event-time order (rows wait for the watermark)")
+    ap.add_argument("--arrival-order", action="store_true",
+                    help="pair taps as they arrive instead of in event-time order behind the watermark")
+    ap.add_argument("--jdbc-url", help="write raw taps, trips and flags to this database")
+    ap.add_argument("--jdbc-user")
+    ap.add_argument("--jdbc-password-env", help="name of the variable that holds the password")
+    ap.add_argument("--jdbc-option", action="append", default=[], metavar="NAME=VALUE")
     a = ap.parse_args(argv)
 
     spark = build_session()
@@ -118,7 +151,8 @@ def main(argv=None):
     taps = envelope_taps(raw, decode_avro if a.payload == "avro" else decode_json,
                          ntz_event_time=False)
     cfg = JobConfig(checkpoint_base=a.checkpoint_base, output_base=a.output_base,
-                    strict_reference=a.strict_reference, ordered_pairing=a.ordered_pairing)
+                    strict_reference=a.strict_reference, ordered_pairing=not a.arrival_order,
+                    jdbc=jdbc_config(a))
     queries = start_job(taps, cfg)
     await_any_and_stop(spark, list(queries.values()))
 

@@ -1,6 +1,7 @@
 """Keyed pairing of taps into trips on a stream.
 
-Per card, the state holds the one pending tap_in.  Each micro-batch call
+Per card, the state holds the one waiting tap_in and, in ordered mode, the
+rows that the watermark has not passed.  Each micro-batch call
 gets the card's new rows; they are ordered by (event_time, transaction_id),
 the pending tap_in is put in front, and the batch rule applies unchanged:
 a tap_out pairs iff the row before it is a tap_in (done with column shifts,
@@ -10,11 +11,13 @@ With ``max_open_seconds`` a tap_in waits at most that long in event time:
 an event-time timeout at ``tap_in + max_open`` emits it as ``expired`` once
 the watermark passes, and a tap_out arriving later than that does not pair.
 
-With ``ordered=True`` rows are held in state until the watermark has passed
+By default (``ordered=True``) rows are held in state until the watermark has passed
 them and only then paired, in event-time order, so a tap that arrives in a
 later micro-batch than a newer tap of the same card (but within the
 watermark delay) still pairs exactly as in the batch form.  The rows held
 per card are bounded by the watermark delay times that card's tap rate.
+``ordered=False`` pairs in arrival order, with less delay; there a tap_out
+that is stamped before the waiting tap_in does not pair with it.
 A row is final once its time is below the watermark the current batch
 evicts with: rows of later batches older than that are dropped as late.
 
@@ -29,7 +32,6 @@ restarts via the checkpoint.
 from __future__ import annotations
 
 import hashlib
-import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -73,18 +75,14 @@ class _Rows:
                    rows["longitude"].to_numpy(dtype="float64"))
 
     @classmethod
-    def from_json(cls, text: str | None) -> "_Rows":
-        items = json.loads(text) if text else []
-        cols = list(zip(*items)) if items else [[]] * 6
-        return cls(np.array(cols[0], dtype=object), np.array(cols[1], dtype=object),
-                   np.array(cols[2], dtype=object), np.array(cols[3], dtype="int64"),
-                   np.array(cols[4], dtype="float64"), np.array(cols[5], dtype="float64"))
-
-    def to_json(self) -> str | None:
-        if not len(self):
-            return None
-        return json.dumps([[str(a), str(b), str(c), int(d), float(e), float(f)] for a, b, c, d, e, f
-                           in zip(self.tx, self.typ, self.bus, self.ts, self.lat, self.lon)])
+    def from_state(cls, columns=None) -> "_Rows":
+        tx, typ, bus, ts, lat, lon = columns or [[]] * 6
+        return cls(np.array(tx, dtype=object), np.array(typ, dtype=object), np.array(bus, dtype=object),
+                   np.array(ts, dtype="int64"), np.array(lat, dtype="float64"), np.array(lon, dtype="float64"))
+
+    def to_state(self) -> tuple:
+        return ([str(x) for x in self.tx], [str(x) for x in self.typ], [str(x) for x in self.bus],
+                self.ts.tolist(), self.lat.tolist(), self.lon.tolist())
 
     def __len__(self) -> int:
         return len(self.ts)
@@ -141,21 +139,15 @@ def _frame(parts: list[dict]) -> pd.DataFrame:
     return pd.DataFrame(cols, columns=_OUT_COLS)
 
 
-def _pending_rows(pend) -> _Rows:
-    tx, bus, ts_us, lat, lon = pend[:5]
-    return _Rows(np.array([tx], dtype=object), np.array(["tap_in"], dtype=object),
-                 np.array([bus], dtype=object), np.array([int(ts_us)], dtype="int64"),
-                 np.array([lat], dtype="float64"), np.array([lon], dtype="float64"))
-
-
-def make_pairing_function(max_open_seconds: int | None = None, ordered: bool = False):
+def make_pairing_function(max_open_seconds: int | None = None, ordered: bool = True):
     max_open_us = None if max_open_seconds is None else int(max_open_seconds) * 1_000_000
 
     def pair(key: tuple, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         card = key[0]
         saved = state.get if state.exists else None
-        pend = saved if saved is not None and saved[0] is not None else None
-        held = _Rows.from_json(saved[5] if saved is not None and len(saved) > 5 else None)
+        kept = _Rows.from_state(saved[1:] if saved is not None else None)
+        settled = int(saved[0]) if saved is not None else 0
+        waiting, held = kept.take(slice(0, settled)), kept.take(slice(settled, None))
         frames = [c for c in chunks if len(c)]
         parts = [held] + ([_Rows.from_frame(pd.concat(frames, ignore_index=True))]
                           if frames else [])
@@ -169,8 +161,7 @@ def make_pairing_function(max_open_seconds: int | None = None, ordered: bool = F
         else:
             ready, held = rows, rows.take(np.array([], dtype=int))
         ready = ready.ordered()
-        if pend is not None:                      # the pending tap_in goes first
-            ready = _Rows.concat([_pending_rows(pend), ready])
+        ready = _Rows.concat([waiting, ready])    # the waiting tap_in goes first
 
         out = []
         n = len(ready)
@@ -180,7 +171,9 @@ def make_pairing_function(max_open_seconds: int | None = None, ordered: bool = F
             gap[1:] = ts[1:] - ts[:-1]
             prev_in = np.zeros(n, dtype=bool)
             prev_in[1:] = typ[:-1] == "tap_in"
-            within = np.ones(n, dtype=bool) if max_open_us is None else gap <= max_open_us
+            within = gap >= 0                    # in arrival order an older tap_out may follow
+            if max_open_us is not None:
+                within &= gap <= max_open_us
             at = np.nonzero((typ == "tap_out") & prev_in & within)[0]
             if len(at):
                 out.append(_trip_cols(card, ready, at - 1, at))
@@ -192,28 +185,24 @@ def make_pairing_function(max_open_seconds: int | None = None, ordered: bool = F
                 exp = exp[exp < n - 1]
                 if len(exp):
                     out.append(_expired_cols(card, ready, exp))
-            last = n - 1
-            pend = ((str(ready.tx[last]), str(ready.bus[last]), int(ts[last]),
-                     float(ready.lat[last]), float(ready.lon[last]))
-                    if typ[last] == "tap_in" else None)
+            waiting = ready.take(slice(n - 1, n) if typ[n - 1] == "tap_in" else slice(0, 0))
 
         deadlines = []
-        if pend is not None and max_open_us is not None:
-            deadline_us = pend[2] + max_open_us
+        if len(waiting) and max_open_us is not None:
+            deadline_us = int(waiting.ts[0]) + max_open_us
             if deadline_us // 1000 < wm_ms:
-                out.append(_expired_cols(card, _pending_rows(pend), np.array([0])))
-                pend = None
+                out.append(_expired_cols(card, waiting, np.array([0])))
+                waiting = waiting.take(slice(0, 0))
             else:
                 deadlines.append(deadline_us // 1000)
         if len(held):
             deadlines.append(int(held.ts.min()) // 1000)
 
-        if pend is None and not len(held):
+        if not len(waiting) and not len(held):
             if state.exists:
                 state.remove()
         else:
-            p = pend or (None, None, None, None, None)
-            state.update((*p, held.to_json()))
+            state.update((len(waiting), *_Rows.concat([waiting, held.ordered()]).to_state()))
             if deadlines:
                 # fires once the watermark passes the earliest deadline
                 state.setTimeoutTimestamp(max(min(deadlines), wm_ms))
@@ -224,7 +213,7 @@ def make_pairing_function(max_open_seconds: int | None = None, ordered: bool = F
 
 
 def pair_taps_stream(good: DataFrame, max_open_seconds: int | None = None,
-                     ordered: bool = False) -> DataFrame:
+                     ordered: bool = True) -> DataFrame:
     """Trips (and, with ``max_open_seconds``, expired tap_ins) from a stream
     of good taps that already carries a watermark on ``event_time``."""
     timed = max_open_seconds is not None or ordered

@@ -33,10 +33,13 @@ def start_foreach_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None],
 
 
 def drain(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
-    """Wait for an ``availableNow`` query to finish; re-raise its failure."""
-    query.awaitTermination(timeout_s)
+    """Wait for an ``availableNow`` query to finish; re-raise its failure.
+    A query that is still running after ``timeout_s`` is stopped and raises
+    ``TimeoutError``: its output is not complete."""
+    query.awaitTermination(timeout_s) if timeout_s is not None else query.awaitTermination()
     if query.isActive:
         query.stop()
+        raise TimeoutError(f"streaming query still running after {timeout_s} s")
     exc = query.exception()
     if exc is not None:
         raise RuntimeError(f"streaming query failed: {exc}")

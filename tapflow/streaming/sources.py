@@ -2,10 +2,13 @@
 
 File streams need an explicit schema; ``ts`` is read as ``TIMESTAMP`` (the
 stored microseconds are kept, i.e. UTC), because a watermark needs that
-type.  A file stream cannot name a single file, so the directory is read
-with ``pathGlobFilter``.  ``maxFilesPerTrigger`` (like the message bus's
-``maxOffsetsPerTrigger``) bounds each micro-batch, and with it the rows one
-key can bring to a stateful operator at once.
+type.  A table is one file or a folder of part files; a file stream cannot
+name a single file, so that one is picked out of its directory with
+``pathGlobFilter``.  A stored table is replayed as one micro-batch unless
+``max_files_per_trigger`` is set: the watermark then moves only after all rows
+have been seen, so no row of a bounded replay is late, whatever the order of
+the files.  With several micro-batches, rows older than the watermark of the
+batch before are dropped as late, as on a live stream.
 """
 
 from __future__ import annotations
@@ -27,18 +30,27 @@ EVENTS_STREAM_SCHEMA = StructType([
 ])
 
 
-def events_stream(spark: SparkSession, directory: str, glob: str = "events.parquet",
-                  max_files_per_trigger: int = 1) -> DataFrame:
-    return (spark.readStream.schema(EVENTS_STREAM_SCHEMA)
-            .option("pathGlobFilter", glob)
-            .option("maxFilesPerTrigger", max_files_per_trigger)
-            .parquet(directory))
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Asked of the path's own file system, whichever that is."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
+def events_stream(spark: SparkSession, directory: str, name: str = "events.parquet",
+                  max_files_per_trigger: int | None = None) -> DataFrame:
+    path = f"{directory.rstrip('/')}/{name}"
+    r = spark.readStream.schema(EVENTS_STREAM_SCHEMA)
+    if max_files_per_trigger is not None:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if is_folder(spark, path):
+        return r.parquet(path)
+    return r.option("pathGlobFilter", name).parquet(directory)
 
 
-def taps_stream(spark: SparkSession, directory: str, glob: str = "events.parquet",
-                max_files_per_trigger: int = 1) -> DataFrame:
+def taps_stream(spark: SparkSession, directory: str, name: str = "events.parquet",
+                max_files_per_trigger: int | None = None) -> DataFrame:
     """The tap table as a stream (same projection as the batch fixture)."""
-    ev = events_stream(spark, directory, glob, max_files_per_trigger)
+    ev = events_stream(spark, directory, name, max_files_per_trigger)
     return with_redeliveries(taps_base(ev)).drop("copy_no")
 
 

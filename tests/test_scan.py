@@ -80,8 +80,41 @@ def test_only_hot_key_is_sliced(frame):
     assert all(n == 0 for k, n in per_key.items() if k != "HOT")
 
 
+def test_slices_follow_the_times(spark):
+    """One early row does not undo the split of a key that is busy later."""
+    from tapflow.operators.scan import _hot_slices
+    t = dt.datetime(2024, 1, 1)
+    rows = [("HOT", t - dt.timedelta(days=365), "first", 1, 0.0)] + [
+        ("HOT", t + dt.timedelta(milliseconds=600 * i), f"i{i:04d}", 1, 0.0) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k string, event_time timestamp_ntz, id string, d int, x double")
+    d = _hot_slices(df, ["k"], ["event_time", "id"], "event_time", 3600, 100, 1)
+    sizes = [r["count"] for r in d.groupBy("_scan_bucket").count().collect()]
+    assert max(sizes) <= 60 and sum(sizes) == 1001
+
+
+@pytest.mark.parametrize("hot", HOT_MODES)
+def test_rows_without_a_time(spark, hot):
+    rows = _rows(7, 200) + [("HOT", None, f"n{i}", 1, 0.5) for i in range(5)]
+    df = spark.createDataFrame(rows, "k string, event_time timestamp_ntz, id string, d int, x double")
+    w = Window.partitionBy("k").orderBy("event_time", "id")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    want = df.select("id", F.sum("d").over(upto).alias("s"), F.max("x").over(upto).alias("m"),
+                     F.lag("id").over(w).alias("p"))
+    kw = {"bucket_seconds": 600, "hot_key_rows": hot[0], "sample_every": hot[1]}
+    got = prefix_sums(df, ["k"], ["event_time", "id"], {"s": F.col("d")}, {"m": F.col("x")}, **kw)
+    got = with_neighbor(got, ["k"], ["event_time", "id"], [], "nb", **kw)
+    got = got.select("id", "s", "m", F.col("nb.id").alias("p"))
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+
+
+def test_no_hot_key_is_the_plain_window(frame):
+    plan = prefix_sums(frame, ["k"], ["event_time", "id"], {"s": F.col("d")})._jdf.queryExecution().executedPlan().toString()
+    assert "_scan_bucket" not in plan and "Join" not in plan
+
+
 def test_plan_splits_hot_key_by_slice(frame):
     """The main window is partitioned by (key, slice), not by key alone."""
-    got = prefix_sums(frame, ["k"], ["event_time", "id"], {"s": F.col("d")}, bucket_seconds=60)
+    got = prefix_sums(frame, ["k"], ["event_time", "id"], {"s": F.col("d")}, bucket_seconds=60,
+                      hot_key_rows=50, sample_every=1)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "_scan_bucket" in plan

@@ -9,37 +9,43 @@ from tapflow.config import STOPS
 from tapflow.operators import geo, timetable as tt
 
 
-@pytest.fixture()
-def one_day(spark):
-    rows = [(f"BUS-0{n}", dt.datetime(2024, 5, 2, 9)) for n in range(1, 8)]
-    return spark.createDataFrame(rows, "bus_id string, event_time timestamp_ntz")
-
-
-def test_bus_01_schedule(one_day):
-    t = tt.timetable(one_day).where("bus_id = 'BUS-01'").orderBy("seq_no").collect()
-    # 06:00 start, 55 minute legs, window closes at 12:00: 6 full legs + 6 stops
-    assert len(t) == 66
-    assert t[0].arrival == dt.datetime(2024, 5, 2, 6, 0) and t[0].stop_id == "H-A"
-    assert t[9].stop_id == "H-J" and t[10].stop_id == "H-J"
-    assert t[10].arrival == dt.datetime(2024, 5, 2, 6, 55) and t[10].direction == "backward"
-    assert t[-1].arrival < dt.datetime(2024, 5, 2, 12, 0)
-
-
-def test_departures_spaced_15_minutes(one_day):
-    first = tt.timetable(one_day).where("seq_no = 0").orderBy("bus_id").collect()
-    assert [r.arrival.strftime("%H:%M") for r in first] == \
-        ["06:00", "06:15", "06:30", "06:45", "07:00", "07:15", "07:30"]
-
-
-def test_legs_and_counts(one_day):
-    legs = tt.direction_legs(tt.timetable(one_day))
-    b1 = legs.where("bus_id = 'BUS-01'").orderBy("leg").collect()
-    assert [r.n_stops for r in b1] == [10] * 6 + [6]
-    assert b1[0].stop_list == ",".join(s[0] for s in STOPS)
-    c = tt.leg_direction_counts(legs).where("bus_id = 'BUS-01'").first()
-    assert (c.forward_legs, c.backward_legs, c.total_legs) == (4, 3, 7)
-    head = tt.timetable_head(tt.timetable(one_day)).groupBy("bus_id").count().collect()
-    assert {r["count"] for r in head} == {21}
+def _taps(spark, bus, stops, day=2):
+    """One tap a minute at each of the given stop indexes."""
+    t = dt.datetime(2024, 5, day, 6)
+    rows = [(f"{bus}-{day}-{i:03d}", bus, t + dt.timedelta(minutes=i), STOPS[k][1], STOPS[k][2])
+            for i, k in enumerate(stops)]
+    return spark.createDataFrame(rows, "transaction_id string, bus_id string, event_time timestamp_ntz, "
+                                       "latitude double, longitude double")
+
+
+RUN = [0, 0, 1, 2, 2, 2, 3, 2, 1, 1, 0, 4]
+
+
+@pytest.mark.parametrize("bus", ["BUS-01", "BUS-25", "BUS-99999999999"])
+def test_visits_come_from_the_taps(spark, bus):
+    t = tt.timetable(_taps(spark, bus, RUN)).orderBy("seq_no").collect()
+    assert [r.stop_idx for r in t] == [0, 1, 2, 3, 2, 1, 0, 4]
+    assert [r.arrival.minute for r in t] == [0, 2, 3, 6, 7, 8, 10, 11]
+    assert [r.direction[0] for r in t] == list("ffffbbbf")
+    assert [r.leg_no for r in t] == [0, 0, 0, 0, 1, 1, 1, 2]
+    assert [r.seq_no for r in t] == list(range(8))
+
+
+def test_legs_and_counts(spark):
+    table = tt.timetable(_taps(spark, "BUS-25", RUN).unionByName(_taps(spark, "BUS-25", [5, 3, 3, 9], day=3)))
+    legs = tt.direction_legs(table)
+    got = [(r.service_date.day, r.leg, r.direction, r.n_stops, r.stop_list)
+           for r in legs.orderBy("service_date", "leg").collect()]
+    assert got == [(2, 1, "forward", 4, "H-A,H-B,H-C,H-D"), (2, 2, "backward", 3, "H-C,H-B,H-A"),
+                   (3, 1, "backward", 2, "H-F,H-D")]           # legs of one stop are left out
+    c = tt.leg_direction_counts(legs).where("service_date = '2024-05-02'").first()
+    assert (c.forward_legs, c.backward_legs, c.total_legs) == (1, 1, 2)
+    assert tt.timetable_head(table, 2).count() == 4
+
+
+def test_a_single_visit(spark):
+    t = tt.timetable(_taps(spark, "BUS-07", [4, 4])).collect()
+    assert [(r.seq_no, r.leg_no, r.direction, r.stop_id) for r in t] == [(0, 0, "forward", "H-E")]
 
 
 def _python_segment(lat, lon):

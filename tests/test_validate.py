@@ -88,3 +88,50 @@ def test_publish_frame_decodes_back(spark):
         (True, GOOD_TX, "BUS-01", T),
         (True, GOOD_TX[:-1] + "2", "BUS-07", T.replace(microsecond=123000))]
     assert [r.key for r in pub.collect()] == ["BUS-01", "BUS-07"]
+
+
+def _one_envelope(spark, values):
+    return spark.createDataFrame([(b"k", v, "t", 0, i, T) for i, v in enumerate(values)],
+                                 "key binary, value binary, topic string, partition int, offset long, "
+                                 "timestamp timestamp_ntz")
+
+
+def test_unreadable_time_reaches_the_dead_letters(spark):
+    body = ('{"transaction_id":"' + GOOD_TX + '","card_id":"C1","bus_id":"BUS-01","event_type":"tap_in",'
+            '"timestamp":%s,"latitude":-6.2,"longitude":106.8}')
+    values = [(body % t).encode() for t in ("9223372036854775807", "-9223372036854775808", "null", "1704096000123")]
+    for ntz in (True, False):
+        d = envelope_taps(_one_envelope(spark, values), ntz_event_time=ntz)
+        got = {r.kafka_offset: r.error_reason for r in dead_letter(d).collect()}
+        assert got == {0: "invalid_timestamp_parse", 1: "invalid_timestamp_parse", 2: "missing_timestamp"}
+
+
+def _struct(time_sql, tx="transaction_id"):
+    return lambda value: F.expr(f"""named_struct('transaction_id', {tx}, 'card_id', 'C1', 'bus_id', 'BUS-01',
+        'event_type', 'tap_in', 'timestamp', {time_sql}, 'latitude', -6.2D, 'longitude', 106.8D)""")
+
+
+@pytest.mark.parametrize("ntz", [True, False])
+def test_decoder_with_a_timestamp(spark, ntz):
+    """What the Avro decoder yields: the time is a TIMESTAMP already."""
+    decode = _struct("TIMESTAMP'2024-01-01 08:00:00.123 UTC'", f"'{GOOD_TX}'")
+    rows = envelope_taps(_one_envelope(spark, [b"x"]), decode, ntz_event_time=ntz)
+    assert rows.first().event_time == dt.datetime(2024, 1, 1, 8, 0, 0, 123000)
+    assert dead_letter(rows).count() == 0
+
+
+def test_decoder_with_a_struct_of_nulls(spark):
+    """An undecodable Avro payload is a struct of nulls, not a null struct."""
+    decode = lambda value: F.from_json(F.lit("{}"), "transaction_id string, card_id string, bus_id string, "
+                                       "event_type string, timestamp timestamp, latitude double, longitude double")
+    rows = envelope_taps(_one_envelope(spark, [b"x"]), decode)
+    assert [r.error_reason for r in dead_letter(rows).collect()] == ["unknown_parse_error"]
+
+
+def test_avro_publishing_is_framed(spark):
+    from tapflow.sinks.tables import publish_frame
+    taps = spark.createDataFrame([c[0] for c in CASES[:1]], SCHEMA)
+    with pytest.raises(ValueError):
+        publish_frame(taps, "avro")
+    value = publish_frame(taps, "avro", schema_id=258, encode=lambda rec: F.to_json(rec).cast("binary")).first().value
+    assert bytes(value[:5]) == b"\0\0\0\1\2" and bytes(value[5:6]) == b"{"
