@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapflow.session import ensure_checkpoint_dir, materialize, scratch_path, ship_package
+from tapflow.session import ensure_checkpoint_dir, scratch_path, ship_package
 
 #: Rows and bytes of one Arrow batch handed to a Python worker: with the long
 #: documents of a corpus, the default of 10,000 rows would not be bounded.
@@ -35,16 +35,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written under the shared checkpoint folder and read back."""
-    return materialize(df, name)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out._written_to = path
+    return out
 
 
 def drop_written(*frames: DataFrame) -> None:
     """Delete tables made by ``written`` that no later result reads."""
     for frame in frames:
         sc = frame.sparkSession.sparkContext
-        for folder in {f.rsplit("/", 1)[0] for f in frame.inputFiles() if "/tapflow/" in f}:
-            path = sc._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        path = sc._jvm.org.apache.hadoop.fs.Path(frame._written_to)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def crc_bucket(id_col: str, modulus: int):

@@ -18,6 +18,15 @@ def base_rows():
     ]
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_partitions(spark):
+    """The tables are small: fewer tasks, the same plans."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture(scope="session")
 def prepared(spark):
     from tapflow.llm.common import prepare
