@@ -79,11 +79,6 @@ def time_bucket(df: DataFrame, col_name: str, seconds: int) -> Column:
     return F.floor(epoch_micros(df, col_name) / F.lit(seconds * 1_000_000)).cast("long")
 
 
-def seconds_between(df: DataFrame, start: str, end: str) -> Column:
-    """``end - start`` in (fractional) seconds."""
-    return (epoch_micros(df, end) - epoch_micros(df, start)) / F.lit(1_000_000.0)
-
-
 def format_seconds(c: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` text of a timestamp (either type)."""
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss")

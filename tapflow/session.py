@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -69,7 +70,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         master = sc.master if sc is not None else spark.conf.get("spark.master", "")
-        if not str(master).startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", str(master)):      # local-cluster has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="tapflow-ckpt-")
     if sc is None:
@@ -85,15 +86,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tapflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local-only bookkeeping (tests)."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
-
-
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: lineage is cut there, and a result consumed by several branches of
