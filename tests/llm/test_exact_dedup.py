@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import pytest
 
+from tapflow.llm import bloom
 from tapflow.llm import exact_dedup as m
 
 
@@ -10,7 +11,7 @@ def ascii_lower(t):
     return "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
 
 
-@pytest.mark.parametrize("limit", [m.MAX_FILTER_BYTES, 8])     # 8 bytes: filtered in several hash ranges
+@pytest.mark.parametrize("limit", [bloom.MAX_FILTER_BYTES, 8])     # 8 bytes: filtered in several hash ranges
 def test_against_grouping(docs, limit):
     got = m.exact_dedup(docs, max_filter_bytes=limit).collect()
     rows = [(r.doc_id, ascii_lower(r.text)) for r in docs.collect()]
