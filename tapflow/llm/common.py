@@ -15,8 +15,8 @@ from tapflow.session import ensure_checkpoint_dir, scratch_path, ship_package
 
 #: Rows and bytes of one Arrow batch handed to a Python worker: with the long
 #: documents of a corpus, the default of 10,000 rows would not be bounded.
-BATCH_ROWS = 512
-BATCH_BYTES = "16m"
+BATCH_ROWS = 256
+BATCH_BYTES = "4m"
 
 _WORD = re.compile(r"\w+")
 
@@ -64,7 +64,7 @@ def words(text: str) -> list[str]:
 class WordHashes(dict):
     """word -> 64-bit hash, remembered; start anew with ``trim``."""
 
-    LIMIT = 400_000
+    LIMIT = 100_000
 
     def __missing__(self, word: str) -> int:
         h = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))

@@ -121,7 +121,7 @@ _SYMBOLS = {k: frozenset(v) for k, v in GRAMMAR_WORDS.items()}
 class Symbols(dict):
     """word -> (symbol, weight), remembered."""
 
-    LIMIT = 400_000
+    LIMIT = 100_000
 
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
