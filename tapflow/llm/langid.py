@@ -31,6 +31,8 @@ MAX_WORDS = 100_000
 MAX_GRAMS = 100_000
 ORDERS = (4, 3, 2, 1)
 MIN_COUNT = 2
+#: Steps per doubling of a count at which the model may cut off its words.
+LEVELS = 16
 #: Words whose evidence the score counts in full; longer texts are as sure.
 EVIDENCE_WORDS = 20
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -147,7 +149,18 @@ def fit_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
         wide = counts.groupBy("word").agg(
             F.sum("n").alias("total"), *[F.sum(F.when(F.col("lang") == name, F.col("n")).otherwise(0)).alias(f"l{k}")
                                          for k, name in enumerate(languages)])
-        kept = wide.where(F.col("total") >= MIN_COUNT).orderBy(F.desc("total"), "word").limit(most)
+        wide = written(wide.where(F.col("total") >= MIN_COUNT), "langid-counts")
+        # the least count at which no more than ``most`` keys are left, from a
+        # histogram by logarithm (a sorted limit would send ``most`` rows from
+        # every partition)
+        level = F.floor(F.log2("total") * LEVELS).cast("int")
+        left, cut = most, None
+        for r in sorted(wide.groupBy(level.alias("v")).count().collect(), key=lambda r: -r["v"]):
+            if r["count"] > left:
+                cut = r["v"]
+                break
+            left -= r["count"]
+        kept = wide if cut is None else wide.where(level > cut)
         return {r[0]: np.array(r[2:], float) for r in kept.collect()}     # at most ``most`` rows
 
     known = {"w" + w: c for w, c in top(per, max_words).items()}
