@@ -4,8 +4,8 @@ A seed is a fixed mask over a run of words; the words under its 1s are
 hashed, those under its 0s are ignored, so a hit survives a substituted word
 there.  The seeds' hashes of the benchmark items are joined with those of the
 documents, and every hit is verified on its diagonal: item and document are
-laid side by side at the hit, and the best stretch in which at least
-``identity`` of the words agree is taken.  A document is contaminated by an
+laid side by side at the hit, and of the stretches in which at least
+``identity`` of the words agree the one with the most equal words is taken.  A document is contaminated by an
 item when that stretch holds ``min_matched`` equal words, or
 ``identity`` of the item's words where the item is shorter.
 
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +57,11 @@ def seed_hashes(h: np.ndarray, seed: str) -> np.ndarray:
 _ODD = mix64(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 
 
+def share_of(identity: float) -> tuple[int, int]:
+    """The share as whole numbers, numerator and denominator."""
+    return Fraction(identity).limit_denominator(1000).as_integer_ratio()
+
+
 class Block:
     """Hash table over the seeds of some benchmark items."""
 
@@ -96,23 +102,32 @@ class Block:
         return found
 
     def overlap(self, h: np.ndarray, item: int, diagonal: int, identity: float) -> tuple[int, int, int, int]:
-        """(document start, item start, length, equal words) of the best
-        stretch on a diagonal with at least ``identity`` equal words."""
+        """(document start, item start, length, equal words) of the stretch
+        on a diagonal with the most equal words among those of which at least
+        ``identity`` are equal; the first of several."""
         t = self.tokens[item]
         a, b = max(0, -diagonal), min(len(t), len(h) - diagonal)
         same = t[a:b] == h[diagonal + a:diagonal + b]
-        # a stretch with a positive sum has that share of equal words
-        sums = np.concatenate([[0.0], np.cumsum(np.where(same, 1.0, -identity / (1 - identity)))])
-        low = np.minimum.accumulate(sums)
-        end = int((sums - low).argmax())
-        start = int(sums[:end + 1].argmin())
-        return diagonal + a + start, a + start, end - start, int(same[start:end].sum())
+        # in whole numbers: a stretch has that share of equal words where its
+        # score is not negative, so from each start the furthest end at no
+        # lower sum holds the most equal words
+        num, den = share_of(identity)
+        sums = np.concatenate([[0], np.cumsum(np.where(same, den - num, -num))])
+        equal = np.concatenate([[0], np.cumsum(same)])
+        peak = np.maximum.accumulate(sums[::-1])                 # highest sum from each end on, last end first
+        ends = len(sums) - 1 - np.searchsorted(peak, sums)
+        start = int((equal[ends] - equal).argmax())
+        at = start + np.flatnonzero(same[start:ends[start]])     # unequal words at either side are no part of it
+        if not len(at):
+            return diagonal + a, a, 0, 0
+        return diagonal + a + int(at[0]), a + int(at[0]), int(at[-1] - at[0]) + 1, len(at)
 
 
 def _scan(block, min_matched: int, identity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = block.value
         hashes = WordHashes()
+        num, den = share_of(identity)
         for b in batches:
             found = []
             for text, before in zip(b.column("_text").to_pylist(), b.column("_found").to_pylist()):
@@ -120,7 +135,7 @@ def _scan(block, min_matched: int, identity: float):
                 h = hashes.of(words(text or ""))
                 for item, diagonal in held.hits(h):
                     o = held.overlap(h, item, diagonal, identity)
-                    need = min(min_matched, math.ceil(identity * len(held.tokens[item])))
+                    need = min(min_matched, -(-num * len(held.tokens[item]) // den))
                     if o[3] >= need and (item not in best or (o[3], -o[0]) > (best[item][3], -best[item][0])):
                         best[item] = o
                 found.append((before or []) + [
