@@ -5,8 +5,12 @@ equal texts).  Every linked document starts in a shard by hash and then, in
 rounds of joins, asks for the shard where most of its neighbours are.  A
 document that outranks all its neighbours (more links, then lower number)
 holds its place, so neighbours gather around it instead of swapping places.
-Moves pass under quotas: each shard lets in only the share of the bytes asked
-of it that still fits under its capacity (total / shards), picked by hash.
+Moves pass under quotas: no shard may gain more than its room under the
+capacity (total / shards), but what leaves it in the same round makes room,
+so full shards swap.  The driver balances the bytes asked from shard to shard
+(a min-cost flow over a shards x shards matrix); the granted share of each
+pair is picked by hash.  Rounds go on until no move is granted or two rounds
+in a row cut no fewer edges; the labels with the fewest cut edges count.
 
 Documents without links cut no edge wherever they lie, so they level the
 shards afterwards: those above 1/1024 of a shard one by one, largest first,
@@ -23,13 +27,14 @@ from __future__ import annotations
 
 import heapq
 import math
+from itertools import count
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapflow.llm.common import drop_written, written
 
-ROUNDS = 4
 BINS = 1 << 16
 LARGE = 1024                 # documents above 1/LARGE of a shard go one by one
 SLOT_BLOCK = 20_000
@@ -49,8 +54,48 @@ def text_links(rows: DataFrame) -> DataFrame:
     return known.join(groups, "text_key").where("uid <> dst").select(F.col("uid").alias("src"), "dst")
 
 
-def propagate(nodes: DataFrame, links: DataFrame, shards: int, capacity: float,
-              rounds: int = ROUNDS) -> DataFrame:
+def grant(asked: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """The most of the bytes ``asked`` (from shard, to shard) such that no
+    shard gains more than its ``room``.  All is granted first; what a shard
+    then has too much is taken back along the shortest ways to shards with
+    room, where a step back from j to i takes a move i -> j back and a step
+    from i to j grants it again."""
+    given = asked.astype(float)
+    over = given.sum(0) - given.sum(1) - np.maximum(room, 0)
+    tiny = 1e-9 * (1 + given.sum())
+    while over.max(initial=0) > tiny:
+        # cost of a step u -> v: 1 takes v's move to u back, -1 grants u's to v
+        cost = np.where(given.T > tiny, 1.0, np.inf)
+        cost[asked - given > tiny] = -1.0
+        dist = np.where(over > tiny, 0.0, np.inf)
+        via = np.full(len(over), -1)
+        for _ in over:
+            by = dist[:, None] + cost
+            better = by.min(0) < dist
+            if not better.any():
+                break
+            via[better] = by.argmin(0)[better]
+            dist = np.minimum(dist, by.min(0))
+        end = int(np.where(over < -tiny, dist, np.inf).argmin())
+        if over[end] >= -tiny or not np.isfinite(dist[end]):
+            break
+        way = [end]
+        while via[way[-1]] >= 0:
+            way.append(int(via[way[-1]]))
+        steps = list(zip(way[1:], way))
+        amount = min([over[way[-1]], -over[end]] + [
+            asked[u, v] - given[u, v] if cost[u, v] < 0 else given[v, u] for u, v in steps])
+        for u, v in steps:
+            if cost[u, v] < 0:
+                given[u, v] += amount
+            else:
+                given[v, u] -= amount
+        over[way[-1]] -= amount
+        over[end] += amount
+    return given
+
+
+def propagate(nodes: DataFrame, links: DataFrame, shards: int, capacity: float) -> DataFrame:
     """(uid, size, label) of the linked nodes.  ``links``: src, dst."""
     both = written(links.select("src", "dst").unionAll(links.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
                    .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight")), "shard-links")
@@ -64,30 +109,47 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int, capacity: float,
         F.pmod(F.xxhash64("uid"), F.lit(shards)).cast("int").alias("label")), "shard-labels")
     followers = written(both.join(state.where("not holds").select(F.col("uid").alias("dst")), "dst"),
                         "shard-followers")
-    for k in range(rounds):
+    best, most, stale = state, -1, 0
+    for k in count():
         votes = (followers.join(state.select(F.col("uid").alias("src"), "label"), "src")
                  .groupBy(F.col("dst").alias("uid"), F.col("label").alias("vote")).agg(F.sum("weight").alias("n"))
                  .groupBy("uid").agg(F.max(F.struct("n", (-F.col("vote")).alias("v"))).alias("best"),
                                      F.map_from_entries(F.collect_list(F.struct("vote", "n"))).alias("by")))
         # a node has at most ``shards`` different votes
+        here = F.coalesce(F.element_at("by", F.col("label")), F.lit(0))
         wish = written(state.join(votes, "uid", "left").select(
-            "uid", "size", "holds", "label",
-            F.when(F.col("best.n") > F.coalesce(F.element_at("by", F.col("label")), F.lit(0)), -F.col("best.v"))
-             .cast("int").alias("want")), f"shard-wish-{k}")
-        load = dict(wish.groupBy("label").agg(F.sum("size")).collect())
-        asked = dict(wish.where("want is not null").groupBy("want").agg(F.sum("size")).collect())
-        if not asked:
+            "uid", "size", "holds", "label", here.alias("here"),
+            F.when(F.col("best.n") > here, -F.col("best.v")).cast("int").alias("want")), f"shard-wish-{k}")
+        # at most shards * (shards + 1) rows
+        sums = wish.groupBy("label", "want").agg(F.sum("size").alias("s"), F.sum("here").alias("h")).collect()
+        whole = sum(r["h"] for r in sums)                        # links that are not cut
+        if whole > most:
+            if best is not state:
+                drop_written(best)
+            best, most, stale = state, whole, 0
+        else:
+            stale += 1
+            drop_written(state)
+        load, asked = np.zeros(shards), np.zeros((shards, shards))
+        for r in sums:
+            load[r["label"]] += r["s"]
+            if r["want"] is not None:
+                asked[r["label"], r["want"]] = r["s"]
+        given = grant(asked, capacity - load)
+        shares = {int(i * shards + j): float(given[i, j] / asked[i, j]) for i, j in zip(*np.nonzero(asked))
+                  if given[i, j] >= 1}
+        if stale == 2 or not shares:
+            drop_written(wish)
             break
-        let_in = {s: min(1.0, max(0.0, (capacity - load.get(s, 0)) / n)) for s, n in asked.items()}
-        share = F.element_at(F.create_map(*[F.lit(x) for s in let_in.items() for x in s]), F.col("want"))
-        moved = F.when(F.col("want").isNotNull() & (_hash_share("uid", F.lit(k)) < share), F.col("want"))
-        old = state
+        share = F.element_at(F.create_map(*[F.lit(x) for s in shares.items() for x in s]),
+                             F.col("label") * shards + F.col("want"))
+        # every second round only half moves, or neighbours could swap places for ever
+        moved = F.when(F.col("want").isNotNull() & (_hash_share("uid", F.lit(k)) < share * (0.5 if k % 2 else 1.0)),
+                       F.col("want"))
         state = written(wish.select("uid", "size", "holds", F.coalesce(moved, F.col("label")).alias("label")),
                         f"shard-round-{k}")
-        drop_written(old, wish)
-        if not any(let_in.values()):
-            break
-    return state.select("uid", "size", "label")
+        drop_written(wish)
+    return best.select("uid", "size", "label")
 
 
 def _level(rest: DataFrame, load: list[float], capacity: float) -> DataFrame:
@@ -131,12 +193,12 @@ def with_slots(placed: DataFrame, total_rows: int) -> DataFrame:
             .withColumn("slot", F.col("first") + F.col("k")).drop("first", "k", "block"))
 
 
-def balanced_shards(nodes: DataFrame, links: DataFrame, shards: int = 16, rounds: int = ROUNDS) -> DataFrame:
+def balanced_shards(nodes: DataFrame, links: DataFrame, shards: int = 16) -> DataFrame:
     """(uid, label) of every node.  ``nodes``: uid, size; ``links``: src,
     dst."""
     total = nodes.agg(F.sum("size")).first()[0] or 0
     capacity = total / shards
-    linked = propagate(nodes, links, shards, capacity, rounds)
+    linked = propagate(nodes, links, shards, capacity)
     sums = dict(linked.groupBy("label").agg(F.sum("size")).collect())
     # what a shard holds beyond its capacity (a hash start may) is let go
     spare = {s: max(0.0, 1 - capacity / n) for s, n in sums.items()}

@@ -1,6 +1,8 @@
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+
 from tapflow.llm import sharding as m
 
 
@@ -41,6 +43,27 @@ def test_hot_group_is_split_under_the_quota(prepared):
     assert max(load.values()) < 1.05 * sum(load.values()) / 16
 
 
+def test_grant_swaps_between_full_shards():
+    asked = np.array([[0, 10, 5], [8, 0, 0], [5, 0, 0]])
+    assert m.grant(asked, np.zeros(3)).tolist() == [[0, 8, 5], [8, 0, 0], [5, 0, 0]]
+    assert m.grant(asked, np.array([-3, 1, 0])).tolist() == [[0, 9, 5], [8, 0, 0], [5, 0, 0]]
+    # 0 -> 2 and 1 -> 2 compete for what leaves 2: only the one that 2 swaps with can go
+    assert m.grant(np.array([[0, 0, 5], [0, 0, 5], [5, 0, 0]]), np.zeros(3)).tolist() == [[0, 0, 5], [0, 0, 0], [5, 0, 0]]
+
+
+def test_all_rows_have_copies(prepared):
+    for group in (2, 50):
+        df = prepared.range(16000).selectExpr("id AS doc_id", f"concat('text ', lpad(cast(id div {group} AS string), 6, '0')) AS text")
+        got = m.shard_documents(df.repartition(4, "doc_id")).collect()
+        check(df, got, 16)
+        load, where = Counter(r.shard for r in got), defaultdict(Counter)
+        assert len(load) == 16 and max(load.values()) < 1.02 * 1000
+        for r in got:
+            where[r.text_crc32][r.shard] += 1
+        apart = sum(sum(c.values()) - max(c.values()) for c in where.values())      # rows away from their group
+        assert apart < 0.1 * sum(sum(c.values()) - 1 for c in where.values()), (group, apart)
+
+
 def test_propagation_follows_general_links(prepared):
     # two cliques joined by one edge end in at most two shards each
     edges = [(10 * c + a, 10 * c + b) for c in (0, 1) for a in range(10) for b in range(a)] + [(0, 10)]
