@@ -11,7 +11,9 @@ each document once and a seeded 30 % of them (by words) once more.
 The seeded choice needs the hash below which the documents of a pattern hold
 the wanted words.  It is found digit by digit: sizes are summed per pattern
 and 12-bit digit of the hash, the digit in which the running sum crosses is
-kept, and only the rows of that digit are summed for the next one.
+kept, and only the rows of that digit are summed for the next one.  A document
+too large for the words still missing is passed over, and the same cut goes on
+behind it among those that fit, until none fits.
 
 Defined results: null text has size 0; null source is a source of its own,
 last in order; a document of size 0 is never counted; documents equal in key
@@ -116,48 +118,48 @@ def _digit(level: int) -> Column:
     return F.shiftright("u", DIGIT_BITS * (DIGITS - 1 - level)).bitwiseAND((1 << DIGIT_BITS) - 1)
 
 
-def _cuts(rows: DataFrame, wanted: dict[int, float]) -> dict[int, tuple[int, float]]:
-    """Per pattern, the hash below which its documents hold no more than the
-    words wanted, and the words still missing."""
+def _cuts(rows: DataFrame, state: dict[int, tuple[int, float]]) -> dict[int, tuple[int, int, float]]:
+    """``state``: per pattern, the hash to begin at and the words to find
+    among the documents from there on that are no larger (``unit``).  Returns
+    the hash below which they hold no more than these words, the one to go on
+    at, and the words still missing; patterns without such documents are
+    left out."""
     spark = rows.sparkSession
-    state = {p: (0, w) for p, w in wanted.items() if w > 0}      # prefix of the hash, words still to find
+    at = {p: (0, w) for p, (_, w) in state.items()}              # prefix of the hash, words still to find
+    last: dict = {}
     for level in range(DIGITS):
-        if not state:
+        if not at:
             break
-        at = spark.createDataFrame([(p, c, float(w)) for p, (c, w) in state.items()], "pattern int, prefix long, w double")
+        here = spark.createDataFrame([(p, c, float(w), float(state[p][1]), state[p][0]) for p, (c, w) in at.items()],
+                                     "pattern int, prefix long, w double, cap double, start long")
         # a row per pattern, at most MAX_PATTERNS
-        inside = rows.join(F.broadcast(at), "pattern").where(
-            F.shiftright("u", DIGIT_BITS * (DIGITS - level)) == F.col("prefix"))
+        inside = rows.join(F.broadcast(here), "pattern").where(
+            (F.shiftright("u", DIGIT_BITS * (DIGITS - level)) == F.col("prefix"))
+            & (F.col("u") >= F.col("start")) & (F.col("unit") <= F.col("cap")))
         sums = inside.groupBy("pattern", "prefix", "w", _digit(level).alias("d")).agg(F.sum("size").alias("s"))
         run = Window.partitionBy("pattern").orderBy("d")         # at most 4,096 rows a pattern
         crossed = (sums.withColumn("before", F.sum("s").over(run) - F.col("s"))
                    .where((F.col("before") < F.col("w")))
                    .groupBy("pattern").agg(F.max(F.struct("d", "before", "s")).alias("x")).collect())
-        state = {r["pattern"]: ((state[r["pattern"]][0] << DIGIT_BITS) | r["x"]["d"],
-                                state[r["pattern"]][1] - r["x"]["before"]) for r in crossed}
-    return state
-
-
-def _fill(rows: DataFrame, state: dict[int, tuple[int, float]], rounds: int = 4) -> dict[int, list[int]]:
-    """Where large documents leave a gap below the cut: per pattern, the
-    hashes of a few more, each round the largest that still fits."""
-    spark = rows.sparkSession
-    gaps = {p: w for p, (_, w) in state.items() if w >= 1}
-    more: dict[int, list[int]] = {p: [] for p in state}
-    for _ in range(rounds):
-        if not gaps:
-            break
-        at = spark.createDataFrame([(p, state[p][0], float(w), more[p]) for p, w in gaps.items()],
-                                   "pattern int, cut long, w double, more array<long>")
-        best = (rows.join(F.broadcast(at), "pattern")            # a row per pattern
-                .where((F.col("u") >= F.col("cut")) & (F.col("size") > 0) & (F.col("size") <= F.col("w"))
-                       & ~F.array_contains("more", F.col("u")))
-                .groupBy("pattern").agg(F.max(F.struct("size", "u")).alias("x")).collect())
-        for r in best:
-            more[r["pattern"]].append(r["x"]["u"])
-        gaps = {r["pattern"]: gaps[r["pattern"]] - r["x"]["size"] for r in best
-                if gaps[r["pattern"]] - r["x"]["size"] >= 1}
-    return more
+        at = {r["pattern"]: ((at[r["pattern"]][0] << DIGIT_BITS) | r["x"]["d"],
+                             at[r["pattern"]][1] - r["x"]["before"]) for r in crossed}
+        last = {r["pattern"]: r["x"]["s"] for r in crossed}
+    # the last documents are taken as well where they still fit
+    return {p: (u + 1, u + 1, w - last[p]) if last[p] <= w else (u, u + 1, w) for p, (u, w) in at.items()}
+
+
+def _ranges(rows: DataFrame, wanted: dict[int, float]) -> dict[int, list[tuple[int, int, float]]]:
+    """Per pattern (first hash, hash to stop before, largest size): documents
+    in one of these are taken.  Where a document does not fit the words still
+    missing, the cut goes on behind it among those that do, until none does."""
+    state = {p: (0, w) for p, w in wanted.items() if w > 0}      # hash to begin at, words missing
+    ranges: dict[int, list] = {p: [] for p in state}
+    while state:
+        cuts = _cuts(rows, state)
+        for p, (cut, _, _) in cuts.items():
+            ranges[p].append((state[p][0], cut, float(state[p][1])))
+        state = {p: (after, w) for p, (_, after, w) in cuts.items() if w >= 1}
+    return ranges
 
 
 def mix_sources(rows: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
@@ -198,11 +200,18 @@ def mix_sources(rows: DataFrame, weights: Sequence[float] = WEIGHTS, share: floa
     # a row per pattern, at most MAX_PATTERNS; null names compare as equal
     keyed = rows.join(F.broadcast(names), F.col("sources").eqNullSafe(F.col("names")))
     keyed = written(keyed.drop("sources", "names"), "mix-rows")
-    narrow = keyed.select("pattern", "size", "u")
-    cuts = _cuts(narrow, wanted)
-    more = _fill(narrow, cuts)
-    cut = spark.createDataFrame([(k, cuts.get(k, (0, 0))[0], more.get(k, [])) for k in range(len(patterns))],
-                                "pattern int, cut long, more array<long>")
-    copies = F.col("base") + ((F.col("u") < F.col("cut")) | F.array_contains("more", F.col("u"))).cast("int")
-    return keyed.join(F.broadcast(cut), "pattern").select(
+    # documents equal in key and size are taken alike, so they fit as one or not at all
+    alike = written(keyed.where("size > 0").groupBy("pattern", "u").agg(F.sum("size").alias("unit"), F.count(F.lit(1)).alias("n"))
+                    .where("n > 1").drop("n"), "mix-alike")
+    if alike.isEmpty():
+        keyed = keyed.withColumn("unit", F.col("size"))
+    else:
+        keyed = written(keyed.join(alike, ["pattern", "u"], "left").withColumn("unit", F.coalesce("unit", "size")),
+                        "mix-units")
+    ranges = _ranges(keyed.where("size > 0").select("pattern", "size", "unit", "u"), wanted)
+    taken = spark.createDataFrame([(k, ranges.get(k, [])) for k in range(len(patterns))],
+                                  "pattern int, ranges array<struct<start:long,stop:long,cap:double>>")
+    copies = F.col("base") + F.exists("ranges", lambda r: (F.col("u") >= r["start"]) & (F.col("u") < r["stop"])
+                                      & (F.col("unit") <= r["cap"])).cast("int")
+    return keyed.join(F.broadcast(taken), "pattern").select(
         "id", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))

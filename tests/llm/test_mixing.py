@@ -45,6 +45,18 @@ def test_mix_comes_near_targets(prepared):
         assert abs(sum(taken) - want[s]) <= max(0.002 * want[s], 4)
 
 
+def test_giant_documents_leave_no_gap(prepared):
+    # 10,000 documents of 50 words and one that holds 30 % of all words
+    df = prepared.range(10001).selectExpr("id", "IF(id = 0, 214286L, 50L) AS size", "array('a') AS sources")
+    for seed in range(3):
+        got = m.mix_sources(df, share=0.5, seed=seed).agg(F.sum("taken"), F.max("target")).first()
+        assert 0 <= got[1] - got[0] < 50, seed
+    # copies of one key go together
+    pairs = df.selectExpr("id", "size", "sources", "id div 2 AS key")
+    got = m.mix_sources(pairs, share=0.5).agg(F.sum("taken"), F.max("target")).first()
+    assert 0 <= got[1] - got[0] < 100
+
+
 def test_overlapping_sources(prepared):
     df = prepared.range(900).selectExpr(
         "id", "10L AS size", "CASE id % 3 WHEN 0 THEN array('a') WHEN 1 THEN array('a', 'b') ELSE array('b') END AS sources")
