@@ -60,6 +60,61 @@ def _url_filter() -> str:
         FROM judged JOIN scores USING (form), cut"""
 
 
+def crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text, bit by bit: -1 stands for one shift."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}), lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) "
+            "WHEN crc % 2 = 1 THEN xor(crc // 2, 3988292384) ELSE crc // 2 END), 4294967295)")
+
+
+#: Tree levels that the SQL writes out; 16 ** 6 leaves a source and sources.
+_MERKLE_LEVELS = 6
+
+
+def _merkle() -> str:
+    """Levels above the leaves, then above the subroots; per document the
+    others of its run on every level."""
+    def leaf(text: str) -> str:
+        fields = ["doc_id", "source", "lang", "n_chars", text]
+        return "sha256(" + " || ".join(f"coalesce(strlen({f}::VARCHAR)::VARCHAR || ':' || {f}::VARCHAR, '-')" for f in fields) + ")"
+
+    steps = [f"""docs AS (SELECT doc_id, CASE WHEN source IS NULL THEN '' ELSE 's' || source END AS g, {leaf('text')} AS leaf,
+                   CASE WHEN {crc32_sql('doc_id::VARCHAR')} % 5 = 0 THEN {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS hit
+                   FROM documents)""",
+             """placed AS (SELECT doc_id, g, leaf, coalesce(hit, leaf) AS found,
+                   row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM docs)""",
+             "a0 AS (SELECT g, pos, leaf AS digest, count(*) OVER (PARTITION BY g) AS c FROM placed)"]
+
+    def level(name, k):
+        steps.append(f"""{name}{k} AS (SELECT *, count(*) OVER (PARTITION BY g) AS c FROM (
+            SELECT g, pos // 16 AS pos, CASE WHEN max(c) > 1 THEN sha256(string_agg(digest, '' ORDER BY pos)) ELSE max(digest) END AS digest
+            FROM {name}{k - 1} GROUP BY g, pos // 16))""")
+
+    def climb(before, after, name, k):
+        """A document's siblings on a level, and its digest folded through them."""
+        steps.append(f"""{after} AS (SELECT p.id, any_value(p.g) AS g, any_value(p.pos) // 16 AS pos,
+            any_value(p.proof) || CASE WHEN max(n.c) > 1 THEN coalesce(string_agg(n.digest, '' ORDER BY n.pos) FILTER (n.pos <> p.pos), '') ELSE '' END AS proof,
+            CASE WHEN max(n.c) > 1 THEN sha256(coalesce(string_agg(n.digest, '' ORDER BY n.pos) FILTER (n.pos < p.pos), '') || any_value(p.acc)
+                 || coalesce(string_agg(n.digest, '' ORDER BY n.pos) FILTER (n.pos > p.pos), '')) ELSE any_value(p.acc) END AS acc
+            FROM {before} p JOIN {name}{k} n ON n.g = p.g AND n.pos // 16 = p.pos // 16 GROUP BY p.id)""")
+
+    for k in range(1, _MERKLE_LEVELS + 1):
+        level("a", k)
+    steps.append(f"b0 AS (SELECT '' AS g, row_number() OVER (ORDER BY g) - 1 AS pos, digest, count(*) OVER () AS c, g AS tree FROM a{_MERKLE_LEVELS})")
+    for k in range(1, _MERKLE_LEVELS + 1):
+        level("b", k)
+    steps.append("p0 AS (SELECT row_number() OVER () AS id, *, '' AS proof, found AS acc FROM placed)")
+    for k in range(_MERKLE_LEVELS):
+        climb(f"p{k}", f"p{k + 1}", "a", k)
+    steps.append(f"q0 AS (SELECT p.id, '' AS g, b0.pos, p.proof, p.acc FROM p{_MERKLE_LEVELS} p JOIN b0 ON b0.tree = p.g)")
+    for k in range(_MERKLE_LEVELS):
+        climb(f"q{k}", f"q{k + 1}", "b", k)
+    return f"""WITH {", ".join(steps)}
+        SELECT doc_id, leaf, b0.digest AS subroot, r.digest AS root, sha256(q.proof) AS proof_sha256, q.acc AS folded_root,
+               q.acc = r.digest AS verified
+        FROM p0 JOIN q{_MERKLE_LEVELS} q USING (id) JOIN b0 ON b0.tree = p0.g, b{_MERKLE_LEVELS} r"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": f"""
         WITH n AS (SELECT doc_id, {_ASCII_LOWER} AS t FROM documents),
@@ -67,4 +122,5 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
         FROM n JOIN g USING (t)""",
     "op8_url_filter": _url_filter(),
+    "op11_merkle_manifest": _merkle(),
 }

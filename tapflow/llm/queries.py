@@ -84,9 +84,15 @@ def op10_label_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tapflow.llm.merkle import verify_documents
+    return verify_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_toxicity, op3_language_id, op4_token_codes, op5_quality, op6_source_mix,
-    op7_jaccard_join, op8_url_filter, op9_decontamination, op10_label_sharding)}
+    op7_jaccard_join, op8_url_filter, op9_decontamination, op10_label_sharding,
+    op11_merkle_manifest)}
 
 
 def _prepared(fn):
