@@ -123,4 +123,26 @@ ORACLE_SQL: dict[str, str] = {
         FROM n JOIN g USING (t)""",
     "op8_url_filter": _url_filter(),
     "op11_merkle_manifest": _merkle(),
+    "op12_prefix_trie": f"""
+        WITH turns AS (SELECT conv_id, turn, coalesce(text, '') AS text,
+                              substr(sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) AS digest
+                       FROM conversations WHERE conv_id IS NOT NULL),
+        own AS (SELECT conv_id, list({{'d': digest, 'b': strlen(text)}} ORDER BY turn NULLS FIRST, digest) AS t,
+                       {crc32_sql('conv_id::VARCHAR')} % 9 AS h FROM turns GROUP BY conv_id),
+        whole AS (SELECT o.conv_id, coalesce(f.t[1:o.h], []) || o.t[o.h + 1:] AS t
+                  FROM own o LEFT JOIN own f ON f.conv_id = o.conv_id - o.conv_id % 5),
+        steps AS (SELECT conv_id, len(t) AS n, d, array_to_string(list_transform(t[1:d], lambda x: x['d']), '') AS k,
+                         CASE WHEN d = 0 THEN 0 ELSE t[d]['b'] END AS b
+                  FROM whole, unnest(range(0, len(t) + 1)) AS u(d)),
+        nodes AS (SELECT d, k, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(b) AS b,
+                         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends
+                  FROM steps GROUP BY d, k),
+        children AS (SELECT d - 1 AS d, substr(k, 1, 32 * (d - 1)) AS k, count(*) AS c FROM nodes WHERE d > 0 GROUP BY ALL),
+        counted AS (SELECT nodes.*, coalesce(c, 0) AS c FROM nodes LEFT JOIN children USING (d, k)),
+        below AS (SELECT a AS d, substr(k, 1, 32 * a) AS k, count(*) FILTER (c = 0) AS leaves, sum((n_convs - 1) * b) AS saved
+                  FROM counted, unnest(range(0, d + 1)) AS u(a) GROUP BY ALL)
+        SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.c AS n_children, leaves AS n_leaves,
+               saved::BIGINT AS saved_tokens, n.ends AS ends_sha256
+        FROM counted n JOIN below USING (d, k)
+             LEFT JOIN nodes p ON p.d = n.d - 1 AND p.k = substr(n.k, 1, 32 * (n.d - 1))""",
 }

@@ -89,10 +89,15 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tapflow.llm.prefix_trie import conversation_trie
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_toxicity, op3_language_id, op4_token_codes, op5_quality, op6_source_mix,
     op7_jaccard_join, op8_url_filter, op9_decontamination, op10_label_sharding,
-    op11_merkle_manifest)}
+    op11_merkle_manifest, op12_prefix_trie)}
 
 
 def _prepared(fn):
