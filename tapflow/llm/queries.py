@@ -94,10 +94,15 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tapflow.llm.quality_rules import apply_rules
+    return apply_rules(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_toxicity, op3_language_id, op4_token_codes, op5_quality, op6_source_mix,
     op7_jaccard_join, op8_url_filter, op9_decontamination, op10_label_sharding,
-    op11_merkle_manifest, op12_prefix_trie)}
+    op11_merkle_manifest, op12_prefix_trie, op13_quality_rules)}
 
 
 def _prepared(fn):
