@@ -302,7 +302,7 @@ SELECT f.bus_id, make_timestamp(f.w * {_HOUR_US}) AS window_start,
   {_message('f.event_time', 'f.bus_id', 's.segment', 'CAST(greatest(0, f.aboard) AS INTEGER)')} AS message
 FROM flag f JOIN seg s USING (transaction_id)"""
 
-ORACLE_SQL["occupancy_idle_reset"] = _with(_GOOD, f"""g1 AS (
+_SESSIONS = f"""g1 AS (
   SELECT *, CASE WHEN lag(event_time) OVER w IS NULL
       OR epoch_us(event_time) - epoch_us(lag(event_time) OVER w) > {CROWD_IDLE_SECONDS * 1_000_000}
       THEN 1 ELSE 0 END AS is_new
@@ -311,7 +311,9 @@ ORACLE_SQL["occupancy_idle_reset"] = _with(_GOOD, f"""g1 AS (
 g2 AS (
   SELECT *, sum(is_new) OVER (PARTITION BY bus_id ORDER BY event_time, transaction_id ROWS UNBOUNDED PRECEDING) AS session_no
   FROM g1
-)""") + """
+)"""
+
+ORACLE_SQL["occupancy_idle_reset"] = _with(_GOOD, _SESSIONS) + """
 SELECT transaction_id, bus_id, event_time, CAST(session_no AS BIGINT) AS session_no,
   CAST(greatest(0, sum(CASE WHEN event_type = 'tap_in' THEN 1 ELSE -1 END)
     OVER (PARTITION BY bus_id, session_no ORDER BY event_time, transaction_id ROWS UNBOUNDED PRECEDING)) AS INTEGER) AS pending
@@ -422,3 +424,15 @@ WHERE event_type = 'tap_in'
     OR (next_time IS NULL AND (epoch_us(event_time) + {PAIRING_TIMEOUT_SECONDS * 1_000_000}) // 1000 < wm_ms))"""
 
 ORACLE_SQL["trips_ordered_stream"] = ORACLE_SQL["trips"]
+
+# --- replays in event-time order over several micro-batches -----------------
+
+ORACLE_SQL["occupancy_idle_reset_stream"] = ORACLE_SQL["occupancy_idle_reset"]
+ORACLE_SQL["crowd_sessions_stream"] = _with(_GOOD, _SESSIONS) + """
+SELECT bus_id, min(event_time) AS session_start, max(event_time) AS last_event_time,
+  count(*) FILTER (event_type = 'tap_in') AS tap_in_count, count(*) FILTER (event_type = 'tap_out') AS tap_out_count,
+  CAST(greatest(0, sum(CASE event_type WHEN 'tap_in' THEN 1 ELSE -1 END)) AS INTEGER) AS pending_count
+FROM g2 GROUP BY bus_id, session_no"""
+ORACLE_SQL["crowd_flags_windowed_stream"] = ORACLE_SQL["crowd_flags_windowed"]
+ORACLE_SQL["open_taps_state"] = ORACLE_SQL["open_taps"]
+ORACLE_SQL["trips_resumed_stream"] = ORACLE_SQL["trips"]

@@ -9,16 +9,25 @@ as naive UTC, like the batch plans).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tapflow.config import PAIRING_TIMEOUT_SECONDS
-from tapflow.functions.times import as_ntz
-from tapflow.operators.dedup import dedup_taps_stream
+from tapflow.functions.times import as_ntz, epoch_micros
+from tapflow.operators import trips as tr
+from tapflow.operators.dedup import dedup_taps, dedup_taps_stream
 from tapflow.operators.validate import select_tap_fields, valid_taps
 from tapflow.schemas import TAP_FIELDS, TRIP_COLUMNS
 from tapflow.session import scratch_path
+from tapflow.sources.fixtures import taps
 from tapflow.streaming.crowd import crowd_counts_stream, crowd_flags_from_counts
+from tapflow.streaming.handover import resumed_pairs, waiting_taps, write_handover
+from tapflow.streaming.occupancy import (
+    INTERVAL_SCHEMA, closed_intervals_stream, crowd_flags_windowed_stream, crowd_sessions_stream,
+    occupancy_idle_reset_stream,
+)
 from tapflow.streaming.pairing import pair_taps_stream
+from tapflow.streaming.replay import SLICES, Replay, make_folder
 from tapflow.streaming.run import drain, start_file_sink, start_foreach_batch
 from tapflow.streaming.sources import EVENTS_STREAM_SCHEMA, taps_stream
 from tapflow.sinks.tables import parquet_batch_writer
@@ -116,6 +125,103 @@ def q_crowd_flags_stream(spark, sf_dir):
     return _ntz(flags, ["flagged_at"])
 
 
+# --- replays in event-time order over several micro-batches -----------------
+
+_AT_ONCE = {"processingTime": "0 seconds"}
+CLOSING = "closing"
+
+
+def _stamped(df: DataFrame) -> DataFrame:
+    """Times as TIMESTAMP, which watermarks need."""
+    return df.withColumn("event_time", F.timestamp_micros(epoch_micros(df, "event_time")))
+
+
+def _closing_row(rows: DataFrame, of: str) -> DataFrame:
+    """A tap of a card and vehicle of its own, a day after the last of ``of``:
+    it moves the watermark past every row of a bounded replay."""
+    end = rows.agg(F.max(of).alias("t")).where("t IS NOT NULL")
+    own = {"transaction_id": F.lit(CLOSING), "card_id": F.lit(CLOSING), "bus_id": F.lit(CLOSING),
+           "event_type": F.lit("tap_out"), "event_time": F.col("t") + F.expr("INTERVAL 1 DAY"),
+           "latitude": F.lit(0.0), "longitude": F.lit(0.0)}
+    return end.select(*[own[c].alias(c) for c in TAP_FIELDS])
+
+
+def _replay_rows(spark, sf_dir) -> DataFrame:
+    """Valid taps, copies included, and the closing tap."""
+    rows = _stamped(valid_taps(taps(spark, sf_dir)).select(*TAP_FIELDS))
+    return rows.unionByName(_closing_row(rows, "event_time"))
+
+
+def _replayed(spark, sf_dir, build, name: str, slices: int = SLICES) -> tuple[DataFrame, str]:
+    """The table that ``build(good taps)`` appends to in a replay, and the
+    query's checkpoint."""
+    replay = Replay(_replay_rows(spark, sf_dir), slices)
+    out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
+    stream = build(select_tap_fields(dedup_taps_stream(replay.stream)))
+    replay.run(lambda: start_file_sink(stream, out, ckpt, trigger=_AT_ONCE))
+    return spark.read.schema(stream.schema).parquet(out), ckpt
+
+
+def q_occupancy_idle_reset_stream(spark, sf_dir):
+    """The count after each tap, idle vehicles forgotten on the way."""
+    out, _ = _replayed(spark, sf_dir, occupancy_idle_reset_stream, "idle")
+    out = out.where(F.col("bus_id") != CLOSING)
+    # the number of a session among its vehicle's: a row per session
+    number = F.row_number().over(Window.partitionBy("bus_id").orderBy("session_start")).cast("long")
+    sessions = out.select("bus_id", "session_start").distinct().withColumn("session_no", number)
+    return _ntz(out.join(sessions, ["bus_id", "session_start"]).select(
+        "transaction_id", "bus_id", "event_time", "session_no", "pending"), ["event_time"])
+
+
+def q_crowd_sessions_stream(spark, sf_dir):
+    """W6 in native session windows: closed sessions."""
+    out, _ = _replayed(spark, sf_dir, crowd_sessions_stream, "sessions")
+    return _ntz(out.where(F.col("bus_id") != CLOSING), ["session_start", "last_event_time"])
+
+
+def q_crowd_flags_windowed_stream(spark, sf_dir):
+    """One flag per vehicle and interval, over two chained queries."""
+    replay = Replay(_replay_rows(spark, sf_dir))
+    names = [scratch_path(spark, f"windows-{k}") for k in ("closed", "closed-ckpt", "flags", "flags-ckpt")]
+    make_folder(spark, names[0])
+    closed = closed_intervals_stream(select_tap_fields(dedup_taps_stream(replay.stream)))
+    flags = crowd_flags_windowed_stream(spark.readStream.schema(INTERVAL_SCHEMA).parquet(names[0]))
+    replay.run(lambda: start_file_sink(closed, names[0], names[1], trigger=_AT_ONCE),
+               lambda: start_file_sink(flags, names[2], names[3], trigger=_AT_ONCE))
+    out = spark.read.schema(flags.schema).parquet(names[2])
+    return _ntz(out, ["window_start", "window_end", "flagged_at"])
+
+
+def q_open_taps_state(spark, sf_dir):
+    """D2 read out of the pairing state's checkpoint after a replay."""
+    _, ckpt = _replayed(spark, sf_dir, pair_taps_stream, "open-state")
+    return _ntz(waiting_taps(spark, ckpt), ["tap_in_time"])
+
+
+def trips_resumed(spark, sf_dir, cut_us: int, slices: int = SLICES) -> DataFrame:
+    """Trips of the batch up to the cut, and of a fresh query that reads
+    only rows from the cut on behind a handover."""
+    rows = _stamped(valid_taps(taps(spark, sf_dir)).select(*TAP_FIELDS))
+    at = epoch_micros(rows, "event_time")
+    before = dedup_taps(rows.where(at < cut_us))
+    handover = write_handover(before, scratch_path(spark, "handover"), cut_us)
+    live = rows.where(at >= cut_us)
+    replay = Replay(live.unionByName(_closing_row(rows, "event_time")), slices)
+    out, ckpt = scratch_path(spark, "resumed-out"), scratch_path(spark, "resumed-ckpt")
+    pairs = resumed_pairs(handover, replay.stream)
+    replay.run(lambda: start_file_sink(pairs, out, ckpt, trigger=_AT_ONCE))
+    resumed = spark.read.schema(pairs.schema).parquet(out).where("record_type = 'trip'").select(*TRIP_COLUMNS)
+    return _ntz(tr.trips(before).unionByName(resumed), ["tap_in_time", "tap_out_time"])
+
+
+def q_trips_resumed_stream(spark, sf_dir):
+    """The cut lies in the middle of the table's time."""
+    rows = valid_taps(taps(spark, sf_dir))
+    us = epoch_micros(rows, "event_time")
+    lo, hi = rows.agg(F.min(us), F.max(us)).first()
+    return trips_resumed(spark, sf_dir, ((lo or 0) + (hi or 0)) // 2)
+
+
 STREAM_QUERIES = {
     "tap_dedup_stream": q_tap_dedup_stream,
     "trips_stream": q_trips_stream,
@@ -124,4 +230,9 @@ STREAM_QUERIES = {
     "expired_taps_stream": q_expired_taps_stream,
     "bus_aboard_stream": q_bus_aboard_stream,
     "crowd_flags_stream": q_crowd_flags_stream,
+    "occupancy_idle_reset_stream": q_occupancy_idle_reset_stream,
+    "crowd_sessions_stream": q_crowd_sessions_stream,
+    "crowd_flags_windowed_stream": q_crowd_flags_windowed_stream,
+    "open_taps_state": q_open_taps_state,
+    "trips_resumed_stream": q_trips_resumed_stream,
 }
