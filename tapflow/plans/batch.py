@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from tapflow.operators import geo, occupancy as occ, timetable as tt, trips as tr
 from tapflow.operators.dedup import dedup_taps
+from tapflow.operators.geo_index import nearest_segment_join
 from tapflow.operators.validate import (
     dead_letter, event_type_ok, patterns_ok, ranges_ok, select_tap_fields,
     valid_taps, with_reject_reason,
 )
 from tapflow.sources.envelope import envelope_taps
 from tapflow.sources.fixtures import taps, tap_envelope_source
-from tapflow.config import TOPIC_PARTITIONS
+from tapflow.config import STOPS, TOPIC_PARTITIONS
 
 TAP_ORDER = ["event_time", "transaction_id"]
 
@@ -137,6 +138,17 @@ def q_nearest_segment(spark, sf_dir):
                     .alias("segment"))
 
 
+def stop_table(spark: SparkSession) -> DataFrame:
+    """The stop list as a table: idx, stop_id, lat, lon."""
+    return spark.createDataFrame([(i, *stop) for i, stop in enumerate(STOPS)], "idx int, stop_id string, lat double, lon double")
+
+
+def q_nearest_segment_join(spark, sf_dir):
+    """J1 by joins with a stop table, which may have any size."""
+    g = good_taps(spark, sf_dir, columns=["latitude", "longitude"])
+    return nearest_segment_join(g, stop_table(spark)).select("transaction_id", "segment")
+
+
 # --- small reports ---------------------------------------------------------
 
 def q_tap_type_counts(spark, sf_dir):
@@ -209,6 +221,7 @@ BATCH_QUERIES = {
     "crowd_flags_windowed": q_crowd_flags_windowed,
     "occupancy_idle_reset": q_occupancy_idle_reset,
     "nearest_segment": q_nearest_segment,
+    "nearest_segment_join": q_nearest_segment_join,
     "tap_type_counts": q_tap_type_counts,
     "first_taps": q_first_taps,
     "bus_partition_sizes": q_bus_partition_sizes,

@@ -321,6 +321,8 @@ FROM g2"""
 
 ORACLE_SQL["nearest_segment"] = _with(_GOOD, _STOPS, _segment_cte("good")) + "SELECT * FROM seg"
 
+ORACLE_SQL["nearest_segment_join"] = ORACLE_SQL["nearest_segment"]
+
 ORACLE_SQL["tap_type_counts"] = _with(_GOOD) + \
     "SELECT event_type, count(*) AS n_rows FROM good GROUP BY event_type"
 

@@ -136,9 +136,9 @@ def idle_reset_flags(counted: DataFrame, threshold: int = CROWD_THRESHOLD) -> Da
 
 def crowd_sessions_stream(good: DataFrame, idle_seconds: int = CROWD_IDLE_SECONDS) -> DataFrame:
     """Closed sessions of each vehicle: counters and the count at the end.
-    Session windows end at a gap of ``idle_seconds`` or more, so a microsecond
-    is added: a tap exactly that late still belongs to the session."""
-    w = F.session_window("event_time", f"{idle_seconds} seconds 1 microsecond")
+    A tap exactly ``idle_seconds`` after the last still belongs to the session,
+    as session windows that touch are merged."""
+    w = F.session_window("event_time", f"{idle_seconds} seconds")
     s = good.groupBy("bus_id", w.alias("w")).agg(
         F.sum(F.when(F.col("event_type") == "tap_in", 1).otherwise(0)).cast("long").alias("tap_in_count"),
         F.sum(F.when(F.col("event_type") == "tap_out", 1).otherwise(0)).cast("long").alias("tap_out_count"),
