@@ -15,13 +15,16 @@ contracted forests of 16 neighbouring partitions are merged by the same
 function, then 16 of those, until one is left.  A finished child of a node
 that is still open looks up its parent's smallest member at the end; these
 look-ups are salted, as the root or a common opening has children everywhere.
+The ids that end at a key lie one after the other in the sorted rows; each
+partition joins runs of up to 10,000 of them to one text, so the digest of a
+conversation with very many copies is made from few rows.
 
 Memory: a task holds one block (20,000 conversations or 500,000 turns, and at
 least one conversation) plus two paths; a conversation is one row of 40 bytes a
 turn, its texts stay behind as digests.  A conversation that a third of all
 rows copy lies in many partitions, as ids break ties of the sort.  The digest
-of the ids that end at a node is one SHA-256 over all of them in order: its
-task streams sorted ids, holding one batch.
+of the ids that end at a node is one SHA-256 over all of them in order, which
+cannot be split: its task streams the joined texts, holding one batch.
 
 Defined results: turns of one number lie by the digest of role and text; turns
 that are equal in all columns are turns of their own; null role or text is
@@ -49,11 +52,12 @@ WIDTH = 32                    # characters of a turn's digest
 BLOCK_ROWS, BLOCK_TURNS = 20_000, 500_000
 FAN = 16                      # forests merged by one call
 SALTS = 16
+IDS = 10_000                  # ids of one key joined to a text
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 SCHEMA = ("piece int, is_node boolean, node_key string, has_ends boolean, was_open boolean, depth long, conv_id long, "
           "parent_conv_id long, parent_key string, n_convs long, n_children long, n_leaves long, saved_tokens long, "
-          "key string, sizes array<long>, first boolean, last boolean")
+          "key string, sizes array<long>, first boolean, last boolean, ids string")
 COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
 
 
@@ -212,6 +216,14 @@ def _partition_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     forest: list[Hanging] = []
     block: list[Hanging] = []
     turns, begun = 0, False
+    ending, ended = [], None
+
+    def texts_of_ids():
+        """The ids gathered for the key ``ended``."""
+        nonlocal ending
+        row = {"is_node": False, "node_key": key_of(ended), "conv_id": ending[0], "ids": ",".join(map(str, ending))}
+        ending = []
+        return row
 
     def close():
         nonlocal forest, block, turns
@@ -223,11 +235,19 @@ def _partition_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         return _batch(piece, done)
 
     for b in batches:
+        texts: list[dict] = []
         for conv, key, sizes in zip(*(b.column(c).to_pylist() for c in ("conv_id", "key", "sizes"))):
+            if ending and (key != ended or len(ending) >= IDS):
+                texts.append(texts_of_ids())
+            ending.append(conv)
+            ended = key
             block.append(Hanging(key, sizes, 1, conv, first=not begun))
             begun, turns = True, turns + len(sizes)
             if len(block) >= BLOCK_ROWS or turns >= BLOCK_TURNS:
                 yield close()
+        yield _batch(piece, texts)
+    if ending:
+        yield _batch(piece, [texts_of_ids()])
     if block:
         yield close()
     if forest:
@@ -247,18 +267,18 @@ def _merged_forest(final: bool):
 
 
 def _ids_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One SHA-256 per key over its sorted ids, read as a stream."""
+    """One SHA-256 per key over its texts of sorted ids, read as a stream."""
     key, state = None, None
     for b in batches:
         keys, shas = [], []
-        for k, conv in zip(b.column("end_key").to_pylist(), b.column("conv_id").to_pylist()):
+        for k, ids in zip(b.column("node_key").to_pylist(), b.column("ids").to_pylist()):
             if k != key:
                 if state is not None:
                     keys.append(key)
                     shas.append(state.hexdigest())
-                key, state = k, hashlib.sha256(str(conv).encode())
+                key, state = k, hashlib.sha256(ids.encode())
             else:
-                state.update(f",{conv}".encode())
+                state.update(f",{ids}".encode())
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(shas, pa.string())], ["end_key", "ends_sha256"])
     if state is not None:
         yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([state.hexdigest()])], ["end_key", "ends_sha256"])
@@ -296,7 +316,7 @@ def prefix_trie(convs: DataFrame) -> DataFrame:
     rounds = [written(lined.mapInArrow(_partition_forest, SCHEMA), "trie-forests")]
     last = rounds[0].agg(F.max("piece")).first()[0]
     while last is not None:
-        open_rows = rounds[-1].where("not is_node")
+        open_rows = rounds[-1].where("key is not null")
         rounds.append(written(open_rows.groupBy((F.col("piece") / FAN).cast("int").alias("g"))
                               .applyInArrow(_merged_forest(last < FAN), SCHEMA), "trie-merged"))
         if last < FAN:
@@ -311,8 +331,8 @@ def prefix_trie(convs: DataFrame) -> DataFrame:
         "parent_conv_id", F.col("_low"))
     out = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "has_ends", "node_key"]
     nodes = nodes.where("parent_key is null").select(*out).unionAll(found.select(*out))
-    ends = (keys.select(F.sha2("key", 256).alias("end_key"), "conv_id").repartition("end_key")
-            .sortWithinPartitions("end_key", "conv_id").mapInArrow(_ids_digest, "end_key string, ends_sha256 string"))
+    ends = (rounds[0].where("ids is not null").select("node_key", "conv_id", "ids").repartition("node_key")
+            .sortWithinPartitions("node_key", "conv_id").mapInArrow(_ids_digest, "end_key string, ends_sha256 string"))
     ended = nodes.where("has_ends").join(ends, F.col("node_key") == F.col("end_key")).drop("end_key")
     return ended.unionByName(nodes.where("not has_ends").withColumn("ends_sha256", F.lit(EMPTY_SHA))).drop("has_ends", "node_key")
 

@@ -129,3 +129,11 @@ def test_hot_opening_and_copies_over_many_partitions(prepared):
 
 def test_empty(prepared):
     assert m.conversation_trie(table(prepared, [])).count() == 0
+
+
+def test_ids_of_a_key_come_in_several_texts():
+    import pyarrow as pa
+    batch = lambda rows: pa.RecordBatch.from_pydict({"node_key": [r[0] for r in rows], "ids": [r[1] for r in rows]})     # noqa: E731
+    out = list(m._ids_digest(iter([batch([("a", "1,2"), ("a", "3")]), batch([]), batch([("a", "11"), ("b", "-4")])])))
+    got = {k: v for b in out for k, v in zip(*(c.to_pylist() for c in b.columns))}
+    assert got == {"a": hashlib.sha256(b"1,2,3,11").hexdigest(), "b": hashlib.sha256(b"-4").hexdigest()}
