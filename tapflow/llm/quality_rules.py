@@ -15,8 +15,9 @@ cell's centre (squared Mahalanobis distance) is rejected.
 All of it is DataFrame functions.  A step is one pass over the written table of
 vectors: rows are summed per cell, start and distance bin (16 to a doubling),
 which gives the 75 % nearest rows with the last bin in part, so no cell is
-ever sorted or gathered.  A cell may hold any share of all rows: sums are
-combined before the shuffle, at most some hundred rows per cell and start.
+ever sorted or gathered.  A cell may hold any share of all rows: joins with its
+parameters are salted, and sums are combined before the shuffle, at most some
+hundred rows per cell and start from a task.
 
 Cells below ``min_rows`` rows are pooled by language, and pools still below
 that over all languages; where that pool is too small as well, only the base
@@ -52,6 +53,7 @@ CUT = 30.86
 BINS = 16                     # distance bins to a doubling
 GRID = 1 / 64                 # grid of the medians
 MAX_STEPS, CONVERGED = 30, 1e-3
+SALTS = 16                    # parts of a cell in joins with its parameters
 
 X = [f"x{i}" for i in range(DIMS)]
 PAIRS = [(i, j) for i in range(DIMS) for j in range(i + 1)]
@@ -106,7 +108,9 @@ def vectors(stats: DataFrame) -> dict[str, Column]:
 
 
 def with_cells(rows: DataFrame, min_rows: int) -> DataFrame:
-    """``cell`` per language and source; small ones pooled, null if too small."""
+    """``cell`` per language and source; small ones pooled, null if too small.
+    ``salt`` cuts a cell into parts."""
+    rows = rows.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
     counts = written(rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n")), "rules-counts")
     small = F.col("n") < min_rows
     pools = counts.where(small).groupBy(F.col("lang").alias("_lang")).agg(F.sum("n").alias("pool"))
@@ -121,8 +125,14 @@ def with_cells(rows: DataFrame, min_rows: int) -> DataFrame:
     same = named["level"] == sizes["level"]
     for k in ("a", "b"):
         same = same & named[k].eqNullSafe(sizes[k])
-    cells = named.join(sizes, same, "left").select(F.col("lang").alias("_l"), F.col("source").alias("_s"), "cell")
-    return rows.join(cells, rows["lang"].eqNullSafe(cells["_l"]) & rows["source"].eqNullSafe(cells["_s"])).drop("_l", "_s")
+    cells = salted(named.join(sizes, same, "left").select(F.col("lang").alias("_l"), F.col("source").alias("_s"), "cell"), "_salt")
+    found = rows["lang"].eqNullSafe(cells["_l"]) & rows["source"].eqNullSafe(cells["_s"]) & (rows["salt"] == cells["_salt"])
+    return rows.join(cells, found).drop("_l", "_s", "_salt")
+
+
+def salted(params: DataFrame, name: str = "salt") -> DataFrame:
+    """``params`` once for each part of a cell."""
+    return params.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
 def _s(i, j):
@@ -153,7 +163,7 @@ def with_distance(rows: DataFrame, params: DataFrame, how: str = "inner") -> Dat
     start of the cell)."""
     facts = [f"l{i}{j}" for i, j in PAIRS] + [f"m{i}" for i in range(DIMS)]
     starts = ["start"] if "start" in params.columns else []
-    joined = rows.join(params.select("cell", *starts, *facts), "cell", how)
+    joined = rows.join(salted(params.select("cell", *starts, *facts)), ["cell", "salt"], how)
     for i in range(DIMS):
         z = F.col(f"x{i}") - F.col(f"m{i}")
         for k in range(i):
@@ -195,13 +205,13 @@ def starts(rows: DataFrame) -> DataFrame:
     """Three first estimates per cell: (cell, start, m.., s..)."""
     whole = _moments(rows.groupBy("cell").agg(*_sums()), ["cell"]).withColumn("start", F.lit(0))
     centre = written(_wide(_medians(rows, [F.col(x) for x in X]), "m"), "rules-medians")
-    spread = _wide(_medians(rows.join(centre, "cell"), [F.abs(F.col(f"x{i}") - F.col(f"m{i}")) for i in range(DIMS)]), "v")
+    spread = _wide(_medians(rows.join(salted(centre), ["cell", "salt"]), [F.abs(F.col(f"x{i}") - F.col(f"m{i}")) for i in range(DIMS)]), "v")
     centre = written(centre.join(spread, "cell").select(
         "cell", *[f"m{i}" for i in range(DIMS)],
         *[F.greatest(1.4826 * F.col(f"v{i}"), F.lit(FLOORS[i])).alias(f"v{i}") for i in range(DIMS)]), "rules-centres")
     plain = centre.select("cell", *[f"m{i}" for i in range(DIMS)], F.lit(1).alias("start"),
                           *[(F.col(f"v{i}") * F.col(f"v{j}") if i == j else F.lit(0.0)).alias(_s(i, j)) for i, j in PAIRS])
-    limited = rows.join(centre, "cell").select("cell", *[F.tanh((F.col(f"x{i}") - F.col(f"m{i}")) / F.col(f"v{i}")).alias(f"x{i}")
+    limited = rows.join(salted(centre), ["cell", "salt"]).select("cell", *[F.tanh((F.col(f"x{i}") - F.col(f"m{i}")) / F.col(f"v{i}")).alias(f"x{i}")
                                                          for i in range(DIMS)])
     bent = limited.groupBy("cell").agg(*_sums())
     bent = _moments(bent, ["cell"]).drop(*[f"m{i}" for i in range(DIMS)]).join(centre, "cell")
@@ -253,7 +263,7 @@ def apply_rules(docs: DataFrame, text_col: str = "text", min_rows: int = MIN_ROW
     where no cell is large enough)."""
     rows = written(text_statistics(docs, text_col), "rules-statistics")
     rows = written(with_cells(rows.withColumns(vectors(rows)), min_rows).drop("lang", "source", "n_lines"), "rules-vectors")
-    judged = rows.where("cell is not null").select("cell", *X)
+    judged = rows.where("cell is not null").select("cell", "salt", *X)
     out = with_distance(rows, mcd(judged), "left")
     kept = ~F.col("base_failed") & F.coalesce(F.col("d2") <= cut, F.lit(True))
     return out.select(*COLUMNS, kept.alias("kept"), F.sqrt("d2").alias("distance"))
