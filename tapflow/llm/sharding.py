@@ -10,7 +10,10 @@ capacity (total / shards), but what leaves it in the same round makes room,
 so full shards swap.  The driver balances the bytes asked from shard to shard
 (a min-cost flow over a shards x shards matrix); the granted share of each
 pair is picked by hash.  Rounds go on until no move is granted or two rounds
-in a row cut no fewer edges; the labels with the fewest cut edges count.
+in a row cut no fewer edges; the labels with the fewest cut edges count.  A
+round's tables are written in a file per 250,000 links and deleted after it, so
+a round costs a task per file, not one per shuffle partition, and neither files
+nor cached file listings pile up.
 
 Documents without links cut no edge wherever they lie, so they level the
 shards afterwards: those above 1/1024 of a shard one by one, largest first,
@@ -38,6 +41,7 @@ from tapflow.llm.common import drop_written, written
 BINS = 1 << 16
 LARGE = 1024                 # documents above 1/LARGE of a shard go one by one
 SLOT_BLOCK = 20_000
+FILE_ROWS = 250_000          # rows of a file of the linked nodes' small tables
 
 
 def _hash_share(*parts):
@@ -99,16 +103,23 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int, capacity: float)
     """(uid, size, label) of the linked nodes.  ``links``: src, dst."""
     both = written(links.select("src", "dst").unionAll(links.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
                    .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight")), "shard-links")
-    degree = written(both.groupBy(F.col("src").alias("uid")).agg(F.sum("weight").alias("degree")), "shard-degrees")
+    # linked nodes are few: without this every table of a round would be cut into
+    # as many files as there are shuffle partitions
+    files = max(1, math.ceil(both.count() / FILE_ROWS))
+
+    def small(frame, name):
+        return written(frame.coalesce(files), name)
+
+    degree = small(both.groupBy(F.col("src").alias("uid")).agg(F.sum("weight").alias("degree")), "shard-degrees")
     # the strongest neighbour of each node, seen once: who outranks it?
     rank = F.struct("degree", (-F.col("uid")).alias("first"))
     above = (both.join(degree.select(F.col("uid").alias("src"), rank.alias("r")), "src")
              .groupBy(F.col("dst").alias("uid")).agg(F.max("r").alias("r")))
-    state = written(degree.join(above, "uid").join(nodes, "uid").select(
+    state = small(degree.join(above, "uid").join(nodes, "uid").select(
         "uid", "size", (F.col("r") < rank).alias("holds"),
         F.pmod(F.xxhash64("uid"), F.lit(shards)).cast("int").alias("label")), "shard-labels")
-    followers = written(both.join(state.where("not holds").select(F.col("uid").alias("dst")), "dst"),
-                        "shard-followers")
+    followers = small(both.join(state.where("not holds").select(F.col("uid").alias("dst")), "dst"),
+                      "shard-followers")
     best, most, stale = state, -1, 0
     for k in count():
         votes = (followers.join(state.select(F.col("uid").alias("src"), "label"), "src")
@@ -117,7 +128,7 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int, capacity: float)
                                      F.map_from_entries(F.collect_list(F.struct("vote", "n"))).alias("by")))
         # a node has at most ``shards`` different votes
         here = F.coalesce(F.element_at("by", F.col("label")), F.lit(0))
-        wish = written(state.join(votes, "uid", "left").select(
+        wish = small(state.join(votes, "uid", "left").select(
             "uid", "size", "holds", "label", here.alias("here"),
             F.when(F.col("best.n") > here, -F.col("best.v")).cast("int").alias("want")), f"shard-wish-{k}")
         # at most shards * (shards + 1) rows
@@ -129,7 +140,6 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int, capacity: float)
             best, most, stale = state, whole, 0
         else:
             stale += 1
-            drop_written(state)
         load, asked = np.zeros(shards), np.zeros((shards, shards))
         for r in sums:
             load[r["label"]] += r["s"]
@@ -139,16 +149,20 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int, capacity: float)
         shares = {int(i * shards + j): float(given[i, j] / asked[i, j]) for i, j in zip(*np.nonzero(asked))
                   if given[i, j] >= 1}
         if stale == 2 or not shares:
-            drop_written(wish)
+            drop_written(wish, *([] if state is best else [state]))
             break
+        before = state
         share = F.element_at(F.create_map(*[F.lit(x) for s in shares.items() for x in s]),
                              F.col("label") * shards + F.col("want"))
         # every second round only half moves, or neighbours could swap places for ever
         moved = F.when(F.col("want").isNotNull() & (_hash_share("uid", F.lit(k)) < share * (0.5 if k % 2 else 1.0)),
                        F.col("want"))
-        state = written(wish.select("uid", "size", "holds", F.coalesce(moved, F.col("label")).alias("label")),
-                        f"shard-round-{k}")
+        state = small(wish.select("uid", "size", "holds", F.coalesce(moved, F.col("label")).alias("label")),
+                      f"shard-round-{k}")
         drop_written(wish)
+        if before is not best and stale:
+            drop_written(before)
+    drop_written(both, degree, followers)
     return best.select("uid", "size", "label")
 
 
