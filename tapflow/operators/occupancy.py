@@ -21,7 +21,7 @@ from tapflow.functions.times import (
     epoch_micros, format_seconds, ntz_from_epoch_micros, time_bucket,
 )
 from tapflow.operators.geo import segment
-from tapflow.operators.scan import DEFAULT, prefix_sums, with_neighbor
+from tapflow.operators.scan import DEFAULT, HotKeys, prefix_sums, with_neighbor
 
 ORDER = ["event_time", "transaction_id"]
 
@@ -58,10 +58,10 @@ def bus_aboard(good: DataFrame) -> DataFrame:
 
 
 def occupancy(good: DataFrame, keep_position: bool = False,
-              bucket_seconds: int | None | str = DEFAULT) -> DataFrame:
+              bucket_seconds: int | None | str = DEFAULT, hot: HotKeys | None = None) -> DataFrame:
     """D3: passengers aboard after each tap of a vehicle."""
     s = prefix_sums(good, ["bus_id"], ORDER, {"_aboard": delta()},
-                    bucket_seconds=bucket_seconds)
+                    bucket_seconds=bucket_seconds, hot=hot)
     cols = ["transaction_id", "bus_id", "event_time", clamp(F.col("_aboard")).alias("pending")]
     if keep_position:
         cols += ["latitude", "longitude"]
@@ -69,11 +69,11 @@ def occupancy(good: DataFrame, keep_position: bool = False,
 
 
 def crowd_flags(good: DataFrame, threshold: int = CROWD_THRESHOLD,
-                bucket_seconds: int | None | str = DEFAULT) -> DataFrame:
+                bucket_seconds: int | None | str = DEFAULT, hot: HotKeys | None = None) -> DataFrame:
     """A flag for every tap after which more than ``threshold`` are
     aboard, with the nearest segment and a message.  ``flagged_at`` is the
     tap's event time, so replays give the same rows."""
-    o = occupancy(good, keep_position=True, bucket_seconds=bucket_seconds)
+    o = occupancy(good, keep_position=True, bucket_seconds=bucket_seconds, hot=hot)
     f = o.where(F.col("pending") > threshold)
     seg = segment("latitude", "longitude")
     return f.select(
@@ -116,7 +116,7 @@ def crowd_flags_windowed(good: DataFrame, window: str = DEFAULT_FLAG_WINDOW,
 
 
 def occupancy_idle_reset(good: DataFrame, idle_seconds: int = CROWD_IDLE_SECONDS,
-                         bucket_seconds: int | None | str = DEFAULT) -> DataFrame:
+                         bucket_seconds: int | None | str = DEFAULT, hot: HotKeys | None = None) -> DataFrame:
     """Aboard count that restarts from zero when a vehicle has had no
     tap for more than ``idle_seconds``.
 
@@ -125,14 +125,14 @@ def occupancy_idle_reset(good: DataFrame, idle_seconds: int = CROWD_IDLE_SECONDS
     the latest one in order, a running maximum of (order, base).
     """
     p = with_neighbor(good, ["bus_id"], ORDER, [], "_prev", direction="previous",
-                      bucket_seconds=bucket_seconds)
+                      bucket_seconds=bucket_seconds, hot=hot)
     gap_us = epoch_micros(p, "event_time") - epoch_micros(p, "_prev.event_time")
     starts = p.withColumn("_new", (F.col("_prev").isNull() |
                                    (gap_us > F.lit(idle_seconds * 1_000_000))).cast("int"))
     s = prefix_sums(starts, ["bus_id"], ORDER, {"_P": delta(), "session_no": F.col("_new")},
-                    bucket_seconds=bucket_seconds)
+                    bucket_seconds=bucket_seconds, hot=hot)
     base = F.when(F.col("_new") == 1, F.struct(*ORDER, (F.col("_P") - delta()).alias("base")))
-    s = prefix_sums(s, ["bus_id"], ORDER, {}, {"_start": base}, bucket_seconds=bucket_seconds)
+    s = prefix_sums(s, ["bus_id"], ORDER, {}, {"_start": base}, bucket_seconds=bucket_seconds, hot=hot)
     return s.select("transaction_id", "bus_id", "event_time",
                     F.col("session_no").cast("long").alias("session_no"),
                     clamp(F.col("_P") - F.col("_start.base")).alias("pending"))

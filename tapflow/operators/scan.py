@@ -8,7 +8,9 @@ exactly:
 
 0. hot keys (never a key with a null part) are found by a small job on the
    narrow (key, time) projection of a deterministic sample (rows whose hash
-   of the order columns falls in 1 of ``sample_every`` buckets); a key is hot
+   of the order columns falls in 1 of ``sample_every`` buckets), once per plan
+   and on the rows as read if the plan hands in ``HotKeys``, and not at all if
+   the input files are too small to hold a hot key; a key is hot
    when its sampled count implies at least ``hot_key_rows`` rows, so at most
    N / ``hot_key_rows`` keys qualify.  Without a hot key the scan is the plain
    window.  A hot key's slices are cut at quantiles of its sampled times, so
@@ -71,29 +73,40 @@ def _sliced_everywhere(df: DataFrame, keys: list[str], time_col: str, bucket_sec
     return df.withColumn(_BKT, F.when(not_null, F.coalesce(bucket, F.lit(_NO_TIME))))
 
 
-def _hot_slices(df: DataFrame, keys: list[str], order: list[str], time_col: str,
-                bucket_seconds: int, hot_key_rows: int | None, sample_every: int) -> DataFrame | None:
-    """``df`` plus ``_scan_bucket``: the time slice for rows of hot keys,
-    null for the rest.  None when no key is hot."""
-    if not hot_key_rows:
-        return _sliced_everywhere(df, keys, time_col, bucket_seconds)
-    every = max(1, int(sample_every))
-    epoch = epoch_micros(df, time_col)
-    sample = df if every == 1 else df.where(
-        F.pmod(F.xxhash64(*[F.col(c) for c in keys + order]), F.lit(every)) == 0)
+#: A stored tap (id, key, time) takes more bytes than this in any file.
+MIN_ROW_BYTES = 4
+
+
+def _cannot_be_hot(df: DataFrame, hot_key_rows: int) -> bool:
+    """All inputs together are too small for ``hot_key_rows`` rows: known from
+    the plan's file sizes, without a job."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    except AttributeError:          # Spark Connect: the plan is not at hand
+        return False
+    return size < MIN_ROW_BYTES * hot_key_rows
+
+
+def _hot_cuts(rows: DataFrame, keys: list[str], hashed: list[str], time_col: str, hot_key_rows: int,
+              every: int) -> list[tuple]:
+    """(key..., cut times) of the hot keys, from a sample of ``rows``: at most
+    rows / ``hot_key_rows`` keys, each with fewer than ``MAX_SLICES`` cuts."""
+    if _cannot_be_hot(rows, hot_key_rows):
+        return []
+    epoch = epoch_micros(rows, time_col)
+    sample = rows if every == 1 else rows.where(
+        F.pmod(F.xxhash64(*[F.col(c) for c in hashed]), F.lit(every)) == 0)
     # keys with a null part are never sliced (one group, no carry needed), so
     # every join below is a plain equi-join on the window's own keys
-    sample = sample.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))).select(
-        *keys, epoch.alias("_us"))
+    sample = sample.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))).select(*keys, epoch.alias("_us"))
     counts = (sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
               .where(F.col("_n") >= max(1, hot_key_rows // every)).collect())
     if not counts:
-        return None
-    hk = [f"_hk{i}" for i in range(len(keys))]
-    types = [df.schema[k].dataType.simpleString() for k in keys]
-    spark = df.sparkSession
-    hot = spark.createDataFrame([tuple(r[k] for k in keys) for r in counts],
-                                ", ".join(f"{h} {t}" for h, t in zip(hk, types)))
+        return []
+    hk, types = _key_names(rows, keys)
+    hot = rows.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in counts],
+                                            ", ".join(f"{h} {t}" for h, t in zip(hk, types)))
     fractions = [i / MAX_SLICES for i in range(1, MAX_SLICES)]
     times = (sample.join(hot, [F.col(k) == hot[h] for k, h in zip(keys, hk)]).groupBy(*keys)
              .agg(F.percentile_approx("_us", fractions, 10 * MAX_SLICES).alias("_q")).collect())
@@ -105,7 +118,48 @@ def _hot_slices(df: DataFrame, keys: list[str], order: list[str], time_col: str,
         q = quantiles.get(key, [])
         picked = [q[i * len(q) // slices] for i in range(1, slices)] if q else []
         cuts.append((*key, sorted(set(picked))))
-    slices = spark.createDataFrame(cuts, ", ".join(f"{h} {t}" for h, t in zip(hk, types)) + ", _cuts array<bigint>")
+    return cuts
+
+
+def _key_names(df: DataFrame, keys: list[str]) -> tuple[list[str], list[str]]:
+    return [f"_hk{i}" for i in range(len(keys))], [df.schema[k].dataType.simpleString() for k in keys]
+
+
+class HotKeys:
+    """The hot keys of a table, for all scans of a plan.
+
+    They are found on ``rows`` as they are read, below any de-duplication or
+    earlier scan, so the sample shuffles a thousandth of two columns and runs
+    once however many scans follow.  A copy more or less does not matter: cuts
+    only decide the partitioning."""
+
+    def __init__(self, rows: DataFrame, time_col: str = "event_time", hashed: Sequence[str] = ("transaction_id", "event_time"),
+                 hot_key_rows: int | None | str = DEFAULT, sample_every: int | str = DEFAULT):
+        _, self.hot_key_rows, self.sample_every = _resolve(None, hot_key_rows, sample_every)
+        self.rows, self.time_col, self.hashed, self._found = rows, time_col, list(hashed), {}
+
+    def mapped(self, fn) -> "HotKeys":
+        """The same for rows with further key columns."""
+        return HotKeys(fn(self.rows), self.time_col, self.hashed, self.hot_key_rows, self.sample_every)
+
+    def cuts(self, keys: list[str]) -> list[tuple]:
+        if tuple(keys) not in self._found:
+            self._found[tuple(keys)] = _hot_cuts(self.rows, keys, self.hashed, self.time_col, self.hot_key_rows,
+                                                 max(1, int(self.sample_every)))
+        return self._found[tuple(keys)]
+
+
+def _hot_slices(df: DataFrame, keys: list[str], order: list[str], time_col: str, bucket_seconds: int,
+                hot_key_rows: int | None, sample_every: int, hot: HotKeys | None = None) -> DataFrame | None:
+    """``df`` plus ``_scan_bucket``: the time slice for rows of hot keys,
+    null for the rest.  None when no key is hot."""
+    if not hot_key_rows:
+        return _sliced_everywhere(df, keys, time_col, bucket_seconds)
+    cuts = hot.cuts(keys) if hot else _hot_cuts(df, keys, keys + order, time_col, hot_key_rows, max(1, int(sample_every)))
+    if not cuts:
+        return None
+    hk, types = _key_names(df, keys)
+    slices = df.sparkSession.createDataFrame(cuts, ", ".join(f"{h} {t}" for h, t in zip(hk, types)) + ", _cuts array<bigint>")
     j = df.join(slices, [df[k] == slices[h] for k, h in zip(keys, hk)], "left")
     us = epoch_micros(df, time_col)
     at = F.when(us.isNull(), F.lit(_NO_TIME)).otherwise(
@@ -132,7 +186,7 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 time_col: str = "event_time",
                 bucket_seconds: int | None | str = DEFAULT,
                 hot_key_rows: int | None | str = DEFAULT,
-                sample_every: int | str = DEFAULT) -> DataFrame:
+                sample_every: int | str = DEFAULT, hot: HotKeys | None = None) -> DataFrame:
     """Add running sums ``name = sum(expr)``, and running maxima, over rows of
     the same key up to and including the current row, in ``order``.
     ``order`` must start with ``time_col`` and be total within a key."""
@@ -142,7 +196,7 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     maxes = maxes or {}
     aggs = {n: (F.sum, e) for n, e in sums.items()} | {n: (F.max, e) for n, e in maxes.items()}
     base_cols = [c for c in df.columns if c not in aggs]
-    d = _hot_slices(df, keys, order, time_col, bucket_seconds, hot_key_rows, sample_every) if bucket_seconds else None
+    d = _hot_slices(df, keys, order, time_col, bucket_seconds, hot_key_rows, sample_every, hot) if bucket_seconds else None
     if d is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
             Window.unboundedPreceding, Window.currentRow)
@@ -171,7 +225,7 @@ def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   time_col: str = "event_time",
                   bucket_seconds: int | None | str = DEFAULT,
                   hot_key_rows: int | None | str = DEFAULT,
-                  sample_every: int | str = DEFAULT) -> DataFrame:
+                  sample_every: int | str = DEFAULT, hot: HotKeys | None = None) -> DataFrame:
     """Add ``name``: a struct of ``order + cols`` taken from the previous
     (or next) row of the same key in ``order``; null at the key's edge."""
     keys, order = list(keys), list(order)
@@ -183,7 +237,7 @@ def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     shift = F.lag if prev else F.lead
     base_cols = [c for c in df.columns if c != name]
 
-    d = _hot_slices(df, keys, order, time_col, bucket_seconds, hot_key_rows, sample_every) if bucket_seconds else None
+    d = _hot_slices(df, keys, order, time_col, bucket_seconds, hot_key_rows, sample_every, hot) if bucket_seconds else None
     if d is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.select(*base_cols, shift(row).over(w).alias(name))

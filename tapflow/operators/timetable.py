@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tapflow.config import STOPS, TIMETABLE_HEAD_STOPS
 from tapflow.functions.times import as_ntz
 from tapflow.operators.geo import nearest_stops_sql
-from tapflow.operators.scan import prefix_sums, with_neighbor
+from tapflow.operators.scan import HotKeys, prefix_sums, with_neighbor
 
 KEYS = ["bus_id", "service_date"]
 ORDER = ["event_time", "transaction_id"]
@@ -28,18 +28,22 @@ def _direction(after, before):
     return F.when(after > before, F.lit("forward")).when(after < before, F.lit("backward"))
 
 
-def timetable(good: DataFrame) -> DataFrame:
+def with_service_date(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("service_date", F.to_date(as_ntz(rows, "event_time")))
+
+
+def timetable(good: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Stop visits per (bus, day): bus_id, service_date, seq_no, leg_no,
     direction, stop_idx, stop_id, arrival."""
-    taps = (good.withColumn("event_time", as_ntz(good, "event_time"))
-            .withColumn("service_date", F.to_date("event_time"))
+    hot = hot and hot.mapped(with_service_date)
+    taps = (with_service_date(good).withColumn("event_time", as_ntz(good, "event_time"))
             .withColumn("stop_idx", F.expr(nearest_stops_sql("latitude", "longitude", 1) + "[0].idx"))
             .select(*KEYS, *ORDER, "stop_idx"))
-    seen = with_neighbor(taps, KEYS, ORDER, ["stop_idx"], "_prev")
+    seen = with_neighbor(taps, KEYS, ORDER, ["stop_idx"], "_prev", hot=hot)
     visits = seen.where(F.col("_prev").isNull() | (F.col("_prev.stop_idx") != F.col("stop_idx"))).select(
         *KEYS, *ORDER, "stop_idx", F.col("_prev.stop_idx").alias("_from"))
-    visits = with_neighbor(visits, KEYS, ORDER, ["stop_idx"], "_next", direction="next")
-    visits = with_neighbor(visits, KEYS, ORDER, ["stop_idx", "_from"], "_before")
+    visits = with_neighbor(visits, KEYS, ORDER, ["stop_idx"], "_next", direction="next", hot=hot)
+    visits = with_neighbor(visits, KEYS, ORDER, ["stop_idx", "_from"], "_before", hot=hot)
     here = _direction(F.col("stop_idx"), F.col("_from"))
     ahead = _direction(F.col("_next.stop_idx"), F.col("stop_idx"))
     before = _direction(F.col("_before.stop_idx"), F.col("_before._from"))
@@ -47,7 +51,7 @@ def timetable(good: DataFrame) -> DataFrame:
         *KEYS, *ORDER, "stop_idx", F.coalesce(here, ahead, F.lit("forward")).alias("direction"),
         # the first visit opens a leg; the second goes its way; then changes do
         F.when(F.col("_from").isNull() | (before.isNotNull() & (before != here)), 1).otherwise(0).alias("_turn"))
-    numbered = prefix_sums(visits, KEYS, ORDER, {"_seq": F.lit(1), "_leg": F.col("_turn")})
+    numbered = prefix_sums(visits, KEYS, ORDER, {"_seq": F.lit(1), "_leg": F.col("_turn")}, hot=hot)
     ids = F.array(*[F.lit(s[0]) for s in STOPS])
     return numbered.select(
         *KEYS, (F.col("_seq") - 1).cast("int").alias("seq_no"), (F.col("_leg") - 1).cast("int").alias("leg_no"),

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tapflow.config import MAX_TRIP_MINUTES, MIN_TRANSFER_MINUTES, PAIRING_TIMEOUT_SECONDS
 from tapflow.functions.times import epoch_micros
-from tapflow.operators.scan import DEFAULT, with_neighbor
+from tapflow.operators.scan import DEFAULT, HotKeys, with_neighbor
 from tapflow.schemas import TRIP_COLUMNS
 
 ORDER = ["event_time", "transaction_id"]
@@ -32,22 +32,22 @@ def trip_id(card: Column, tx_in: Column, tx_out: Column) -> Column:
 
 def with_previous_tap(good: DataFrame,
                       bucket_seconds: int | None | str = DEFAULT,
-                      hot_key_rows: int | None | str = DEFAULT) -> DataFrame:
+                      hot_key_rows: int | None | str = DEFAULT, hot: HotKeys | None = None) -> DataFrame:
     return with_neighbor(good, ["card_id"], ORDER, _CARRIED, "prev",
                          direction="previous", bucket_seconds=bucket_seconds,
-                         hot_key_rows=hot_key_rows)
+                         hot_key_rows=hot_key_rows, hot=hot)
 
 
 def trips(good: DataFrame, max_open_seconds: int | None = None,
           include_tap_out_bus: bool = False,
           bucket_seconds: int | None | str = DEFAULT,
-          hot_key_rows: int | None | str = DEFAULT) -> DataFrame:
+          hot_key_rows: int | None | str = DEFAULT, hot: HotKeys | None = None) -> DataFrame:
     """One row per paired (tap_in, tap_out).
 
     ``max_open_seconds`` (D9): a tap_in waits at most that long; a later
     tap_out does not pair.
     """
-    p = with_previous_tap(good, bucket_seconds, hot_key_rows)
+    p = with_previous_tap(good, bucket_seconds, hot_key_rows, hot)
     cond = (F.col("event_type") == "tap_out") & (F.col("prev.event_type") == "tap_in")
     if max_open_seconds is not None:
         gap_us = epoch_micros(p, "event_time") - epoch_micros(p, "prev.event_time")
@@ -73,8 +73,8 @@ def trips(good: DataFrame, max_open_seconds: int | None = None,
 
 
 def trips_max_open(good: DataFrame, max_open_seconds: int = PAIRING_TIMEOUT_SECONDS,
-                   bucket_seconds: int | None | str = DEFAULT) -> DataFrame:
-    return trips(good, max_open_seconds=max_open_seconds, bucket_seconds=bucket_seconds)
+                   bucket_seconds: int | None | str = DEFAULT, hot: HotKeys | None = None) -> DataFrame:
+    return trips(good, max_open_seconds=max_open_seconds, bucket_seconds=bucket_seconds, hot=hot)
 
 
 def open_taps(good: DataFrame) -> DataFrame:
@@ -94,12 +94,12 @@ def open_taps(good: DataFrame) -> DataFrame:
 
 
 def expired_taps(good: DataFrame, max_open_seconds: int = PAIRING_TIMEOUT_SECONDS,
-                 bucket_seconds: int | None | str = DEFAULT) -> DataFrame:
+                 bucket_seconds: int | None | str = DEFAULT, hot: HotKeys | None = None) -> DataFrame:
     """tap_ins that neither pair nor get replaced within the maximum
     open time: the card's next event, or the end of the data where there is
     none, comes later than that."""
     n = with_neighbor(good, ["card_id"], ORDER, [], "next", direction="next",
-                      bucket_seconds=bucket_seconds)
+                      bucket_seconds=bucket_seconds, hot=hot)
     end = good.agg(F.max("event_time").alias("end")).scalar()
     n = n.withColumn("_until", F.coalesce(F.col("next.event_time"), end))
     gap_us = epoch_micros(n, "_until") - epoch_micros(n, "event_time")
@@ -118,7 +118,7 @@ def expired_taps(good: DataFrame, max_open_seconds: int = PAIRING_TIMEOUT_SECOND
 def trip_rule_violations(trips_df: DataFrame,
                          max_trip_minutes: int = MAX_TRIP_MINUTES,
                          min_transfer_minutes: int = MIN_TRANSFER_MINUTES,
-                         bucket_seconds: int | None | str = DEFAULT) -> DataFrame:
+                         bucket_seconds: int | None | str = DEFAULT, hot: HotKeys | None = None) -> DataFrame:
     """Rider rules checked on trips, one row per (trip, broken rule):
 
     * ``tap_out_not_after_tap_in``: tap_out_time <= tap_in_time
@@ -128,7 +128,7 @@ def trip_rule_violations(trips_df: DataFrame,
     """
     p = with_neighbor(trips_df, ["card_id"], ["tap_in_time", "tap_in_tx_id"],
                       ["tap_out_time"], "prev_trip", direction="previous",
-                      time_col="tap_in_time", bucket_seconds=bucket_seconds)
+                      time_col="tap_in_time", bucket_seconds=bucket_seconds, hot=hot)
     dur_us = epoch_micros(p, "tap_out_time") - epoch_micros(p, "tap_in_time")
     prev_out = F.col("prev_trip.tap_out_time")
     soon = prev_out.isNotNull() & (

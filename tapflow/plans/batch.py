@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tapflow.operators import geo, occupancy as occ, timetable as tt, trips as tr
 from tapflow.operators.dedup import dedup_taps
 from tapflow.operators.geo_index import nearest_segment_join
+from tapflow.operators.scan import HotKeys
 from tapflow.operators.validate import (
     dead_letter, event_type_ok, patterns_ok, ranges_ok, select_tap_fields,
     valid_taps, with_reject_reason,
@@ -30,6 +31,11 @@ def good_taps(spark: SparkSession, sf_dir: str, strict_reference: bool = False,
     return dedup_taps(select_tap_fields(valid_taps(taps(spark, sf_dir), strict_reference)), columns=columns)
 
 
+def hot_taps(spark: SparkSession, sf_dir: str) -> HotKeys:
+    """Hot cards and vehicles, from the valid taps as they are read."""
+    return HotKeys(valid_taps(taps(spark, sf_dir)))
+
+
 def decoded_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope_taps(tap_envelope_source(spark, sf_dir))
 
@@ -85,7 +91,7 @@ def q_dead_letter_strict(spark, sf_dir):
 # --- trips -----------------------------------------------------------------
 
 def q_trips(spark, sf_dir):
-    return tr.trips(good_taps(spark, sf_dir))
+    return tr.trips(good_taps(spark, sf_dir), hot=hot_taps(spark, sf_dir))
 
 
 def q_open_taps(spark, sf_dir):
@@ -93,15 +99,16 @@ def q_open_taps(spark, sf_dir):
 
 
 def q_trips_max_open(spark, sf_dir):
-    return tr.trips_max_open(good_taps(spark, sf_dir))
+    return tr.trips_max_open(good_taps(spark, sf_dir), hot=hot_taps(spark, sf_dir))
 
 
 def q_expired_taps(spark, sf_dir):
-    return tr.expired_taps(good_taps(spark, sf_dir))
+    return tr.expired_taps(good_taps(spark, sf_dir), hot=hot_taps(spark, sf_dir))
 
 
 def q_trip_rule_violations(spark, sf_dir):
-    return tr.trip_rule_violations(tr.trips(good_taps(spark, sf_dir)))
+    hot = hot_taps(spark, sf_dir)
+    return tr.trip_rule_violations(tr.trips(good_taps(spark, sf_dir), hot=hot), hot=hot)
 
 
 # --- occupancy -------------------------------------------------------------
@@ -115,11 +122,11 @@ def q_bus_aboard(spark, sf_dir):
 
 
 def q_occupancy(spark, sf_dir):
-    return occ.occupancy(good_taps(spark, sf_dir, columns=["bus_id", "event_type", "event_time"]))
+    return occ.occupancy(good_taps(spark, sf_dir, columns=["bus_id", "event_type", "event_time"]), hot=hot_taps(spark, sf_dir))
 
 
 def q_crowd_flags(spark, sf_dir):
-    return occ.crowd_flags(good_taps(spark, sf_dir))
+    return occ.crowd_flags(good_taps(spark, sf_dir), hot=hot_taps(spark, sf_dir))
 
 
 def q_crowd_flags_windowed(spark, sf_dir):
@@ -127,7 +134,7 @@ def q_crowd_flags_windowed(spark, sf_dir):
 
 
 def q_occupancy_idle_reset(spark, sf_dir):
-    return occ.occupancy_idle_reset(good_taps(spark, sf_dir, columns=["bus_id", "event_type", "event_time"]))
+    return occ.occupancy_idle_reset(good_taps(spark, sf_dir, columns=["bus_id", "event_type", "event_time"]), hot=hot_taps(spark, sf_dir))
 
 
 # --- geo -------------------------------------------------------------------
@@ -177,24 +184,29 @@ def q_bus_partition_sizes(spark, sf_dir):
 
 # --- timetable -------------------------------------------------------------
 
+def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = good_taps(spark, sf_dir, columns=["bus_id", "event_time", "latitude", "longitude"])
+    return tt.timetable(good, hot_taps(spark, sf_dir))
+
+
 def q_timetable(spark, sf_dir):
-    return tt.timetable(good_taps(spark, sf_dir, columns=["bus_id", "event_time", "latitude", "longitude"]))
+    return visits(spark, sf_dir)
 
 
 def q_timetable_head(spark, sf_dir):
-    return tt.timetable_head(tt.timetable(good_taps(spark, sf_dir, columns=["bus_id", "event_time", "latitude", "longitude"])))
+    return tt.timetable_head(visits(spark, sf_dir))
 
 
 def q_direction_legs(spark, sf_dir):
-    return tt.direction_legs(tt.timetable(good_taps(spark, sf_dir, columns=["bus_id", "event_time", "latitude", "longitude"])))
+    return tt.direction_legs(visits(spark, sf_dir))
 
 
 def q_leg_stops(spark, sf_dir):
-    return tt.leg_stops(tt.direction_legs(tt.timetable(good_taps(spark, sf_dir, columns=["bus_id", "event_time", "latitude", "longitude"]))))
+    return tt.leg_stops(tt.direction_legs(visits(spark, sf_dir)))
 
 
 def q_leg_direction_counts(spark, sf_dir):
-    return tt.leg_direction_counts(tt.direction_legs(tt.timetable(good_taps(spark, sf_dir, columns=["bus_id", "event_time", "latitude", "longitude"]))))
+    return tt.leg_direction_counts(tt.direction_legs(visits(spark, sf_dir)))
 
 
 BATCH_QUERIES = {
