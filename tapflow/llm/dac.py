@@ -153,12 +153,16 @@ class PieceEncoder(dict):
         ids = self[piece] = np.array([t.id for t in self.model.tokenize(symbols)], self.dtype).tobytes()
         return ids
 
-    def encode(self, text: str) -> np.ndarray:
+    def encoded(self, text: str) -> bytes:
+        """The ids of a text, as the bytes of ``dtype``."""
         if not self.by_piece or _UNSURE.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
         if len(self) > _PIECE_LIMIT:
             self.clear()
-        return np.frombuffer(b"".join(map(self.__getitem__, _PIECES.findall(text))), self.dtype)
+        return b"".join(map(self.__getitem__, _PIECES.findall(text)))
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.encoded(text), self.dtype)
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -174,13 +178,13 @@ def _segments(tokenizer_file: str, end_id: int, segment_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         enc = encoder(_resolve(tokenizer_file))
-        end = np.array([end_id], enc.dtype)
+        end, width = np.array([end_id], enc.dtype).tobytes(), enc.dtype.itemsize
         shard, seq, base = TaskContext.get().partitionId(), 0, 0
         ids, doc_ids, starts, held = [], [], [], 0
 
         def flush():
             nonlocal ids, doc_ids, starts, held, seq, base
-            image = write_segment(np.concatenate(ids), doc_ids, starts)
+            image = write_segment(np.frombuffer(b"".join(ids), enc.dtype), doc_ids, starts)
             row = pa.RecordBatch.from_pydict({
                 "shard": pa.array([shard], pa.int32()), "seq": pa.array([seq], pa.int32()),
                 "base": pa.array([base], pa.int64()), "n_tokens": pa.array([held], pa.int64()),
@@ -191,13 +195,14 @@ def _segments(tokenizer_file: str, end_id: int, segment_tokens: int):
 
         for b in batches:
             for doc_id, text in zip(b.column("id").to_pylist(), b.column("text").to_pylist()):
-                x = np.concatenate([enc.encode(text or ""), end])
-                if doc_ids and held + len(x) > segment_tokens:
+                x = enc.encoded(text or "")
+                n = len(x) // width + 1
+                if doc_ids and held + n > segment_tokens:
                     yield flush()
-                ids.append(x)
+                ids += x, end
                 doc_ids.append(doc_id)
                 starts.append(held)
-                held += len(x)
+                held += n
         if doc_ids:
             yield flush()
     return run
@@ -234,8 +239,9 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for row in b.to_pylist():
             s = Segment(row["image"])
-            crc = [zlib.crc32(s.slice(int(a), int(z)).astype("<u4").tobytes())
-                   for a, z in zip(s.starts[:-1], s.starts[1:])]
+            # all of a segment's documents are wanted: one run over its levels
+            ids, ends = memoryview(s.slice(0, s.n_tokens).astype("<u4").tobytes()), (4 * s.starts).tolist()
+            crc = [zlib.crc32(ids[a:z]) for a, z in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": pa.array(s.doc_ids, pa.int64()),
                 "start": pa.array(s.starts[:-1] + row["first"], pa.int64()),
