@@ -1,4 +1,5 @@
 import os
+import random
 import sys
 
 import pytest
@@ -47,10 +48,46 @@ def test_edge_rows_pass(prepared, docs, no_docs):
 @needs_data
 @pytest.mark.parametrize("name", sorted(llm_oracle_sql()))
 def test_queries_equal_their_sql(prepared, name):
-    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    from oracle_compare import duck_connection
-    want = duck_connection(SF).execute(llm_oracle_sql()[name]).df()
-    got = llm_queries()[name](prepared, SF).toPandas()[list(want.columns)]
-    key = list(want.columns)[0]
-    want, got = (x.sort_values(key).reset_index(drop=True).astype(str) for x in (want, got))
-    assert want.replace({"nan": "None"}).equals(got.replace({"nan": "None"}))
+    from tests.oracle_compare import compare, duck_connection
+    ok, _, _, detail = compare(prepared, duck_connection(SF), name, llm_queries()[name], llm_oracle_sql()[name], SF)
+    assert ok, detail
+
+
+def test_columns_with_the_names_used_inside(prepared, docs):
+    """They come out as they went in."""
+    named = docs.select("doc_id", "text", "lang", "source", "n_chars").where("doc_id is not null").withColumns(
+        {c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in ("_corpus_row", "_Copies", "_id", "key")})
+    for stage in (corpus_pipeline.near_duplicates, corpus_pipeline.mix):
+        out = stage(prepared, named, SF)
+        assert out.columns == named.columns and out.count() > 0
+        assert out.where("_corpus_row <> concat('_corpus_row', doc_id) or _copies <> concat('_Copies', doc_id)").count() == 0
+
+
+def test_planted_documents_through_the_stages(prepared, tmp_path):
+    """Near copies, a benchmark passage and clean texts: what each stage
+    should keep."""
+    rnd = random.Random(8)
+
+    def prose(n):
+        return " ".join("".join(rnd.choices("abcdefghijklmnop", k=rnd.randrange(3, 9))) for _ in range(n))
+
+    item = prose(60)
+    clean = {i: prose(rnd.randrange(60, 200)) for i in range(40)}
+    near = {100 + i: clean[i].rsplit(" ", 1)[0] + " changed" for i in range(10)}
+    copies = {200 + i: clean[10] for i in range(5)}
+    leaked = {300 + i: f"{prose(40)} {item} {prose(30)}" for i in range(4)}
+    rows = [(i, t, "en", f"s{i % 2}", len(t)) for part in (clean, near, copies, leaked) for i, t in part.items()]
+    docs = prepared.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    sf = str(tmp_path)
+    prepared.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+
+    def ids(df):
+        return sorted(r.doc_id for r in df.select("doc_id").collect())
+
+    kept = corpus_pipeline.near_duplicates(prepared, docs, sf)
+    assert ids(kept) == sorted([*clean, *leaked])
+    kept = corpus_pipeline.benchmark(prepared, kept, sf)
+    assert ids(kept) == sorted(clean)
+    mixed = corpus_pipeline.mix(prepared, kept, sf)
+    assert set(ids(mixed)) <= set(clean) and max(map(ids(mixed).count, clean)) <= 2
+    assert ids(corpus_pipeline.shards(prepared, mixed, sf)) == ids(mixed)
