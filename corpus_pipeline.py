@@ -34,32 +34,43 @@ from tapflow.llm.common import crc_bucket, prepare, table, written
 
 TOXIC_SCORE = 0.7
 SHARDS = 16
-ROW = "_corpus_row"
 
 
-def _numbered(docs: DataFrame, name: str) -> DataFrame:
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, or it with more underscores: no column of ``docs``, which are
+    compared without case."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def _numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``docs`` written with a row number, so that rows equal in id and text
-    stay apart when an operator's decisions are joined back."""
-    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), name)
+    stay apart when an operator's decisions are joined back, and the number's
+    column."""
+    row = _free(docs, "_corpus_row")
+    return written(docs.withColumn(row, F.monotonically_increasing_id()), name), row
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     labels = table(spark, sf_dir, "labels").where(crc_bucket("doc_id", 3) != 1)
     model = _toxicity.fit_toxicity(docs, labels)
-    scored = _toxicity.score_toxicity(docs.withColumn(ROW, F.struct(*[F.col(f"`{c}`") for c in docs.columns])),
-                                      model, id_col=ROW)
-    return scored.where(F.col("score") < TOXIC_SCORE).select(f"{ROW}.*")
+    row = _free(docs, "_corpus_row")
+    scored = _toxicity.score_toxicity(docs.withColumn(row, F.struct(*[F.col(f"`{c}`") for c in docs.columns])),
+                                      model, id_col=row)
+    return scored.where(F.col("score") < TOXIC_SCORE).select(f"{row}.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    docs = _numbered(docs, "corpus-dedup")
+    docs, row = _numbered(docs, "corpus-dedup")
     # the class's smallest (id, row) stays, null ids last
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col(ROW))
-    found = _jaccard.jaccard_join(docs.withColumn("_id", order), id_col="_id")
-    stay = found.where("first").select(F.col(f"_id.{ROW}").alias(ROW))
-    return docs.join(stay, ROW, "left_semi").drop(ROW)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
+    found = _jaccard.jaccard_join(docs.select(order.alias("_id"), "text"), id_col="_id")
+    stay = found.where("first").select(F.col("_id.row").alias(row))
+    return docs.join(stay, row, "left_semi").drop(row)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,13 +80,14 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    docs = _numbered(docs, "corpus-mix")
-    rows = docs.select(F.col(ROW).alias("id"), F.col("doc_id").alias("key"), _mixing.word_count(F.col("text")).alias("size"),
+    docs, row = _numbered(docs, "corpus-mix")
+    copies = _free(docs, "_copies")
+    rows = docs.select(F.col(row).alias("id"), F.col("doc_id").alias("key"), _mixing.word_count(F.col("text")).alias("size"),
                        F.array("source").alias("sources"))       # chosen by doc_id, joined back by row
     taken = _mixing.mix_sources(rows).where("copies > 0 and size > 0").select(
-        F.col("id").alias(ROW), F.col("copies").alias("_copies"))
-    return (docs.join(taken, ROW)
-            .withColumn("_copies", F.explode(F.array_repeat(F.lit(1), F.col("_copies")))).drop(ROW, "_copies"))
+        F.col("id").alias(row), F.col("copies").alias(copies))
+    return (docs.join(taken, row)
+            .withColumn(copies, F.explode(F.array_repeat(F.lit(1), F.col(copies)))).drop(row, copies))
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -86,8 +98,8 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("toxicity", toxicity), ("near_duplicates", near_duplicates), ("benchmark", benchmark),
           ("mix", mix), ("shards", shards)]
 
-#: SQL cannot state the learned, iterative stages; tests/llm compares them
-#: with brute force.
+#: SQL cannot state the learned, iterative stages; tests/llm/test_pipeline.py
+#: follows planted documents through every stage.
 ORACLE_SQL = None
 
 
