@@ -438,3 +438,4 @@ FROM g2 GROUP BY bus_id, session_no"""
 ORACLE_SQL["crowd_flags_windowed_stream"] = ORACLE_SQL["crowd_flags_windowed"]
 ORACLE_SQL["open_taps_state"] = ORACLE_SQL["open_taps"]
 ORACLE_SQL["trips_resumed_stream"] = ORACLE_SQL["trips"]
+ORACLE_SQL["sink_raw_exactly_once"] = ORACLE_SQL["good_taps"]

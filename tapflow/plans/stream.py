@@ -8,6 +8,7 @@ as naive UTC, like the batch plans).
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ from tapflow.streaming.pairing import pair_taps_stream
 from tapflow.streaming.replay import SLICES, Replay, make_folder
 from tapflow.streaming.run import drain, start_file_sink, start_foreach_batch
 from tapflow.streaming.sources import EVENTS_STREAM_SCHEMA, taps_stream
+from tapflow.sinks.ledger import CommittedTable, fan_out, read_committed
 from tapflow.sinks.tables import parquet_batch_writer
 
 
@@ -222,6 +224,52 @@ def q_trips_resumed_stream(spark, sf_dir):
     return trips_resumed(spark, sf_dir, ((lo or 0) + (hi or 0)) // 2)
 
 
+class _Crash(RuntimeError):
+    pass
+
+
+def exactly_once(spark, stream: DataFrame, replay: Replay, base: str, ckpt: str) -> DataFrame:
+    """Append ``stream`` to a committed table while the writer fails once
+    before a commit and once behind one; the query starts again each time."""
+    failed = set()
+
+    def crash(when):
+        def hook(name, batch_id):
+            if batch_id >= 1 and when not in failed:
+                failed.add(when)
+                raise _Crash(f"{when} {name}")
+        return hook
+
+    table = CommittedTable(base, ckpt, before_commit=crash("before"), after_commit=crash("after"))
+
+    def start():
+        return start_foreach_batch(stream, fan_out({"raw": table}), ckpt, trigger=_AT_ONCE)
+
+    query = start()
+    try:
+        for folder in replay.folders:
+            replay.admit(folder)
+            for _ in range(3):
+                try:
+                    query.processAllAvailable()
+                    break
+                except StreamingQueryException:
+                    query = start()
+    finally:
+        query.stop()
+    if failed != {"before", "after"}:
+        raise RuntimeError("the writer was to fail twice")
+    return read_committed(spark, base, stream.schema)
+
+
+def q_sink_raw_exactly_once(spark, sf_dir):
+    """K1 with staged, committed batches, read back after two crashes."""
+    replay = Replay(_replay_rows(spark, sf_dir), 4)
+    stream = select_tap_fields(dedup_taps_stream(replay.stream))
+    out = exactly_once(spark, stream, replay, scratch_path(spark, "raw-once"), scratch_path(spark, "raw-once-ckpt"))
+    return _ntz(out.where(F.col("transaction_id") != CLOSING), ["event_time"])
+
+
 STREAM_QUERIES = {
     "tap_dedup_stream": q_tap_dedup_stream,
     "trips_stream": q_trips_stream,
@@ -235,4 +283,5 @@ STREAM_QUERIES = {
     "crowd_flags_windowed_stream": q_crowd_flags_windowed_stream,
     "open_taps_state": q_open_taps_state,
     "trips_resumed_stream": q_trips_resumed_stream,
+    "sink_raw_exactly_once": q_sink_raw_exactly_once,
 }

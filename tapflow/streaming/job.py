@@ -9,6 +9,7 @@ Each output is its own query with its own checkpoint folder (state of
 one query cannot be shared with another).  The source is a message bus
 (Kafka, JSON or Avro payloads) or, in tests, files in envelope or tap
 layout.  Sinks are ``foreachBatch`` callbacks, Parquet by default.
+``start_shared_job`` reads the source once instead of once per output.
 
 Run it with ``python -m tapflow.streaming.job --help``.
 """
@@ -25,12 +26,13 @@ from tapflow.config import PAIRING_TIMEOUT_SECONDS, WATERMARK_DELAY
 from tapflow.operators.dedup import dedup_taps_stream
 from tapflow.operators.validate import dead_letter, select_tap_fields, valid_taps
 from tapflow.schemas import TAP_FIELDS, TRIP_COLUMNS
+from tapflow.sinks.ledger import CommittedTable, fan_out, follow_committed
 from tapflow.sinks.tables import (
     dlq_batch_writer, jdbc_batch_writer, jdbc_properties, parquet_batch_writer,
 )
 from tapflow.streaming.crowd import crowd_counts_stream, crowd_flags_from_counts
 from tapflow.streaming.pairing import pair_taps_stream
-from tapflow.streaming.run import start_foreach_batch
+from tapflow.streaming.run import drain, start_foreach_batch
 
 FLAG_COLUMNS = ["bus_id", "flagged_at", "pending_count", "segment", "message"]
 
@@ -52,6 +54,7 @@ class JobConfig:
         "dlq": {"processingTime": "15 seconds"},
     })
     sinks: dict = field(default_factory=dict)   # name -> foreachBatch callback
+    shared_read: bool = False         # read the source once, see start_shared_job
 
 
 def build_outputs(taps: DataFrame, cfg: JobConfig) -> dict[str, DataFrame]:
@@ -116,6 +119,34 @@ def start_job(taps: DataFrame, cfg: JobConfig, trigger_override: dict | None = N
     return queries
 
 
+def shared_sinks(cfg: JobConfig, hooks: dict | None = None) -> dict[str, CommittedTable]:
+    """Dead letters and valid taps, both straight from a micro-batch."""
+    b, ckpt = cfg.output_base.rstrip("/"), checkpoint_of(cfg, "shared")
+    parts = {"dlq": (f"{b}/dlq/raw_bad", lambda rows: dead_letter(rows, cfg.strict_reference)),
+             "valid": (f"{b}/valid_taps", lambda rows: valid_taps(rows, cfg.strict_reference).select(*TAP_FIELDS))}
+    return {name: CommittedTable(path, ckpt, fn, **(hooks or {}).get(name, {})) for name, (path, fn) in parts.items()}
+
+
+def start_shared_job(taps: DataFrame, cfg: JobConfig, trigger_override: dict | None = None, hooks: dict | None = None):
+    """The same four outputs from one read of the source (M17).  One stateless
+    query writes dead letters and valid taps, a commit per sink; the stateful
+    queries (raw, trips, flags) follow the committed valid taps, each behind
+    its own de-duplication.  Returns {name: StreamingQuery}; "shared" reads the
+    source and must be drained first where triggers end."""
+    trig = trigger_override or cfg.triggers["dlq"]
+    queries = {"shared": start_foreach_batch(taps, fan_out(shared_sinks(cfg, hooks)), checkpoint_of(cfg, "shared"),
+                                             trigger=trig, name="tapflow_shared")}
+    if trigger_override and "availableNow" in trigger_override:
+        drain(queries["shared"])
+    schema = taps.select(*TAP_FIELDS).schema
+    valid = follow_committed(taps.sparkSession, f"{cfg.output_base.rstrip('/')}/valid_taps", schema)
+    sinks = {**default_sinks(cfg), **cfg.sinks}
+    for name, df in build_outputs(valid, cfg).items():
+        queries[name] = start_foreach_batch(df, sinks[name], checkpoint_of(cfg, name), output_mode=OUTPUT_MODES[name],
+                                            trigger=trigger_override or cfg.triggers[name], name=f"tapflow_{name}")
+    return queries
+
+
 def jdbc_config(a) -> dict | None:
     if not a.jdbc_url:
         return None
@@ -138,6 +169,8 @@ def main(argv=None):
     ap.add_argument("--max-offsets-per-trigger", type=int,
                     help="rows per micro-batch; size it from the cluster (default: all there is)")
     ap.add_argument("--strict-reference", action="store_true")
+    ap.add_argument("--shared-read", action="store_true",
+                    help="read the topic once: the stateful queries follow a table of valid taps")
     ap.add_argument("--arrival-order", action="store_true",
                     help="pair taps as they arrive instead of in event-time order behind the watermark")
     ap.add_argument("--jdbc-url", help="write raw taps, trips and flags to this database")
@@ -152,8 +185,8 @@ def main(argv=None):
                          ntz_event_time=False)
     cfg = JobConfig(checkpoint_base=a.checkpoint_base, output_base=a.output_base,
                     strict_reference=a.strict_reference, ordered_pairing=not a.arrival_order,
-                    jdbc=jdbc_config(a))
-    queries = start_job(taps, cfg)
+                    jdbc=jdbc_config(a), shared_read=a.shared_read)
+    queries = (start_shared_job if cfg.shared_read else start_job)(taps, cfg)
     await_any_and_stop(spark, list(queries.values()))
 
 
