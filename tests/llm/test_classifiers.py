@@ -124,3 +124,36 @@ def test_quality_edges(prepared, docs, no_docs):
     got = quality.score_quality(docs, quality.fit_quality(docs, one)).collect()
     assert len(got) == docs.count() and all(0.99 < r.score <= 1 for r in got)
     assert quality.score_quality(no_docs, quality.QualityModel()).count() == 0
+
+
+def test_every_known_word_counts(prepared):
+    """200,000 words that the training rows hold twice each, a text of one of
+    them: the word decides, whether it is broadcast or joined, though its
+    n-grams say nothing (they are as frequent in either language)."""
+    # letters for digits; the language follows a hash of the word
+    word = "translate(cast(id as string), '0123456789', 'abcdefghij')"
+    known = prepared.range(200_000).selectExpr(f"{word} AS word", f"IF(crc32(cast({word} as binary)) % 2 = 0, 'en', 'de') AS lang", "id")
+    train = known.selectExpr("id AS doc_id", "concat(word, ' ', word) AS text", "lang")
+    model = langid.fit_languages(train)
+    probe = known.where("id % 1000 = 7").selectExpr("id AS doc_id", "word AS text", "lang")
+    for most in (langid.BROADCAST_WORDS, 20):
+        got = langid.predict_languages(probe, model, broadcast_words=most).join(probe, "doc_id").collect()
+        assert len(got) == 200 and all(r.lang_pred == r.lang for r in got)
+
+
+def test_broadcast_and_joined_words_give_the_same(prepared, docs):
+    model = langid.fit_languages(docs)
+    texts = docs.unionByName(docs.selectExpr("doc_id + 100 AS doc_id", "concat(text, ' unseenword brownish') AS text", "lang", "source",
+                                             "n_chars", "kept", "score")).withColumn("held_out", docs["kept"])
+    runs = [sorted((str(r.doc_id), r.lang_pred, round(r.score, 6)) for r in
+                   langid.predict_languages(texts, model, broadcast_words=most).collect()) for most in (500_000, 5, 0)]
+    assert runs[0] == runs[1] == runs[2]
+    # by the model's own backoff, one text after the other
+    for r in texts.where("doc_id > 100 and doc_id < 110").collect():
+        tokens = langid.letter_words(r.text or "")
+        total = sum((model.word_vector(t) for t in tokens), np.zeros(len(model.languages)))
+        if np.ptp(total) > 0:
+            z = total / len(tokens) * min(len(tokens), langid.EVIDENCE_WORDS)
+            want = (model.languages[int(z.argmax())], float(1 / np.exp(z - z.max()).sum()))
+            got = [(p, s) for i, p, s in runs[0] if i == str(r.doc_id)]
+            assert got[0][0] == want[0] and abs(got[0][1] - want[1]) < 1e-4
