@@ -30,28 +30,13 @@ from tapflow.streaming.occupancy import (
 from tapflow.streaming.pairing import pair_taps_stream
 from tapflow.streaming.replay import SLICES, Replay, make_folder
 from tapflow.streaming.run import drain, start_file_sink, start_foreach_batch
-from tapflow.streaming.sources import EVENTS_STREAM_SCHEMA, taps_stream
+from tapflow.streaming.sources import taps_stream
 from tapflow.sinks.ledger import CommittedTable, fan_out, read_committed
 from tapflow.sinks.tables import parquet_batch_writer
 
 
-def good_taps_stream(spark: SparkSession, sf_dir: str, flush: bool = False) -> DataFrame:
-    """Good taps; with ``flush``, one more tap of a card of its own a day
-    after the last, so that the watermark passes every row of the table."""
-    good = valid_taps(taps_stream(spark, sf_dir)).select(*TAP_FIELDS)
-    if flush:
-        good = good.unionByName(_closing_tap(spark, sf_dir))
-    return select_tap_fields(dedup_taps_stream(good))
-
-
-def _closing_tap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "closing-tap")
-    end = spark.read.schema(EVENTS_STREAM_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet").agg(
-        (F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("event_time"))
-    row = end.selectExpr("'closing' AS transaction_id", "'closing' AS card_id", "'closing' AS bus_id",
-                         "'tap_out' AS event_type", "event_time", "0D AS latitude", "0D AS longitude")
-    row.where("event_time IS NOT NULL").write.parquet(path)
-    return spark.readStream.schema(row.schema).parquet(path)
+def good_taps_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return select_tap_fields(dedup_taps_stream(valid_taps(taps_stream(spark, sf_dir)).select(*TAP_FIELDS)))
 
 
 def _ntz(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -70,9 +55,8 @@ def q_tap_dedup_stream(spark, sf_dir):
     return _ntz(_run_append(spark, good_taps_stream(spark, sf_dir), "dedup"), ["event_time"])
 
 
-def _pairing_output(spark, sf_dir, max_open, ordered=False):
-    s = pair_taps_stream(good_taps_stream(spark, sf_dir, flush=ordered), max_open_seconds=max_open,
-                         ordered=ordered)
+def _pairing_output(spark, sf_dir, max_open):
+    s = pair_taps_stream(good_taps_stream(spark, sf_dir), max_open_seconds=max_open, ordered=False)
     return _ntz(_run_append(spark, s, "pairing"), ["tap_in_time", "tap_out_time"])
 
 
@@ -81,25 +65,11 @@ def q_trips_stream(spark, sf_dir):
         F.col("record_type") == "trip").select(*TRIP_COLUMNS)
 
 
-def q_trips_ordered_stream(spark, sf_dir):
-    """Pairing in event-time order whatever the arrival order: rows are
-    paired once the watermark has passed them.  The replay is bounded, so a
-    closing tap moves the watermark past its last row."""
-    return _pairing_output(spark, sf_dir, None, ordered=True).where(
-        F.col("record_type") == "trip").select(*TRIP_COLUMNS)
-
-
 def q_trips_max_open_stream(spark, sf_dir):
     return _pairing_output(spark, sf_dir, PAIRING_TIMEOUT_SECONDS).where(
         F.col("record_type") == "trip").select(*TRIP_COLUMNS)
 
 
-def q_expired_taps_stream(spark, sf_dir):
-    out = _pairing_output(spark, sf_dir, PAIRING_TIMEOUT_SECONDS)
-    return out.where(F.col("record_type") == "expired").select(
-        "card_id", "tap_in_tx_id", "bus_id", "tap_in_time", "tap_in_lat", "tap_in_lon")
-
-
 def _crowd_batches(spark, sf_dir) -> DataFrame:
     counts = crowd_counts_stream(good_taps_stream(spark, sf_dir))
     out, ckpt = scratch_path(spark, "crowd-out"), scratch_path(spark, "crowd-ckpt")
@@ -131,6 +101,7 @@ def q_crowd_flags_stream(spark, sf_dir):
 
 _AT_ONCE = {"processingTime": "0 seconds"}
 CLOSING = "closing"
+FEW_SLICES = 4                # several micro-batches, where time order is not the point
 
 
 def _stamped(df: DataFrame) -> DataFrame:
@@ -148,16 +119,16 @@ def _closing_row(rows: DataFrame, of: str) -> DataFrame:
     return end.select(*[own[c].alias(c) for c in TAP_FIELDS])
 
 
-def _replay_rows(spark, sf_dir) -> DataFrame:
+def _replay_rows(spark, sf_dir, closing: bool = True) -> DataFrame:
     """Valid taps, copies included, and the closing tap."""
     rows = _stamped(valid_taps(taps(spark, sf_dir)).select(*TAP_FIELDS))
-    return rows.unionByName(_closing_row(rows, "event_time"))
+    return rows.unionByName(_closing_row(rows, "event_time")) if closing else rows
 
 
-def _replayed(spark, sf_dir, build, name: str, slices: int = SLICES) -> tuple[DataFrame, str]:
+def _replayed(spark, sf_dir, build, name: str, slices: int = FEW_SLICES, closing: bool = True) -> tuple[DataFrame, str]:
     """The table that ``build(good taps)`` appends to in a replay, and the
     query's checkpoint."""
-    replay = Replay(_replay_rows(spark, sf_dir), slices)
+    replay = Replay(_replay_rows(spark, sf_dir, closing), slices)
     out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
     stream = build(select_tap_fields(dedup_taps_stream(replay.stream)))
     replay.run(lambda: start_file_sink(stream, out, ckpt, trigger=_AT_ONCE))
@@ -183,7 +154,7 @@ def q_crowd_sessions_stream(spark, sf_dir):
 
 def q_crowd_flags_windowed_stream(spark, sf_dir):
     """One flag per vehicle and interval, over two chained queries."""
-    replay = Replay(_replay_rows(spark, sf_dir))
+    replay = Replay(_replay_rows(spark, sf_dir), FEW_SLICES)
     names = [scratch_path(spark, f"windows-{k}") for k in ("closed", "closed-ckpt", "flags", "flags-ckpt")]
     make_folder(spark, names[0])
     closed = closed_intervals_stream(select_tap_fields(dedup_taps_stream(replay.stream)))
@@ -194,13 +165,29 @@ def q_crowd_flags_windowed_stream(spark, sf_dir):
     return _ntz(out, ["window_start", "window_end", "flagged_at"])
 
 
+def q_trips_ordered_stream(spark, sf_dir):
+    """Pairing in event-time order.  A row is paired once the watermark
+    has passed it; a call holds one time slice of a card."""
+    out, _ = _replayed(spark, sf_dir, pair_taps_stream, "ordered", SLICES)
+    return _ntz(out.where("record_type = 'trip'").select(*TRIP_COLUMNS), ["tap_in_time", "tap_out_time"])
+
+
+def q_expired_taps_stream(spark, sf_dir):
+    """tap_ins that waited too long, as the watermark shows it.  No closing
+    tap: what is open at the end of the table stays open."""
+    out, _ = _replayed(spark, sf_dir, lambda good: pair_taps_stream(good, PAIRING_TIMEOUT_SECONDS, ordered=False),
+                       "expired", SLICES, closing=False)
+    return _ntz(out.where("record_type = 'expired'").select(
+        "card_id", "tap_in_tx_id", "bus_id", "tap_in_time", "tap_in_lat", "tap_in_lon"), ["tap_in_time"])
+
+
 def q_open_taps_state(spark, sf_dir):
     """D2 read out of the pairing state's checkpoint after a replay."""
     _, ckpt = _replayed(spark, sf_dir, pair_taps_stream, "open-state")
     return _ntz(waiting_taps(spark, ckpt), ["tap_in_time"])
 
 
-def trips_resumed(spark, sf_dir, cut_us: int, slices: int = SLICES) -> DataFrame:
+def trips_resumed(spark, sf_dir, cut_us: int, slices: int = FEW_SLICES) -> DataFrame:
     """Trips of the batch up to the cut, and of a fresh query that reads
     only rows from the cut on behind a handover."""
     rows = _stamped(valid_taps(taps(spark, sf_dir)).select(*TAP_FIELDS))
@@ -264,7 +251,7 @@ def exactly_once(spark, stream: DataFrame, replay: Replay, base: str, ckpt: str)
 
 def q_sink_raw_exactly_once(spark, sf_dir):
     """K1 with staged, committed batches, read back after two crashes."""
-    replay = Replay(_replay_rows(spark, sf_dir), 4)
+    replay = Replay(_replay_rows(spark, sf_dir), FEW_SLICES)
     stream = select_tap_fields(dedup_taps_stream(replay.stream))
     out = exactly_once(spark, stream, replay, scratch_path(spark, "raw-once"), scratch_path(spark, "raw-once-ckpt"))
     return _ntz(out.where(F.col("transaction_id") != CLOSING), ["event_time"])

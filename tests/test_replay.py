@@ -118,7 +118,7 @@ def test_slices_are_time_ranges(spark):
 
 @pytest.mark.parametrize("slices", [2, 7])
 def test_interval_flags_do_not_depend_on_batches(spark, monkeypatch, slices):
-    monkeypatch.setattr(plans, "Replay", lambda rows: Replay(rows, slices))
+    monkeypatch.setattr(plans, "FEW_SLICES", slices)
     monkeypatch.setattr("tapflow.streaming.occupancy.crowd_flags_windowed_stream.__defaults__", (2,))
     got = plans.q_crowd_flags_windowed_stream(spark, SF_SMALL)
     want = occ.crowd_flags_windowed(good_taps(spark, SF_SMALL), threshold=2)
