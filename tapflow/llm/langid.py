@@ -28,7 +28,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import cached_property
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -126,9 +126,10 @@ def fit_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     def log_share(c):
         # smoothed by half a count per key of the kind; five kinds
         whole = F.create_map(*[F.lit(x) for r in totals for x in (r["kind"], float(r[c] + 0.5 * r["size"]))])
-        return F.log((F.col(c) + 0.5) / whole[kind]).alias(c)
+        return F.log((F.col(c) + 0.5) / whole[kind]).cast("float").alias(c)
 
-    vectors = counts.select("key", *[log_share(c) for c in columns]) if totals else counts
+    vectors = counts.select("key", *[log_share(c) for c in columns]) if totals else counts.select(
+        "key", *[F.col(c).cast("float").alias(c) for c in columns])
     prior = dict(per.groupBy("lang").agg(F.sum("n")).collect())
     return LanguageModel(languages, written(vectors, "langid-vectors"),
                          np.array([math.log1p(prior.get(x, 0)) for x in languages]))
@@ -141,13 +142,22 @@ def word_vectors(docs: DataFrame, model: LanguageModel, text_col: str = "text")
                     .agg(F.count(F.lit(1)).alias("n")), "langid-distinct")
     found = words.join(model.vectors, F.concat(F.lit("w"), F.col("word")) == F.col("key"), "left")
     known = found.where("key is not null").select("word", "n", *model.columns)
-    other = found.where("key is null").select("word", "n", F.explode(F.concat(
-        *[_gram_keys(F.col("word"), n) for n in ORDERS])).alias("gram"))
-    # means per order, then the longest order that has any known n-gram
-    means = (other.join(model.vectors, F.col("gram") == F.col("key")).groupBy("word", F.substring("gram", 1, 1).alias("order"))
-             .agg(F.max("n").alias("n"), *[F.avg(c).alias(c) for c in model.columns]))
-    longest = means.groupBy("word").agg(F.max(F.struct("order", "n", *model.columns)).alias("b"))
-    return known.unionByName(longest.select("word", "b.n", *[F.col(f"b.{c}").alias(c) for c in model.columns]))
+    other = written(found.where("key is null").select("word", "n"), "langid-unseen")
+    left, found = other, [known]
+    for n in ORDERS:
+        # the longest known n-grams decide: shorter ones are looked up only for
+        # words that have none of these
+        table = model.vectors.where(F.col("key").startswith(str(n)))
+        if table.count() <= BROADCAST_WORDS:
+            table = F.broadcast(table)
+        grams_of = left.select("word", "n", F.explode(_gram_keys(F.col("word"), n)).alias("gram"))
+        means = written(grams_of.join(table, F.col("gram") == F.col("key")).groupBy("word")
+                        .agg(F.max("n").alias("n"), *[F.avg(c).cast("float").alias(c) for c in model.columns]),
+                        f"langid-backoff-{n}")
+        found.append(means)
+        if n > ORDERS[-1]:
+            left = written(left.join(means.select("word"), "word", "left_anti"), f"langid-without-{n}")
+    return reduce(DataFrame.unionByName, found)
 
 
 def _frequent(vectors: DataFrame, most: int) -> tuple[DataFrame, DataFrame | None]:
