@@ -31,6 +31,7 @@ from tapflow.sinks.tables import (
     dlq_batch_writer, jdbc_batch_writer, jdbc_properties, parquet_batch_writer,
 )
 from tapflow.streaming.crowd import crowd_counts_stream, crowd_flags_from_counts
+from tapflow.streaming.occupancy import idle_reset_flags, occupancy_idle_reset_stream
 from tapflow.streaming.pairing import pair_taps_stream
 from tapflow.streaming.run import drain, start_foreach_batch
 
@@ -55,6 +56,7 @@ class JobConfig:
     })
     sinks: dict = field(default_factory=dict)   # name -> foreachBatch callback
     shared_read: bool = False         # read the source once, see start_shared_job
+    crowd_idle_seconds: int | None = None   # flags from counts that start anew after this long without a tap
 
 
 def build_outputs(taps: DataFrame, cfg: JobConfig) -> dict[str, DataFrame]:
@@ -70,7 +72,8 @@ def build_outputs(taps: DataFrame, cfg: JobConfig) -> dict[str, DataFrame]:
         "raw": good,
         "trips": pair_taps_stream(good, max_open_seconds=cfg.max_open_seconds,
                                   ordered=cfg.ordered_pairing),
-        "flags": crowd_flags_from_counts(crowd_counts_stream(good)),
+        "flags": (crowd_flags_from_counts(crowd_counts_stream(good)) if cfg.crowd_idle_seconds is None else
+                  idle_reset_flags(occupancy_idle_reset_stream(good, cfg.crowd_idle_seconds))),
     }
     if "value_raw" in taps.columns:
         out["dlq"] = dead_letter(taps, cfg.strict_reference)
@@ -95,6 +98,8 @@ def default_sinks(cfg: JobConfig) -> dict:
     sinks = {"dlq": dlq_batch_writer(f"{b}/dlq", checkpoint=checkpoint_of(cfg, "dlq"))}
     for name, (table, columns) in TABLES.items():
         if cfg.jdbc:
+            if name == "trips" and not cfg.jdbc.get("tap_ids", True):
+                columns = [c for c in columns if c not in ("tap_in_tx_id", "tap_out_tx_id")]
             fn = jdbc_batch_writer(cfg.jdbc["url"], table, columns, cfg.jdbc["properties"], cfg.jdbc.get("append"))
             sinks[name] = _only_trips(fn) if name == "trips" else fn
         else:
@@ -106,6 +111,11 @@ def default_sinks(cfg: JobConfig) -> dict:
 OUTPUT_MODES = {"raw": "append", "trips": "append", "flags": "update", "dlq": "append"}
 
 
+def output_mode(cfg: JobConfig, name: str) -> str:
+    """Counts that never restart are updated; idle-reset counts are appended."""
+    return "append" if name == "flags" and cfg.crowd_idle_seconds is not None else OUTPUT_MODES[name]
+
+
 def start_job(taps: DataFrame, cfg: JobConfig, trigger_override: dict | None = None):
     """Start every output; returns {name: StreamingQuery}."""
     outputs = build_outputs(taps, cfg)
@@ -115,7 +125,7 @@ def start_job(taps: DataFrame, cfg: JobConfig, trigger_override: dict | None = N
         trig = trigger_override or cfg.triggers[name]
         queries[name] = start_foreach_batch(
             df, sinks[name], checkpoint_of(cfg, name),
-            output_mode=OUTPUT_MODES[name], trigger=trig, name=f"tapflow_{name}")
+            output_mode=output_mode(cfg, name), trigger=trig, name=f"tapflow_{name}")
     return queries
 
 
@@ -142,7 +152,7 @@ def start_shared_job(taps: DataFrame, cfg: JobConfig, trigger_override: dict | N
     valid = follow_committed(taps.sparkSession, f"{cfg.output_base.rstrip('/')}/valid_taps", schema)
     sinks = {**default_sinks(cfg), **cfg.sinks}
     for name, df in build_outputs(valid, cfg).items():
-        queries[name] = start_foreach_batch(df, sinks[name], checkpoint_of(cfg, name), output_mode=OUTPUT_MODES[name],
+        queries[name] = start_foreach_batch(df, sinks[name], checkpoint_of(cfg, name), output_mode=output_mode(cfg, name),
                                             trigger=trigger_override or cfg.triggers[name], name=f"tapflow_{name}")
     return queries
 
@@ -152,7 +162,7 @@ def jdbc_config(a) -> dict | None:
         return None
     password = os.environ[a.jdbc_password_env] if a.jdbc_password_env else None
     extra = dict(o.split("=", 1) for o in a.jdbc_option)
-    return {"url": a.jdbc_url, "properties": jdbc_properties(a.jdbc_user, password, **extra)}
+    return {"url": a.jdbc_url, "properties": jdbc_properties(a.jdbc_user, password, **extra), "tap_ids": not a.jdbc_plain_trips}
 
 
 def main(argv=None):
@@ -176,6 +186,8 @@ def main(argv=None):
     ap.add_argument("--jdbc-url", help="write raw taps, trips and flags to this database")
     ap.add_argument("--jdbc-user")
     ap.add_argument("--jdbc-password-env", help="name of the variable that holds the password")
+    ap.add_argument("--jdbc-plain-trips", action="store_true", help="trips table of nine columns, without the taps' ids")
+    ap.add_argument("--crowd-idle-seconds", type=int, help="crowd counts start anew after this long without a tap")
     ap.add_argument("--jdbc-option", action="append", default=[], metavar="NAME=VALUE")
     a = ap.parse_args(argv)
 
@@ -185,7 +197,7 @@ def main(argv=None):
                          ntz_event_time=False)
     cfg = JobConfig(checkpoint_base=a.checkpoint_base, output_base=a.output_base,
                     strict_reference=a.strict_reference, ordered_pairing=not a.arrival_order,
-                    jdbc=jdbc_config(a), shared_read=a.shared_read)
+                    jdbc=jdbc_config(a), shared_read=a.shared_read, crowd_idle_seconds=a.crowd_idle_seconds)
     queries = (start_shared_job if cfg.shared_read else start_job)(taps, cfg)
     await_any_and_stop(spark, list(queries.values()))
 

@@ -95,3 +95,28 @@ def test_jdbc_outputs_of_the_job(spark, workdir):
     sinks["raw"](good_taps(spark, SF_SMALL).limit(0), 0)        # an empty batch appends nothing
     assert [(c[0], c[1], len(c[4])) for c in calls] == [("jdbc:x", "trips", 2)]
     assert calls[0][3] == trips.columns
+    cfg.jdbc["tap_ids"] = False
+    default_sinks(cfg)["trips"](both, 1)
+    assert calls[1][3] == ["trip_id", "card_id", "bus_id", "tap_in_time", "tap_out_time", "tap_in_lat", "tap_in_lon",
+                           "tap_out_lat", "tap_out_lon"]
+
+
+def test_flags_of_idle_reset_counts(spark, workdir):
+    """Twenty aboard, a long break, five aboard: flags before the break only."""
+    import datetime as dt
+    from tapflow.streaming.job import build_outputs, output_mode
+    from tapflow.streaming.run import start_file_sink
+    t0, src = dt.datetime(2024, 1, 1, 8), os.path.join(workdir, "taps")
+    rows = [(f"{i:036d}", f"C{i}", "BUS-1" if i < 25 else "BUS-2", "tap_in",
+             t0 + dt.timedelta(minutes=i if i < 20 else i + 100 if i < 25 else 1000), -6.2, 106.82) for i in range(26)]
+    taps = spark.createDataFrame(rows, "transaction_id string, card_id string, bus_id string, event_type string, "
+                                       "event_time timestamp, latitude double, longitude double")
+    taps.coalesce(1).write.parquet(src)
+    cfg = JobConfig(checkpoint_base=workdir, output_base=workdir, crowd_idle_seconds=3600)
+    flags = build_outputs(spark.readStream.schema(taps.schema).parquet(src), cfg)["flags"]
+    assert output_mode(cfg, "flags") == "append" and output_mode(cfg, "raw") == "append"
+    out = os.path.join(workdir, "out")
+    drain(start_file_sink(flags, out, os.path.join(workdir, "ck")))
+    got = sorted((r.flagged_at, r.pending_count, r.message[:12]) for r in spark.read.parquet(out).collect())
+    assert [(g[0], g[1]) for g in got] == [(t0 + dt.timedelta(minutes=m), m + 1) for m in range(15, 20)]
+    assert all(g[2] == "[CROWD FLAG]" for g in got)
