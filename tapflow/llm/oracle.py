@@ -1,63 +1,60 @@
 """DuckDB SQL for the operators that SQL can state."""
 
-from tapflow.llm.urls import DIGITS, LOWER, ORDER, RULES, UPPER, probability
-
 # A-Z only, as the engine's default lower() would change other letters too.
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
 
 def _url_filter() -> str:
-    """Rules, window counts, Witten-Bell probabilities, calibrated cut."""
-    rules = ", ".join(f"('{v}', '{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for v, r in RULES)
-    at = [k for k in range(1, ORDER + 1)]
-    grams = " UNION ALL ".join(f"SELECT w, a, b, {k} AS k, right(w, {k}) AS g FROM counts" for k in at)
-    pick = ", ".join(f"coalesce(sum({x}{c}) FILTER (k = {k}), 0) AS {x}{k}{c}"
-                     for k in at for x in "nmt" for c in "ab" if k > 1 or x == "n")
-    steps, before = [], "wide"
-    for (k, pa), (_, pb) in zip(probability("a"), probability("b")):
-        steps.append(f"s{k} AS (SELECT *, {pa} AS p{k}a, {pb} AS p{k}b FROM {before})")
-        before = f"s{k}"
+    """Rules, page-weighted counts of one to five characters, and the
+    interpolation n' = (n + kinds * shorter) / (context + kinds) written out
+    from one character up to five; cut between the classes' means."""
+    def longer(k: int) -> str:
+        def p(c: str) -> str:
+            return (f"CASE WHEN coalesce(x.m{c}, 0) = 0 THEN s.p{c} ELSE "
+                    f"(coalesce(g.n{c}, 0) + x.t{c} * s.p{c}) / (x.m{c} + x.t{c}) END AS p{c}")
+        return f"""s{k} AS (SELECT s.w, {p('a')}, {p('b')} FROM s{k - 1} s
+                     LEFT JOIN grams g ON g.k = {k} AND g.g = right(s.w, {k})
+                     LEFT JOIN contexts x ON x.k = {k} AND x.c = left(right(s.w, {k}), {k - 1}))"""
     return f"""
         WITH rest AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3)
                                            ELSE '' END AS rest FROM pages),
-        parts AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
+        parts AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1),
+                                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
                          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
-        rules(ruled, rule, name, start) AS (VALUES {rules}),
-        urls AS (SELECT DISTINCT host, path FROM parts),
+        rules(ruled, rule, name, start) AS (VALUES
+            ('allow', 'com/', 'com', '/'), ('block', 'example.com/en/', 'example.com', '/en/'),
+            ('allow', 'www.example.com/en/', 'www.example.com', '/en/'),
+            ('block', 'net/es/', 'net', '/es/'), ('block', 'net/fr/', 'net', '/fr/')),
+        urls AS (SELECT host, path, count(*) AS pages FROM parts GROUP BY host, path),
         fits AS (SELECT host, path, arg_max(rule, length(rule)) AS rule, arg_max(ruled, length(rule)) AS ruled
                  FROM urls JOIN rules ON (host = name OR ends_with(host, '.' || name)) AND starts_with(path, start)
                  GROUP BY host, path),
-        judged AS (SELECT parts.*, rule, ruled, regexp_replace(parts.host || parts.path, '[0-9]+', '0', 'g') AS form
-                   FROM parts LEFT JOIN fits ON parts.host = fits.host AND parts.path = fits.path),
-        forms AS (SELECT form, coalesce(bool_or(ruled = 'allow'), false) AS a,
-                         coalesce(bool_or(ruled = 'block'), false) AS b FROM judged GROUP BY form),
-        windows AS (SELECT form, a <> b AS known, a,
-                           substr('{"^" * (ORDER - 1)}' || form || '$', i::BIGINT, {ORDER}) AS w
-                    FROM forms, unnest(range(1, length(form) + 2)) AS u(i)),
-        counts AS (SELECT w, count(*) FILTER (known AND a) AS a, count(*) FILTER (known AND NOT a) AS b
-                   FROM windows GROUP BY w),
-        long AS ({grams}),
-        grams AS (SELECT k, g, sum(a) AS na, sum(b) AS nb FROM long GROUP BY k, g HAVING sum(a) + sum(b) > 0),
+        judged AS (SELECT urls.*, rule, ruled FROM urls LEFT JOIN fits ON urls.host = fits.host AND urls.path = fits.path),
+        windows AS (SELECT host, path, pages, ruled, substr('^^^^' || host || path || '$', i::BIGINT, 5) AS w
+                    FROM judged, unnest(range(1, length(host || path) + 2)) AS u(i)),
+        counts AS (SELECT w, coalesce(sum(pages) FILTER (ruled = 'allow'), 0) AS a,
+                          coalesce(sum(pages) FILTER (ruled = 'block'), 0) AS b FROM windows GROUP BY w),
+        grams AS (SELECT k, right(w, k::BIGINT) AS g, sum(a)::DOUBLE AS na, sum(b)::DOUBLE AS nb
+                  FROM counts, unnest(range(1, 6)) AS u(k) GROUP BY ALL HAVING sum(a) + sum(b) > 0),
         contexts AS (SELECT k, left(g, k - 1) AS c, sum(na) AS ma, sum(nb) AS mb,
                             count(*) FILTER (na > 0) AS ta, count(*) FILTER (nb > 0) AS tb
                      FROM grams WHERE k > 1 GROUP BY ALL),
-        total AS (SELECT sum(na) AS total_a, sum(nb) AS total_b, count(*) AS letters FROM grams WHERE k = 1),
-        wide AS (SELECT w, any_value(total_a) AS total_a, any_value(total_b) AS total_b,
-                        any_value(letters) AS letters, {pick}
-                 FROM (SELECT w, k, g, left(g, k - 1) AS c FROM long) l LEFT JOIN grams USING (k, g)
-                      LEFT JOIN contexts USING (k, c), total GROUP BY w),
-        {", ".join(steps)},
-        scores AS (SELECT form, known, a, round(avg(ln(p{ORDER}a / p{ORDER}b)), {DIGITS}) AS score
-                   FROM windows JOIN {before} USING (w) GROUP BY form, known, a),
-        side AS (SELECT avg(score) FILTER (a) AS ma, stddev_pop(score) FILTER (a) AS sa,
-                        avg(score) FILTER (NOT a) AS mb, stddev_pop(score) FILTER (NOT a) AS sb
-                 FROM scores WHERE known),
+        total AS (SELECT sum(na) AS all_a, sum(nb) AS all_b, count(*) AS letters FROM grams WHERE k = 1),
+        s1 AS (SELECT w, (coalesce(na, 0) + 1) / (all_a + letters + 1) AS pa, (coalesce(nb, 0) + 1) / (all_b + letters + 1) AS pb
+               FROM counts CROSS JOIN total LEFT JOIN grams ON k = 1 AND g = right(w, 1)),
+        {", ".join(longer(k) for k in range(2, 6))},
+        scores AS (SELECT host, path, ruled, any_value(pages) AS pages, round(avg(ln(pa / pb)), 9) AS score
+                   FROM windows JOIN s5 USING (w) GROUP BY host, path, ruled),
+        side AS (SELECT ruled, sum(pages * score) / sum(pages) AS m, sum(pages * score * score) / sum(pages) AS q
+                 FROM scores WHERE ruled IS NOT NULL GROUP BY ruled),
+        pair AS (SELECT x.m AS ma, sqrt(greatest(0, x.q - x.m * x.m)) AS sa, y.m AS mb, sqrt(greatest(0, y.q - y.m * y.m)) AS sb
+                 FROM side x, side y WHERE x.ruled = 'allow' AND y.ruled = 'block'),
         cut AS (SELECT round(CASE WHEN sa + sb > 0 THEN (ma * sb + mb * sa) / (sa + sb)
-                                  ELSE (ma + mb) / 2 END, 6) AS cut FROM side)
+                                  ELSE (ma + mb) / 2 END, 6) AS cut FROM pair)
         SELECT page_id, host, path, rule,
-               coalesce(ruled, CASE WHEN cut IS NULL OR score >= cut THEN 'allow' ELSE 'block' END) AS verdict
-        FROM judged JOIN scores USING (form), cut"""
+               coalesce(judged.ruled, CASE WHEN cut IS NULL OR score >= cut THEN 'allow' ELSE 'block' END) AS verdict
+        FROM parts JOIN judged USING (host, path) JOIN scores USING (host, path) LEFT JOIN cut ON true"""
 
 
 def crc32_sql(text: str) -> str:

@@ -11,10 +11,11 @@ out, so the order varies with what is known.  The cut is calibrated on the
 training URLs: the point equally many standard deviations from both classes'
 mean scores.
 
-Everything runs on distinct *forms* (host and path, each run of digits as one
-0), so a host with a third of all pages costs what it has in forms; window
-probabilities are worked out once per distinct five-character window.
-DataFrame functions only.
+The models read the characters of host and path as they are.  Pages of one URL
+are aggregated first and enter every count, mean and deviation with their
+number, so a URL with a third of all pages weighs as much as it has pages and
+costs as much as any other; window probabilities are worked out once per
+distinct five-character window.  DataFrame functions only.
 
 Defined results: a null URL or one without ``://`` has empty host and path
 and fits no rule; without URLs of both classes the models know nothing and
@@ -24,6 +25,8 @@ no rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,12 +66,13 @@ def probability(c: str) -> str:
         yield k, f"CASE WHEN {m} > 0 THEN ({n} + {t} * {shorter}) / ({m} + {t}) ELSE {shorter} END"
 
 
-def window_columns(form: Column) -> Column:
-    """The windows that end at each character of the form and at its end."""
-    letters = F.concat(F.array(*[F.lit("^")] * (ORDER - 1)), F.filter(F.split(form, ""), lambda x: x != ""),
+def window_columns(text: Column) -> Column:
+    """The windows that end at each character of the text and at its end."""
+    letters = F.concat(F.array(*[F.lit("^")] * (ORDER - 1)), F.filter(F.split(text, ""), lambda x: x != ""),
                        F.array(F.lit("$")))
-    return F.transform(F.sequence(F.lit(1), F.size(letters) - (ORDER - 1)),
-                       lambda i: F.array_join(F.slice(letters, i, F.lit(ORDER)), ""))
+    # an array of one array: a lambda's variable is worked out once, an expression inside it once per window
+    return F.transform(F.array(letters), lambda a: F.transform(
+        F.sequence(F.lit(1), F.size(a) - (ORDER - 1)), lambda i: F.array_join(F.slice(a, i, F.lit(ORDER)), "")))[0]
 
 
 def url_verdicts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES) -> DataFrame:
@@ -76,19 +80,17 @@ def url_verdicts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     host, path = host_and_path(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
     rows = rows.withColumn("fit", rule_of(F.col("host"), F.col("path"), rules)).select(
-        "id", "host", "path", F.col("fit.rule").alias("rule"), F.col("fit.verdict").alias("ruled"),
-        F.regexp_replace(F.concat("host", "path"), "[0-9]+", "0").alias("form"))
-    # digits do not enter a rule here, but a form may be ruled in part
-    forms = written(rows.groupBy("form").agg(F.max(F.col("ruled") == "allow").alias("a"),
-                                             F.max(F.col("ruled") == "block").alias("b"),
-                                             F.max(F.col("ruled").isNull()).alias("open")), "url-forms")
-    known = F.coalesce(F.col("a"), F.lit(False)) != F.coalesce(F.col("b"), F.lit(False))
-    windows = written(forms.select("form", known.alias("known"), F.coalesce("a", F.lit(False)).alias("a"),
-                                   F.explode(window_columns(F.col("form"))).alias("w")), "url-windows")
+        "id", "host", "path", F.col("fit.rule").alias("rule"), F.col("fit.verdict").alias("ruled"))
+    rows = written(rows, "url-rows")
+    # the verdict of a rule depends on host and path alone; the number keeps long URLs out of the window rows
+    urls = written(rows.groupBy("host", "path").agg(F.max("ruled").alias("ruled"), F.count(F.lit(1)).alias("pages"))
+                   .withColumn("url", F.monotonically_increasing_id()), "url-distinct")
+    windows = written(urls.select("url", "pages", "ruled", F.explode(window_columns(F.concat("host", "path"))).alias("w")),
+                      "url-windows")
 
     one = lambda c: F.sum(F.when(c, 1).otherwise(0))
-    counts = windows.groupBy("w").agg(one(F.col("known") & F.col("a")).alias("a"),
-                                      one(F.col("known") & ~F.col("a")).alias("b"))
+    seen = lambda verdict: F.sum(F.when(F.col("ruled") == verdict, F.col("pages")).otherwise(0))
+    counts = windows.groupBy("w").agg(seen("allow").alias("a"), seen("block").alias("b"))
     endings = F.explode(F.transform(F.sequence(F.lit(1), F.lit(ORDER)),
                                     lambda k: F.struct(k.alias("k"), F.expr("w").substr(ORDER + 1 - k, k).alias("g"))))
     long = written(counts.select("w", "a", "b", endings.alias("e")).select("w", "a", "b", "e.k", "e.g"), "url-grams")
@@ -116,16 +118,17 @@ def url_verdicts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
         for k, p in probability(c):
             wide = wide.withColumn(f"p{k}{c}", F.expr(p))
     ratios = written(wide.select("w", F.log(F.col(f"p{ORDER}a") / F.col(f"p{ORDER}b")).alias("r")), "url-ratios")
-    scores = written(windows.join(ratios, "w").groupBy("form")
-                     .agg(F.round(F.avg("r"), DIGITS).alias("score")), "url-scores")
-
-    trained = forms.where(known).join(scores, "form")
-    side = {r["a"]: r for r in trained.groupBy(F.coalesce("a", F.lit(False)).alias("a"))
-            .agg(F.avg("score").alias("m"), F.coalesce(F.stddev_pop("score"), F.lit(0.0)).alias("s")).collect()}
-    cut = threshold(side[True]["m"], side[True]["s"], side[False]["m"], side[False]["s"])
-    # both sides are scans: a hot form's partition can be split at run time
+    scores = windows.join(ratios, "w").groupBy("url").agg(F.round(F.avg("r"), DIGITS).alias("score"))
+    urls = written(urls.join(scores, "url").drop("url"), "url-scores")
+
+    of_pages = lambda x: F.sum(x * F.col("pages")) / F.sum("pages")
+    side = {r["ruled"]: r for r in urls.where("ruled IS NOT NULL").groupBy("ruled").agg(
+        of_pages(F.col("score")).alias("m"), of_pages(F.col("score") * F.col("score")).alias("q")).collect()}
+    deviation = {v: math.sqrt(max(0.0, r["q"] - r["m"] ** 2)) for v, r in side.items()}
+    cut = threshold(side["allow"]["m"], deviation["allow"], side["block"]["m"], deviation["block"])
+    # both sides are scans: a hot URL's partition can be split at run time
     judged = F.when(F.col("score") >= F.lit(cut), "allow").otherwise("block")
-    return (written(rows, "url-rows").join(scores, "form")
+    return (rows.join(urls.select("host", "path", "score"), ["host", "path"])
             .select(F.col("id").alias(id_col), "host", "path", "rule",
                     F.coalesce("ruled", judged).alias("verdict"), "score"))
 

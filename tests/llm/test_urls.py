@@ -30,6 +30,19 @@ def test_model_ratio(prepared):
     assert got[80].score > 0 > got[81].score
 
 
+def test_digits_and_page_counts_decide(prepared):
+    """URLs that differ in digits only get different verdicts; a URL of many
+    pages weighs as much as its pages."""
+    rows = [f"http://a{i}.com/id/777{i}" for i in range(20)] + [f"http://a{i}.net/es/id/333{i}" for i in range(20)]
+    probe = ["http://a.org/id/7777", "http://a.org/id/3333"]
+    table = lambda urls: prepared.createDataFrame([(i, u, "x", "y") for i, u in enumerate(urls)], COLS)
+    got = [r.score for r in m.url_verdicts(table(rows + probe)).orderBy("page_id").collect()]
+    assert got[40] > got[41]
+    # the same URL on many allowed pages moves what resembles it towards allow
+    many = [r.score for r in m.url_verdicts(table(rows + probe + ["http://a1.com/id/3333"] * 400)).orderBy("page_id").collect()]
+    assert many[41] > got[41]
+
+
 def test_edges(prepared):
     assert m.url_verdicts(prepared.createDataFrame([], COLS)).count() == 0
     one = prepared.createDataFrame([(1, "http://a.org/x", "x", "y"), (1, "http://a.org/x", "x", "y")], COLS)
