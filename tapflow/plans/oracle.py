@@ -439,3 +439,12 @@ ORACLE_SQL["crowd_flags_windowed_stream"] = ORACLE_SQL["crowd_flags_windowed"]
 ORACLE_SQL["open_taps_state"] = ORACLE_SQL["open_taps"]
 ORACLE_SQL["trips_resumed_stream"] = ORACLE_SQL["trips"]
 ORACLE_SQL["sink_raw_exactly_once"] = ORACLE_SQL["good_taps"]
+ORACLE_SQL["tap_dedup_unbounded_stream"] = ORACLE_SQL["good_taps"]
+ORACLE_SQL["late_tap_counts"] = _with(f"valid AS (SELECT * FROM taps WHERE {_GOOD_COND})", """
+bounds AS (SELECT min(epoch_us(event_time)) AS lo, max(epoch_us(event_time)) AS hi FROM valid)""", """
+judged AS (SELECT transaction_id, right(transaction_id, 1) = '7' AND epoch_us(event_time) < lo + (hi - lo) // 4 AS late
+           FROM valid, bounds)""") + """
+SELECT (SELECT count(*) FROM taps) AS rows_in, (SELECT count(*) FROM taps) - count(*) AS dead_lettered,
+  count(*) FILTER (late) AS late, count(*) FILTER (NOT late) - count(DISTINCT transaction_id) FILTER (NOT late) AS duplicate,
+  count(DISTINCT transaction_id) FILTER (NOT late) AS kept
+FROM judged"""

@@ -21,8 +21,10 @@ from tapflow.operators.validate import select_tap_fields, valid_taps
 from tapflow.schemas import TAP_FIELDS, TRIP_COLUMNS
 from tapflow.session import scratch_path
 from tapflow.sources.fixtures import taps
+from tapflow.streaming.account import FIELDS, RowAccount, accounted_taps
 from tapflow.streaming.crowd import crowd_counts_stream, crowd_flags_from_counts
 from tapflow.streaming.handover import resumed_pairs, waiting_taps, write_handover
+from tapflow.streaming.key_store import KeyStore
 from tapflow.streaming.occupancy import (
     INTERVAL_SCHEMA, closed_intervals_stream, crowd_flags_windowed_stream, crowd_sessions_stream,
     occupancy_idle_reset_stream,
@@ -257,6 +259,44 @@ def q_sink_raw_exactly_once(spark, sf_dir):
     return _ntz(out.where(F.col("transaction_id") != CLOSING), ["event_time"])
 
 
+def q_tap_dedup_unbounded_stream(spark, sf_dir):
+    """W2, no key forgotten: all copies but the earliest arrive a month late."""
+    rows = _replay_rows(spark, sf_dir, closing=False)
+    copy = F.row_number().over(Window.partitionBy("transaction_id").orderBy("event_time", F.xxhash64(*TAP_FIELDS)))
+    late = F.when(copy > 1, F.expr("INTERVAL 30 DAYS")).otherwise(F.expr("INTERVAL 0 DAYS"))
+    replay = Replay(rows.withColumn("arrival", F.col("event_time") + late), FEW_SLICES, time_col="arrival")
+    ckpt = scratch_path(spark, "key-store-ckpt")
+    store = KeyStore(scratch_path(spark, "key-store"), ckpt)
+    replay.run(lambda: start_foreach_batch(replay.stream.select(*TAP_FIELDS), store.writer(), ckpt, trigger=_AT_ONCE))
+    return _ntz(read_committed(spark, store.rows.base, rows.schema), ["event_time"])
+
+
+LATE_ENDING = "7"
+
+
+def q_late_tap_counts(spark, sf_dir):
+    """What became of the rows of a replay in which the taps of the first
+    quarter of the time whose id ends in 7 arrive behind all others."""
+    rows = _stamped(taps(spark, sf_dir).select(*TAP_FIELDS))
+    us = epoch_micros(rows, "event_time")
+    lo, hi = valid_taps(rows).agg(F.min(us), F.max(us)).first()
+    lo, hi = lo or 0, hi or 0
+    late = F.col("transaction_id").endswith(LATE_ENDING) & (us < lo + (hi - lo) // 4)
+    arrival = F.when(late, F.col("event_time") + F.expr("INTERVAL 1000 DAYS")).otherwise(F.col("event_time"))
+    replay = Replay(rows.withColumn("arrival", arrival), SLICES, time_col="arrival")
+    out, ckpt = scratch_path(spark, "account-out"), scratch_path(spark, "account-ckpt")
+    name = out.rsplit("/", 1)[1]
+    account = RowAccount(name)
+    spark.streams.addListener(account)
+    try:
+        replay.run(lambda: start_file_sink(accounted_taps(replay.stream).select(*TAP_FIELDS), out, ckpt,
+                                           trigger=_AT_ONCE, name=name))
+        totals = account.totals() if replay.folders else dict.fromkeys(FIELDS, 0)
+    finally:
+        spark.streams.removeListener(account)
+    return spark.createDataFrame([tuple(totals[f] for f in FIELDS)], ", ".join(f"{f} long" for f in FIELDS))
+
+
 STREAM_QUERIES = {
     "tap_dedup_stream": q_tap_dedup_stream,
     "trips_stream": q_trips_stream,
@@ -271,4 +311,6 @@ STREAM_QUERIES = {
     "open_taps_state": q_open_taps_state,
     "trips_resumed_stream": q_trips_resumed_stream,
     "sink_raw_exactly_once": q_sink_raw_exactly_once,
+    "tap_dedup_unbounded_stream": q_tap_dedup_unbounded_stream,
+    "late_tap_counts": q_late_tap_counts,
 }

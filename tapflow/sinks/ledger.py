@@ -40,18 +40,25 @@ class CommittedTable:
         self.transform = transform or (lambda df: df)
         self.before_commit, self.after_commit = before_commit, after_commit
 
-    def _folder(self, spark: SparkSession, batch_id: int) -> str:
+    def batch_folder(self, spark: SparkSession, batch_id: int) -> str:
         return f"run-{checkpoint_id(spark, self.checkpoint)}-batch-{batch_id}"
 
+    def folders(self, spark: SparkSession) -> list[str]:
+        """The committed batches of all runs."""
+        path, fs = _fs(spark, self.base)
+        fs.mkdirs(path)
+        found = [str(s.getPath()) for s in fs.listStatus(path)]
+        return sorted(f for f in found if f.rsplit("/", 1)[1].startswith("run-"))
+
     def committed(self, spark: SparkSession, batch_id: int) -> bool:
-        path, fs = _fs(spark, f"{self.base}/{self._folder(spark, batch_id)}")
+        path, fs = _fs(spark, f"{self.base}/{self.batch_folder(spark, batch_id)}")
         return fs.exists(path)
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if self.committed(spark, batch_id):
             return
-        name = self._folder(spark, batch_id)
+        name = self.batch_folder(spark, batch_id)
         staged = f"{self.base}/_staging/{name}"
         observed_write(self.transform(batch), lambda d: d.write.mode("overwrite").parquet(staged),
                        self.base.rsplit("/", 1)[-1], batch_id)
