@@ -114,6 +114,37 @@ def min_cost_flow(supply: dict, members: dict, demand: dict, repeats: int = MAX_
             for i in graph[u] if isinstance(arcs[i][0], tuple) and arcs[i][0][0] == "s" and arcs[i ^ 1][1] > 0}
 
 
+def components(members: dict) -> list[list]:
+    """Patterns that are linked by common sources, group by group."""
+    parent: dict = {}
+
+    def root(s):
+        while parent.setdefault(s, s) != s:
+            parent[s] = s = parent[parent[s]]
+        return s
+
+    for sources in members.values():
+        for s in sources[1:]:
+            parent[root(s)] = root(sources[0])
+    groups: dict = {}
+    for p, sources in members.items():
+        if sources:
+            groups.setdefault(root(sources[0]), []).append(p)
+    return list(groups.values())
+
+
+def flow_by_component(supply: dict, members: dict, demand: dict, repeats: int = MAX_REPEATS) -> dict:
+    """``min_cost_flow`` over each group of linked patterns by itself: no
+    words pass from one to another, so together these are the flow of the
+    whole, and its cost does not grow with sources that do not overlap."""
+    flow: dict = {}
+    for group in components(members):
+        own = {p: members[p] for p in group}
+        flow |= min_cost_flow({p: supply[p] for p in group}, own,
+                              {s: demand[s] for sources in own.values() for s in sources}, repeats)
+    return flow
+
+
 def _digit(level: int) -> Column:
     return F.shiftright("u", DIGIT_BITS * (DIGITS - 1 - level)).bitwiseAND((1 << DIGIT_BITS) - 1)
 
@@ -183,7 +214,7 @@ def mix_sources(rows: DataFrame, weights: Sequence[float] = WEIGHTS, share: floa
             sizes[s] = sizes.get(s, 0) + r["size"]
     target = quotas(sizes, weights, share, most)
     supply = {k: r["size"] for k, r in enumerate(patterns) if r["size"]}
-    flow = min_cost_flow(supply, {k: patterns[k]["sources"] for k in supply}, target, most)
+    flow = flow_by_component(supply, {k: patterns[k]["sources"] for k in supply}, target, most)
     given = dict.fromkeys(range(len(patterns)), 0.0)
     for (p, _), n in flow.items():
         given[p] += n

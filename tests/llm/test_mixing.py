@@ -1,5 +1,7 @@
 import re
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from tapflow.llm import mixing as m
@@ -73,3 +75,35 @@ def test_edges(docs, no_docs):
         size.setdefault(i, len(re.findall(m.WORD, t or "")))
     assert all(r.size == size[r.id] and 0 <= r.taken <= 2 * r.size for r in got)
     assert m.mix_sources(rows_of(no_docs)).count() == 0
+
+
+def test_flow_of_groups_is_the_flow_of_the_whole():
+    """Two groups of overlapping sources and one by itself, null among them."""
+    members = {0: ["a"], 1: ["a", "b"], 2: ["c"], 3: ["c", "d"], 4: [None], 5: ["d"], 6: []}
+    supply = {0: 100, 1: 50, 2: 10, 3: 400, 4: 70, 5: 5, 6: 9}
+    demand = {"a": 180.0, "b": 60.0, "c": 300.0, "d": 200.0, None: 90.0}
+    assert sorted(sorted(g) for g in m.components(members)) == [[0, 1], [2, 3, 5], [4]]
+    whole, parts = m.min_cost_flow(supply, members, demand), m.flow_by_component(supply, members, demand)
+
+    def given(flow):
+        out = dict.fromkeys(supply, 0.0)
+        for (p, _), n in flow.items():
+            out[p] += n
+        return out
+
+    def cost(flow):
+        return sum(max(0.0, n - supply[p]) for p, n in given(flow).items())
+
+    assert sum(whole.values()) == pytest.approx(sum(parts.values())) and cost(whole) == pytest.approx(cost(parts))
+    for s, words in demand.items():
+        assert sum(n for (_, x), n in parts.items() if x == s) == pytest.approx(words)
+
+
+def test_flow_of_ten_thousand_sources():
+    n = 10_000
+    supply = {k: 10 + k % 7 for k in range(n)}
+    demand = {f"s{k}": 1.5 * supply[k] for k in range(n)}
+    began = time.monotonic()
+    flow = m.flow_by_component(supply, {k: [f"s{k}"] for k in range(n)}, demand)
+    assert time.monotonic() - began < 30
+    assert flow == {(k, f"s{k}"): pytest.approx(demand[f"s{k}"]) for k in range(n)}
