@@ -65,5 +65,8 @@ TOPIC_PARTITIONS = 7
 DEFAULT_SCAN_BUCKET_SECONDS = 60 * 60
 DEFAULT_HOT_KEY_ROWS = 2_000_000
 DEFAULT_HOT_KEY_SAMPLE_EVERY = 1000
+# Pairing on a stream: buckets of cards, each with one state.  A call holds a
+# bucket's rows of a micro-batch and its waiting tap_ins; a checkpoint keeps the number.
+DEFAULT_PAIRING_BUCKETS = 512
 # Tumbling window for the per-interval crowd flags.
 DEFAULT_FLAG_WINDOW = "1 hour"

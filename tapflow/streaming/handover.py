@@ -42,13 +42,13 @@ def state_operator(spark: SparkSession, checkpoint: str, name: str = PAIRING_OPE
 def waiting_taps(spark: SparkSession, checkpoint: str) -> DataFrame:
     """D2 from the pairing state: cards whose tap_in waits for a tap_out."""
     state = (spark.read.format("statestore").option("operatorId", state_operator(spark, checkpoint)).load(checkpoint)
-             .select(F.col("key.card_id").alias("card_id"), F.col("value.groupState").alias("s"))
-             .where(F.col("s.settled") == 1))
-    first = {out: F.get(f"s.{field}", 0) for out, field in (
-        ("tap_in_tx_id", "ids"), ("bus_id", "buses"), ("tap_in_lat", "lats"), ("tap_in_lon", "lons"))}
-    return state.select("card_id", first["tap_in_tx_id"].alias("tap_in_tx_id"), first["bus_id"].alias("bus_id"),
-                        F.timestamp_micros(F.get("s.times_us", 0)).alias("tap_in_time"),
-                        first["tap_in_lat"].alias("tap_in_lat"), first["tap_in_lon"].alias("tap_in_lon"))
+             .select(F.col("value.groupState").alias("s")).where("s.settled > 0"))
+    rows = F.arrays_zip(*[F.col(f"s.{c}").alias(c) for c in ("cards", "ids", "buses", "times_us", "lats", "lons")])
+    # the waiting ones come first in a bucket's rows
+    first = state.select(F.explode(F.slice(rows, 1, F.col("s.settled"))).alias("w"))
+    return first.select(F.col("w.cards").alias("card_id"), F.col("w.ids").alias("tap_in_tx_id"),
+                        F.col("w.buses").alias("bus_id"), F.timestamp_micros("w.times_us").alias("tap_in_time"),
+                        F.col("w.lats").alias("tap_in_lat"), F.col("w.lons").alias("tap_in_lon"))
 
 
 @dataclass
