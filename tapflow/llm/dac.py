@@ -129,11 +129,46 @@ _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)
 _UNSURE = re.compile("[^\x00-\x1b\x20-\x84\x86-\xb1\xb4-\xb8\xba\xbb\xbf-ɏΑ-Ρα-ω"
                      "А-я‐-‧‰-⁞一-龥가-힣]|<\\|")
 _PIECE_LIMIT = 600_000
+_WORD_LIMIT, _WORD_CHARS = 900_000, 48
+_MARKS = frozenset(".,;:!?")                # one behind a word is a piece of its own
+
+
+class WordCodes(dict):
+    """A text's part between two spaces -> the ids of a space and the part.
+
+    The tokenizer always begins a piece at a space that no white space comes
+    before, so such parts are encoded by themselves.  None stands for a part
+    after which that is not known: it is empty, ends in white space or holds a
+    character that ``_UNSURE`` finds."""
+
+    def __init__(self, pieces: "PieceEncoder"):
+        self.pieces = pieces
+
+    def __missing__(self, part: str) -> bytes | None:
+        ids = self._codes(part)
+        if len(part) <= _WORD_CHARS:        # texts without spaces are not remembered
+            self[part] = ids
+        return ids
+
+    def _codes(self, part: str) -> bytes | None:
+        if part[-1:] in _MARKS and part[:-1].isalpha():
+            word = self[part[:-1]]
+            return word and word + self.pieces[part[-1]]
+        if not self.alone(part):
+            return None
+        return self.pieces.tokenized(" " + part) if part.isalpha() else self.pieces.joined(" " + part)
+
+    @staticmethod
+    def alone(part: str) -> bool:
+        if part.isascii() and part.isalpha():
+            return True
+        return part != "" and not part[-1].isspace() and not _UNSURE.search(part)
 
 
 class PieceEncoder(dict):
     """Encodes texts with a ``tokenizers`` file; each distinct piece of a
-    byte-level vocabulary is encoded once per worker and remembered."""
+    byte-level vocabulary, and each distinct word with what is attached to it,
+    is encoded once per worker and remembered."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -147,19 +182,40 @@ class PieceEncoder(dict):
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = [b for b in range(256) if b not in plain]
         self.byte_chars = {b: b for b in plain} | {b: 256 + k for k, b in enumerate(other)}
+        self.space = chr(self.byte_chars[32])
+        self.pack = struct.Struct("<H" if self.dtype.itemsize == 2 else "<I").pack
+        self.words = WordCodes(self)
 
     def __missing__(self, piece: str) -> bytes:
-        symbols = piece.encode().decode("latin-1").translate(self.byte_chars)
-        ids = self[piece] = np.array([t.id for t in self.model.tokenize(symbols)], self.dtype).tobytes()
+        ids = self[piece] = self.tokenized(piece)
         return ids
 
+    def tokenized(self, piece: str) -> bytes:
+        if piece.isascii() and piece.isprintable():
+            symbols = piece.replace(" ", self.space)
+        else:
+            symbols = piece.encode().decode("latin-1").translate(self.byte_chars)
+        return b"".join([self.pack(t.id) for t in self.model.tokenize(symbols)])
+
+    def joined(self, text: str) -> bytes:
+        """The ids of a text without unsure characters, piece by piece."""
+        return b"".join(map(self.__getitem__, _PIECES.findall(text)))
+
     def encoded(self, text: str) -> bytes:
         """The ids of a text, as the bytes of ``dtype``."""
-        if not self.by_piece or _UNSURE.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-        if len(self) > _PIECE_LIMIT:
-            self.clear()
-        return b"".join(map(self.__getitem__, _PIECES.findall(text)))
+        if self.by_piece:
+            if len(self) > _PIECE_LIMIT:
+                self.clear()
+            if len(self.words) > _WORD_LIMIT:
+                self.words.clear()
+            first, *parts = text.split(" ")
+            if WordCodes.alone(first):
+                codes = [self.joined(first), *map(self.words.__getitem__, parts)]
+                if None not in codes:
+                    return b"".join(codes)
+            if not _UNSURE.search(text):
+                return self.joined(text)
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(self.encoded(text), self.dtype)

@@ -53,3 +53,27 @@ def test_empty(prepared, no_docs):
     path = scratch_path(prepared, "dac-empty")
     m.write_tokens(no_docs, path, NAME, 2)
     assert m.read_entries(prepared, path).count() == 0
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["word", "Word,", "don't", "x's", "'s", "a.", ".", "..", "é!", "12", "a\n", "\nb", "", "", "\t",
+                                 "\xa0", "½", "_a", "a_;", "中文?", "<|x|>", "x.\nY", "\x1c"]), max_size=12))
+def test_words_equal_the_tokenizer(parts):
+    """Parts between spaces are encoded by themselves only where the tokenizer
+    cuts there, whatever white space, marks and unsure characters meet."""
+    enc, text = m.encoder(m._resolve(NAME)), " ".join(parts)
+    assert enc.encode(text).tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_words_are_encoded_once(monkeypatch):
+    """A word seen before costs a look-up, also behind a mark; no text is cut
+    into pieces again for words that are known."""
+    enc, seen = m.PieceEncoder(m._resolve(NAME)), []
+    monkeypatch.setattr(enc, "tokenized", lambda piece, of=enc.tokenized: (seen.append(piece), of(piece))[1])
+    want = enc.tokenizer.encode("so many words, many words", add_special_tokens=False).ids
+    for _ in range(4):
+        assert enc.encode("so many words, many words").tolist() == want
+    assert sorted(seen) == [" many", " words", ",", "so"]
+    long = "a-" * 100
+    assert enc.encode(f"x {long}").tolist() == enc.tokenizer.encode(f"x {long}", add_special_tokens=False).ids
+    assert long not in enc.words                 # memory is bounded by words, not by texts without spaces
