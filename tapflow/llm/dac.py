@@ -24,10 +24,13 @@ import json
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,14 +107,16 @@ class Segment:
     def slice(self, a: int, b: int) -> np.ndarray:
         """The ids at positions a..b-1: a run of each level, no more."""
         out = np.zeros(b - a, np.uint32)
-        at = np.arange(b - a)
-        shift = 0
+        at, shift = None, 0                 # the first level holds all ids
         for chunks, bitmap, ranks in self.levels:
             if a >= b:
                 break
-            out[at] |= chunks[a:b].astype(np.uint32) << np.uint32(shift)
-            bits = np.unpackbits(bitmap[a >> 3:(b + 7) >> 3], bitorder="little")[a & 7:(a & 7) + b - a]
-            at = at[bits.astype(bool)]
+            more = np.flatnonzero(np.unpackbits(bitmap[a >> 3:(b + 7) >> 3], bitorder="little")[a & 7:(a & 7) + b - a])
+            if at is None:
+                out[:], at = chunks[a:b], more
+            else:
+                out[at] |= chunks[a:b].astype(np.uint32) << np.uint32(shift)
+                at = at[more]
             block = a // RANK_BITS
             first = block * (RANK_BITS // 8)
             start = int(ranks[block]) + int(_POPCOUNT[bitmap[first:a >> 3]].sum()) + \
@@ -128,41 +133,54 @@ class Segment:
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 _UNSURE = re.compile("[^\x00-\x1b\x20-\x84\x86-\xb1\xb4-\xb8\xba\xbb\xbf-ɏΑ-Ρα-ω"
                      "А-я‐-‧‰-⁞一-龥가-힣]|<\\|")
-_PIECE_LIMIT = 600_000
-_WORD_LIMIT, _WORD_CHARS = 900_000, 48
-_MARKS = frozenset(".,;:!?")                # one behind a word is a piece of its own
+_PIECE_LIMIT = 300_000
+_WORD_LIMIT, _WORD_CHARS = 600_000, 48
+_MARKS = pa.array(list(".,;:!?"))           # one behind a letter, with nothing after it, is a piece of its own
+#: A line end with white space around it, or none of the part on one side.
+_KNOTTY = r"[\t\n\v\f\r]\n|\n[\t\n\v\f\r]|^\n|\n$"
+#: Text encoded at a time: each distinct word of it costs one look-up.
+CHUNK_BYTES = 12 << 20
 
 
 class WordCodes(dict):
-    """A text's part between two spaces -> the ids of a space and the part.
+    """A word -> the ids of ``before`` (a space or a line end) and the word.
 
     The tokenizer always begins a piece at a space that no white space comes
-    before, so such parts are encoded by themselves.  None stands for a part
-    after which that is not known: it is empty, ends in white space or holds a
-    character that ``_UNSURE`` finds."""
-
-    def __init__(self, pieces: "PieceEncoder"):
-        self.pieces = pieces
-
-    def __missing__(self, part: str) -> bytes | None:
-        ids = self._codes(part)
-        if len(part) <= _WORD_CHARS:        # texts without spaces are not remembered
-            self[part] = ids
+    before, and cuts before and after a line end between two other characters,
+    so what lies between is encoded by itself.  None stands for a word for
+    which that is not known: it is empty, begins (behind a line end) or ends
+    in white space or holds a character that ``_UNSURE`` finds."""
+
+    def __init__(self, pieces: "PieceEncoder", before: str):
+        self.pieces, self.before = pieces, before
+
+    def of(self, words: list[str]) -> list[bytes | None]:
+        """The codes of a chunk's words.  Memory is bounded: of too many known
+        words only those of the chunk stay known."""
+        codes = list(map(self.__getitem__, words))
+        if len(self) > _WORD_LIMIT:
+            self.clear()
+            self.update((w, c) for w, c in islice(zip(words, codes), _WORD_LIMIT) if len(w) <= _WORD_CHARS)
+        return codes
+
+    def __missing__(self, word: str) -> bytes | None:
+        ids = self._codes(word)
+        if len(word) <= _WORD_CHARS:        # texts without spaces are not remembered
+            self[word] = ids
         return ids
 
-    def _codes(self, part: str) -> bytes | None:
-        if part[-1:] in _MARKS and part[:-1].isalpha():
-            word = self[part[:-1]]
-            return word and word + self.pieces[part[-1]]
-        if not self.alone(part):
+    def _codes(self, word: str) -> bytes | None:
+        if not self.alone(word):
             return None
-        return self.pieces.tokenized(" " + part) if part.isalpha() else self.pieces.joined(" " + part)
+        if self.before == " ":
+            return (self.pieces.tokenized if word.isalpha() else self.pieces.joined)(" " + word)
+        return None if word[0].isspace() else self.pieces["\n"] + self.pieces.joined(word)
 
     @staticmethod
-    def alone(part: str) -> bool:
-        if part.isascii() and part.isalpha():
+    def alone(word: str) -> bool:
+        if word.isascii() and word.isalpha():
             return True
-        return part != "" and not part[-1].isspace() and not _UNSURE.search(part)
+        return word != "" and not word[-1].isspace() and not _UNSURE.search(word)
 
 
 class PieceEncoder(dict):
@@ -183,10 +201,12 @@ class PieceEncoder(dict):
         other = [b for b in range(256) if b not in plain]
         self.byte_chars = {b: b for b in plain} | {b: 256 + k for k, b in enumerate(other)}
         self.space = chr(self.byte_chars[32])
-        self.pack = struct.Struct("<H" if self.dtype.itemsize == 2 else "<I").pack
-        self.words = WordCodes(self)
+        self.code = self.dtype.char
+        self.words, self.lines = WordCodes(self, " "), WordCodes(self, "\n")
 
     def __missing__(self, piece: str) -> bytes:
+        if piece[0] == " " and len(piece) <= _WORD_CHARS and piece[1:].isalpha():
+            return self.words[piece[1:]]    # kept there
         ids = self[piece] = self.tokenized(piece)
         return ids
 
@@ -195,30 +215,136 @@ class PieceEncoder(dict):
             symbols = piece.replace(" ", self.space)
         else:
             symbols = piece.encode().decode("latin-1").translate(self.byte_chars)
-        return b"".join([self.pack(t.id) for t in self.model.tokenize(symbols)])
+        return array(self.code, [t.id for t in self.model.tokenize(symbols)]).tobytes()
 
     def joined(self, text: str) -> bytes:
         """The ids of a text without unsure characters, piece by piece."""
         return b"".join(map(self.__getitem__, _PIECES.findall(text)))
 
-    def encoded(self, text: str) -> bytes:
-        """The ids of a text, as the bytes of ``dtype``."""
-        if self.by_piece:
-            if len(self) > _PIECE_LIMIT:
-                self.clear()
-            if len(self.words) > _WORD_LIMIT:
-                self.words.clear()
-            first, *parts = text.split(" ")
-            if WordCodes.alone(first):
-                codes = [self.joined(first), *map(self.words.__getitem__, parts)]
-                if None not in codes:
-                    return b"".join(codes)
-            if not _UNSURE.search(text):
-                return self.joined(text)
+    def whole(self, text: str) -> bytes:
+        """The ids of a text that is not cut at its spaces."""
+        if self.by_piece and not _UNSURE.search(text):
+            return self.joined(text)
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(self.encoded(text), self.dtype)
+        codes = ChunkCodes(self, pa.array([text], pa.string()))
+        return codes.ids(0, 1)
+
+
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+class Codes:
+    """Ids of numbered words, laid out entry by entry."""
+
+    def __init__(self, codes: list[bytes], dtype: np.dtype):
+        self.flat = np.frombuffer(b"".join(codes), dtype)
+        self.size = np.fromiter(map(len, codes), np.int64, len(codes)) // dtype.itemsize
+        self.begin = np.cumsum(self.size) - self.size
+
+    def laid_out(self, entry: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The first ``size`` ids of each entry, one after the other."""
+        ends = np.cumsum(size)
+        shift = self.begin[entry] - (ends - size)
+        at = np.repeat(shift, size)
+        at += np.arange(len(at))
+        return self.flat[at]
+
+
+class PartCodes:
+    """The ids of distinct parts of texts (what lies between two spaces), each
+    with the space before it; ``unknown`` marks parts whose ids also depend on
+    what lies around them.
+
+    Lines and a mark at their end are taken off, so that as few different
+    words as possible are looked up."""
+
+    def __init__(self, enc: PieceEncoder, parts: pa.Array):
+        knotty = pc.match_substring_regex(parts, _KNOTTY)
+        plain = pc.split_pattern(parts.filter(pc.invert(knotty)), "\n")
+        lines = pa.concat_arrays([plain.flatten(), parts.filter(knotty)])
+        lengths = np.ones(len(parts), np.int64)
+        lengths[:len(plain)] = pc.list_value_length(plain).to_numpy(zero_copy_only=False)
+        knotty = knotty.to_numpy(zero_copy_only=False)
+        self.number = np.empty(len(parts), np.int32)        # of a part, among those laid out here
+        self.number[np.append(np.flatnonzero(~knotty), np.flatnonzero(knotty))] = np.arange(len(parts))
+
+        marked = pc.and_(pc.is_in(pc.utf8_slice_codeunits(lines, -1), _MARKS),
+                         pc.utf8_is_alpha(pc.utf8_slice_codeunits(lines, -2, -1)))
+        marks = pc.utf8_slice_codeunits(lines.filter(marked), -1).dictionary_encode()
+        marked_at = np.flatnonzero(marked.to_numpy(zero_copy_only=False))
+        words = pc.if_else(marked, pc.utf8_slice_codeunits(lines, 0, -1), lines)
+        at = np.cumsum(lengths) - lengths
+        first = np.zeros(len(lines), bool)
+        first[at] = True
+        firsts, others = (words.filter(pa.array(x)).dictionary_encode() for x in (first, ~first))
+        codes = enc.words.of(_strings(firsts.dictionary)) + enc.lines.of(_strings(others.dictionary))
+        unknown = np.array([c is None for c in codes], bool)
+        n = len(codes)
+        codes = [c or b"" for c in codes] + [b""] + [enc[m] for m in _strings(marks.dictionary)]
+        # two entries a line: the word, and its mark or nothing
+        entry = np.full((len(lines), 2), n, np.int32)
+        entry[first, 0] = firsts.indices.to_numpy()
+        entry[~first, 0] = others.indices.to_numpy() + np.int32(len(firsts.dictionary))
+        entry[marked_at, 1] = marks.indices.to_numpy() + np.int32(n + 1)
+        self.unknown = np.logical_or.reduceat(unknown[entry[:, 0]], at) if len(at) else np.zeros(0, bool)
+        of, entry = Codes(codes, enc.dtype), entry.ravel()
+        size = of.size[entry]
+        self.flat = of.laid_out(entry, size)
+        self.size = np.add.reduceat(size, 2 * at) if len(at) else np.zeros(0, np.int64)
+
+
+class ChunkCodes(Codes):
+    """The ids of all texts of an array; null counts as empty.
+
+    A text is a run of entries: its first part, then what follows each space,
+    then ``tail``.  Arrow cuts the texts and numbers the distinct parts, and
+    numpy lays out the ids of a run of texts."""
+
+    def __init__(self, enc: PieceEncoder, texts: pa.Array, tail: bytes = b""):
+        if len(enc) > _PIECE_LIMIT:
+            enc.clear()
+        n, texts = len(texts), texts.fill_null("")
+        if enc.by_piece:
+            cut = pc.split_pattern(texts, " ")
+            parts, lengths = cut.flatten(), pc.list_value_length(cut).to_numpy(zero_copy_only=False)
+        else:
+            parts, lengths = texts, np.ones(n, np.int64)
+        ends = np.cumsum(lengths, dtype=np.int64)
+        first = ends - lengths
+        later = np.ones(len(parts), bool)
+        later[first] = False
+        heads = _strings(parts.take(pa.array(first)))
+        numbered = parts.filter(pa.array(later)).dictionary_encode()
+        cut = parts = None                  # as large as the texts
+        pa.default_memory_pool().release_unused()
+        known = PartCodes(enc, numbered.dictionary)
+        n_parts = len(known.size)
+
+        entry = np.empty(len(later), np.int32)
+        entry[later] = known.number[numbered.indices.to_numpy()]
+        entry[first] = np.arange(n_parts, n_parts + n)
+        self.entry = np.insert(entry, ends, n_parts + n)
+        self.at = np.append(first, len(later)) + np.arange(n + 1)
+        cuts = np.fromiter(map(WordCodes.alone, heads), bool, n) & enc.by_piece
+        if known.unknown.any():
+            unknown = np.append(known.unknown, np.zeros(n + 1, bool))[self.entry]
+            cuts[np.searchsorted(self.at, np.flatnonzero(unknown), "right") - 1] = False
+        super().__init__([enc.joined(head) if ok else enc.whole(texts[k].as_py())
+                          for k, (head, ok) in enumerate(zip(heads, cuts.tolist()))] + [tail], enc.dtype)
+        self.flat = np.concatenate([known.flat, self.flat])
+        self.begin = np.concatenate([np.cumsum(known.size) - known.size, self.begin + len(known.flat)])
+        self.sizes = np.concatenate([known.size, self.size])[self.entry]
+        for k in np.flatnonzero(~cuts).tolist():
+            self.sizes[self.at[k] + 1:self.at[k + 1] - 1] = 0   # the whole text stands at its first part
+        self.counts = np.add.reduceat(self.sizes, self.at[:-1]) if n else np.zeros(0, np.int64)
+
+    def ids(self, a: int, b: int) -> np.ndarray:
+        """The ids of the texts a..b-1."""
+        run = slice(self.at[a], self.at[b])
+        return self.laid_out(self.entry[run], self.sizes[run])
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -230,17 +356,36 @@ def encoder(path: str) -> PieceEncoder:
     return _ENCODERS[path]
 
 
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int | None], pa.Array]]:
+    """Ids and texts of successive batches, together ``CHUNK_BYTES`` at most
+    unless one batch alone is larger."""
+    held, size = [], 0
+    for b in batches:
+        if held and size + b.nbytes > CHUNK_BYTES:
+            chunk, held, size = _together(held), [], 0
+            yield chunk
+        held.append(b)
+        size += b.nbytes
+    if held:
+        yield _together(held)
+
+
+def _together(batches: list[pa.RecordBatch]) -> tuple[list[int | None], pa.Array]:
+    return ([i for b in batches for i in b.column("id").to_pylist()],
+            pa.concat_arrays([b.column("text") for b in batches]))
+
+
 def _segments(tokenizer_file: str, end_id: int, segment_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         enc = encoder(_resolve(tokenizer_file))
-        end, width = np.array([end_id], enc.dtype).tobytes(), enc.dtype.itemsize
+        end = np.array([end_id], enc.dtype).tobytes()
         shard, seq, base = TaskContext.get().partitionId(), 0, 0
         ids, doc_ids, starts, held = [], [], [], 0
 
         def flush():
             nonlocal ids, doc_ids, starts, held, seq, base
-            image = write_segment(np.frombuffer(b"".join(ids), enc.dtype), doc_ids, starts)
+            image = write_segment(np.concatenate(ids), doc_ids, starts)
             row = pa.RecordBatch.from_pydict({
                 "shard": pa.array([shard], pa.int32()), "seq": pa.array([seq], pa.int32()),
                 "base": pa.array([base], pa.int64()), "n_tokens": pa.array([held], pa.int64()),
@@ -249,16 +394,17 @@ def _segments(tokenizer_file: str, end_id: int, segment_tokens: int):
             ids, doc_ids, starts, held = [], [], [], 0
             return row
 
-        for b in batches:
-            for doc_id, text in zip(b.column("id").to_pylist(), b.column("text").to_pylist()):
-                x = enc.encoded(text or "")
-                n = len(x) // width + 1
+        for chunk_ids, texts in _chunks(batches):
+            codes, done = ChunkCodes(enc, texts, end), 0
+            for k, (doc_id, n) in enumerate(zip(chunk_ids, codes.counts.tolist())):
                 if doc_ids and held + n > segment_tokens:
+                    ids.append(codes.ids(done, k))
+                    done = k
                     yield flush()
-                ids += x, end
                 doc_ids.append(doc_id)
                 starts.append(held)
                 held += n
+            ids.append(codes.ids(done, len(chunk_ids)))
         if doc_ids:
             yield flush()
     return run

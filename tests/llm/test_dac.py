@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -77,3 +78,44 @@ def test_words_are_encoded_once(monkeypatch):
     long = "a-" * 100
     assert enc.encode(f"x {long}").tolist() == enc.tokenizer.encode(f"x {long}", add_special_tokens=False).ids
     assert long not in enc.words                 # memory is bounded by words, not by texts without spaces
+
+
+_BITS = st.sampled_from(["word", "Word", "don't", "'s", ".", ",", "!", "é", "12", "\n", "\n\n", "\t", "\r\n", " ", "  ", "\xa0", "½",
+                         "_", "中", "<|endoftext|>", "\x0b", "\x1c"])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.lists(_BITS, max_size=8).map("".join)), max_size=6))
+def test_chunks_equal_the_tokenizer(texts):
+    """Lines and marks taken off, knotty white space and nulls: every run of
+    texts has the tokenizer's ids, and the tail after each text."""
+    enc = m.encoder(m._resolve(NAME))
+    want = [enc.tokenizer.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+    codes = m.ChunkCodes(enc, pa.array(texts, pa.string()), np.array([2], enc.dtype).tobytes())
+    assert codes.counts.tolist() == [len(w) for w in want]
+    for a in range(len(texts) + 1):
+        for b in range(a, len(texts) + 1):
+            assert codes.ids(a, b).tolist() == sum(want[a:b], [])
+
+
+def test_words_of_a_chunk_are_looked_up_once(monkeypatch):
+    """Neither repeats nor marks nor line ends around a word cost another look-up."""
+    enc, met = m.PieceEncoder(m._resolve(NAME)), []
+    monkeypatch.setattr(m.WordCodes, "__getitem__", lambda self, w: (met.append(w), dict.__getitem__(self, w))[1], raising=False)
+    texts = ["a word, a word. some word\nword word;", None, "the word!\nword, word? some"] * 3
+    codes = m.ChunkCodes(enc, pa.array(texts, pa.string()))
+    assert codes.ids(0, 9).tolist() == [i for t in texts for i in enc.tokenizer.encode(t or "", add_special_tokens=False).ids]
+    assert sorted(met) == ["a", "some", "word", "word"]     # "word" behind a space, and behind a line end
+
+
+def test_words_met_again_stay_known(monkeypatch):
+    """Memory is bounded, but frequent words are not forgotten with the rare."""
+    enc, seen = m.PieceEncoder(m._resolve(NAME)), []
+    monkeypatch.setattr(enc, "tokenized", lambda piece, of=enc.tokenized: (seen.append(piece), of(piece))[1])
+    monkeypatch.setattr(m, "_WORD_LIMIT", 40)
+    letters = "abcdefghij"
+    for k in range(30):
+        rare = " ".join(f"rare{letters[k // 10]}{letters[k % 10]}{x}{y}" for x in letters for y in "xy")
+        enc.encode(f"so many {rare} words")
+        assert len(enc.words) <= 40
+    assert seen.count(" many") == seen.count(" words") == 1 and len(seen) == 30 * 20 + 2 + seen.count("so")
